@@ -43,3 +43,8 @@ def week_monday_based(c) -> Column:
 
 def is_weekend(c) -> Column:
     return F.dayofweek(_c(c)).isin(1, 7)
+
+
+def week_id(c) -> Column:
+    """Monday of the ISO week as an integer yyyymmdd (a sortable week key)."""
+    return F.date_format(week_start(c), "yyyyMMdd").cast("int")

@@ -16,7 +16,7 @@ P = SimpleNamespace(
     balance_lo=0.0, balance_hi=10000.0,
     project_status=("O", "F", "P"),
     url_regex=r"^https?://[^/ ]+[.][a-z]+([/?#].*)?$",
-    current_week="1998-06-01",        # a Monday; nominations of that week
+    current_week=19980601,            # Monday (yyyymmdd) of the nominated week
     event_types=("AAA",),
     re_run_day=0,                     # Monday
     run_date="1998-06-01",

@@ -9,18 +9,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.params import P
+from tillroll.plans import calendar as C
 from tillroll.plans import orders as Q
+from tillroll.plans import sales as SA
+from tillroll.plans import shop as S
 from tillroll.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def portable(df: DataFrame) -> DataFrame:
+    """Report DATE columns as midnight timestamp_ntz (a zone-free cast), so a
+    result reads the same from every engine and client library."""
+    if not any(isinstance(f.dataType, T.DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.DateType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, d: portable(fn(spark, d))
         return fn
     return deco
 
@@ -29,3 +44,108 @@ def register(name: str):
 @register("top_customers")
 def _top_customers(spark, d):
     return Q.top_customers(A.customers(spark, d), A.orders(spark, d), P.top_k)
+
+
+@register("top_customers_preagg")
+def _top_customers_preagg(spark, d):
+    return Q.top_customers_preagg(A.customers(spark, d), A.orders(spark, d), P.top_k)
+
+
+def _monthly(spark, d):
+    return Q.monthly_category_qty(A.orders(spark, d), A.order_items(spark, d), A.products(spark, d))
+
+
+@register("top_category_per_month")
+def _top_category_per_month(spark, d):
+    return Q.top_category_per_month(A.orders(spark, d), A.order_items(spark, d),
+                                    A.products(spark, d), A.categories(spark, d))
+
+
+@register("top_category_per_month_reuse")
+def _top_category_per_month_reuse(spark, d):
+    return Q.top_category_per_month_reuse(_monthly(spark, d), A.categories(spark, d))
+
+
+@register("avg_order_value_by_month")
+def _avg_order_value_by_month(spark, d):
+    return Q.avg_order_value_by_month(A.orders(spark, d))
+
+
+@register("avg_monthly_revenue")
+def _avg_monthly_revenue(spark, d):
+    return Q.avg_monthly_revenue(A.orders(spark, d))
+
+
+@register("monthly_order_stats")
+def _monthly_order_stats(spark, d):
+    return Q.monthly_order_stats(A.orders(spark, d))
+
+
+@register("returned_orders_by_month")
+def _returned_orders_by_month(spark, d):
+    return Q.returned_orders_by_month(A.returns(spark, d))
+
+
+@register("returned_orders_by_month_approx")
+def _returned_orders_by_month_approx(spark, d):
+    return Q.returned_orders_by_month_approx(A.returns(spark, d), P.approx_rsd)
+
+
+# ----------------------------------------------------------------------------- shop
+@register("units_by_attr")
+def _units_by_attr(spark, d):
+    return S.units_by_attr(A.shop_order_products(spark, d), A.shop_products(spark, d), "item_colour")
+
+
+@register("top_attr")
+def _top_attr(spark, d):
+    return S.top_attr(A.shop_order_products(spark, d), A.shop_products(spark, d), "item_colour",
+                      P.colour_k)
+
+
+@register("distinct_buyers")
+def _distinct_buyers(spark, d):
+    return S.distinct_buyers(A.shop_orders(spark, d), A.shop_order_products(spark, d),
+                             A.shop_products(spark, d), P.item)
+
+
+# ----------------------------------------------------------------------------- sales
+@register("clean_sales")
+def _clean_sales(spark, d):
+    return SA.clean_sales(A.sales_transactions(spark, d))
+
+
+@register("sales_by_year")
+def _sales_by_year(spark, d):
+    s = A.sales_transactions(spark, d, ["amount", "quantity", "transaction_date"])
+    return SA.sales_by_year(s)
+
+
+@register("sales_by_payment")
+def _sales_by_payment(spark, d):
+    s = A.sales_transactions(spark, d, ["amount", "quantity", "payment_mode"])
+    return SA.sales_by_payment(s)
+
+
+@register("negative_transactions")
+def _negative_transactions(spark, d):
+    s = A.sales_transactions(spark, d, ["transaction_id", "customer_id", "transaction_date", "amount",
+                                        "quantity", "payment_mode", "store_location"])
+    return SA.negative_transactions(s, P.negative_limit)
+
+
+@register("credit_debit_violations")
+def _credit_debit_violations(spark, d):
+    s = A.sales_transactions(spark, d, ["customer_id", "amount", "quantity", "payment_mode"])
+    return SA.credit_debit_violations(s, P.credit_share, P.violation_limit)
+
+
+# ----------------------------------------------------------------------------- calendars
+@register("calendar_iso")
+def _calendar_iso(spark, d):
+    return C.calendar_for(A.orders(spark, d), "created_at", "iso")
+
+
+@register("calendar_strftime")
+def _calendar_strftime(spark, d):
+    return C.calendar_for(A.orders(spark, d), "created_at", "strftime")

@@ -12,7 +12,8 @@ from typing import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.dates import week_start
+from tillroll.functions.dates import week_id
+from tillroll.functions.money import money
 from tillroll.sources.tables import table
 
 # Payment mode by the first digit of o_orderpriority.
@@ -118,7 +119,8 @@ def sales_transactions(spark: SparkSession, d: str,
         "payment_mode": _payment_mode(),
         "store_location": F.col("n_name"),
         "discount_applied": F.col("l_discount") > 0,
-        "discount_amount": F.round(F.col("l_extendedprice") * F.col("l_discount"), 2),
+        "discount_amount": F.round(money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)"),
+                                   2).cast("double"),
         "loyalty_points_earned": F.floor(F.col("l_extendedprice") / 10).cast("int"),
         "is_return": F.col("l_returnflag") == "R",
         "sales_rep": F.concat(F.lit("SR"), F.col("l_suppkey").cast("string")),
@@ -179,7 +181,7 @@ def nomination_prod(spark: SparkSession, d: str) -> DataFrame:
     lines with return flag A, week = Monday of the order date."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    wk = week_start("o_orderdate")
+    wk = week_id("o_orderdate")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         wk.alias("fis_week_id"),
         F.when(F.col("l_returnflag") == "A", "AAA").otherwise("BBB").alias("event_type_code"),
@@ -194,7 +196,7 @@ def prod(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     weekly = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-              .select(week_start("o_orderdate").alias("fis_week_id"),
+              .select(week_id("o_orderdate").alias("fis_week_id"),
                       F.col("l_partkey").alias("prod_group_code"))
               .distinct())
     return weekly.join(p, F.col("prod_group_code") == F.col("p_partkey")).select(
@@ -207,7 +209,7 @@ def prod(spark: SparkSession, d: str) -> DataFrame:
 
 def selected_nominations(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    wk = week_start("o_orderdate")
+    wk = week_id("o_orderdate")
     return o.select(F.col("o_custkey").alias("parent_event_code"),
                     F.col("o_orderkey").alias("line_item_id"),
                     F.col("o_orderkey").alias("nomination_code"),
