@@ -17,6 +17,9 @@ from tillroll.plans import calendar as C
 from tillroll.plans import orders as Q
 from tillroll.plans import sales as SA
 from tillroll.plans import shop as S
+from tillroll.plans import suite as SU
+from tillroll.operators import quality as V
+from tillroll.sources.tables import table
 from tillroll.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +152,92 @@ def _calendar_iso(spark, d):
 @register("calendar_strftime")
 def _calendar_strftime(spark, d):
     return C.calendar_for(A.orders(spark, d), "created_at", "strftime")
+
+
+# ----------------------------------------------------------------------------- data quality
+def _tracker(spark, d):
+    return {"users": A.tracker_users(spark, d), "projects": A.tracker_projects(spark, d),
+            "tasks": A.tracker_tasks(spark, d, with_project=True)}
+
+
+@register("missing_required")
+def _missing_required(spark, d):
+    return V.missing_required(A.tracker_users(spark, d), not_null=["id"],
+                              not_blank=["username", "segment"], keep=["id", "username", "segment"],
+                              check="users: missing username or segment")
+
+
+@register("duplicate_keys")
+def _duplicate_keys(spark, d):
+    docs = table(spark, d, "documents")
+    return V.duplicate_keys(docs, ["text"], "doc_id", check="documents: duplicate texts", hashed=True)
+
+
+@register("pattern_violation")
+def _pattern_violation(spark, d):
+    return V.pattern_violation(table(spark, d, "pages"), "url", P.url_regex, keep=["page_id", "url"],
+                               check="pages: invalid url format")
+
+
+@register("whitespace_violation")
+def _whitespace_violation(spark, d):
+    return V.whitespace_violation(A.tracker_users(spark, d), "username", keep=["id", "username"],
+                                  check="users: username whitespace issues")
+
+
+@register("not_in_set")
+def _not_in_set(spark, d):
+    return V.not_in_set(A.tracker_projects(spark, d), "status", P.project_status, keep=["id", "status"],
+                        check="projects: invalid status values")
+
+
+@register("out_of_range")
+def _out_of_range(spark, d):
+    return V.out_of_range(A.tracker_users(spark, d), "balance", P.balance_lo, P.balance_hi,
+                          keep=["id", "balance"], check="users: balance out of range")
+
+
+@register("orphans")
+def _orphans(spark, d):
+    return V.orphans(A.tracker_tasks(spark, d), "project_id", A.tracker_projects(spark, d), "id",
+                     keep=["project_id", "line"], check="tasks: project_id refers to missing project")
+
+
+@register("future_timestamps")
+def _future_timestamps(spark, d):
+    return V.future_timestamps(A.tracker_projects(spark, d), "created_at", P.as_of,
+                               keep=["id", "created_at"], check="future timestamps: projects")
+
+
+@register("precedes")
+def _precedes(spark, d):
+    t = A.tracker_tasks(spark, d, with_project=True)
+    return V.precedes(t, F.col("created_at").cast("date"), "due_date",
+                      keep=["project_id", "line", "created_at", "due_date"],
+                      check="tasks: due_date before created_at")
+
+
+@register("childless")
+def _childless(spark, d):
+    return V.childless(A.tracker_projects(spark, d), "id", A.tracker_tasks(spark, d), "project_id",
+                       keep=["id", "owner_id"], check="projects: zero tasks (warning)")
+
+
+@register("matching_parent_attr")
+def _matching_parent_attr(spark, d):
+    return V.matching_parent_attr(A.tracker_tasks(spark, d), "project_id", A.tracker_projects(spark, d),
+                                  "id", "assignee_id", "owner_id",
+                                  keep=["project_id", "line", "assignee_id", "owner_id"],
+                                  check="tasks: assignee is project owner (possible review)")
+
+
+@register("row_counts")
+def _row_counts(spark, d):
+    return V.row_counts({"users": A.tracker_users(spark, d), "projects": A.tracker_projects(spark, d),
+                         "tasks": A.tracker_tasks(spark, d)})
+
+
+@register("validation_summary")
+def _validation_summary(spark, d):
+    checks = SU.tracker_checks(P.as_of, P.project_status, balance=(P.balance_lo, P.balance_hi))
+    return SU.run_suite(_tracker(spark, d), checks)[1]
