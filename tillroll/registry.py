@@ -6,6 +6,7 @@ the caller triggers the single action.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from tillroll.params import P
 from tillroll.plans import calendar as C
+from tillroll.plans import nominations as N
 from tillroll.plans import orders as Q
 from tillroll.plans import sales as SA
 from tillroll.plans import shop as S
@@ -21,6 +23,8 @@ from tillroll.plans import suite as SU
 from tillroll.operators import quality as V
 from tillroll.sources.tables import table
 from tillroll.sources import adapters as A
+from tillroll.sources import catalog as IO
+from tillroll.sources import generate as G
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,3 +245,109 @@ def _row_counts(spark, d):
 def _validation_summary(spark, d):
     checks = SU.tracker_checks(P.as_of, P.project_status, balance=(P.balance_lo, P.balance_hi))
     return SU.run_suite(_tracker(spark, d), checks)[1]
+
+
+# ----------------------------------------------------------------------------- nominations
+def _nominations(spark, d):
+    sel = A.selected_nominations(spark, d)
+    master = N.product_master(A.prod(spark, d))
+    nominated = N.nominated_products(A.nomination_prod(spark, d), sel, P.current_week, P.event_types)
+    return sel, master, nominated, N.line_item_products(nominated)
+
+
+@register("nominated_products")
+def _nominated_products(spark, d):
+    return _nominations(spark, d)[2]
+
+
+@register("line_item_products")
+def _line_item_products(spark, d):
+    return _nominations(spark, d)[3]
+
+
+@register("product_master")
+def _product_master(spark, d):
+    return N.product_master(A.prod(spark, d))
+
+
+@register("featured_products")
+def _featured_products(spark, d):
+    _, master, _, li = _nominations(spark, d)
+    return N.featured_products(li, master)
+
+
+@register("brand_products")
+def _brand_products(spark, d):
+    _, master, _, li = _nominations(spark, d)
+    return N.brand_products(li, master)
+
+
+@register("category_products")
+def _category_products(spark, d):
+    _, master, _, li = _nominations(spark, d)
+    return N.category_products(li, master)
+
+
+@register("final_nomination_products")
+def _final_nomination_products(spark, d):
+    _, master, _, li = _nominations(spark, d)
+    return N.final_nomination_products(N.featured_products(li, master), N.brand_products(li, master),
+                                       N.category_products(li, master))
+
+
+@register("dominant_brand")
+def _dominant_brand(spark, d):
+    _, master, nominated, _ = _nominations(spark, d)
+    return N.dominant_brand(N.event_brand_categories(nominated, master))
+
+
+@register("flag_nominations")
+def _flag_nominations(spark, d):
+    sel, master, nominated, _ = _nominations(spark, d)
+    dom = N.dominant_brand(N.event_brand_categories(nominated, master))
+    return N.flag_nominations(sel, dom, nominated)
+
+
+@register("with_rerun")
+def _with_rerun(spark, d):
+    flagged = _flag_nominations(spark, d)
+    return N.with_rerun(flagged, A.re_run_events(spark, d), True,
+                        _dt.date.fromisoformat(P.run_date), P.re_run_day)
+
+
+@register("brands_and_categories")
+def _brands_and_categories(spark, d):
+    sel, master, nominated, _ = _nominations(spark, d)
+    return N.brands_and_categories(sel, N.event_brand_categories(nominated, master))
+
+
+# ----------------------------------------------------------------------------- catalog round trips
+@register("materialize_roundtrip")
+def _materialize_roundtrip(spark, d):
+    return IO.materialize(Q.monthly_order_stats(A.orders(spark, d)), "tillroll_monthly_order_stats")
+
+
+@register("ctas_summary")
+def _ctas_summary(spark, d):
+    stats = IO.ctas(Q.monthly_order_stats(A.orders(spark, d)), "tillroll_tmp_monthly_order_stats")
+    return Q.avg_monthly_revenue_from_stats(stats)
+
+
+@register("resolve_source")
+def _resolve_source(spark, d):
+    s = A.sales_transactions(spark, d, ["amount", "quantity", "transaction_date", "payment_mode"])
+    IO.overwrite(SA.clean_sales(s), "tillroll_sales_clean")
+    src = IO.resolve_source(spark, ["tillroll_sales_clean_v2", "tillroll_sales_clean"])
+    return SA.sales_by_year(src)
+
+
+@register("layout_roundtrip")
+def _layout_roundtrip(spark, d):
+    laid = IO.write_layout(A.orders(spark, d), "tillroll_orders_by_customer", ["customer_id"],
+                           buckets=8, sort_by=["created_at"])
+    return Q.top_customers_preagg(A.customers(spark, d), laid, P.top_k)
+
+
+@register("generate_sales")
+def _generate_sales(spark, d):
+    return G.generate_sales(table(spark, d, "orders"), "o_orderkey", "o_custkey", "o_orderdate", P.seed)
