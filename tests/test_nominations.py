@@ -160,3 +160,25 @@ def test_build_nominations_errors(inputs):
         N.build_nominations(nom_prod, prod, selected, bad, params)
     with pytest.raises(ValueError):
         N.build_nominations(nom_prod, "not a frame", selected, _mappings(), params)
+
+
+def test_fused_sets_equal_three_set_merge(steps):
+    _, li, master = steps
+    three = N.final_nomination_products(N.featured_products(li, master), N.brand_products(li, master),
+                                        N.category_products(li, master))
+    fused = N.nomination_product_sets(li, master)
+    assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, three.collect()))
+
+
+def test_fused_sets_keep_null_segment_rows_apart(spark):
+    li = spark.createDataFrame([("E", 1, None, "P1", 1)],
+                               "parent_event_code string, line_item_id int, seg_desc_list string, "
+                               "prod_group_code string, nomination_start_week int")
+    master = spark.createDataFrame([(1, "P1", "B", "L", "l", "d1"), (1, "P2", "B", "L", "l", "d2"),
+                                    (1, "P3", None, "L", "l", "d3")], schemas.PROD)
+    three = N.final_nomination_products(N.featured_products(li, master), N.brand_products(li, master),
+                                        N.category_products(li, master))
+    fused = N.nomination_product_sets(li, master)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, fused.collect()), key=key) == sorted(map(tuple, three.collect()), key=key)
+    assert fused.count() == 6      # null segment: P1 fp, brand, cat rows; P2 brand, cat; P3 cat

@@ -46,5 +46,7 @@ def is_weekend(c) -> Column:
 
 
 def week_id(c) -> Column:
-    """Monday of the ISO week as an integer yyyymmdd (a sortable week key)."""
-    return F.date_format(week_start(c), "yyyyMMdd").cast("int")
+    """Monday of the ISO week as an integer yyyymmdd (a sortable week key).
+    Integer arithmetic on the date fields: no string formatting per row."""
+    w = week_start(c)
+    return F.year(w) * 10000 + F.month(w) * 100 + F.dayofmonth(w)

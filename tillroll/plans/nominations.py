@@ -41,8 +41,17 @@ SET_KEYS = ["parent_event_code", "line_item_id", "seg_desc_list", "prod_group_co
 FINAL_COLUMNS = SET_KEYS + ["product_desc", "fp", "brand_desc", "brand", "cat_desc", "cat"]
 
 
-def _master_cols(m: DataFrame) -> DataFrame:
-    """The master with prefixed names, so join keys are never ambiguous."""
+def _master_cols(m: DataFrame, weeks_from: DataFrame | None = None, week_col: str = "") -> DataFrame:
+    """The master with prefixed names, so join keys are never ambiguous.
+
+    With ``weeks_from``, the master is first restricted (LEFT SEMI) to the weeks
+    that frame references.  Distinct weeks are bounded by the calendar span,
+    and Catalyst pushes the semi join below the master's own projections,
+    aggregates and joins, so only the referenced weeks of the master are built.
+    """
+    if weeks_from is not None:
+        weeks = weeks_from.select(F.col(week_col).alias("_w")).distinct()
+        m = m.join(weeks, F.col("fis_week_id") == F.col("_w"), "left_semi")
     return m.select(*[F.col(c).alias(f"m_{c}") for c in PROD_KEYS])
 
 
@@ -77,7 +86,7 @@ def product_master(prod: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- N4 .. N6
 def nominated_attributes(line_items: DataFrame, master: DataFrame) -> DataFrame:
     """Line items with their product's master row at the nomination week."""
-    m = _master_cols(master)
+    m = _master_cols(master, line_items, "nomination_start_week")
     return line_items.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
                            & (F.col("m_prod_group_code") == F.col("prod_group_code")))
 
@@ -97,7 +106,7 @@ def brand_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
          .select("parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week",
                  F.col("m_brand_name").alias("a_brand"), F.col("m_prod_merch_l10_code").alias("a_l10"))
          .distinct())
-    m = _master_cols(master)
+    m = _master_cols(master, line_items, "nomination_start_week")
     j = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
                & (F.col("m_brand_name") == F.col("a_brand"))
                & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
@@ -114,7 +123,7 @@ def category_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
          .select("parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week",
                  F.col("m_prod_merch_l10_code").alias("a_l10"))
          .distinct())
-    m = _master_cols(master)
+    m = _master_cols(master, line_items, "nomination_start_week")
     j = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
                & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
     return (j.select("parent_event_code", "line_item_id", "seg_desc_list",
@@ -132,6 +141,22 @@ def _typed_nulls(df: DataFrame, present: Sequence[str]) -> DataFrame:
                                   for c, t in types.items()])
 
 
+def _merge_sets(u: DataFrame) -> DataFrame:
+    """Merge rows of the product sets on the five keys (see N7), in one
+    aggregation: a row with a NULL key also groups on its own attribute tuple,
+    so such rows are de-duplicated but never merged with each other."""
+    complete = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in SET_KEYS))
+    attrs = ["product_desc", "fp", "brand_desc", "brand", "cat_desc", "cat"]
+    loose = F.when(~complete, F.struct(*attrs)).alias("_loose")
+    out = (u.groupBy(*SET_KEYS, loose)
+           .agg(F.min("product_desc").alias("product_desc"), F.max("fp").alias("fp"),
+                F.min("brand_desc").alias("brand_desc"), F.max("brand").alias("brand"),
+                F.min("cat_desc").alias("cat_desc"), F.max("cat").alias("cat")))
+    return out.select(*SET_KEYS, "product_desc", F.coalesce("fp", F.lit(False)).alias("fp"),
+                      "brand_desc", F.coalesce("brand", F.lit(False)).alias("brand"),
+                      "cat_desc", F.coalesce("cat", F.lit(False)).alias("cat"))
+
+
 def final_nomination_products(featured: DataFrame, brand: DataFrame, category: DataFrame) -> DataFrame:
     """Featured, brand and category sets merged on the five keys.
 
@@ -141,19 +166,46 @@ def final_nomination_products(featured: DataFrame, brand: DataFrame, category: D
     matches NULL keys.  Flags absent from a set are false; if a set carries
     several descriptions for one key the alphabetically first is kept.
     """
-    u = (_typed_nulls(featured, ["product_desc", "fp"])
-         .unionByName(_typed_nulls(brand, ["brand_desc", "brand"]))
-         .unionByName(_typed_nulls(category, ["cat_desc", "cat"])))
-    complete = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in SET_KEYS))
-    merged = (u.where(complete).groupBy(*SET_KEYS)
-              .agg(F.min("product_desc").alias("product_desc"), F.max("fp").alias("fp"),
-                   F.min("brand_desc").alias("brand_desc"), F.max("brand").alias("brand"),
-                   F.min("cat_desc").alias("cat_desc"), F.max("cat").alias("cat")))
-    loose = u.where(~complete)
-    out = merged.unionByName(loose)
-    return out.select(*SET_KEYS, "product_desc", F.coalesce("fp", F.lit(False)).alias("fp"),
-                      "brand_desc", F.coalesce("brand", F.lit(False)).alias("brand"),
-                      "cat_desc", F.coalesce("cat", F.lit(False)).alias("cat"))
+    return _merge_sets(_typed_nulls(featured, ["product_desc", "fp"])
+                       .unionByName(_typed_nulls(brand, ["brand_desc", "brand"]))
+                       .unionByName(_typed_nulls(category, ["cat_desc", "cat"])))
+
+
+def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFrame:
+    """N4-N7 fused: the same result as
+    ``final_nomination_products(featured_products(..), brand_products(..), category_products(..))``
+    from two joins with the master instead of five.
+
+    A brand product shares week, brand and L10 code with a nominated product, so
+    it is also a category product: one expansion on (week, L10) yields every
+    category row, and the rows whose brand equals the nominated product's brand
+    also yield a brand row.  Featured rows come straight from the line items'
+    own master rows.  The rows are merged on the five keys as in N7.
+    """
+    attrs = nominated_attributes(line_items, master)
+    base = ["parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code",
+            "nomination_start_week"]
+    featured = _typed_nulls(attrs.select(*base, F.col("m_prod_desc").alias("product_desc"),
+                                         F.lit(True).alias("fp")), ["product_desc", "fp"])
+    keys = [c for c in base if c != "prod_group_code"]
+    a = (attrs.where(F.col("m_prod_merch_l10_code").isNotNull())
+         .select(*keys, F.col("m_brand_name").alias("a_brand"), F.col("m_prod_merch_l10_code").alias("a_l10"))
+         .distinct())
+    m = _master_cols(master, line_items, "nomination_start_week")
+    x = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
+               & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
+    same_brand = F.coalesce(F.col("m_brand_name") == F.col("a_brand"), F.lit(False))
+    none_s, none_b = F.lit(None).cast("string"), F.lit(None).cast("boolean")
+    cat_row = F.struct(none_s.alias("product_desc"), none_b.alias("fp"), none_s.alias("brand_desc"),
+                       none_b.alias("brand"), F.col("m_prod_merch_l10_desc").alias("cat_desc"),
+                       F.lit(True).alias("cat"))
+    brand_row = F.struct(none_s.alias("product_desc"), none_b.alias("fp"),
+                         F.col("m_brand_name").alias("brand_desc"), F.lit(True).alias("brand"),
+                         none_s.alias("cat_desc"), none_b.alias("cat"))
+    rows = F.filter(F.array(cat_row, F.when(same_brand, brand_row)), lambda r: r.isNotNull())
+    expanded = (x.select(*keys, F.col("m_prod_group_code").alias("prod_group_code"), F.explode(rows).alias("r"))
+                .select(*SET_KEYS, "r.*"))
+    return _merge_sets(featured.unionByName(expanded))
 
 
 def final_nomination_products_joined(featured: DataFrame, brand: DataFrame,
@@ -170,7 +222,7 @@ def event_brand_categories(nominated: DataFrame, master: DataFrame) -> DataFrame
     """Distinct (parent event, brand, L10 code, L10 desc) of the nominated
     products, looked up at the event start week."""
     ev = nominated.select("parent_event_code", "prod_group_code", "event_start_week").distinct()
-    m = _master_cols(master)
+    m = _master_cols(master, ev, "event_start_week")
     j = ev.join(m, (F.col("m_fis_week_id") == F.col("event_start_week"))
                 & (F.col("m_prod_group_code") == F.col("prod_group_code")))
     return (j.select("parent_event_code", F.col("m_brand_name").alias("brand_name"),

@@ -291,8 +291,7 @@ def _category_products(spark, d):
 @register("final_nomination_products")
 def _final_nomination_products(spark, d):
     _, master, _, li = _nominations(spark, d)
-    return N.final_nomination_products(N.featured_products(li, master), N.brand_products(li, master),
-                                       N.category_products(li, master))
+    return N.nomination_product_sets(li, master)
 
 
 @register("dominant_brand")

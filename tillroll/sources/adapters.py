@@ -176,28 +176,29 @@ def tracker_tasks(spark: SparkSession, d: str, with_project: bool = False) -> Da
 
 
 # --------------------------------------------------------------------------- nominations
+def _order_weeks(spark: SparkSession, d: str) -> DataFrame:
+    """Week of each order, computed once per order (before any join to lines)."""
+    return table(spark, d, "orders").select("o_orderkey", week_id("o_orderdate").alias("_week"))
+
+
 def nomination_prod(spark: SparkSession, d: str) -> DataFrame:
     """Products nominated per order (nomination = order): event type AAA for
     lines with return flag A, week = Monday of the order date."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    wk = week_id("o_orderdate")
-    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        wk.alias("fis_week_id"),
+    return li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("_week").alias("fis_week_id"),
         F.when(F.col("l_returnflag") == "A", "AAA").otherwise("BBB").alias("event_type_code"),
         F.col("l_partkey").alias("prod_level_code"),
         F.col("l_orderkey").alias("nomination_code"),
-        wk.alias("event_start_week"))
+        F.col("_week").alias("event_start_week"))
 
 
 def prod(spark: SparkSession, d: str) -> DataFrame:
     """Weekly product master: a product is listed in the weeks it was ordered."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    weekly = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-              .select(week_id("o_orderdate").alias("fis_week_id"),
-                      F.col("l_partkey").alias("prod_group_code"))
+    weekly = (li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
+              .select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code"))
               .distinct())
     return weekly.join(p, F.col("prod_group_code") == F.col("p_partkey")).select(
         "fis_week_id", "prod_group_code",
