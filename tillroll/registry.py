@@ -1,7 +1,7 @@
 """Registered queries: name -> fn(spark, sf_dir) -> DataFrame.
 
-Every query reads the driver's whole tables (through the adapters) and is lazy:
-the caller triggers the single action.
+Every query reads the driver's whole tables (through the adapters).  Queries
+are lazy except the catalog round trips, which write their table when called.
 """
 
 from __future__ import annotations
