@@ -145,3 +145,19 @@ def test_suite_row_checks_scan_each_table_once(tracker):
     details = SU.run_details(tracker, spec, as_of=AS_OF)
     text = details._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("LogicalRDD") == 1      # one scan of the users rows for four checks
+
+
+def test_anti_joins_in_plans(tracker):
+    orphans = V.orphans(tracker["tasks"], "project_id", tracker["projects"], "id", keep=["id"])
+    childless = V.childless(tracker["projects"], "id", tracker["tasks"], "project_id", keep=["id"])
+    for df in (orphans, childless):
+        assert "LeftAnti" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_skewed_references(spark):
+    # one parent holds most references; results stay whole and exact
+    parents = spark.range(0, 50).withColumnRenamed("id", "pid")
+    children = spark.range(0, 20000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id % 40 ELSE 7 END AS pid")
+    assert V.childless(parents, "pid", children, "pid", keep=["pid"]).count() == 10
+    dup = V.duplicate_keys(children, ["pid"], "id")
+    assert dup.count() == 20000

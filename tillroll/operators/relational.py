@@ -61,9 +61,11 @@ def anti(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows with a non-null ``fk`` that matches no parent ``pk``.
 
     Written as a LEFT ANTI join; Catalyst does not rewrite LEFT JOIN ... IS NULL
-    into this form by itself, and the anti join needs only the parent key.
+    into this form by itself, and the anti join needs only the parent key.  A
+    hot foreign key (a skewed left side) is split by AQE's skew join; the
+    parent keys are de-duplicated so the right side cannot be skewed.
     """
-    keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
+    keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
     return (child.where(F.col(fk).isNotNull())
             .join(keys, F.col(fk) == F.col("_pk"), "left_anti"))
 
