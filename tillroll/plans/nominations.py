@@ -45,12 +45,14 @@ def _master_cols(m: DataFrame, weeks_from: DataFrame | None = None, week_col: st
     """The master with prefixed names, so join keys are never ambiguous.
 
     With ``weeks_from``, the master is first restricted (LEFT SEMI) to the weeks
-    that frame references.  Distinct weeks are bounded by the calendar span,
-    and Catalyst pushes the semi join below the master's own projections,
-    aggregates and joins, so only the referenced weeks of the master are built.
+    that frame references.  The distinct weeks are bounded by the calendar span
+    (52 a year), whatever the data volume, so they are broadcast.  The hint also
+    lets Catalyst push the semi join below the master's own aggregates and
+    joins (it only does so for joins it can plan as broadcast), so only the
+    referenced weeks of the master are built.
     """
     if weeks_from is not None:
-        weeks = weeks_from.select(F.col(week_col).alias("_w")).distinct()
+        weeks = F.broadcast(weeks_from.select(F.col(week_col).alias("_w")).distinct())
         m = m.join(weeks, F.col("fis_week_id") == F.col("_w"), "left_semi")
     return m.select(*[F.col(c).alias(f"m_{c}") for c in PROD_KEYS])
 
