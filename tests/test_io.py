@@ -72,3 +72,19 @@ def test_generated_sales(spark):
     assert 5 <= s[0] and s[1] <= 2000 and s[2] == 1 and s[3] == 5
     assert s[4] < g1.count()                      # customers repeat
     assert s[5] <= 0.2 + 1e-9
+
+
+def test_create_table_with_defaults(spark):
+    from tillroll.sources.schemas import TRACKER_DEFAULTS
+    IO.create_table(spark, "io_tasks", "id bigint, status string, priority int, cost decimal(12,2)",
+                    TRACKER_DEFAULTS, replace=True)
+    spark.sql("INSERT INTO io_tasks (id, cost) VALUES (1, 2.50)")
+    r = spark.table("io_tasks").first()
+    assert (r.id, r.status, r.priority, float(r.cost)) == (1, "todo", 3, 2.5)
+
+
+def test_load_calendar_by_insert_select(spark):
+    from tillroll.plans.calendar import load_calendar
+    cal = load_calendar(spark, "io_calendar", "2024-01-01", "2024-12-31")
+    assert cal.count() == 366
+    assert load_calendar(spark, "io_calendar", "2024-01-01", "2024-01-31").count() == 31

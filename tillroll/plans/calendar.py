@@ -54,3 +54,13 @@ def calendar_for(facts: DataFrame, date_col: str, flavour: str = "iso") -> DataF
     span = facts.agg(F.min(F.col(date_col).cast("date")).alias("_lo"),
                      F.max(F.col(date_col).cast("date")).alias("_hi"))
     return _FLAVOURS[flavour](_spine(span, F.col("_lo"), F.col("_hi"), "_d"), "_d")
+
+
+def load_calendar(spark: SparkSession, name: str, start: str, end: str) -> DataFrame:
+    """Create the Calendar table (strftime flavour) and fill it with
+    INSERT ... SELECT; re-running replaces the rows (truncate and reload)."""
+    from tillroll.sources.catalog import create_table, insert_select
+    from tillroll.sources.schemas import CALENDAR
+    create_table(spark, name, CALENDAR)
+    insert_select(calendar(spark, start, end, "strftime"), name, truncate=True)
+    return spark.table(name)

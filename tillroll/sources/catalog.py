@@ -3,6 +3,7 @@ physical layout.  Managed tables are parquet (no Delta in this image)."""
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,25 @@ def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
+def create_table(spark: SparkSession, name: str, ddl: str, defaults: dict | None = None,
+                 replace: bool = False) -> None:
+    """CREATE TABLE name (ddl) USING parquet, with column DEFAULTs.
+
+    ``ddl`` is a Spark DDL column list ("id bigint, status string, ...").
+    Constraints (keys, CHECKs) are not enforced by parquet tables; they are
+    expressed as validation checks (``tillroll.plans.suite``)."""
+    cols = []
+    for field in [f.strip() for f in re.split(r",(?![^()]*\))", ddl) if f.strip()]:
+        col = field.split()[0]
+        if defaults and col in defaults:
+            field += f" DEFAULT {defaults[col]!r}" if isinstance(defaults[col], str) \
+                else f" DEFAULT {defaults[col]}"
+        cols.append(field)
+    if replace:
+        drop_table(spark, name)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet")
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
