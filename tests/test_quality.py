@@ -161,3 +161,8 @@ def test_skewed_references(spark):
     assert V.childless(parents, "pid", children, "pid", keep=["pid"]).count() == 10
     dup = V.duplicate_keys(children, ["pid"], "id")
     assert dup.count() == 20000
+
+
+def test_summary_from_details_equals_direct_counts(tracker):
+    details, summary = SU.run_suite(tracker, _spec(), as_of=AS_OF)
+    assert [tuple(r) for r in SU.summarize(details, _spec()).collect()] == [tuple(r) for r in summary.collect()]

@@ -151,9 +151,45 @@ def summarize(details: DataFrame, checks: Sequence[Check]) -> DataFrame:
             .orderBy("_ord").drop("_ord"))
 
 
+def _row_level_counts(df: DataFrame, checks: Sequence[Check], as_of) -> DataFrame:
+    """Violation counts of all row-level checks of one table: a single scan
+    and one global aggregate (partial counts per task), then unpivoted."""
+    one = df.agg(*[F.count(F.when(_condition(df, c, as_of), F.lit(1))).alias(f"_{i}")
+                   for i, c in enumerate(checks)])
+    rows = F.array(*[F.struct(F.lit(c.name).alias("check"), F.col(f"_{i}").alias("violations"))
+                     for i, c in enumerate(checks)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None) -> DataFrame:
+    """The summary computed directly (no per-violation rows are built)."""
+    parts = []
+    by_table: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.kind in ROW_KINDS:
+            by_table.setdefault(c.table, []).append(c)
+    for t, cs in by_table.items():
+        parts.append(_row_level_counts(tables[t], cs, as_of))
+    for c in checks:
+        if c.kind in REL_KINDS:
+            parts.append(_relational(tables, c).agg(F.count(F.lit(1)).alias("violations"))
+                         .select(F.lit(c.name).alias("check"), "violations"))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    spark = counts.sparkSession
+    spec = spark.createDataFrame([(c.name, c.severity, i) for i, c in enumerate(checks)],
+                                 "check string, severity string, _ord int")
+    return (F.broadcast(spec).join(counts, "check", "left")
+            .select("check", "severity", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"),
+                    "_ord")
+            .orderBy("_ord").drop("_ord"))
+
+
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None):
-    details = run_details(tables, checks, as_of)
-    return details, summarize(details, checks)
+    """(details, summary).  Both are lazy and independent: acting on the
+    summary does not build the per-violation rows."""
+    return run_details(tables, checks, as_of), summarize_checks(tables, checks, as_of)
 
 
 # ----------------------------------------------------------------------------- tracker spec
