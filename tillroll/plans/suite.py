@@ -97,28 +97,34 @@ def _uniq(cols) -> list:
     return list(dict.fromkeys(cols))
 
 
-def _relational(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
+def _relational_rows(tables: Mapping[str, DataFrame], c: Check):
+    """(offending rows, key columns, detail columns) of a relational check."""
     p, df = c.params, tables[c.table]
     if c.kind == "duplicates":
         cols = [p["col"]] if isinstance(p["col"], str) else list(p["col"])
         out = V.duplicate_keys(df, cols, p.get("id"), c.name, hashed=p.get("hashed", False))
-        return _out(out, c, c.label, [p.get("id")] if p.get("id") else cols, cols + ["cnt"])
+        return out, ([p.get("id")] if p.get("id") else cols), cols + ["cnt"]
     if c.kind == "orphans":
         out = V.orphans(df, p["fk"], tables[p["parent"]], p["pk"], keep=_uniq(list(c.key) + [p["fk"]]),
                         check=c.name)
-        return _out(out, c, c.label, c.key, [p["fk"]])
+        return out, c.key, [p["fk"]]
     if c.kind == "childless":
         out = V.childless(df, p["pk"], tables[p["child"]], p["fk"], keep=_uniq(list(c.key) + list(c.show)),
                           check=c.name)
-        return _out(out, c, c.label, c.key, c.show)
+        return out, c.key, c.show
     if c.kind == "same_as_parent":
         out = V.matching_parent_attr(df, p["fk"], tables[p["parent"]], p["pk"], p["attr"],
                                      p["parent_attr"], keep=_uniq(list(c.key) + [p["attr"], p["fk"]]),
                                      check=c.name)
-        return _out(out, c, c.label, c.key, [p["attr"], p["fk"]])
+        return out, c.key, [p["attr"], p["fk"]]
     raise ValueError(f"unknown check kind: {c.kind}")
 
 
+def _relational(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
+    out, key, show = _relational_rows(tables, c)
+    return _out(out, c, c.label, key, show)
+
+
 def run_details(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None) -> DataFrame:
     parts = []
     by_table: dict[str, list[Check]] = {}
@@ -172,7 +178,7 @@ def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], a
         parts.append(_row_level_counts(tables[t], cs, as_of))
     for c in checks:
         if c.kind in REL_KINDS:
-            parts.append(_relational(tables, c).agg(F.count(F.lit(1)).alias("violations"))
+            parts.append(_relational_rows(tables, c)[0].agg(F.count(F.lit(1)).alias("violations"))
                          .select(F.lit(c.name).alias("check"), "violations"))
     counts = parts[0]
     for p in parts[1:]:

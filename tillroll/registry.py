@@ -244,7 +244,7 @@ def _row_counts(spark, d):
 @register("validation_summary")
 def _validation_summary(spark, d):
     checks = SU.tracker_checks(P.as_of, P.project_status, balance=(P.balance_lo, P.balance_hi))
-    return SU.run_suite(_tracker(spark, d), checks)[1]
+    return SU.summarize_checks(_tracker(spark, d), checks)
 
 
 # ----------------------------------------------------------------------------- nominations
