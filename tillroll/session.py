@@ -41,7 +41,7 @@ def build_session(master: str | None = None, app: str = "tillroll",
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A folder under the cluster's shared checkpoint location (per application).
 
     The location comes from ``spark.checkpoint.dir``.  Only where the session
     leaves it unset (local tests) do we fall back to the warehouse folder, which
@@ -51,7 +51,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(base)
-    return "/".join([base.rstrip("/"), "tillroll", *parts])
+    # one subfolder per application, as Spark's own checkpoints do
+    app = spark.sparkContext.applicationId
+    return "/".join([base.rstrip("/"), "tillroll", app, *parts])
 
 
 def unique_name(prefix: str) -> str:

@@ -39,10 +39,20 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def table_path(spark: SparkSession, name: str, fresh: bool = False) -> str:
+    """Storage folder of a table written by these operators: under the shared
+    folder the cluster names in ``spark.checkpoint.dir`` (never machine-local).
+    ``fresh`` gives a new folder, so a table can be rebuilt from itself."""
+    leaf = unique_name(name.replace(".", "__")) if fresh else name.replace(".", "__")
+    return shared_dir(spark, "tables", leaf)
+
+
 def overwrite(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Full-replace write of a managed table; returns the table scan."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Full-replace write of a table stored in the shared folder; returns the
+    table scan."""
+    spark = df.sparkSession
+    df.write.format(fmt).mode("overwrite").option("path", table_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
 
 
 def insert_select(df: DataFrame, name: str, truncate: bool = False) -> None:
@@ -54,16 +64,19 @@ def materialize(df: DataFrame, name: str | None) -> DataFrame:
     """Store ``df`` as table ``name`` and continue from the stored copy.
 
     No name -> ``df`` unchanged.  The result is first written under a fresh
-    name, then the old table is dropped and the new one renamed: dropping first
-    could destroy a table the lazy plan of ``df`` still reads, and overwriting a
-    table that is being read is refused by Spark."""
+    name and folder (in the shared checkpoint folder), then the old table is
+    dropped and the new one renamed: dropping first could destroy a table the
+    lazy plan of ``df`` still reads, and overwriting a table that is being read
+    is refused by Spark.  Dropping releases only the catalog entry; earlier
+    versions' folders stay in the shared folder until its retention removes them."""
     if not name:
         return df
     spark = df.sparkSession
     tmp = unique_name(name.replace(".", "_") + "_new")
     if "." in name:
         tmp = name.rsplit(".", 1)[0] + "." + tmp
-    df.write.format("parquet").mode("overwrite").saveAsTable(tmp)
+    df.write.format("parquet").mode("overwrite") \
+        .option("path", table_path(spark, name, fresh=True)).saveAsTable(tmp)
     drop_table(spark, name)
     spark.sql(f"ALTER TABLE {tmp} RENAME TO {name}")
     return spark.table(name)
@@ -102,7 +115,8 @@ def write_layout(df: DataFrame, name: str, cluster_by: Sequence[str], buckets: i
     key (co-located joins and aggregations read it without an exchange), sorted
     within each bucket (parquet min/max statistics then skip row groups on
     range filters), compressed with ``codec``."""
-    w = df.write.format("parquet").mode("overwrite").option("compression", codec)
+    w = (df.write.format("parquet").mode("overwrite").option("compression", codec)
+         .option("path", table_path(df.sparkSession, name)))
     w = w.bucketBy(buckets, *cluster_by)
     if sort_by:
         w = w.sortBy(*sort_by)
