@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(base)
     # one subfolder per application, as Spark's own checkpoints do
-    app = spark.sparkContext.applicationId
+    app = spark.conf.get("spark.app.id", None) or "app"
     return "/".join([base.rstrip("/"), "tillroll", app, *parts])
 
 
