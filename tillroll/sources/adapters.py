@@ -194,18 +194,26 @@ def nomination_prod(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prod(spark: SparkSession, d: str) -> DataFrame:
-    """Weekly product master: a product is listed in the weeks it was ordered."""
+    """Weekly product master: a product is listed in each week it was ordered
+    (one row per order line; ``product_master`` (N3) reduces it to distinct
+    products, so no separate distinct is spent here).
+
+    The product attributes are renamed on the part side, before the join, so
+    the output needs no projection above the join: a semi join on the week
+    (see ``plans.nominations``) is then pushed through the joins down to the
+    orders scan."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
-    p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    weekly = (li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
-              .select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code"))
-              .distinct())
-    return weekly.join(p, F.col("prod_group_code") == F.col("p_partkey")).select(
-        "fis_week_id", "prod_group_code",
+    p = table(spark, d, "part").select(
+        F.col("p_partkey").alias("prod_group_code"),
         F.col("p_brand").alias("brand_name"),
         F.col("p_type").alias("prod_merch_l10_code"),
         F.lower(F.col("p_type")).alias("prod_merch_l10_desc"),
         F.col("p_name").alias("prod_desc"))
+    lines = (li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
+             .select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code")))
+    return lines.join(p, "prod_group_code").select(
+        "fis_week_id", "prod_group_code", "brand_name", "prod_merch_l10_code", "prod_merch_l10_desc",
+        "prod_desc")
 
 
 def selected_nominations(spark: SparkSession, d: str) -> DataFrame:
