@@ -69,3 +69,25 @@ def test_returns_filter_is_pushed_to_the_scan(spark):
 def test_suite_summary_does_not_build_detail_strings(spark):
     text = "\n".join(optimized(QUERIES["validation_summary"](spark, SF)))
     assert "concat_ws" not in text
+
+
+def test_anti_join_equals_left_join_is_null(spark):
+    from pyspark.sql import functions as F
+    from tillroll.operators import quality as V
+    # a parent subset, so the relation has orphans (a test fixture derived from the tables)
+    projects = A.tracker_projects(spark, SF).where(F.col("id") % 7 != 0)
+    tasks = A.tracker_tasks(spark, SF)
+    anti = V.orphans(tasks, "project_id", projects, "id", keep=["project_id", "line"])
+    t, p = tasks.alias("t"), projects.alias("p")
+    left = (t.join(p, F.col("t.project_id") == F.col("p.id"), "left")
+            .where(F.col("t.project_id").isNotNull() & F.col("p.id").isNull())
+            .select(F.lit("reference to missing parent").alias("check"), "t.project_id", "t.line"))
+    got, want = sorted(map(tuple, anti.collect())), sorted(map(tuple, left.collect()))
+    assert got == want and len(got) > 0
+
+
+def test_left_and_inner_top_category_agree_without_null_categories(spark):
+    o, i, p, c = A.orders(spark, SF), A.order_items(spark, SF), A.products(spark, SF), A.categories(spark, SF)
+    left = Q.top_category_per_month(o, i, p, c)
+    inner = Q.top_category_per_month_reuse(Q.monthly_category_qty(o, i, p), c)
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, inner.collect()))
