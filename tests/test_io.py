@@ -88,3 +88,25 @@ def test_load_calendar_by_insert_select(spark):
     cal = load_calendar(spark, "io_calendar", "2024-01-01", "2024-12-31")
     assert cal.count() == 366
     assert load_calendar(spark, "io_calendar", "2024-01-01", "2024-01-31").count() == 31
+
+
+def test_temp_view_and_sql(spark):
+    from tillroll.plans.sales import with_order_year
+    from tillroll.sources import adapters as A
+    s = A.sales_transactions(spark, SF, ["amount", "quantity", "transaction_date", "payment_mode"])
+    IO.temp_view(with_order_year(s), "tmp_sales", ["order_year", "amount", "quantity", "payment_mode"])
+    out = spark.sql("SELECT payment_mode, SUM(amount * quantity) AS total_amount, COUNT(*) AS transactions "
+                    "FROM tmp_sales GROUP BY payment_mode")
+    assert out.count() == 5
+    IO.drop_view(spark, "tmp_sales")
+    assert not spark.catalog.tableExists("tmp_sales")
+
+
+def test_select_present_row_count_and_views(spark):
+    from tillroll.operators.relational import select_present
+    from tillroll.sources.tables import register_views
+    df = spark.range(3).withColumn("a", F.lit(1))
+    assert select_present(df, ["a", "zzz", "id"]).columns == ["a", "id"]
+    assert IO.row_count(df).first().cnt == 3
+    register_views(spark, SF, ["nation", "region"])
+    assert spark.sql("SELECT COUNT(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey").first().n == 25

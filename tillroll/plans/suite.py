@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import quality as V
+from tillroll.operators.relational import union_all
 
 ROW_KINDS = ("missing", "pattern", "whitespace", "in_set", "range", "future", "precedes")
 REL_KINDS = ("duplicates", "orphans", "childless", "same_as_parent")
@@ -138,10 +139,7 @@ def run_details(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=
     for c in checks:
         if c.kind in REL_KINDS:
             parts.append(_relational(tables, c))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_all(parts)
 
 
 def summarize(details: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -180,9 +178,7 @@ def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], a
         if c.kind in REL_KINDS:
             parts.append(_relational_rows(tables, c)[0].agg(F.count(F.lit(1)).alias("violations"))
                          .select(F.lit(c.name).alias("check"), "violations"))
-    counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
+    counts = union_all(parts)
     spark = counts.sparkSession
     spec = spark.createDataFrame([(c.name, c.severity, i) for i, c in enumerate(checks)],
                                  "check string, severity string, _ord int")
