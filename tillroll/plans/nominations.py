@@ -8,10 +8,13 @@ Canonical inputs (``canonicalize`` maps physical names onto these once):
            nomination_start_week, event_start_week, ...)
 * re_run_events(parent_event_code, re_run)
 
-No join is hinted: the selected nominations can be as large as the event
-table, so AQE chooses broadcast or sort-merge from the measured sizes.  The
-product sets (N4-N6) all start from one join of the line items with the master
-(``nominated_attributes``), which Spark plans once and reuses.
+No join of data-sized inputs is hinted: the selected nominations can be as
+large as the event table, so AQE chooses broadcast or sort-merge from the
+measured sizes.  The product sets (N4-N6) each start from the join of the line
+items with their master rows (``nominated_attributes``); the fused form
+(``nomination_product_sets``) derives all three from that join and one
+expansion.  The master is always restricted to the weeks the line items
+reference before it is joined.
 """
 
 from __future__ import annotations
