@@ -19,6 +19,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.predicates import any_of
 from tillroll.operators import quality as V
 from tillroll.operators.relational import union_all
 
@@ -77,9 +78,15 @@ def _out(df: DataFrame, check: Check, entity: str, key: Sequence[str], show: Seq
 
 
 def _row_level(df: DataFrame, table: str, checks: Sequence[Check], as_of) -> DataFrame:
-    """All row-level checks of one table in one pass over it."""
-    flags = F.array(*[F.when(_condition(df, c, as_of), F.lit(i)) for i, c in enumerate(checks)])
-    hits = df.withColumn("_i", F.explode(F.filter(flags, lambda x: x.isNotNull())))
+    """All row-level checks of one table in one pass over it.
+
+    Rows failing at least one check are kept first (one OR of the conditions,
+    evaluated in generated code and pushable to the scan); only those rows are
+    exploded into one row per failed check."""
+    conds = [_condition(df, c, as_of) for c in checks]
+    flags = F.array(*[F.when(cond, F.lit(i)) for i, cond in enumerate(conds)])
+    hits = (df.where(any_of(conds)).withColumn("_i", F.explode(flags))
+            .where(F.col("_i").isNotNull()))
     name = severity = key = details = None
     for i, c in enumerate(checks):
         hit = F.col("_i") == i
