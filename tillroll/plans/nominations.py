@@ -207,8 +207,9 @@ def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFra
     brand_row = F.struct(none_s.alias("product_desc"), none_b.alias("fp"),
                          F.col("m_brand_name").alias("brand_desc"), F.lit(True).alias("brand"),
                          none_s.alias("cat_desc"), none_b.alias("cat"))
-    rows = F.filter(F.array(cat_row, F.when(same_brand, brand_row)), lambda r: r.isNotNull())
+    rows = F.array(cat_row, F.when(same_brand, brand_row))
     expanded = (x.select(*keys, F.col("m_prod_group_code").alias("prod_group_code"), F.explode(rows).alias("r"))
+                .where(F.col("r").isNotNull())
                 .select(*SET_KEYS, "r.*"))
     return _merge_sets(featured.unionByName(expanded))
 
