@@ -194,9 +194,9 @@ def nomination_prod(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prod(spark: SparkSession, d: str) -> DataFrame:
-    """Weekly product master: a product is listed in each week it was ordered
-    (one row per order line; ``product_master`` (N3) reduces it to distinct
-    products, so no separate distinct is spent here).
+    """Weekly product master: a product is listed once in each week it was
+    ordered (the narrow (week, product) distinct runs before the attributes
+    are joined on).
 
     The product attributes are renamed on the part side, before the join, so
     the output needs no projection above the join: a semi join on the week
@@ -209,9 +209,10 @@ def prod(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_type").alias("prod_merch_l10_code"),
         F.lower(F.col("p_type")).alias("prod_merch_l10_desc"),
         F.col("p_name").alias("prod_desc"))
-    lines = (li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
-             .select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code")))
-    return lines.join(p, "prod_group_code").select(
+    weekly = (li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
+              .select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code"))
+              .distinct())
+    return weekly.join(p, "prod_group_code").select(
         "fis_week_id", "prod_group_code", "brand_name", "prod_merch_l10_code", "prod_merch_l10_desc",
         "prod_desc")
 
