@@ -15,6 +15,7 @@ def _row(tid, cust, amount, qty, ts, mode):
 
 @pytest.fixture(scope="module")
 def sample(spark):
+    # The six-row test fixture.
     data = [
         _row("T001", "C1", 100.0, 1, datetime(2024, 6, 1, 10, 30), "Credit Card"),
         _row("T002", "C1", 50.0, 2, datetime(2024, 6, 2, 14, 15), "Debit Card"),
@@ -28,6 +29,7 @@ def sample(spark):
 
 @pytest.fixture(scope="module")
 def seed_rows(spark):
+    # The notebook's five seed rows (relevant columns).
     data = [
         _row("T001", "C001", 1200.0, 1, datetime(2024, 6, 1, 10, 30), "Credit Card"),
         _row("T002", "C002", 60.0, 2, datetime(2024, 6, 2, 14, 15), "Cash"),

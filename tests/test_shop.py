@@ -4,6 +4,7 @@ import pytest
 
 from tillroll.plans import shop as S
 
+# The shop fixture (products; order lines follow the rule below).
 PRODUCTS = [
     (1, "Laptop", "Silver"), (2, "Phone", "Black"), (3, "Headphones", "White"), (4, "Monitor", "Black"),
     (5, "Keyboard", "Gray"), (6, "Mouse", "Blue"), (7, "Printer", "White"), (8, "Speaker", "Red"),

@@ -49,7 +49,8 @@ SELECTED_NOMINATIONS = ("parent_event_code string, line_item_id int, nomination_
                         "seg_desc_list string, nomination_start_week int, event_start_week int")
 RE_RUN_EVENTS = "parent_event_code string, re_run string"
 
-# Table-level constraints of the tracker (enforced as validation checks, not by storage).
+# Table-level constraints of the tracker (enforced as validation checks, not
+# by storage): allowed statuses, priority range, column defaults.
 TRACKER_STATUSES = ("todo", "in_progress", "done", "blocked")
 TRACKER_PRIORITY = (1, 5)
 TRACKER_DEFAULTS = {"status": "todo", "priority": 3}
