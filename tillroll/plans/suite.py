@@ -235,6 +235,7 @@ def tracker_checks(as_of, statuses, username_regex=r"^Customer#[0-9]+$",
         Check("tasks: assignee_id refers to missing user", "task_refs", "orphans",
               {"fk": "assignee_id", "parent": "users", "pk": "id"}, key=("project_id", "line"),
               entity="tasks"),
+        Check("future timestamps: users", "users", "future", {"col": "created_at", "as_of": as_of}),
         Check("future timestamps: projects", "projects", "future", {"col": "created_at", "as_of": as_of}),
         Check("future timestamps: tasks", "tasks", "future", {"col": "created_at", "as_of": as_of},
               key=("project_id", "line")),

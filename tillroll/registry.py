@@ -160,7 +160,7 @@ def _calendar_strftime(spark, d):
 
 # ----------------------------------------------------------------------------- data quality
 def _tracker(spark, d):
-    return {"users": A.tracker_users(spark, d), "projects": A.tracker_projects(spark, d),
+    return {"users": A.tracker_users(spark, d, with_created=True), "projects": A.tracker_projects(spark, d),
             "tasks": A.tracker_tasks(spark, d, with_project=True), "task_refs": A.tracker_tasks(spark, d)}
 
 

@@ -148,10 +148,18 @@ def shop_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- project tracker
-def tracker_users(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select(
+def tracker_users(spark: SparkSession, d: str, with_created: bool = False) -> DataFrame:
+    """Customers as users.  ``with_created`` adds ``created_at`` = the first
+    order date (an aggregate per customer, LEFT joined: users without orders
+    keep a NULL)."""
+    users = table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("username"),
         F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    if not with_created:
+        return users
+    first = (table(spark, d, "orders").groupBy(F.col("o_custkey").alias("_uid"))
+             .agg(F.min("o_orderdate").alias("created_at")))
+    return users.join(first, F.col("id") == F.col("_uid"), "left").drop("_uid")
 
 
 def tracker_projects(spark: SparkSession, d: str) -> DataFrame:
