@@ -25,7 +25,7 @@ def top_customers(customers: DataFrame, orders: DataFrame, k: int = 3) -> DataFr
     spend = (c.join(o, F.col("customer_id") == F.col("o_cid"))
              .groupBy("customer_id", "customer_name")
              .agg(F.sum("total_amount").cast("double").alias("total_spent")))
-    return top_k(spend, [F.desc("total_spent"), F.asc("customer_id")], k)
+    return top_k(spend, [F.desc_nulls_last("total_spent"), F.asc_nulls_last("customer_id")], k)
 
 
 def customer_spend(orders: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def top_customers_preagg(customers: DataFrame, orders: DataFrame, k: int = 3) ->
     c = customers.select(F.col("id").alias("c_id"), F.col("name").alias("customer_name"))
     j = spend.join(c, F.col("customer_id") == F.col("c_id"))
     out = j.select("customer_id", "customer_name", F.col("total_spent").cast("double").alias("total_spent"))
-    return top_k(out, [F.desc("total_spent"), F.asc("customer_id")], k)
+    return top_k(out, [F.desc_nulls_last("total_spent"), F.asc_nulls_last("customer_id")], k)
 
 
 # --------------------------------------------------------------------------- Q13 / Q14

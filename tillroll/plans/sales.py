@@ -44,7 +44,7 @@ def sales_by_payment(sales: DataFrame) -> DataFrame:
     return (sales.groupBy("payment_mode")
             .agg(exact_sum(line_total("amount", "quantity")).alias("total_amount"),
                  F.count(F.lit(1)).alias("transactions"))
-            .orderBy(F.desc("total_amount"), F.asc("payment_mode")))
+            .orderBy(F.desc_nulls_last("total_amount"), F.asc_nulls_last("payment_mode")))
 
 
 def negative_transactions(sales: DataFrame, limit: int = 100) -> DataFrame:
@@ -55,9 +55,9 @@ def negative_transactions(sales: DataFrame, limit: int = 100) -> DataFrame:
     out = sales.where(total < 0).select(
         "transaction_id", "customer_id", "transaction_date", "amount", "quantity",
         total.cast("double").alias("total_amount"), "payment_mode", "store_location")
-    return top_k(out, [F.desc("transaction_date"), F.asc("transaction_id"), F.asc("customer_id"),
-                       F.asc("amount"), F.asc("quantity"), F.asc("payment_mode"),
-                       F.asc("store_location")], limit)
+    return top_k(out, [F.desc_nulls_last("transaction_date")]
+                 + [F.asc_nulls_last(c) for c in ("transaction_id", "customer_id", "amount", "quantity",
+                                                  "payment_mode", "store_location")], limit)
 
 
 def credit_debit_by_customer(sales: DataFrame, max_share: float = 0.1) -> DataFrame:
@@ -84,5 +84,5 @@ def credit_debit_violations(sales: DataFrame, max_share: float = 0.1,
     the credit share, highest first; ties by customer id."""
     v = credit_debit_by_customer(sales, max_share)
     v = v.where(~(F.col("credit_lt_debit") & F.col("credit_le_10pct")))
-    order = [F.desc("credit_pct"), F.asc("customer_id")]
+    order = [F.desc_nulls_last("credit_pct"), F.asc_nulls_last("customer_id")]
     return top_k(v, order, limit) if limit else v.orderBy(*order)

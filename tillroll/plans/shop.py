@@ -24,7 +24,7 @@ def top_attr(lines: DataFrame, products: DataFrame, attr: str = "item_colour",
              k: int = 1) -> DataFrame:
     """Most-sold attribute value(s); ties broken by the value."""
     return top_k(units_by_attr(lines, products, attr),
-                 [F.desc("total_sold"), F.asc_nulls_last(attr)], k)
+                 [F.desc_nulls_last("total_sold"), F.asc_nulls_last(attr)], k)
 
 
 def distinct_buyers(orders: DataFrame, lines: DataFrame, products: DataFrame,
