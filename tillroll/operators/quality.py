@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.predicates import any_of, is_blank, untrimmed
@@ -110,13 +110,20 @@ def precedes(df: DataFrame, expected_first, expected_later, keep: Sequence = (),
 
 # --------------------------------------------------------------------------- V2 duplicates
 def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None = None,
-                   check: str = "duplicate keys", hashed: bool = False) -> DataFrame:
+                   check: str = "duplicate keys", hashed: bool = False, salts: int = 32) -> DataFrame:
     """Rows whose (non-null) key occurs more than once.
 
     Output is long: one row per offending row (``check, keys..., id, cnt``), or
     one row per duplicated key (``check, keys..., cnt``) when ``id_col`` is None.
     An array of all ids per key would put a hot key's whole group into one row.
 
+    Joining the rows back to their key's count would send a hot key (say a
+    third of the table) to one task, and AQE cannot split that join because
+    one side is an aggregate.  So every row gets a salt (a hash of the row,
+    ``salts`` buckets): counts are taken per (key, salt), the key totals come
+    from a window over at most ``salts`` rows per key, and the rows meet their
+    totals on (key, salt) - a hot key is spread over ``salts`` tasks.
+
     ``hashed=True`` is for wide keys (whole texts): candidates are found by
     grouping an 8-byte xxhash64 of the key, and only rows whose hash repeats
     are grouped again on the exact key, so unique texts never cross the
@@ -132,10 +139,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None
         hot = (base.select(h.alias("_h")).groupBy("_h").count()
                .where(F.col("count") > 1).select("_h"))
         base = (base.withColumn("_h", h).join(hot, "_h", "left_semi").drop("_h"))
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
     if id_col is None:
+        counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
         return counts.select(F.lit(check).alias("check"), *keys, "cnt")
-    return (base.join(counts, keys)
+    salted = base.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)))
+    per_salt = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    totals = (per_salt.withColumn("cnt", F.sum("_n").over(Window.partitionBy(*keys)))
+              .where(F.col("cnt") > 1).select(*keys, "_salt", "cnt"))
+    return (salted.join(totals, keys + ["_salt"])
             .select(F.lit(check).alias("check"), *keys, F.col(id_col), "cnt"))
 
 

@@ -62,10 +62,11 @@ def anti(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
     Written as a LEFT ANTI join; Catalyst does not rewrite LEFT JOIN ... IS NULL
     into this form by itself, and the anti join needs only the parent key.  A
-    hot foreign key (a skewed left side) is split by AQE's skew join; the
-    parent keys are de-duplicated so the right side cannot be skewed.
+    hot foreign key (a skewed left side) is split by AQE's skew join, which
+    needs both sides to be plain shuffles: the parent keys are therefore not
+    de-duplicated here (a parent key is unique in the data this checks).
     """
-    keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
+    keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
     return (child.where(F.col(fk).isNotNull())
             .join(keys, F.col(fk) == F.col("_pk"), "left_anti"))
 
