@@ -84,3 +84,22 @@ def test_top_customers_with_a_hot_customer(skew_conf):
     pdf["total_amount"] = pdf["total_amount"].astype(float)
     want = pdf.groupby("customer_id")["total_amount"].sum().sort_values(ascending=False).head(1)
     assert a == b and a[0][0] == 7 and a[0][2] == pytest.approx(float(want.iloc[0]))
+
+
+def test_salted_left_joins_equal_plain(spark):
+    from tillroll.plans import nominations as N
+    from tillroll.registry import _nominations
+    from tillroll.sources import adapters as A
+    sf = "/root/testdata/sf0.001"
+    sel, master, nominated, _ = _nominations(spark, sf)
+    dom = N.dominant_brand(N.event_brand_categories(nominated, master))
+    import datetime
+    plain = N.flag_nominations(sel, dom, nominated)
+    salted = N.flag_nominations(sel, dom, nominated, salts=8)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, salted.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+    monday = datetime.date(1998, 6, 1)
+    rr = A.re_run_events(spark, sf)
+    a = N.with_rerun(plain, rr, True, monday, 0)
+    b = N.with_rerun(plain, rr, True, monday, 0, salts=8)
+    assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)

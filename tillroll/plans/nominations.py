@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.canonical import canonicalize, ensure_frame
-from tillroll.operators.relational import best_per_group, first_per_group, sorted_distinct_text
+from tillroll.operators.relational import best_per_group, first_per_group, left_join, sorted_distinct_text
 
 NOM_PROD_KEYS = ("fis_week_id", "event_type_code", "prod_level_code", "nomination_code",
                  "event_start_week")
@@ -251,12 +251,16 @@ def dominant_brand(brand_cats: DataFrame) -> DataFrame:
     return best.select("parent_event_code", "brand_name", "category")
 
 
-def flag_nominations(selected: DataFrame, dominant: DataFrame, nominated: DataFrame) -> DataFrame:
-    """Selected nominations + dominant brand/category + prod_found_flag (0/1)."""
+def flag_nominations(selected: DataFrame, dominant: DataFrame, nominated: DataFrame,
+                     salts: int | None = None) -> DataFrame:
+    """Selected nominations + dominant brand/category + prod_found_flag (0/1).
+
+    ``salts`` spreads a hot parent event over that many tasks when the
+    per-week results are too large to broadcast (see ``left_join``)."""
     flag = (nominated.select("parent_event_code", "line_item_id").distinct()
             .withColumn("prod_found_flag", F.lit(1)))
-    out = selected.join(dominant, "parent_event_code", "left")
-    out = out.join(flag, ["parent_event_code", "line_item_id"], "left")
+    out = left_join(selected, dominant, ["parent_event_code"], salts)
+    out = left_join(out, flag, ["parent_event_code", "line_item_id"], salts)
     return out.fillna({"prod_found_flag": 0})
 
 
@@ -269,7 +273,7 @@ def apply_hook(df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None = None
 
 
 def with_rerun(selected: DataFrame, re_run_events: DataFrame | None, enabled: bool,
-               run_date: _dt.date | None, weekday: int) -> DataFrame:
+               run_date: _dt.date | None, weekday: int, salts: int | None = None) -> DataFrame:
     """When enabled and ``run_date`` falls on ``weekday`` (Monday = 0), attach
     the events' re-run marker with a LEFT join (a parameter check on the
     driver, not a data scan)."""
@@ -278,7 +282,7 @@ def with_rerun(selected: DataFrame, re_run_events: DataFrame | None, enabled: bo
     if run_date.weekday() != int(weekday):
         return selected
     rr = re_run_events.select("parent_event_code", "re_run").distinct()
-    return selected.join(rr, "parent_event_code", "left")
+    return left_join(selected, rr, ["parent_event_code"], salts)
 
 
 def brands_and_categories(selected: DataFrame, brand_cats: DataFrame) -> DataFrame:
