@@ -81,3 +81,14 @@ def test_fused_sets_equal_three_sets(spark, seed):
                                         N.category_products(li, master))
     fused = N.nomination_product_sets(li, master)
     assert sorted(map(tuple, fused.collect()), key=_key) == sorted(map(tuple, three.collect()), key=_key)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_salted_left_join_equals_plain_with_repeated_right_keys(spark, seed):
+    from tillroll.operators.relational import left_join
+    rng = random.Random(seed)
+    big = spark.createDataFrame([(i, _pick(rng, ["a", "b", "c"])) for i in range(200)], "id int, k string")
+    small = spark.createDataFrame([(_pick(rng, ["a", "b", "d"]), j) for j in range(6)], "k string, v int")
+    plain = sorted(map(tuple, left_join(big, small, ["k"]).collect()), key=_key)
+    salted = sorted(map(tuple, left_join(big, small, ["k"], salts=5).collect()), key=_key)
+    assert plain == salted
