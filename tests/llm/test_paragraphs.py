@@ -1,0 +1,96 @@
+import random
+
+from llm_cases import edge_docs, edge_texts, empty_docs, prose
+
+from tillroll.llm import paragraphs as P
+
+
+def fresh(n, seed):
+    r = random.Random(seed)
+    return [f"{r.choice('abcdefgh')}{r.randint(0, 10 ** 6)}" for _ in range(n)]
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_bands_are_tuned():
+    b = P.tuned_bands()
+    assert 1 - (1 - 0.8 ** 5) ** b >= 0.99 > 1 - (1 - 0.8 ** 5) ** (b - 1)
+
+
+def test_windows_sample_the_same_places_of_a_passage():
+    passage = fresh(51, 1)
+    for k in range(60):
+        r = random.Random(k)
+        a = " ".join(fresh(r.randint(0, 90), 2 * k + 10) + passage + fresh(r.randint(0, 90), 2 * k + 11))
+        b = " ".join(fresh(r.randint(0, 90), 5000 + k) + passage + fresh(r.randint(0, 90), 9000 + k))
+        x, y = (P.Hashed([0], [t]).windows() for t in (a, b))
+        assert set(zip(x[2].tolist(), x[3].tolist())) & set(zip(y[2].tolist(), y[3].tolist()))
+
+
+def planted():
+    """Documents 0-99 are clean; 100-119 share passages; 120-139 have near copies of paragraphs; 140-149 are copies."""
+    docs = [(i, "\n".join(" ".join(fresh(60, 100 * i + k)) for k in range(3)) + "\nShort line that all documents share.")
+            for i in range(100)]
+    for i in range(20):
+        passage = fresh(55, 10 ** 5 + i // 2)
+        docs.append((100 + i, " ".join(fresh(30 + i, 7000 + i) + passage + fresh(17, 8000 + i))))
+    for i in range(20):
+        words = fresh(80, 2 * 10 ** 5 + i // 2)
+        if i % 2:
+            words[40] = "changed"
+        docs.append((120 + i, " ".join(fresh(40, 600 + i)) + "\n" + " ".join(words)))
+    docs += [(140 + i, docs[0 if i < 5 else 1][1]) for i in range(10)]
+    return docs
+
+
+def test_planted_repeats_are_found_and_clean_documents_left_alone(spark):
+    docs = planted()
+    out = P.repeated_passages(edge_docs(spark, docs)).collect()
+    found = {r.doc_id for r in out}
+    assert found == set(range(100, 150)) | {0, 1}
+    removed = {r.doc_id for r in out if r.removed}
+    assert removed == {i for i in range(100, 140) if i % 2} | set(range(140, 150))
+    texts = dict(docs)
+    for r in out:                                  # spans cover repeated text only
+        if 100 <= r.doc_id < 120:
+            inside = texts[r.doc_id][r.start:r.stop].split()
+            assert set(inside) <= set(fresh(55, 10 ** 5 + (r.doc_id - 100) // 2)) and len(inside) >= P.WINDOW
+        if r.doc_id >= 140:
+            assert r.first_doc == (0 if r.doc_id < 145 else 1)
+
+
+def test_near_pairs_against_brute_force(spark):
+    r = random.Random(2)
+    lines = []
+    for k in range(40):
+        base = fresh(40 + k, k)
+        lines.append(" ".join(base))
+        for _ in range(r.randint(0, 3)):
+            other = list(base)
+            for at in r.sample(range(len(other)), r.randint(1, 4)):
+                other[at] = f"new{r.randint(0, 10 ** 6)}"
+            lines.append(" ".join(other))
+    docs = list(enumerate(lines))
+    out = P.repeated_passages(edge_docs(spark, docs)).collect()
+    pairs = [(i, j) for i, a in docs for j, b in docs if i < j and jaccard(a, b) >= 0.8]
+    classes = {}
+    for x in out:
+        for c in x.class_ids:
+            classes.setdefault(x.doc_id, set()).add(c)
+    hit = sum(bool(classes.get(i, set()) & classes.get(j, set())) for i, j in pairs)
+    assert len(pairs) > 20 and hit >= 0.97 * len(pairs)
+
+
+def test_edge_rows(spark):
+    out = P.repeated_passages(edge_docs(spark)).collect()
+    # 1, 2, 8 and the row without an id share a paragraph; 6 and 7 a very long one
+    assert {r.doc_id for r in out} == {1, 2, 8, None, 6, 7}
+    long = next(r for r in out if r.doc_id == 7)
+    assert (long.start, long.stop, long.first_doc, long.removed) == (0, len(dict(edge_texts())[7]), 6, True)
+    assert {r.doc_id for r in out if r.removed} == {2, 8, None, 7}
+    assert P.repeated_passages(empty_docs(spark)).count() == 0
+    alone = edge_docs(spark, [(1, prose(60, 1)), (1, prose(60, 1)), (2, prose(60, 2))])
+    assert P.repeated_passages(alone).count() == 0

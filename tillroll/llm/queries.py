@@ -36,7 +36,7 @@ def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
     tree = chat_tree.format_tree(turns.unionByName(probe), CHAT_RANKS, CHAT_SPLIT)
     return chat_tree.read_back(*tree, CHAT_RANKS, CHAT_SPLIT).select(
-        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens")
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,7 @@ static status string system table target template test text this timeout title t
 upload uri url user user_id username uuid value variable version void windows www.example.com mail.example.org
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx 0000000000000000
 """.split())
+LEAST = 0.85              # novel bytes per byte from which a candidate is reported
 CONTEXT = 2048            # code points of text on either side that prime the dictionary
 
 
@@ -105,7 +106,7 @@ def said(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.75,
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
                  redact: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans.
 
