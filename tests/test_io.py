@@ -110,3 +110,53 @@ def test_select_present_row_count_and_views(spark):
     assert IO.row_count(df).first().cnt == 3
     register_views(spark, SF, ["nation", "region"])
     assert spark.sql("SELECT COUNT(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey").first().n == 25
+
+
+def _files(spark, name):
+    import glob
+    place = [r.data_type for r in IO.describe(spark, name).collect() if r.col_name == "Location"][0]
+    return place, glob.glob(place.removeprefix("file:") + "/*.parquet")
+
+
+def test_named_tables_are_managed_and_replaced_in_place(spark):
+    import glob
+    IO.materialize(spark.range(3), "io_durable")
+    out = IO.materialize(spark.range(4), "io_durable")
+    assert out.count() == 4
+    info = {r.col_name: r.data_type for r in IO.describe(spark, "io_durable").collect()}
+    assert info["Type"] == "MANAGED"
+    place, _ = _files(spark, "io_durable")
+    assert len(glob.glob(place.removeprefix("file:").rsplit("/", 1)[0] + "/io_durable*")) == 1
+    IO.drop_table(spark, "io_durable")
+    assert not glob.glob(place.removeprefix("file:"))
+
+
+def test_a_replacement_that_broke_off_is_finished(spark):
+    spark.range(5).write.saveAsTable("io_broken__next")          # the old table was dropped, the rename didn't happen
+    out = IO.materialize(spark.range(6), "io_broken")
+    assert out.count() == 6 and not spark.catalog.tableExists("io_broken__next")
+
+
+def test_a_bucketed_write_makes_one_file_a_bucket(spark):
+    df = spark.range(0, 2000, 1, 20).withColumn("k", F.col("id") % 97)
+    IO.write_layout(df, "io_buckets", ["k"], 8, ["id"])
+    assert len(_files(spark, "io_buckets")[1]) == 8
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from tillroll import session
+    monkeypatch.setattr(session, "is_local", lambda s: False)
+    if spark.conf.get("spark.checkpoint.dir", None):
+        assert session.shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+    else:
+        with pytest.raises(RuntimeError):
+            session.shared_dir(spark)
+
+
+def test_generated_rows_stand_behind_the_originals(spark):
+    from tillroll.sources.generate import append_generated
+    a = spark.createDataFrame([("T1", 1.0, "x")], "transaction_id string, amount double, extra string")
+    g = generate_sales(table(spark, SF, "orders"), "o_orderkey", "o_custkey", "o_orderdate")
+    out = append_generated(a, g, 5)
+    assert out.rdd.getNumPartitions() == 5 and out.count() == 1 + g.count()
+    assert out.columns == a.columns and out.where("transaction_id = 'T1'").first().extra == "x"

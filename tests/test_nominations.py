@@ -55,19 +55,28 @@ def test_final_products(steps):
     got = {r.prod_group_code: (r.fp, r.brand, r.cat) for r in final.collect()}
     assert got == {"P1": (True, True, True), "P2": (False, True, True), "P3": (False, False, True)}
     assert final.columns == N.FINAL_COLUMNS
-    joined = N.final_nomination_products_joined(fp, br, ca)
-    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, final.collect()))
 
 
-def test_one_pass_merge_keeps_null_keys_apart(spark):
+def test_null_keys_match_nothing(spark):
     keys = "parent_event_code string, line_item_id int, seg_desc_list string, prod_group_code string, " \
            "nomination_start_week int"
     fp = spark.createDataFrame([("E", 1, None, "P", 1, "d", True)], keys + ", product_desc string, fp boolean")
     br = spark.createDataFrame([("E", 1, None, "P", 1, "b", True)], keys + ", brand_desc string, brand boolean")
     ca = spark.createDataFrame([("E", 1, "S", "P", 1, "c", True)], keys + ", cat_desc string, cat boolean")
-    one = sorted(map(tuple, N.final_nomination_products(fp, br, ca).collect()), key=str)
-    two = sorted(map(tuple, N.final_nomination_products_joined(fp, br, ca).collect()), key=str)
-    assert one == two and len(one) == 3
+    assert N.final_nomination_products(fp, br, ca).count() == 3
+
+
+def test_every_description_and_brand_is_kept(spark):
+    keys = "parent_event_code string, line_item_id int, seg_desc_list string, prod_group_code string, " \
+           "nomination_start_week int"
+    fp = spark.createDataFrame([("E", 1, "S", "P", 1, d, True) for d in ("d1", "d2")],
+                               keys + ", product_desc string, fp boolean")
+    br = spark.createDataFrame([("E", 1, "S", "Q", 1, b, True) for b in ("b1", "b2")],
+                               keys + ", brand_desc string, brand boolean")
+    ca = spark.createDataFrame([("E", 1, "S", p, 1, "c", True) for p in "PQ"], keys + ", cat_desc string, cat boolean")
+    got = sorted((r.prod_group_code, r.product_desc or r.brand_desc) for r in
+                 N.final_nomination_products(fp, br, ca).collect())
+    assert got == [("P", "d1"), ("P", "d2"), ("Q", "b1"), ("Q", "b2")]
 
 
 def test_dominant_brand_flags_and_lists(inputs, steps):
@@ -149,6 +158,26 @@ def test_build_nominations_with_physical_names(spark, inputs):
     assert final.count() == 3
 
 
+def test_stray_columns_do_not_override_a_mapping(inputs):
+    """A physical column that happens to have a logical name is neither used nor carried."""
+    nom_prod, prod, selected, _ = inputs
+    maps = _mappings()
+    maps["nomination"] = {**maps["nomination"], "nomination_code": "NOM"}
+    renamed = selected.withColumnRenamed("nomination_code", "NOM").withColumn("nomination_code", F.lit("stray"))
+    final, noms, _ = N.build_nominations(nom_prod, prod, renamed, maps, N.NominationParams(current_week=WEEK))
+    assert final.count() == 3
+    assert {r.nomination_code for r in noms.collect()} == {"N1", "N2"}
+
+
+def test_build_computes_the_week_once(inputs):
+    """The products come from stored rows: the plan reads no input any more."""
+    nom_prod, prod, selected, _ = inputs
+    final, noms, _ = N.build_nominations(nom_prod, prod, selected, _mappings(), N.NominationParams(current_week=WEEK, salts=4))
+    plan = final._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 3 and "LocalRelation" not in plan
+    assert "_salt" in noms._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_build_nominations_errors(inputs):
     nom_prod, prod, selected, _ = inputs
     params = N.NominationParams(current_week=WEEK)

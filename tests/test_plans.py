@@ -24,23 +24,59 @@ def test_week_restriction_reaches_the_orders_scan(spark):
     weeks = spark.createDataFrame([(19980601,)], "nsw int")
     m = N._master_cols(N.product_master(A.prod(spark, SF)), weeks, "nsw")
     plan = optimized(m)
-    semi = first(plan, "LeftSemi")
-    # the semi join sits below the master's aggregate and below the join with part
-    assert semi > first(plan, "Aggregate") and semi > first(plan, "Join Inner")
-    assert "orders" in "\n".join(plan[semi:]) or "o_orderkey" in "\n".join(plan[semi:])
+    # the IN list sits below the master's aggregate and below the join with part, on the orders
+    at = max(i for i, line in enumerate(plan) if "Filter" in line and "19980601" in line)
+    assert at > first(plan, "Aggregate") and at > first(plan, "Join Inner")
+    assert "o_orderkey" in "\n".join(plan[at:])
 
 
-def test_fused_product_sets_join_the_master_less_often(spark):
+def test_many_weeks_are_joined_without_a_hint(spark, monkeypatch):
+    monkeypatch.setattr(N, "MAX_WEEKS", 1)
+    weeks = spark.createDataFrame([(19980601,), (19980608,)], "nsw int")
+    m = N._master_cols(N.product_master(A.prod(spark, SF)), weeks, "nsw")
+    text = "\n".join(optimized(m))
+    assert "LeftSemi" in text and "broadcast" not in text.lower()
+
+
+def test_nominated_week_is_pushed_to_the_scans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        text = physical(QUERIES["nominated_products"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [part.split("]")[0] for part in text.split("PushedFilters: [")[1:]]
+    assert any("GreaterThanOrEqual(o_orderdate,1998-06-01" in p and "LessThan(o_orderdate,1998-06-08" in p for p in pushed)
+    assert any("EqualTo(l_returnflag,A)" in p for p in pushed)
+
+
+def test_fused_product_sets_derive_the_expansion_once(spark):
     sel = A.selected_nominations(spark, SF)
     master = N.product_master(A.prod(spark, SF))
-    nominated = N.nominated_products(A.nomination_prod(spark, SF), sel, 19980601)
-    li = N.line_item_products(nominated)
-    fused = N.nomination_product_sets(li, master)
-    three = N.final_nomination_products(N.featured_products(li, master), N.brand_products(li, master),
-                                        N.category_products(li, master))
-    count = lambda df: sum("Join Inner" in line for line in optimized(df))
-    assert count(fused) < count(three)
-    assert "FullOuter" not in "\n".join(optimized(fused))
+    li = N.line_item_products(N.nominated_products(A.nomination_prod(spark, SF), sel, 19980601))
+    fused = physical(N.nomination_product_sets(li, master))
+    three = physical(N.final_nomination_products(N.featured_products(li, master), N.brand_products(li, master),
+                                                 N.category_products(li, master)))
+    assert "FileScan" not in fused and three.count("FileScan parquet") >= 9
+
+
+def test_quantities_are_summed_before_they_meet_products(spark):
+    for name in ("units_by_attr", "top_category_per_month"):
+        plan = optimized(QUERIES[name](spark, SF))
+        depth = {line: len(line) - len(line.lstrip(" :+-")) for line in plan}
+        # the products' join: the deepest join above an aggregate on the product
+        sums = [i for i, line in enumerate(plan) if "Aggregate" in line and "product_id" in line]
+        assert sums and any("Join" in line and depth[line] < depth[plan[sums[0]]] for line in plan[:sums[0]]), name
+
+
+def test_the_ledger_shuffles_line_items_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = A.sales_transactions(spark, SF, ["transaction_id", "store_location", "amount"])
+        plan = plan._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+        assert "hashpartitioning(c_nationkey" in plan and "l_extendedprice" not in plan.split("hashpartitioning(c_nationkey")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_preaggregation_happens_before_the_join(spark):

@@ -44,33 +44,43 @@ def test_first_per_group_equals_row_number(spark, seed):
     assert sorted(map(tuple, got.collect()), key=_key) == sorted(map(tuple, want.collect()), key=_key)
 
 
+def _outer(left, right, keys):
+    """Full outer join on keys, as Python lists of dicts: a None in a key matches nothing."""
+    out, used = [], set()
+    for a in left:
+        hit = [k for k, b in enumerate(right) if all(a[c] is not None and a[c] == b[c] for c in keys)]
+        used.update(hit)
+        out += [{**right[k], **{c: v for c, v in a.items() if v is not None}} for k in hit] or [a]
+    return out + [b for k, b in enumerate(right) if k not in used]
+
+
 @pytest.mark.parametrize("seed", SEEDS)
-def test_union_merge_equals_full_outer_joins(spark, seed):
+def test_final_products_are_full_outer_joins(spark, seed):
+    """Several descriptions and brands per key, and NULL keys."""
     rng = random.Random(seed)
-    keys = "parent_event_code string, line_item_id int, seg_desc_list string, prod_group_code string, " \
-           "nomination_start_week int"
 
-    def rows(n):
-        out = set()
-        for _ in range(n):
-            out.add((_pick(rng, ["E1", "E2"], 0.05), rng.choice([1, 2]), _pick(rng, ["S", "T"], 0.2),
-                     rng.choice(["P1", "P2", "P3"]), 1))
-        return sorted(out, key=_key)
+    def rows(n, name, flag, values):
+        return [dict(zip(N.SET_KEYS, (_pick(rng, ["E1", "E2"], 0.05), rng.choice([1, 2]), _pick(rng, ["S", "T"], 0.2),
+                                      rng.choice(["P1", "P2"]), 1)), **{name: rng.choice(values), flag: True}) for _ in range(n)]
 
-    fp = spark.createDataFrame([r + ("d" + r[3], True) for r in rows(8)], keys + ", product_desc string, fp boolean")
-    br = spark.createDataFrame([r + ("B", True) for r in rows(8)], keys + ", brand_desc string, brand boolean")
-    ca = spark.createDataFrame([r + ("c" + r[3], True) for r in rows(12)], keys + ", cat_desc string, cat boolean")
-    one = sorted(map(tuple, N.final_nomination_products(fp, br, ca).collect()), key=_key)
-    two = sorted(map(tuple, N.final_nomination_products_joined(fp, br, ca).collect()), key=_key)
-    assert one == two
+    sets = [rows(8, "product_desc", "fp", ["d1", "d2"]), rows(8, "brand_desc", "brand", ["b1", "b2"]),
+            rows(12, "cat_desc", "cat", ["c1", "c2"])]
+    keys = "parent_event_code string, line_item_id int, seg_desc_list string, prod_group_code string, nomination_start_week int"
+    frames = [spark.createDataFrame([tuple(r.values()) for r in s], f"{keys}, {list(s[0])[5]} string, {list(s[0])[6]} boolean")
+              for s in sets]
+    want = _outer(_outer(sets[0], sets[1], N.SET_KEYS), sets[2], N.SET_KEYS)
+    flags = {"fp", "brand", "cat"}
+    want = [tuple(r.get(c, False if c in flags else None) for c in N.FINAL_COLUMNS) for r in want]
+    got = list(map(tuple, N.final_nomination_products(*frames).collect()))
+    assert sorted(got, key=_key) == sorted(want, key=_key)
 
 
 @pytest.mark.parametrize("seed", SEEDS)
 def test_fused_sets_equal_three_sets(spark, seed):
     rng = random.Random(seed)
     master = spark.createDataFrame(
-        [(w, f"P{g}", _pick(rng, ["B1", "B2"]), _pick(rng, ["L1", "L2"]), None, f"d{g}")
-         for w in (1, 2) for g in range(8)], schemas.PROD).withColumn(
+        [(w, f"P{g}", _pick(rng, ["B1", "B2"]), _pick(rng, ["L1", "L2"]), None, f"d{g}{v}")
+         for w in (1, 2) for g in range(8) for v in range(rng.choice([1, 1, 2]))], schemas.PROD).withColumn(
         "prod_merch_l10_desc", F.lower("prod_merch_l10_code"))
     li = spark.createDataFrame(
         sorted({(rng.choice(["E1", "E2"]), rng.choice([1, 2]), _pick(rng, ["S", "T"], 0.2),

@@ -166,3 +166,29 @@ def test_skewed_references(spark):
 def test_summary_from_details_equals_direct_counts(tracker):
     details, summary = SU.run_suite(tracker, _spec(), as_of=AS_OF)
     assert [tuple(r) for r in SU.summarize(details, _spec()).collect()] == [tuple(r) for r in summary.collect()]
+
+
+def test_bad_specs_are_refused(spark):
+    df = spark.createDataFrame([(1, 7)], "id int, v int")
+    typo = [SU.Check("a", "t", "rnage", {"col": "v", "lo": 0, "hi": 1})]
+    twice = [SU.Check("a", "t", "range", {"col": "v", "lo": 0, "hi": 1})] * 2
+    for checks in (typo, twice):
+        for run in (SU.run_details, SU.summarize_checks):
+            with pytest.raises(ValueError):
+                run({"t": df}, checks)
+
+
+def test_each_check_reports_its_own_entity(spark):
+    df = spark.createDataFrame([(1, 7)], "id int, v int")
+    checks = [SU.Check("a", "t", "range", {"col": "v", "lo": 0, "hi": 1}, entity="first"),
+              SU.Check("b", "t", "range", {"col": "v", "lo": 0, "hi": 2}, entity="second"),
+              SU.Check("c", "t", "range", {"col": "v", "lo": 0, "hi": 3})]
+    got = {r.check: r.entity for r in SU.run_details({"t": df}, checks).collect()}
+    assert got == {"a": "first", "b": "second", "c": "t"}
+
+
+def test_the_parents_value_is_reported(spark):
+    child = spark.createDataFrame([(1, 10, 5, 99)], "id int, fk int, a int, owner int")
+    parent = spark.createDataFrame([(10, 5)], "pk int, owner int")
+    r = V.matching_parent_attr(child, "fk", parent, "pk", "a", "owner", keep=["id", "a", "owner"]).first()
+    assert (r.a, r.owner) == (5, 5)

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tillroll.oracle import SQL
+from tillroll.registry import QUERIES
 from tillroll.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -40,18 +42,26 @@ def test_entry(spark):
     assert df.count() >= 0
 
 
-def test_every_key_has_sql_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"returned_orders_by_month_approx", "generate_sales"}
+def test_every_key_has_sql_and_is_registered():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF)
-    got = sdf.toPandas()
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(got) > 0
-        return
-    want = duck.execute(sql).df()
+    got = QUERIES[name](spark, SF).toPandas()
+    want = duck.execute(SQL[name]).df()
+    assert len(got) > 0
     assert _rows(got) == _rows(want)
+
+
+@pytest.mark.parametrize("name", ["top_category_per_month", "top_category_per_month_reuse", "avg_order_value_by_month",
+                                  "monthly_order_stats", "returned_orders_by_month"])
+def test_monthly_results_are_in_order(spark, name):
+    months = [r.month for r in QUERIES[name](spark, SF).collect()]
+    assert months == sorted(months) and len(months) > 1
+
+
+def test_details_have_rows_for_many_checks(spark):
+    kinds = {r.check for r in QUERIES["validation_details"](spark, SF).select("check").distinct().collect()}
+    assert len(kinds) >= 8

@@ -96,3 +96,16 @@ def test_notebook_seed_rows(seed_rows):
     out = {r.payment_mode: r.total_amount for r in S.sales_by_payment(seed_rows).collect()}
     assert out == {"Credit Card": 1320.0, "Cash": 120.0, "Gift Card": 85.0, "PayPal": 75.0}
     assert [r.payment_mode for r in S.sales_by_payment(seed_rows).collect()][0] == "Credit Card"
+
+
+def test_sign_is_tested_before_any_rounding(spark):
+    """Amounts below half a cent keep their sign, and sums keep them."""
+    from tillroll.plans.sales import negative_transactions, sales_by_payment
+    rows = [("T1", "C1", None, -0.004, 1, "Cash", "x"), ("T2", "C1", None, -1.0, 1, "Cash", "x"),
+            ("T3", "C1", None, -1.0, -1, "Cash", "x"), ("T4", "C1", None, 0.0, -1, "Cash", "x"),
+            ("T5", "C1", None, 2.0, -3, "Cash", "x"), ("T6", None, None, None, 1, "Cash", "x")]
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, transaction_date timestamp, amount double, "
+                                     "quantity int, payment_mode string, store_location string")
+    out = {r.transaction_id: r.total_amount for r in negative_transactions(df).collect()}
+    assert out == {"T1": -0.004, "T2": -1.0, "T5": -6.0}
+    assert sales_by_payment(df).first().total_amount == -6.004

@@ -103,3 +103,37 @@ def test_salted_left_joins_equal_plain(spark):
     a = N.with_rerun(plain, rr, True, monday, 0)
     b = N.with_rerun(plain, rr, True, monday, 0, salts=8)
     assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
+
+
+def test_hashed_duplicates_spread_a_hot_text_over_tasks(skew_conf):
+    """A text on a third of the rows: its rows come out of many tasks, and unique texts aren't shuffled."""
+    spark = skew_conf
+    df = spark.range(N).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot " * 20))
+                               .otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    out = V.duplicate_keys(df, "text", "id", hashed=True)
+    assert out.count() == N // 3 and {r.cnt for r in out.select("cnt").distinct().collect()} == {N // 3}
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= N // 6          # 8 salts over 8 partitions
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in text and "_class" in text
+
+
+def test_hot_event_of_the_flags_is_in_several_tasks(skew_conf):
+    from tillroll.plans import nominations as P
+    spark = skew_conf
+    selected = spark.range(N).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("parent_event_code"),
+                                     F.col("id").alias("line_item_id"))
+    dominant = spark.createDataFrame([(7, "b", "c")], "parent_event_code long, brand_name string, category string")
+    nominated = selected.where("line_item_id % 2 = 0")
+    out = P.flag_nominations(selected, dominant, nominated, salts=8)
+    hot = out.where("parent_event_code = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in hot) == N // 3 + 1 and len(hot) >= 4     # and the row of id 7
+
+
+def test_hot_customer_is_in_several_tasks(skew_conf):
+    spark = skew_conf
+    orders = _hot(spark).select("id", F.col("key").alias("customer_id"), F.lit(1).cast("decimal(12,2)").alias("total_amount"))
+    customers = spark.range(1000).select("id", F.col("id").cast("string").alias("name"))
+    plain, salted = Q.top_customers(customers, orders, 5), Q.top_customers(customers, orders, 5, salts=8)
+    assert plain.collect() == salted.collect()
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()

@@ -25,10 +25,6 @@ def week_start(c) -> Column:
     return F.trunc(_c(c).cast("date"), "week")
 
 
-def year_of(c) -> Column:
-    return F.year(_c(c))
-
-
 def weekday_sunday1(c) -> Column:
     """1 = Sunday ... 7 = Saturday (the value behind strftime('%w') + 1)."""
     return F.dayofweek(_c(c))

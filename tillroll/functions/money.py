@@ -3,6 +3,10 @@
 Sums of doubles depend on the order rows arrive in, so the same query can give
 different last digits on a different partitioning.  Money is therefore summed as
 DECIMAL (exact) and only the final value is turned into a double.
+
+Ledger amounts are held to a millionth (18 integer digits): cents-only input is
+exact, finer input is rounded there and nowhere else, and an amount too large
+raises under ANSI instead of turning into something else.
 """
 
 from __future__ import annotations
@@ -10,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(15,2)"
+MONEY = "decimal(15,2)"     # cents
+LEDGER = "decimal(24,6)"    # amounts that may be finer than cents
 
 
 def _c(c) -> Column:
@@ -22,8 +27,14 @@ def money(c) -> Column:
 
 
 def line_total(amount, quantity) -> Column:
-    """amount * quantity, exact."""
-    return money(amount) * _c(quantity)
+    """amount * quantity, to a millionth (see above)."""
+    return _c(amount).cast(LEDGER) * _c(quantity)
+
+
+def opposite_signs(a, b) -> Column:
+    """a * b < 0, decided on the values as they are: no product is rounded."""
+    a, b = _c(a), _c(b)
+    return ((a < 0) & (b > 0)) | ((a > 0) & (b < 0))
 
 
 def exact_sum(c) -> Column:

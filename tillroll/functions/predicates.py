@@ -29,18 +29,10 @@ def is_blank(c) -> Column:
     return F.btrim(_c(c)) == ""
 
 
-def missing(c) -> Column:
-    return _c(c).isNull() | is_blank(c)
-
-
 def untrimmed(c) -> Column:
     return _c(c) != F.btrim(_c(c))
 
 
-def outside(c, lo, hi) -> Column:
-    return (_c(c) < F.lit(lo)) | (_c(c) > F.lit(hi))
-
-
 def contains_ci(c, needle: str) -> Column:
     """lower(c) LIKE '%needle%'."""
     return F.lower(_c(c)).like(f"%{needle.lower()}%")

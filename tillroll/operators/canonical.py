@@ -1,4 +1,4 @@
-"""Logical -> physical column mapping (dynamic-column tables)."""
+"""Logical column names over physical ones (dynamic-column tables)."""
 
 from __future__ import annotations
 
@@ -8,36 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ensure_frame(obj, name: str) -> DataFrame:
-    if not isinstance(obj, DataFrame):
-        raise ValueError(f"{name} must be a Spark DataFrame")
-    return obj
+def check_frame(value, what: str) -> DataFrame:
+    if isinstance(value, DataFrame):
+        return value
+    raise ValueError(f"{what}: expected a DataFrame, got {type(value).__name__}")
+
+
+def check_mapping(value, what: str) -> Mapping[str, str]:
+    if isinstance(value, Mapping):
+        return value
+    raise RuntimeError(f"no logical-to-physical names given for {what}")
 
 
 def canonicalize(df: DataFrame, mapping: Mapping[str, str] | None,
-                 required: Iterable[str], context: str) -> DataFrame:
+                 required: Iterable[str], what: str) -> DataFrame:
     """Select the mapped physical columns under their logical names, once.
 
-    * mapping missing / not a dict -> RuntimeError
-    * a required logical key absent from the mapping -> KeyError
+    * mapping missing / not a mapping -> RuntimeError
+    * a required logical name without a mapping -> KeyError
     * the mapped physical column absent from the frame -> KeyError
-    Logical keys that are mapped but not required are carried when present.
+    Logical names that are mapped but not required are carried when present.
     """
-    ensure_frame(df, context)
-    if not isinstance(mapping, Mapping):
-        raise RuntimeError(f"column mapping for {context} is missing")
+    check_frame(df, what)
+    check_mapping(mapping, what)
     required = list(required)
-    for key in required:
-        if key not in mapping:
-            raise KeyError(f"missing mapping key {key!r} in {context} mappings")
-    have = set(df.columns)
-    out = []
-    for key in required:
-        phys = mapping[key]
-        if phys not in have:
-            raise KeyError(f"column {phys!r} (for {key!r}) not found in {context}")
-        out.append(F.col(phys).alias(key))
-    for key, phys in mapping.items():
-        if key not in required and phys in have:
-            out.append(F.col(phys).alias(key))
-    return df.select(*out)
+    unmapped = [name for name in required if name not in mapping]
+    if unmapped:
+        raise KeyError(f"{what}: logical columns without a physical name: {unmapped}")
+    absent = [mapping[name] for name in required if mapping[name] not in df.columns]
+    if absent:
+        raise KeyError(f"{what}: physical columns not in the frame: {absent}")
+    also = [name for name, physical in mapping.items() if name not in required and physical in df.columns]
+    return df.select(*[F.col(mapping[name]).alias(name) for name in required + also])

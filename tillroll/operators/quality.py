@@ -109,8 +109,13 @@ def precedes(df: DataFrame, expected_first, expected_later, keep: Sequence = (),
 
 
 # --------------------------------------------------------------------------- V2 duplicates
+#: Classes of key hashes that ``duplicate_keys(hashed=True)`` tells apart before any text moves.
+HASH_SLOTS = 1 << 20
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None = None,
-                   check: str = "duplicate keys", hashed: bool = False, salts: int = 32) -> DataFrame:
+                   check: str = "key occurs more than once", hashed: bool = False,
+                   salts: int | None = None) -> DataFrame:
     """Rows whose (non-null) key occurs more than once.
 
     Output is long: one row per offending row (``check, keys..., id, cnt``), or
@@ -119,26 +124,30 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None
 
     Joining the rows back to their key's count would send a hot key (say a
     third of the table) to one task, and AQE cannot split that join because
-    one side is an aggregate.  So every row gets a salt (a hash of the row,
-    ``salts`` buckets): counts are taken per (key, salt), the key totals come
-    from a window over at most ``salts`` rows per key, and the rows meet their
-    totals on (key, salt) - a hot key is spread over ``salts`` tasks.
-
-    ``hashed=True`` is for wide keys (whole texts): candidates are found by
-    grouping an 8-byte xxhash64 of the key, and only rows whose hash repeats
-    are grouped again on the exact key, so unique texts never cross the
-    network.  The final grouping is exact, so a hash collision cannot create a
-    false duplicate.
+    one side is an aggregate.  So every row gets a salt (a hash of the row; as
+    many salts as shuffle partitions unless given): counts are taken per (key,
+    salt), the key totals come from a window over at most ``salts`` rows per
+    key, and the rows meet their totals on (key, salt) - a hot key is spread
+    over ``salts`` tasks.
+
+    ``hashed=True`` is for wide keys (whole texts).  An 8-byte hash of the key is
+    counted first (map-side, so no text moves), and the classes (hash modulo
+    ``HASH_SLOTS``) of repeated hashes are broadcast: at most 2**20 numbers,
+    whatever the data.  Only rows of those classes take part in the salted
+    exchange above, which works on the exact key, so a collision cannot create a
+    false duplicate; where most classes hold a repeated key, most rows move.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     cols = keys + ([id_col] if id_col else [])
     base = base.select(*cols)
     if hashed:
         h = F.xxhash64(*[F.col(k) for k in keys])
-        hot = (base.select(h.alias("_h")).groupBy("_h").count()
-               .where(F.col("count") > 1).select("_h"))
-        base = (base.withColumn("_h", h).join(hot, "_h", "left_semi").drop("_h"))
+        repeated = base.select(h.alias("_h")).groupBy("_h").count().where(F.col("count") > 1)
+        classes = repeated.select(F.pmod("_h", F.lit(HASH_SLOTS)).alias("_class")).distinct()
+        base = (base.withColumn("_class", F.pmod(h, F.lit(HASH_SLOTS)))
+                .join(F.broadcast(classes), "_class", "left_semi").drop("_class"))
     if id_col is None:
         counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
         return counts.select(F.lit(check).alias("check"), *keys, "cnt")
@@ -158,7 +167,7 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, keep: Sequenc
 
 
 def childless(parent: DataFrame, pk: str, child: DataFrame, fk: str, keep: Sequence = (),
-              check: str = "parent without children (warning)") -> DataFrame:
+              check: str = "nothing refers to this row") -> DataFrame:
     """Parents no child refers to.  A LEFT ANTI join replaces LEFT JOIN + GROUP BY
     + HAVING count(child) = 0 (same rows when ``pk`` is unique).
 
@@ -174,14 +183,15 @@ def childless(parent: DataFrame, pk: str, child: DataFrame, fk: str, keep: Seque
 
 def matching_parent_attr(child: DataFrame, fk: str, parent: DataFrame, pk: str,
                          child_attr: str, parent_attr: str, keep: Sequence = (),
-                         check: str = "child attribute equals parent attribute (review)"
-                         ) -> DataFrame:
-    """Children whose attribute equals the referenced parent's attribute."""
+                         check: str = "same value as the row referred to") -> DataFrame:
+    """Children whose attribute equals the referenced parent's attribute.  In the
+    output ``parent_attr`` is the parent's value, also where the child has a
+    column of that name."""
     p = parent.select(F.col(pk).alias("_pk"), F.col(parent_attr).alias("_pattr"))
     j = child.where(F.col(child_attr).isNotNull()).join(p, F.col(fk) == F.col("_pk"))
     out = j.where(F.col(child_attr) == F.col("_pattr"))
-    out = out.withColumnRenamed("_pattr", parent_attr) if parent_attr not in child.columns else out
-    return out.select(F.lit(check).alias("check"), *[_c(k) for k in (keep or child.columns)])
+    return out.select(F.lit(check).alias("check"), *[
+        F.col("_pattr").alias(parent_attr) if k == parent_attr else _c(k) for k in (keep or child.columns)])
 
 
 # --------------------------------------------------------------------------- V12

@@ -11,15 +11,17 @@ P = SimpleNamespace(
     negative_limit=100,
     violation_limit=100,
     credit_share=0.1,
-    approx_rsd=0.05,
+    approx_rsd=0.05, approx_sigmas=4.0,
+    salts=8,                          # tasks over which a very common customer or event is spread
+    sales_partitions=16,
     as_of="2000-01-01 00:00:00",      # future-timestamp check reference point
     balance_lo=0.0, balance_hi=10000.0,
     project_status=("O", "F", "P"),
-    url_regex=r"^https?://[^/ ]+[.][a-z]+([/?#].*)?$",
+    url_regex=r"^https://[^/ ]+[.][a-z]+([/?#].*)?$",
+    roles=("user", "assistant"),
     current_week=19980601,            # Monday (yyyymmdd) of the nominated week
     event_types=("AAA",),
     re_run_day=0,                     # Monday
     run_date="1998-06-01",
-    generated_rows=1000,
     seed=42,
 )

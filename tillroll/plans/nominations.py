@@ -8,13 +8,11 @@ Canonical inputs (``canonicalize`` maps physical names onto these once):
            nomination_start_week, event_start_week, ...)
 * re_run_events(parent_event_code, re_run)
 
-No join of data-sized inputs is hinted: the selected nominations can be as
-large as the event table, so AQE chooses broadcast or sort-merge from the
-measured sizes.  The product sets (N4-N6) each start from the join of the line
+No join is hinted: AQE chooses broadcast or sort-merge from the measured sizes.  The product sets (N4-N6) each start from the join of the line
 items with their master rows (``nominated_attributes``); the fused form
 (``nomination_product_sets``) derives all three from that join and one
 expansion.  The master is always restricted to the weeks the line items
-reference before it is joined.
+reference before it is joined, by an IN list where those are few.
 """
 
 from __future__ import annotations
@@ -26,7 +24,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.canonical import canonicalize, ensure_frame
+from tillroll.operators.canonical import canonicalize, check_frame, check_mapping
 from tillroll.operators.relational import best_per_group, first_per_group, left_join, sorted_distinct_text
 
 NOM_PROD_KEYS = ("fis_week_id", "event_type_code", "prod_level_code", "nomination_code",
@@ -44,19 +42,25 @@ SET_KEYS = ["parent_event_code", "line_item_id", "seg_desc_list", "prod_group_co
 FINAL_COLUMNS = SET_KEYS + ["product_desc", "fp", "brand_desc", "brand", "cat_desc", "cat"]
 
 
+#: Distinct weeks that are turned into an IN list (some 19 years); more are joined.
+MAX_WEEKS = 1000
+
+
 def _master_cols(m: DataFrame, weeks_from: DataFrame | None = None, week_col: str = "") -> DataFrame:
     """The master with prefixed names, so join keys are never ambiguous.
 
-    With ``weeks_from``, the master is first restricted (LEFT SEMI) to the weeks
-    that frame references.  The distinct weeks are bounded by the calendar span
-    (52 a year), whatever the data volume, so they are broadcast.  The hint also
-    lets Catalyst push the semi join below the master's own aggregates and
-    joins (it only does so for joins it can plan as broadcast), so only the
-    referenced weeks of the master are built.
+    With ``weeks_from``, the master is first restricted to the weeks that frame
+    references.  Up to ``MAX_WEEKS`` distinct weeks (counted first) become an IN
+    list, a plain filter that Catalyst pushes below the master's own aggregates
+    and joins to its scan; more weeks are a semi join.
     """
     if weeks_from is not None:
-        weeks = F.broadcast(weeks_from.select(F.col(week_col).alias("_w")).distinct())
-        m = m.join(weeks, F.col("fis_week_id") == F.col("_w"), "left_semi")
+        weeks = weeks_from.select(F.col(week_col).alias("_w")).distinct()
+        found = [r[0] for r in weeks.limit(MAX_WEEKS + 1).collect()]
+        if len(found) <= MAX_WEEKS:
+            m = m.where(F.col("fis_week_id").isin([w for w in found if w is not None]))
+        else:
+            m = m.join(weeks, F.col("fis_week_id") == F.col("_w"), "left_semi")
     return m.select(*[F.col(c).alias(f"m_{c}") for c in PROD_KEYS])
 
 
@@ -79,7 +83,10 @@ def nominated_products(nom_prod: DataFrame, selected: DataFrame, week,
 
 def line_item_products(nominated: DataFrame) -> DataFrame:
     """One row per (parent event, line item, segment, product group); the
-    survivor is the earliest nomination week, then event week, then code."""
+    survivor is the earliest nomination week, then event week, then code.
+
+    The smallest struct of a group is a sort-based aggregate: tasks sort their
+    rows (spilling where needed) before the partial step."""
     return first_per_group(nominated, LINE_KEYS,
                            ["nomination_start_week", "event_start_week", "nomination_code"])
 
@@ -96,14 +103,17 @@ def nominated_attributes(line_items: DataFrame, master: DataFrame) -> DataFrame:
                            & (F.col("m_prod_group_code") == F.col("prod_group_code")))
 
 
-def featured_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
-    return (nominated_attributes(line_items, master)
-            .select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code",
-                    F.col("m_prod_desc").alias("product_desc"), F.lit(True).alias("fp"),
-                    "nomination_start_week")
+def _featured(attributes: DataFrame) -> DataFrame:
+    return (attributes.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code",
+                              F.col("m_prod_desc").alias("product_desc"), F.lit(True).alias("fp"),
+                              "nomination_start_week")
             .distinct())
 
 
+def featured_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
+    return _featured(nominated_attributes(line_items, master))
+
+
 def brand_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
     """Every product of the week sharing brand AND L10 code with a nominated
     product (NULL brand or code matches nothing)."""
@@ -123,7 +133,10 @@ def brand_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def category_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
-    """Every product of the week sharing the L10 code of a nominated product."""
+    """Every product of the week sharing the L10 code of a nominated product.
+
+    That is the operator's definition, so the output is as large as line items
+    times the products of their L10 codes in a week."""
     a = (nominated_attributes(line_items, master)
          .select("parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week",
                  F.col("m_prod_merch_l10_code").alias("a_l10"))
@@ -139,41 +152,16 @@ def category_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- N7
-def _typed_nulls(df: DataFrame, present: Sequence[str]) -> DataFrame:
-    types = {"product_desc": "string", "fp": "boolean", "brand_desc": "string", "brand": "boolean",
-             "cat_desc": "string", "cat": "boolean"}
-    return df.select(*SET_KEYS, *[F.col(c) if c in present else F.lit(None).cast(t).alias(c)
-                                  for c, t in types.items()])
-
-
-def _merge_sets(u: DataFrame) -> DataFrame:
-    """Merge rows of the product sets on the five keys (see N7), in one
-    aggregation: a row with a NULL key also groups on its own attribute tuple,
-    so such rows are de-duplicated but never merged with each other."""
-    complete = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in SET_KEYS))
-    attrs = ["product_desc", "fp", "brand_desc", "brand", "cat_desc", "cat"]
-    loose = F.when(~complete, F.struct(*attrs)).alias("_loose")
-    out = (u.groupBy(*SET_KEYS, loose)
-           .agg(F.min("product_desc").alias("product_desc"), F.max("fp").alias("fp"),
-                F.min("brand_desc").alias("brand_desc"), F.max("brand").alias("brand"),
-                F.min("cat_desc").alias("cat_desc"), F.max("cat").alias("cat")))
-    return out.select(*SET_KEYS, "product_desc", F.coalesce("fp", F.lit(False)).alias("fp"),
-                      "brand_desc", F.coalesce("brand", F.lit(False)).alias("brand"),
-                      "cat_desc", F.coalesce("cat", F.lit(False)).alias("cat"))
-
-
 def final_nomination_products(featured: DataFrame, brand: DataFrame, category: DataFrame) -> DataFrame:
-    """Featured, brand and category sets merged on the five keys.
+    """Featured, brand and category sets joined on the five keys, nothing left out.
 
-    One pass instead of two full outer joins: the three sets are unioned and
-    grouped on the keys (partial aggregation, no sort-merge of wide rows).
-    Rows with a NULL key pass through unmerged, as a USING outer join never
-    matches NULL keys.  Flags absent from a set are false; if a set carries
-    several descriptions for one key the alphabetically first is kept.
-    """
-    return _merge_sets(_typed_nulls(featured, ["product_desc", "fp"])
-                       .unionByName(_typed_nulls(brand, ["brand_desc", "brand"]))
-                       .unionByName(_typed_nulls(category, ["cat_desc", "cat"])))
+    Two full outer joins: a key with several descriptions or brands keeps every
+    combination, a NULL in a key matches nothing, and flags absent from a set are
+    false."""
+    j = featured.join(brand, SET_KEYS, "full_outer").join(category, SET_KEYS, "full_outer")
+    no = F.lit(False)
+    return j.select(*SET_KEYS, "product_desc", F.coalesce("fp", no).alias("fp"), "brand_desc",
+                    F.coalesce("brand", no).alias("brand"), "cat_desc", F.coalesce("cat", no).alias("cat"))
 
 
 def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFrame:
@@ -183,44 +171,30 @@ def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFra
 
     A brand product shares week, brand and L10 code with a nominated product, so
     it is also a category product: one expansion on (week, L10) yields every
-    category row, and the rows whose brand equals the nominated product's brand
-    also yield a brand row.  Featured rows come straight from the line items'
-    own master rows.  The rows are merged on the five keys as in N7.
+    category row, and its rows whose brand equals the nominated product's are the
+    brand rows.  Featured rows come from the line items' own master rows.  The
+    expansion and those rows feed several branches, so they are stored first
+    (reliable checkpoints); the expansion is as large as the category set.
     """
-    attrs = nominated_attributes(line_items, master)
-    base = ["parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code",
-            "nomination_start_week"]
-    featured = _typed_nulls(attrs.select(*base, F.col("m_prod_desc").alias("product_desc"),
-                                         F.lit(True).alias("fp")), ["product_desc", "fp"])
-    keys = [c for c in base if c != "prod_group_code"]
+    from tillroll.sources.catalog import checkpoint
+
+    attrs = checkpoint(nominated_attributes(line_items, master).select(
+        "parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "nomination_start_week",
+        "m_prod_desc", "m_brand_name", "m_prod_merch_l10_code"))
+    keys = ["parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week"]
     a = (attrs.where(F.col("m_prod_merch_l10_code").isNotNull())
          .select(*keys, F.col("m_brand_name").alias("a_brand"), F.col("m_prod_merch_l10_code").alias("a_l10"))
          .distinct())
-    m = _master_cols(master, line_items, "nomination_start_week")
+    m = _master_cols(master, attrs, "nomination_start_week")
     x = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
                & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
-    same_brand = F.coalesce(F.col("m_brand_name") == F.col("a_brand"), F.lit(False))
-    none_s, none_b = F.lit(None).cast("string"), F.lit(None).cast("boolean")
-    cat_row = F.struct(none_s.alias("product_desc"), none_b.alias("fp"), none_s.alias("brand_desc"),
-                       none_b.alias("brand"), F.col("m_prod_merch_l10_desc").alias("cat_desc"),
-                       F.lit(True).alias("cat"))
-    brand_row = F.struct(none_s.alias("product_desc"), none_b.alias("fp"),
-                         F.col("m_brand_name").alias("brand_desc"), F.lit(True).alias("brand"),
-                         none_s.alias("cat_desc"), none_b.alias("cat"))
-    rows = F.array(cat_row, F.when(same_brand, brand_row))
-    expanded = (x.select(*keys, F.col("m_prod_group_code").alias("prod_group_code"), F.explode(rows).alias("r"))
-                .where(F.col("r").isNotNull())
-                .select(*SET_KEYS, "r.*"))
-    return _merge_sets(featured.unionByName(expanded))
-
-
-def final_nomination_products_joined(featured: DataFrame, brand: DataFrame,
-                                     category: DataFrame) -> DataFrame:
-    """The two-full-outer-join form of N7 (kept to test the one-pass form)."""
-    j = featured.join(brand, SET_KEYS, "full_outer").join(category, SET_KEYS, "full_outer")
-    return j.select(*SET_KEYS, "product_desc", F.coalesce("fp", F.lit(False)).alias("fp"),
-                    "brand_desc", F.coalesce("brand", F.lit(False)).alias("brand"),
-                    "cat_desc", F.coalesce("cat", F.lit(False)).alias("cat"))
+    x = checkpoint(x.select(
+        *keys, F.col("m_prod_group_code").alias("prod_group_code"), F.col("m_brand_name").alias("brand_desc"),
+        F.col("m_prod_merch_l10_desc").alias("cat_desc"),
+        F.coalesce(F.col("m_brand_name") == F.col("a_brand"), F.lit(False)).alias("same_brand")).distinct())
+    brand = x.where("same_brand").select(*SET_KEYS, "brand_desc", F.lit(True).alias("brand")).distinct()
+    category = x.select(*SET_KEYS, "cat_desc", F.lit(True).alias("cat")).distinct()
+    return final_nomination_products(_featured(attrs), brand, category)
 
 
 # --------------------------------------------------------------------------- N8, N9, N11, N12
@@ -269,7 +243,7 @@ def apply_hook(df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None = None
     if fn is None:
         return df
     out = fn(df)
-    return ensure_frame(out, "hook result")
+    return check_frame(out, "result of the hook")
 
 
 def with_rerun(selected: DataFrame, re_run_events: DataFrame | None, enabled: bool,
@@ -313,6 +287,7 @@ class NominationParams:
     re_run_day: int = 0
     current_date: _dt.date | None = None
     hook: Callable[[DataFrame], DataFrame] | None = None
+    salts: int | None = None      # tasks over which a very common parent event is spread in N9 and N11
     tables: Mapping[str, str] = field(default_factory=dict)   # optional materialization names
 
 
@@ -326,49 +301,47 @@ def build_nominations(nomination_prod: DataFrame, prod: DataFrame, selected: Dat
     KeyError, non-frames ValueError.  Steps fail loudly: there is no
     best-effort empty result.
     """
-    from tillroll.sources.catalog import materialize
+    from tillroll.sources.catalog import checkpoint, materialize
 
-    for obj, name in ((nomination_prod, "nomination_prod"), (prod, "prod"), (selected, "selected")):
-        ensure_frame(obj, name)
+    frames = {"nomination_prod": nomination_prod, "prod": prod, "selected": selected}
     if re_run_events is not None:
-        ensure_frame(re_run_events, "re_run_events")
-    if not isinstance(mappings, Mapping):
-        raise RuntimeError("column mappings are missing")
-    for k in ("nomination_prod", "prod", "nomination", "event"):
-        if not isinstance(mappings.get(k), Mapping):
-            raise RuntimeError(f"column mapping {k!r} is missing")
-    np_ = canonicalize(nomination_prod, mappings["nomination_prod"], NOM_PROD_KEYS, "nomination_prod")
-    pr = canonicalize(prod, mappings["prod"], PROD_KEYS, "prod")
-    sel_map = dict(mappings["nomination"])
-    for k in NOMINATION_KEYS:
-        if k not in sel_map:
-            raise KeyError(f"missing mapping key {k!r} in nomination mappings")
-    if "parent_event_code" not in mappings["event"]:
-        raise KeyError("missing mapping key 'parent_event_code' in event mappings")
-    sel_map["parent_event_code"] = mappings["event"]["parent_event_code"]
-    for k in ("line_item_id", "nomination_start_week", "event_start_week"):
-        sel_map.setdefault(k, k)
+        frames["re_run_events"] = re_run_events
+    for what, frame in frames.items():
+        check_frame(frame, what)
+    names = check_mapping(mappings, "the inputs")
+    per_input = {k: check_mapping(names.get(k), k) for k in ("nomination_prod", "prod", "nomination", "event")}
+    np_ = canonicalize(nomination_prod, per_input["nomination_prod"], NOM_PROD_KEYS, "nomination_prod")
+    pr = canonicalize(prod, per_input["prod"], PROD_KEYS, "prod")
+    for what, keys in (("nomination", NOMINATION_KEYS), ("event", EVENT_KEYS)):
+        lacking = [k for k in keys if k not in per_input[what]]
+        if lacking:
+            raise KeyError(f"{what}: logical columns without a physical name: {lacking}")
+    event_code = per_input["event"]["parent_event_code"]
+    sel_map = {**{k: k for k in SELECTED_KEYS}, **per_input["nomination"], "parent_event_code": event_code}
+    # other nomination-level columns are carried, unless their name is a logical one
+    used = set(sel_map) | set(sel_map.values())
+    sel_map.update({c: c for c in selected.columns if c not in used})
     sel = canonicalize(selected, sel_map, SELECTED_KEYS, "selected")
-    extra = [c for c in selected.columns if c not in set(sel_map.values())]
-    if extra:   # carry other nomination-level columns unchanged
-        sel = canonicalize(selected, {**sel_map, **{c: c for c in extra}}, SELECTED_KEYS, "selected")
     rr = None
     if re_run_events is not None:
-        rr = canonicalize(re_run_events, {"parent_event_code": mappings["event"]["parent_event_code"],
-                                          "re_run": mappings["event"].get("re_run", "re_run")},
+        rr = canonicalize(re_run_events, {"parent_event_code": event_code,
+                                          "re_run": per_input["event"].get("re_run", "re_run")},
                           ("parent_event_code", "re_run"), "re_run_events")
 
-    nominated = nominated_products(np_, sel, params.current_week, params.event_types)
-    line_items = line_item_products(nominated)
-    master = product_master(pr)
-    final = final_nomination_products(featured_products(line_items, master),
-                                      brand_products(line_items, master),
-                                      category_products(line_items, master))
+    # the week's nominations and the master rows of their weeks feed every later step: computed once
+    nominated = checkpoint(nominated_products(np_, sel, params.current_week, params.event_types))
+    weeks = nominated.select(F.explode(F.array("nomination_start_week", "event_start_week")).alias("week")).distinct()
+    few = [r[0] for r in weeks.limit(MAX_WEEKS + 1).collect()]
+    if len(few) <= MAX_WEEKS:
+        pr = pr.where(F.col("fis_week_id").isin([w for w in few if w is not None]))
+    master = checkpoint(product_master(pr))
+    line_items = checkpoint(line_item_products(nominated))
+    final = nomination_product_sets(line_items, master)
     final = materialize(final, params.tables.get("final_nomination_prod_info"))
     bc = event_brand_categories(nominated, master)
-    noms = flag_nominations(sel, dominant_brand(bc), nominated)
+    noms = flag_nominations(sel, dominant_brand(bc), nominated, params.salts)
     noms = apply_hook(noms, params.hook)
-    noms = with_rerun(noms, rr, params.re_run, params.current_date, params.re_run_day)
+    noms = with_rerun(noms, rr, params.re_run, params.current_date, params.re_run_day, params.salts)
     noms = materialize(noms, params.tables.get("interim_nominations_table"))
     noms = materialize(noms, params.tables.get("final_nominations_table"))
     lists = brands_and_categories(noms, bc)

@@ -14,15 +14,19 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import month_start
 from tillroll.functions.money import mean_of
-from tillroll.operators.relational import best_per_group, top_k
+from tillroll.operators.relational import best_per_group, left_join, top_k
 
 
 # --------------------------------------------------------------------------- Q11 / Q12
-def top_customers(customers: DataFrame, orders: DataFrame, k: int = 3) -> DataFrame:
-    """Join, then aggregate per customer, then top-k by spend (ties: lower id)."""
-    c = customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"))
-    o = orders.select(F.col("customer_id").alias("o_cid"), "total_amount")
-    spend = (c.join(o, F.col("customer_id") == F.col("o_cid"))
+def top_customers(customers: DataFrame, orders: DataFrame, k: int = 3, salts: int | None = None) -> DataFrame:
+    """Join, then aggregate per customer, then top-k by spend (ties: lower id).
+
+    AQE can't split a hot customer here, since the aggregate above reuses the
+    join's partitioning; ``salts`` spreads each customer's orders over that many
+    tasks (the customers are repeated as often)."""
+    c = customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"),
+                         F.lit(True).alias("_known"))
+    spend = (left_join(orders.select("id", "customer_id", "total_amount"), c, ["customer_id"], salts).where("_known")
              .groupBy("customer_id", "customer_name")
              .agg(F.sum("total_amount").cast("double").alias("total_spent")))
     return top_k(spend, [F.desc_nulls_last("total_spent"), F.asc_nulls_last("customer_id")], k)
@@ -45,12 +49,16 @@ def top_customers_preagg(customers: DataFrame, orders: DataFrame, k: int = 3) ->
 
 # --------------------------------------------------------------------------- Q13 / Q14
 def monthly_category_qty(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """SUM(quantity) per (month of order, category)."""
+    """SUM(quantity) per (month of order, category).
+
+    Quantities are summed per (month, product) before the products are joined,
+    so that join meets one row per product and month, not one per line."""
     o = orders.select(F.col("id").alias("o_id"), month_start("created_at").alias("month"))
     i = items.select("order_id", "product_id", "quantity")
     p = products.select(F.col("id").alias("p_id"), "category_id")
-    return (o.join(i, F.col("o_id") == F.col("order_id"))
-            .join(p, F.col("p_id") == F.col("product_id"))
+    sold = (o.join(i, F.col("o_id") == F.col("order_id"))
+            .groupBy("month", "product_id").agg(F.sum("quantity").alias("quantity")))
+    return (sold.join(p, F.col("p_id") == F.col("product_id"))
             .groupBy("month", "category_id")
             .agg(F.sum("quantity").cast("bigint").alias("total_quantity")))
 
@@ -68,7 +76,7 @@ def top_category_per_month(orders: DataFrame, items: DataFrame, products: DataFr
     best = _winner_per_month(monthly_category_qty(orders, items, products))
     cat = categories.select(F.col("id").alias("cat_id"), F.col("name").alias("category_name"))
     return (best.join(cat, F.col("category_id") == F.col("cat_id"), "left")
-            .select("month", "category_id", "category_name", "total_quantity"))
+            .select("month", "category_id", "category_name", "total_quantity").orderBy("month"))
 
 
 def top_category_per_month_reuse(monthly: DataFrame, categories: DataFrame) -> DataFrame:
@@ -77,7 +85,7 @@ def top_category_per_month_reuse(monthly: DataFrame, categories: DataFrame) -> D
     best = _winner_per_month(monthly)
     cat = categories.select(F.col("id").alias("cat_id"), F.col("name").alias("category_name"))
     return (best.join(cat, F.col("category_id") == F.col("cat_id"))
-            .select("month", "category_id", "category_name", "total_quantity"))
+            .select("month", "category_id", "category_name", "total_quantity").orderBy("month"))
 
 
 # --------------------------------------------------------------------------- Q15 .. Q17
@@ -88,7 +96,7 @@ def monthly_order_stats(orders: DataFrame) -> DataFrame:
     return agg.select("month",
                       mean_of("_sum", "orders_count").alias("avg_order_value"),
                       F.col("_sum").cast("double").alias("month_total_revenue"),
-                      "orders_count")
+                      "orders_count").orderBy("month")
 
 
 def avg_order_value_by_month(orders: DataFrame) -> DataFrame:
@@ -117,10 +125,20 @@ def returned_orders_by_month(returns: DataFrame) -> DataFrame:
     distinct count as an aggregate on (month, order_id) first, so a busy month
     is spread over many tasks before the final count."""
     return (returns.groupBy(month_start("returned_at").alias("month"))
-            .agg(F.countDistinct("order_id").alias("returned_orders_count")))
+            .agg(F.countDistinct("order_id").alias("returned_orders_count")).orderBy("month"))
 
 
 def returned_orders_by_month_approx(returns: DataFrame, rsd: float = 0.05) -> DataFrame:
     """HyperLogLog++ sketch per month: one pass, fixed memory per group."""
     return (returns.groupBy(month_start("returned_at").alias("month"))
-            .agg(F.approx_count_distinct("order_id", rsd).alias("returned_orders_count")))
+            .agg(F.approx_count_distinct("order_id", rsd).alias("returned_orders_count")).orderBy("month"))
+
+
+def approximation_check(returns: DataFrame, rsd: float = 0.05, sigmas: float = 4.0) -> DataFrame:
+    """Exact counts per month, and whether the estimate lies within ``sigmas``
+    standard errors (and one order) of them."""
+    estimate = returned_orders_by_month_approx(returns, rsd).withColumnRenamed("returned_orders_count", "estimate")
+    off = F.abs(F.col("estimate") - F.col("returned_orders_count"))
+    return returned_orders_by_month(returns).join(estimate, "month").select(
+        "month", "returned_orders_count",
+        (off <= F.lit(sigmas * rsd) * F.col("returned_orders_count") + 1).alias("within_error")).orderBy("month")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import exact_sum, line_total, ratio
+from tillroll.functions.money import exact_sum, line_total, opposite_signs, ratio
 from tillroll.functions.predicates import all_not_null, contains_ci
 from tillroll.operators.relational import top_k
 
@@ -48,11 +48,11 @@ def sales_by_payment(sales: DataFrame) -> DataFrame:
 
 
 def negative_transactions(sales: DataFrame, limit: int = 100) -> DataFrame:
-    """Lines with amount * quantity < 0, newest first.  Ties on the date are
+    """Lines whose amount and quantity have opposite signs, newest first.  Ties on the date are
     broken by the remaining output columns so the first ``limit`` rows are
     well defined."""
     total = line_total("amount", "quantity")
-    out = sales.where(total < 0).select(
+    out = sales.where(opposite_signs("amount", "quantity")).select(
         "transaction_id", "customer_id", "transaction_date", "amount", "quantity",
         total.cast("double").alias("total_amount"), "payment_mode", "store_location")
     return top_k(out, [F.desc_nulls_last("transaction_date")]

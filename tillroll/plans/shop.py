@@ -13,10 +13,11 @@ from tillroll.operators.relational import top_k
 
 
 def units_by_attr(lines: DataFrame, products: DataFrame, attr: str = "item_colour") -> DataFrame:
-    """SUM(quantity) per product attribute.  The aggregate runs after the join;
-    partial sums per (task, attribute) are combined before the shuffle."""
+    """SUM(quantity) per product attribute.  Quantities are summed per product
+    first (map-side, so a hot product costs a row per task), then joined."""
+    sold = lines.groupBy("product_id").agg(F.sum("quantity").alias("quantity"))
     p = products.select(F.col("id").alias("p_id"), F.col(attr))
-    return (lines.join(p, F.col("product_id") == F.col("p_id"))
+    return (sold.join(p, F.col("product_id") == F.col("p_id"))
             .groupBy(attr).agg(F.sum("quantity").cast("bigint").alias("total_sold")))
 
 

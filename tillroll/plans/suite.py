@@ -43,6 +43,18 @@ class Check:
         return self.entity or self.table
 
 
+def _checked(checks: Sequence[Check]) -> Sequence[Check]:
+    """The checks, if every kind is known and every name stands once."""
+    unknown = sorted({c.kind for c in checks} - set(ROW_KINDS) - set(REL_KINDS))
+    if unknown:
+        raise ValueError(f"unknown check kinds: {unknown}")
+    names = [c.name for c in checks]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"check names used more than once: {twice}")
+    return checks
+
+
 def _condition(df: DataFrame, c: Check, as_of) -> Column:
     p = c.params
     if c.kind == "missing":
@@ -77,7 +89,7 @@ def _out(df: DataFrame, check: Check, entity: str, key: Sequence[str], show: Seq
                      F.lit(entity).alias("entity"), _text(key).alias("key"), _text(show).alias("details"))
 
 
-def _row_level(df: DataFrame, table: str, checks: Sequence[Check], as_of) -> DataFrame:
+def _row_level(df: DataFrame, checks: Sequence[Check], as_of) -> DataFrame:
     """All row-level checks of one table in one pass over it.
 
     Rows failing at least one check are kept first (one OR of the conditions,
@@ -87,17 +99,17 @@ def _row_level(df: DataFrame, table: str, checks: Sequence[Check], as_of) -> Dat
     flags = F.array(*[F.when(cond, F.lit(i)) for i, cond in enumerate(conds)])
     hits = (df.where(any_of(conds)).withColumn("_i", F.explode(flags))
             .where(F.col("_i").isNotNull()))
-    name = severity = key = details = None
+    name = severity = entity = key = details = None
     for i, c in enumerate(checks):
         hit = F.col("_i") == i
         show = c.show or [c.params[k] for k in ("col", "first", "later") if k in c.params]
-        vals = [(name, F.lit(c.name)), (severity, F.lit(c.severity)), (key, _text(c.key)),
-                (details, _text(show))]
+        vals = [(name, F.lit(c.name)), (severity, F.lit(c.severity)), (entity, F.lit(c.label)),
+                (key, _text(c.key)), (details, _text(show))]
         if name is None:
-            name, severity, key, details = [F.when(hit, v) for _, v in vals]
+            name, severity, entity, key, details = [F.when(hit, v) for _, v in vals]
         else:
-            name, severity, key, details = [acc.when(hit, v) for acc, v in vals]
-    return hits.select(name.alias("check"), severity.alias("severity"), F.lit(table).alias("entity"),
+            name, severity, entity, key, details = [acc.when(hit, v) for acc, v in vals]
+    return hits.select(name.alias("check"), severity.alias("severity"), entity.alias("entity"),
                        key.alias("key"), details.alias("details"))
 
 
@@ -136,13 +148,11 @@ def _relational(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
 def run_details(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None) -> DataFrame:
     parts = []
     by_table: dict[str, list[Check]] = {}
-    for c in checks:
+    for c in _checked(checks):
         if c.kind in ROW_KINDS:
             by_table.setdefault(c.table, []).append(c)
-        elif c.kind not in REL_KINDS:
-            raise ValueError(f"unknown check kind: {c.kind}")
     for t, cs in by_table.items():
-        parts.append(_row_level(tables[t], cs[0].label, cs, as_of))
+        parts.append(_row_level(tables[t], cs, as_of))
     for c in checks:
         if c.kind in REL_KINDS:
             parts.append(_relational(tables, c))
@@ -176,7 +186,7 @@ def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], a
     """The summary computed directly (no per-violation rows are built)."""
     parts = []
     by_table: dict[str, list[Check]] = {}
-    for c in checks:
+    for c in _checked(checks):
         if c.kind in ROW_KINDS:
             by_table.setdefault(c.table, []).append(c)
     for t, cs in by_table.items():
@@ -209,43 +219,50 @@ def tracker_checks(as_of, statuses, username_regex=r"^Customer#[0-9]+$",
     ``tasks`` carries the project's date and priority (a join); ``task_refs``
     is the narrow task table the relational checks need, so they do not
     repeat that join."""
+    task = dict(key=("project_id", "line"))
+    refs = dict(key=("project_id", "line"), entity="tasks")
     return [
-        Check("users: missing username or segment", "users", "missing",
+        Check("user without name or segment", "users", "missing",
               {"not_null": ["id"], "not_blank": ["username", "segment"]}, show=["username", "segment"]),
-        Check("projects: missing owner_id or status", "projects", "missing",
+        Check("project without owner or status", "projects", "missing",
               {"not_null": ["owner_id"], "not_blank": ["status"]}, show=["owner_id", "status"]),
-        Check("tasks: missing required columns", "tasks", "missing",
-              {"not_null": ["project_id", "priority"], "not_blank": ["status"]},
-              key=("project_id", "line"), show=["status", "priority"]),
-        Check("users: duplicate usernames", "users", "duplicates", {"col": "username", "id": "id"}),
-        Check("users: invalid username format", "users", "pattern",
-              {"col": "username", "regex": username_regex}),
-        Check("users: username whitespace issues", "users", "whitespace", {"col": "username"}),
-        Check("users: balance out of range", "users", "range",
+        Check("task with a required value missing", "tasks", "missing",
+              {"not_null": ["project_id", "priority"], "not_blank": ["status"]}, show=["status", "priority"], **task),
+        Check("user name taken twice", "users", "duplicates", {"col": "username", "id": "id"}),
+        Check("user name of another form", "users", "pattern", {"col": "username", "regex": username_regex}),
+        Check("user name with outer blanks", "users", "whitespace", {"col": "username"}),
+        Check("user balance beyond its limits", "users", "range",
               {"col": "balance", "lo": balance[0], "hi": balance[1]}),
-        Check("projects: invalid status values", "projects", "in_set",
-              {"col": "status", "values": list(statuses)}),
-        Check("tasks: invalid priority range", "tasks", "range", {"col": "priority", "lo": 1, "hi": 5},
-              key=("project_id", "line")),
-        Check("projects: owner_id refers to missing user", "projects", "orphans",
-              {"fk": "owner_id", "parent": "users", "pk": "id"}),
-        Check("tasks: project_id refers to missing project", "task_refs", "orphans",
-              {"fk": "project_id", "parent": "projects", "pk": "id"}, key=("project_id", "line"),
-              entity="tasks"),
-        Check("tasks: assignee_id refers to missing user", "task_refs", "orphans",
-              {"fk": "assignee_id", "parent": "users", "pk": "id"}, key=("project_id", "line"),
-              entity="tasks"),
-        Check("future timestamps: users", "users", "future", {"col": "created_at", "as_of": as_of}),
-        Check("future timestamps: projects", "projects", "future", {"col": "created_at", "as_of": as_of}),
-        Check("future timestamps: tasks", "tasks", "future", {"col": "created_at", "as_of": as_of},
-              key=("project_id", "line")),
-        Check("tasks: due_date before created_at", "tasks", "precedes",
-              {"first": "created_at", "later": "due_date", "first_as_date": True},
-              key=("project_id", "line")),
-        Check("projects: zero tasks (warning)", "projects", "childless",
-              {"pk": "id", "child": "task_refs", "fk": "project_id"}, severity="warning",
-              show=("owner_id",)),
-        Check("tasks: assignee is project owner (possible review)", "task_refs", "same_as_parent",
+        Check("project status not on the list", "projects", "in_set", {"col": "status", "values": list(statuses)}),
+        Check("task priority beyond 1 to 5", "tasks", "range", {"col": "priority", "lo": 1, "hi": 5}, **task),
+        Check("project owner unknown", "projects", "orphans", {"fk": "owner_id", "parent": "users", "pk": "id"}),
+        Check("task of an unknown project", "task_refs", "orphans",
+              {"fk": "project_id", "parent": "projects", "pk": "id"}, **refs),
+        Check("task assignee unknown", "task_refs", "orphans",
+              {"fk": "assignee_id", "parent": "users", "pk": "id"}, **refs),
+        Check("user dated ahead", "users", "future", {"col": "created_at", "as_of": as_of}),
+        Check("project dated ahead", "projects", "future", {"col": "created_at", "as_of": as_of}),
+        Check("task dated ahead", "tasks", "future", {"col": "created_at", "as_of": as_of}, **task),
+        Check("task due before its creation", "tasks", "precedes",
+              {"first": "created_at", "later": "due_date", "first_as_date": True}, **task),
+        Check("project without tasks", "projects", "childless",
+              {"pk": "id", "child": "task_refs", "fk": "project_id"}, severity="warning", show=("owner_id",)),
+        Check("task assigned to the project's owner", "task_refs", "same_as_parent",
               {"fk": "project_id", "parent": "projects", "pk": "id", "attr": "assignee_id",
-               "parent_attr": "owner_id"}, severity="review", key=("project_id", "line"), entity="tasks"),
+               "parent_attr": "owner_id"}, severity="review", **refs),
+    ]
+
+
+def corpus_checks(url_regex: str, roles) -> list[Check]:
+    """Checks of the text tables: documents with their labels, pages with their titles, conversation turns."""
+    return [
+        Check("document without a quality label", "documents", "missing", {"not_null": ["quality"]}, key=("doc_id",),
+              show=("source",)),
+        Check("document that nobody labelled", "document_refs", "orphans",
+              {"fk": "doc_id", "parent": "labels", "pk": "doc_id"}, key=("doc_id",), entity="documents"),
+        Check("page url of another form", "pages", "pattern", {"col": "url", "regex": url_regex}, key=("page_id",)),
+        Check("page title with outer blanks", "pages", "whitespace", {"col": "title"}, key=("page_id",),
+              show=("url",)),
+        Check("turn role not on the list", "turns", "in_set", {"col": "role", "values": list(roles)},
+              key=("conv_id", "turn")),
     ]

@@ -1,7 +1,9 @@
 """Registered queries: name -> fn(spark, sf_dir) -> DataFrame.
 
 Every query reads the driver's whole tables (through the adapters).  Queries
-are lazy except the catalog round trips, which write their table when called.
+are lazy except those that store an intermediate: the catalog round trips and
+the fused nomination sets write when called, under new names and in new folders
+of the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.params import P
+from tillroll.session import unique_name
 from tillroll.plans import calendar as C
 from tillroll.plans import nominations as N
 from tillroll.plans import orders as Q
@@ -50,7 +53,7 @@ def register(name: str):
 # ----------------------------------------------------------------------------- order analytics
 @register("top_customers")
 def _top_customers(spark, d):
-    return Q.top_customers(A.customers(spark, d), A.orders(spark, d), P.top_k)
+    return Q.top_customers(A.customers(spark, d), A.orders(spark, d), P.top_k, P.salts)
 
 
 @register("top_customers_preagg")
@@ -58,6 +61,12 @@ def _top_customers_preagg(spark, d):
     return Q.top_customers_preagg(A.customers(spark, d), A.orders(spark, d), P.top_k)
 
 
+def _stored(df, what):
+    """``df`` as an intermediate table under a name of its own."""
+    spark = df.sparkSession
+    return IO.overwrite(df, unique_name(f"tillroll_{what}"), path=IO.scratch_path(spark, what))
+
+
 def _monthly(spark, d):
     return Q.monthly_category_qty(A.orders(spark, d), A.order_items(spark, d), A.products(spark, d))
 
@@ -70,7 +79,8 @@ def _top_category_per_month(spark, d):
 
 @register("top_category_per_month_reuse")
 def _top_category_per_month_reuse(spark, d):
-    return Q.top_category_per_month_reuse(_monthly(spark, d), A.categories(spark, d))
+    stored = _stored(_monthly(spark, d), "monthly_category_qty")
+    return Q.top_category_per_month_reuse(stored, A.categories(spark, d))
 
 
 @register("avg_order_value_by_month")
@@ -95,7 +105,7 @@ def _returned_orders_by_month(spark, d):
 
 @register("returned_orders_by_month_approx")
 def _returned_orders_by_month_approx(spark, d):
-    return Q.returned_orders_by_month_approx(A.returns(spark, d), P.approx_rsd)
+    return Q.approximation_check(A.returns(spark, d), P.approx_rsd, P.approx_sigmas)
 
 
 # ----------------------------------------------------------------------------- shop
@@ -166,51 +176,51 @@ def _tracker(spark, d):
 
 @register("missing_required")
 def _missing_required(spark, d):
-    return V.missing_required(A.tracker_users(spark, d), not_null=["id"],
-                              not_blank=["username", "segment"], keep=["id", "username", "segment"],
-                              check="users: missing username or segment")
+    return V.missing_required(A.corpus_tables(spark, d)["documents"], not_null=["quality"], not_blank=["source"],
+                              keep=["doc_id", "source"], check="document without a quality label")
 
 
 @register("duplicate_keys")
 def _duplicate_keys(spark, d):
     docs = table(spark, d, "documents")
-    return V.duplicate_keys(docs, ["text"], "doc_id", check="documents: duplicate texts", hashed=True)
+    return V.duplicate_keys(docs, ["text"], "doc_id", check="text occurs more than once", hashed=True)
 
 
 @register("pattern_violation")
 def _pattern_violation(spark, d):
     return V.pattern_violation(table(spark, d, "pages"), "url", P.url_regex, keep=["page_id", "url"],
-                               check="pages: invalid url format")
+                               check="page url of another form")
 
 
 @register("whitespace_violation")
 def _whitespace_violation(spark, d):
-    return V.whitespace_violation(A.tracker_users(spark, d), "username", keep=["id", "username"],
-                                  check="users: username whitespace issues")
+    return V.whitespace_violation(A.page_titles(spark, d), "title", keep=["page_id", "title"],
+                                  check="page title with outer blanks")
 
 
 @register("not_in_set")
 def _not_in_set(spark, d):
-    return V.not_in_set(A.tracker_projects(spark, d), "status", P.project_status, keep=["id", "status"],
-                        check="projects: invalid status values")
+    return V.not_in_set(A.corpus_tables(spark, d)["turns"], "role", P.roles, keep=["conv_id", "turn", "role"],
+                        check="turn role not on the list")
 
 
 @register("out_of_range")
 def _out_of_range(spark, d):
     return V.out_of_range(A.tracker_users(spark, d), "balance", P.balance_lo, P.balance_hi,
-                          keep=["id", "balance"], check="users: balance out of range")
+                          keep=["id", "balance"], check="user balance beyond its limits")
 
 
 @register("orphans")
 def _orphans(spark, d):
-    return V.orphans(A.tracker_tasks(spark, d), "project_id", A.tracker_projects(spark, d), "id",
-                     keep=["project_id", "line"], check="tasks: project_id refers to missing project")
+    t = A.corpus_tables(spark, d)
+    return V.orphans(t["document_refs"], "doc_id", t["labels"], "doc_id", keep=["doc_id", "source"],
+                     check="document that nobody labelled")
 
 
 @register("future_timestamps")
 def _future_timestamps(spark, d):
     return V.future_timestamps(A.tracker_projects(spark, d), "created_at", P.as_of,
-                               keep=["id", "created_at"], check="future timestamps: projects")
+                               keep=["id", "created_at"], check="project dated ahead")
 
 
 @register("precedes")
@@ -218,13 +228,13 @@ def _precedes(spark, d):
     t = A.tracker_tasks(spark, d, with_project=True)
     return V.precedes(t, F.col("created_at").cast("date"), "due_date",
                       keep=["project_id", "line", "created_at", "due_date"],
-                      check="tasks: due_date before created_at")
+                      check="task due before its creation")
 
 
 @register("childless")
 def _childless(spark, d):
     return V.childless(A.tracker_projects(spark, d), "id", A.tracker_tasks(spark, d), "project_id",
-                       keep=["id", "owner_id"], check="projects: zero tasks (warning)")
+                       keep=["id", "owner_id"], check="project without tasks")
 
 
 @register("matching_parent_attr")
@@ -232,7 +242,7 @@ def _matching_parent_attr(spark, d):
     return V.matching_parent_attr(A.tracker_tasks(spark, d), "project_id", A.tracker_projects(spark, d),
                                   "id", "assignee_id", "owner_id",
                                   keep=["project_id", "line", "assignee_id", "owner_id"],
-                                  check="tasks: assignee is project owner (possible review)")
+                                  check="task assigned to the project's owner")
 
 
 @register("row_counts")
@@ -241,17 +251,27 @@ def _row_counts(spark, d):
                          "tasks": A.tracker_tasks(spark, d)})
 
 
+def _all_checks():
+    return (SU.tracker_checks(P.as_of, P.project_status, balance=(P.balance_lo, P.balance_hi))
+            + SU.corpus_checks(P.url_regex, P.roles))
+
+
 @register("validation_summary")
 def _validation_summary(spark, d):
-    checks = SU.tracker_checks(P.as_of, P.project_status, balance=(P.balance_lo, P.balance_hi))
-    return SU.summarize_checks(_tracker(spark, d), checks)
+    return SU.summarize_checks({**_tracker(spark, d), **A.corpus_tables(spark, d)}, _all_checks())
+
+
+@register("validation_details")
+def _validation_details(spark, d):
+    return SU.run_details({**_tracker(spark, d), **A.corpus_tables(spark, d)}, _all_checks())
 
 
 # ----------------------------------------------------------------------------- nominations
 def _nominations(spark, d):
     sel = A.selected_nominations(spark, d)
     master = N.product_master(A.prod(spark, d))
-    nominated = N.nominated_products(A.nomination_prod(spark, d), sel, P.current_week, P.event_types)
+    np_ = A.nomination_prod(spark, d, P.current_week, P.event_types)
+    nominated = N.nominated_products(np_, sel, P.current_week, P.event_types)
     return sel, master, nominated, N.line_item_products(nominated)
 
 
@@ -304,14 +324,14 @@ def _dominant_brand(spark, d):
 def _flag_nominations(spark, d):
     sel, master, nominated, _ = _nominations(spark, d)
     dom = N.dominant_brand(N.event_brand_categories(nominated, master))
-    return N.flag_nominations(sel, dom, nominated)
+    return N.flag_nominations(sel, dom, nominated, P.salts)
 
 
 @register("with_rerun")
 def _with_rerun(spark, d):
     flagged = _flag_nominations(spark, d)
     return N.with_rerun(flagged, A.re_run_events(spark, d), True,
-                        _dt.date.fromisoformat(P.run_date), P.re_run_day)
+                        _dt.date.fromisoformat(P.run_date), P.re_run_day, P.salts)
 
 
 @register("brands_and_categories")
@@ -320,33 +340,95 @@ def _brands_and_categories(spark, d):
     return N.brands_and_categories(sel, N.event_brand_categories(nominated, master))
 
 
+#: Physical names of the inputs of the end-to-end pipeline.
+MAPPINGS = {
+    "nomination_prod": {k: f"np_{k}" for k in N.NOM_PROD_KEYS},
+    "prod": {k: f"pr_{k}" for k in N.PROD_KEYS},
+    "nomination": {k: f"no_{k}" for k in N.SELECTED_KEYS if k != "parent_event_code"},
+    "event": {"parent_event_code": "ev_parent", "re_run": "ev_re_run"},
+}
+
+
+def _built(spark, d):
+    """(final products, nominations, lists) over inputs with physical column names."""
+    def renamed(df, names):
+        return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+
+    event = MAPPINGS["event"]
+    params = N.NominationParams(P.current_week, P.event_types, True, P.re_run_day, _dt.date.fromisoformat(P.run_date),
+                                salts=P.salts)
+    return N.build_nominations(
+        renamed(A.nomination_prod(spark, d, P.current_week, P.event_types), MAPPINGS["nomination_prod"]),
+        renamed(A.prod(spark, d), MAPPINGS["prod"]),
+        renamed(A.selected_nominations(spark, d), {**MAPPINGS["nomination"], **event}),
+        MAPPINGS, params, renamed(A.re_run_events(spark, d), event))
+
+
+@register("nominations_final")
+def _nominations_final(spark, d):
+    return _built(spark, d)[0]
+
+
+@register("nominations_flagged")
+def _nominations_flagged(spark, d):
+    return _built(spark, d)[1]
+
+
+@register("nominations_lists")
+def _nominations_lists(spark, d):
+    return _built(spark, d)[2]
+
+
 # ----------------------------------------------------------------------------- catalog round trips
 @register("materialize_roundtrip")
 def _materialize_roundtrip(spark, d):
-    return IO.materialize(Q.monthly_order_stats(A.orders(spark, d)), "tillroll_monthly_order_stats")
+    return _stored(Q.monthly_order_stats(A.orders(spark, d)), "monthly_order_stats")
 
 
 @register("ctas_summary")
 def _ctas_summary(spark, d):
-    stats = IO.ctas(Q.monthly_order_stats(A.orders(spark, d)), "tillroll_tmp_monthly_order_stats")
+    stats = IO.ctas(Q.monthly_order_stats(A.orders(spark, d)), unique_name("tillroll_order_stats"),
+                    path=IO.scratch_path(spark, "order_stats"))
     return Q.avg_monthly_revenue_from_stats(stats)
 
 
 @register("resolve_source")
 def _resolve_source(spark, d):
     s = A.sales_transactions(spark, d, ["amount", "quantity", "transaction_date", "payment_mode"])
-    IO.overwrite(SA.clean_sales(s), "tillroll_sales_clean")
-    src = IO.resolve_source(spark, ["tillroll_sales_clean_v2", "tillroll_sales_clean"])
-    return SA.sales_by_year(src)
+    name = unique_name("tillroll_sales_clean")
+    IO.overwrite(SA.clean_sales(s), name, path=IO.scratch_path(spark, "sales_clean"))
+    return SA.sales_by_year(IO.resolve_source(spark, [name + "_v2", name]))
+
+
+@register("resolve_raw_source")
+def _resolve_raw_source(spark, d):
+    """No cleaned table is stored: the raw one is found, and the year comes from the date."""
+    s = A.sales_transactions(spark, d, ["amount", "quantity", "transaction_date"])
+    name = unique_name("tillroll_sales_raw")
+    IO.overwrite(s, name, path=IO.scratch_path(spark, "sales_raw"))
+    return SA.sales_by_year(IO.resolve_source(spark, [name + "_clean", name]))
 
 
 @register("layout_roundtrip")
 def _layout_roundtrip(spark, d):
-    laid = IO.write_layout(A.orders(spark, d), "tillroll_orders_by_customer", ["customer_id"],
-                           buckets=8, sort_by=["created_at"])
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    laid = IO.write_layout(A.orders(spark, d), unique_name("tillroll_orders_by_customer"), ["customer_id"],
+                           buckets=buckets, sort_by=["created_at"], path=IO.scratch_path(spark, "orders_by_customer"))
     return Q.top_customers_preagg(A.customers(spark, d), laid, P.top_k)
 
 
+def _generated(spark, d):
+    return G.generate_sales(table(spark, d, "orders"), "o_orderkey", "o_custkey", "o_orderdate", P.seed)
+
+
 @register("generate_sales")
 def _generate_sales(spark, d):
-    return G.generate_sales(table(spark, d, "orders"), "o_orderkey", "o_custkey", "o_orderdate", P.seed)
+    return _generated(spark, d)
+
+
+@register("sales_with_generated")
+def _sales_with_generated(spark, d):
+    """Generated rows behind the originals, in a chosen number of partitions, then the totals of both."""
+    both = G.append_generated(A.sales_transactions(spark, d, ["transaction_id", "amount", "quantity", "payment_mode"]),
+                              _generated(spark, d), P.sales_partitions)
+    return SA.sales_by_payment(both)

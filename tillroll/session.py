@@ -39,15 +39,22 @@ def build_session(master: str | None = None, app: str = "tillroll",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors run on one machine."""
+    return spark.sparkContext.master.startswith("local")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location (per application).
 
-    The location comes from ``spark.checkpoint.dir``.  Only where the session
-    leaves it unset (local tests) do we fall back to the warehouse folder, which
-    on a cluster is shared storage as well.  Never a machine-local temp dir.
+    The location comes from ``spark.checkpoint.dir``.  On a cluster it has to be
+    set: executors can't be assumed to share any other folder.  Only a local
+    master (tests) falls back to a folder beside the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.sparkContext.setCheckpointDir(base)
     # one subfolder per application, as Spark's own checkpoints do

@@ -7,6 +7,7 @@ out in SQL in ``tillroll.oracle`` for the DuckDB cross-check.
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,11 +98,14 @@ def sales_transactions(spark: SparkSession, d: str,
     need = set("".join(_NEEDS.get(c, "") for c in cols))
     df = table(spark, d, "lineitem")
     if "o" in need:
-        df = df.join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if "c" in need:
-        df = df.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if "n" in need:
-        df = df.join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        # the order's own lookups come first: the fact table is then shuffled once, on the order key
+        head = table(spark, d, "orders")
+        if "c" in need:
+            buyer = table(spark, d, "customer")
+            if "n" in need:
+                buyer = buyer.join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            head = head.join(buyer, F.col("o_custkey") == F.col("c_custkey"))
+        df = df.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
     if "p" in need:
         df = df.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
@@ -189,11 +193,25 @@ def _order_weeks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", week_id("o_orderdate").alias("_week"))
 
 
-def nomination_prod(spark: SparkSession, d: str) -> DataFrame:
+def nomination_prod(spark: SparkSession, d: str, week: int | None = None,
+                    event_types: Iterable[str] | None = None) -> DataFrame:
     """Products nominated per order (nomination = order): event type AAA for
-    lines with return flag A, week = Monday of the order date."""
+    lines with return flag A, week = Monday of the order date.
+
+    ``week`` (yyyymmdd of a Monday) and ``event_types`` restrict the rows by what
+    the scans hold, a range of order dates and the return flag, so other weeks
+    are not read; without them all weeks and types are there."""
+    o = table(spark, d, "orders")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
-    return li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    if week is not None:
+        monday = _dt.datetime.strptime(str(week), "%Y%m%d")
+        kind = o.schema["o_orderdate"].dataType
+        o = o.where((F.col("o_orderdate") >= F.lit(str(monday)).cast(kind))
+                    & (F.col("o_orderdate") < F.lit(str(monday + _dt.timedelta(7))).cast(kind)))
+    if event_types is not None and set(event_types) == {"AAA"}:
+        li = li.where(F.col("l_returnflag") == "A")
+    o = o.select("o_orderkey", week_id("o_orderdate").alias("_week"))
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("_week").alias("fis_week_id"),
         F.when(F.col("l_returnflag") == "A", "AAA").otherwise("BBB").alias("event_type_code"),
         F.col("l_partkey").alias("prod_level_code"),
@@ -240,3 +258,18 @@ def re_run_events(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(
         F.col("c_custkey").alias("parent_event_code"),
         F.when(F.col("c_mktsegment") == "BUILDING", "true").otherwise("false").alias("re_run"))
+
+
+# --------------------------------------------------------------------------- text tables
+def corpus_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Documents with their quality label (null without one), the narrow document
+    references, labels, pages with their title, conversation turns."""
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    return {"documents": docs.join(labels, "doc_id", "left"), "document_refs": docs, "labels": labels,
+            "pages": page_titles(spark, d), "turns": table(spark, d, "conversations").select("conv_id", "turn", "role")}
+
+
+def page_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select(
+        "page_id", "url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))

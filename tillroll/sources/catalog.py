@@ -1,5 +1,7 @@
 """Catalog tables: overwrite, materialize, source fallback, CTAS, statistics,
-physical layout.  Managed tables are parquet (no Delta in this image)."""
+physical layout.  Tables are parquet (no Delta in this image).  Tables that the
+user names are durable and managed by the catalog; intermediates are external
+tables in new folders under the cluster's checkpoint folder (``scratch_path``)."""
 
 from __future__ import annotations
 
@@ -9,7 +11,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import shared_dir, unique_name
+from tillroll.session import is_local, shared_dir, unique_name
 
 
 def create_schema(spark: SparkSession, name: str) -> None:
@@ -39,47 +41,65 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def table_path(spark: SparkSession, name: str, fresh: bool = False) -> str:
-    """Storage folder of a table written by these operators: under the shared
-    folder the cluster names in ``spark.checkpoint.dir`` (never machine-local).
-    ``fresh`` gives a new folder, so a table can be rebuilt from itself."""
-    leaf = unique_name(name.replace(".", "__")) if fresh else name.replace(".", "__")
-    return shared_dir(spark, "tables", leaf)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table, under the shared folder the
+    cluster names in ``spark.checkpoint.dir``."""
+    return shared_dir(spark, "tables", unique_name(name.replace(".", "__")))
 
 
-def overwrite(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Full-replace write of a table stored in the shared folder; returns the
-    table scan."""
+def _durable(spark: SparkSession) -> None:
+    """Named tables live in the warehouse, which executors have to share."""
+    place = spark.conf.get("spark.sql.warehouse.dir")
+    if not is_local(spark) and (place.startswith("file:") or ":" not in place.split("/")[0]):
+        raise RuntimeError(f"the warehouse {place} is a machine-local folder; give a path or set spark.sql.warehouse.dir")
+
+
+def overwrite(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
+    """Full-replace write of table ``name``; returns the table scan.
+
+    Without ``path`` the table is managed: it lies where the catalog puts it and
+    DROP TABLE frees its data.  With ``path`` (intermediates) it is external."""
     spark = df.sparkSession
-    df.write.format(fmt).mode("overwrite").option("path", table_path(spark, name)).saveAsTable(name)
+    if path:
+        df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(name)
+        return spark.table(name)
+    _durable(spark)
+    _recover(spark, name)
+    df.write.format(fmt).mode("overwrite").saveAsTable(name + _NEXT)
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {_leaf(spark, name)}")
     return spark.table(name)
 
 
+_NEXT = "__next"
+
+
+def _leaf(spark: SparkSession, name: str) -> str:
+    return name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+
+
+def _recover(spark: SparkSession, name: str) -> None:
+    """Finish or undo a replacement that broke off: the new table counts only if the old one is gone."""
+    if spark.catalog.tableExists(name + _NEXT):
+        if spark.catalog.tableExists(name):
+            drop_table(spark, name + _NEXT)
+        else:
+            spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {_leaf(spark, name)}")
+
+
 def insert_select(df: DataFrame, name: str, truncate: bool = False) -> None:
     """INSERT [OVERWRITE] INTO name SELECT ... (columns by position)."""
     df.write.insertInto(name, overwrite=truncate)
 
 
 def materialize(df: DataFrame, name: str | None) -> DataFrame:
-    """Store ``df`` as table ``name`` and continue from the stored copy.
-
-    No name -> ``df`` unchanged.  The result is first written under a fresh
-    name and folder (in the shared checkpoint folder), then the old table is
-    dropped and the new one renamed: dropping first could destroy a table the
-    lazy plan of ``df`` still reads, and overwriting a table that is being read
-    is refused by Spark.  Dropping releases only the catalog entry; earlier
-    versions' folders stay in the shared folder until its retention removes them."""
-    if not name:
-        return df
-    spark = df.sparkSession
-    tmp = unique_name(name.replace(".", "_") + "_new")
-    if "." in name:
-        tmp = name.rsplit(".", 1)[0] + "." + tmp
-    df.write.format("parquet").mode("overwrite") \
-        .option("path", table_path(spark, name, fresh=True)).saveAsTable(tmp)
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {tmp} RENAME TO {name}")
-    return spark.table(name)
+    """Store ``df`` as the managed table ``name`` and continue from the stored copy.
+
+    No name -> ``df`` unchanged.  The rows are first written to ``name__next``,
+    then the old table is dropped and the new one renamed, so ``df`` may read the
+    table it replaces.  Between drop and rename readers find no table; if the
+    application ends there, the next call for that name finishes the rename."""
+    return overwrite(df, name) if name else df
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -97,9 +117,9 @@ def resolve_source(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     raise LookupError(f"none of the tables exists: {list(names)}")
 
 
-def ctas(df: DataFrame, name: str, analyze: bool = True) -> DataFrame:
+def ctas(df: DataFrame, name: str, analyze: bool = True, path: str | None = None) -> DataFrame:
     """CREATE TABLE name AS SELECT, then ANALYZE so the optimizer sees its size."""
-    out = overwrite(df, name)
+    out = overwrite(df, name, path=path)
     if analyze:
         compute_statistics(df.sparkSession, name)
     return out
@@ -110,14 +130,21 @@ def compute_statistics(spark: SparkSession, name: str, columns: bool = True) ->
 
 
 def write_layout(df: DataFrame, name: str, cluster_by: Sequence[str], buckets: int,
-                 sort_by: Sequence[str] = (), codec: str = "zstd") -> DataFrame:
+                 sort_by: Sequence[str] = (), codec: str = "zstd", path: str | None = None) -> DataFrame:
     """Physical layout of a table: rows hashed into ``buckets`` by the join/group
     key (co-located joins and aggregations read it without an exchange), sorted
     within each bucket (parquet min/max statistics then skip row groups on
-    range filters), compressed with ``codec``."""
-    w = (df.write.format("parquet").mode("overwrite").option("compression", codec)
-         .option("path", table_path(df.sparkSession, name)))
-    w = w.bucketBy(buckets, *cluster_by)
+    range filters), compressed with ``codec``.
+
+    Rows are dealt to the buckets first, by the same hash: one file a bucket, in
+    order, instead of one per bucket and task.  A bucket holds whole keys, so a
+    very common key makes a large bucket; choose another layout for such keys."""
+    if path is None:
+        _durable(df.sparkSession)
+    w = (df.repartition(buckets, *cluster_by).write.format("parquet").mode("overwrite")
+         .option("compression", codec).bucketBy(buckets, *cluster_by))
+    if path:
+        w = w.option("path", path)
     if sort_by:
         w = w.sortBy(*sort_by)
     w.saveAsTable(name)

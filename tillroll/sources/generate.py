@@ -1,9 +1,10 @@
 """Distributed generator of synthetic sales transactions.
 
 One synthetic transaction per row of a driving frame (e.g. one per order),
-attributes drawn with seeded hashes of the row id, so every executor computes
-its own rows and the result does not depend on partitioning.  Customers come
-from the driving rows, so customers repeat across transactions.
+attributes drawn from md5 digests of (seed, attribute, row id), so every executor
+computes its own rows, the result does not depend on partitioning, and any
+engine with md5 can draw the same rows.  Customers come from the driving rows,
+so customers repeat across transactions.
 """
 
 from __future__ import annotations
@@ -11,65 +12,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values (vocabulary of the synthetic rows).
-FIRST_NAMES = ["Alice", "Bob", "Carol", "Dave", "Eve"]
-LAST_NAMES = ["Smith", "Johnson", "Brown", "Lee", "Garcia"]
-CITIES = ["New York", "San Francisco", "Chicago", "Austin", "Seattle"]
-PRODUCTS = [  # (category, product id, product name)
-    ("Electronics", "P100", "Smartphone"), ("Electronics", "P101", "Tablet"),
-    ("Electronics", "P102", "Headphones"),
-    ("Clothing", "P200", "T-Shirt"), ("Clothing", "P201", "Jacket"), ("Clothing", "P202", "Sneakers"),
-    ("Grocery", "P300", "Bananas"), ("Grocery", "P301", "Milk"), ("Grocery", "P302", "Bread"),
-    ("Toys", "P400", "Lego Set"), ("Toys", "P401", "Puzzle"), ("Toys", "P402", "Action Figure"),
-    ("Books", "P500", "Novel"), ("Books", "P501", "Comics"), ("Books", "P502", "Cookbook"),
-]
-PAYMENT_MODES = ["Credit Card", "Cash", "PayPal", "Gift Card", "Debit Card"]
-SALES_REPS = ["SR01", "SR02", "SR03", "SR04"]
+from tillroll.operators.relational import select_present
 
+GIVEN = ["Ines", "Tomas", "Wen", "Adaeze", "Mirko", "Salma", "Jonas"]
+FAMILY = ["Okafor", "Lindqvist", "Marchetti", "Tanaka", "Vasquez", "Novak"]
+TOWNS = ["Tilburg", "Porto Alegre", "Kumasi", "Tampere", "Nagoya", "Cork"]
+KINDS = ["Garden", "Kitchen", "Stationery", "Cycling"]
+GOODS = ["kettle", "trowel", "notebook", "bell", "ladle", "pump", "seed tray"]
+MODES = ["credit (chip)", "credit (online)", "debit (chip)", "cash", "voucher"]   # "credit"/"debit" decide the rule
+RANGE = 1 << 32
 
-def _unit(seed: int, salt: str, key: Column) -> Column:
-    """Deterministic uniform [0, 1) from (seed, salt, key)."""
-    h = F.xxhash64(F.lit(seed), F.lit(salt), key)
-    return (F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30))
 
+def draw(seed: int, what: str, key: Column) -> Column:
+    """A number in [0, 2**32): the first 8 hex digits of md5('seed|what|key')."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|{what}|"), key.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
-def _pick(values, u: Column) -> Column:
-    arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.floor(u * len(values)) + 1).cast("int"))
+
+def _pick(values: list[str], drawn: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (drawn % len(values) + 1).cast("int"))
 
 
 def generate_sales(base: DataFrame, id_col: str, customer_col: str, date_col: str,
                    seed: int = 42, id_offset: int = 1000) -> DataFrame:
     """Sales transactions with the 16-column schema, one per ``base`` row.
 
-    amount ~ U(5, 2000) rounded to cents, quantity 1..5, a discount of up to
-    20 % of the amount on about half of the rows, loyalty points = amount // 10,
-    date = ``date_col`` minus 0..30 days and up to a day of seconds.
+    Amounts are 5.00 to 1999.99 in cents, quantities 1 to 5, about half of the
+    rows have a discount of up to 20 %, about half are returns, loyalty points
+    are amount // 10, the date is ``date_col`` less 0 to 30 days and up to a day
+    of seconds.  All arithmetic is on integers (cents), so it is exact.
     """
-    k = F.col(id_col)
-    u = {s: _unit(seed, s, k) for s in
-         ("prod", "amt", "qty", "disc", "dval", "ret", "pay", "city", "rep", "fn", "ln", "day", "sec")}
-    prod = _pick([f"{c}|{i}|{n}" for c, i, n in PRODUCTS], u["prod"])
-    amount = F.round(F.lit(5.0) + u["amt"] * 1995.0, 2)
-    disc = u["disc"] < 0.5
-    ts = (F.col(date_col).cast("timestamp_ntz")
-          - F.make_dt_interval(F.floor(u["day"] * 31).cast("int"), F.lit(0), F.lit(0),
-                               F.floor(u["sec"] * 86400)))
-    parts = F.split(prod, r"\|")
+    key = F.col(id_col)
+    d = {w: draw(seed, w, key) for w in ("good", "kind", "cents", "quantity", "discount", "share", "return", "mode", "town",
+                                         "rep", "given", "family", "day", "second")}
+    cents = d["cents"] % 199500 + 500
+    off = F.when(d["discount"] % 2 == 0, F.floor(cents * (d["share"] % 21) / 100)).otherwise(F.lit(0))
+    when = F.col(date_col).cast("timestamp_ntz") - F.make_dt_interval(
+        (d["day"] % 31).cast("int"), F.lit(0), F.lit(0), (d["second"] % 86400).cast("decimal(18,6)"))
     return base.select(
-        F.concat(F.lit("T"), (k + id_offset).cast("string")).alias("transaction_id"),
+        F.concat(F.lit("G"), (key + id_offset).cast("string")).alias("transaction_id"),
         F.concat(F.lit("C"), F.col(customer_col).cast("string")).alias("customer_id"),
-        F.concat_ws(" ", _pick(FIRST_NAMES, u["fn"]), _pick(LAST_NAMES, u["ln"])).alias("customer_name"),
-        parts.getItem(1).alias("product_id"),
-        parts.getItem(2).alias("product_name"),
-        parts.getItem(0).alias("category"),
-        amount.alias("amount"),
-        (F.floor(u["qty"] * 5) + 1).cast("int").alias("quantity"),
-        ts.alias("transaction_date"),
-        _pick(PAYMENT_MODES, u["pay"]).alias("payment_mode"),
-        _pick(CITIES, u["city"]).alias("store_location"),
-        disc.alias("discount_applied"),
-        F.when(disc, F.round(u["dval"] * amount * 0.2, 2)).otherwise(F.lit(0.0)).alias("discount_amount"),
-        F.floor(amount / 10).cast("int").alias("loyalty_points_earned"),
-        (u["ret"] < 0.5).alias("is_return"),
-        _pick(SALES_REPS, u["rep"]).alias("sales_rep"))
+        F.concat_ws(" ", _pick(GIVEN, d["given"]), _pick(FAMILY, d["family"])).alias("customer_name"),
+        F.concat(F.lit("P"), (d["good"] % len(GOODS)).cast("string")).alias("product_id"),
+        _pick(GOODS, d["good"]).alias("product_name"),
+        _pick(KINDS, d["kind"]).alias("category"),
+        (cents / 100).cast("double").alias("amount"),
+        (d["quantity"] % 5 + 1).cast("int").alias("quantity"),
+        when.alias("transaction_date"),
+        _pick(MODES, d["mode"]).alias("payment_mode"),
+        _pick(TOWNS, d["town"]).alias("store_location"),
+        (d["discount"] % 2 == 0).alias("discount_applied"),
+        (off / 100).cast("double").alias("discount_amount"),
+        F.floor(cents / 1000).cast("int").alias("loyalty_points_earned"),
+        (d["return"] % 2 == 0).alias("is_return"),
+        F.concat(F.lit("SR"), (d["rep"] % 9).cast("string")).alias("sales_rep"))
+
+
+def append_generated(originals: DataFrame, generated: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The generated rows behind the original ones (columns of the originals; those
+    that a generated row lacks are null), in ``partitions`` partitions if given."""
+    out = originals.unionByName(select_present(generated, originals.columns), allowMissingColumns=True)
+    return out.repartition(partitions) if partitions else out

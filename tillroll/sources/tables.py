@@ -8,28 +8,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_FRAMES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst pushes filters and prunes columns into it.
-
-    The frame (file listing and footer schema) is memoized per session and
-    path, as a catalog caches relation metadata: a query that reads a table
-    several times resolves it once.  ``refresh_tables`` forgets them after the
-    files change."""
+    """Parquet scan; Catalyst pushes filters and prunes columns into it.  Files
+    are listed on every call, so changed folders are seen."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _FRAMES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _FRAMES[key] = spark.read.parquet(path)
-    return df
-
-
-def refresh_tables() -> None:
-    _FRAMES.clear()
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
