@@ -66,11 +66,11 @@ def test_near_pairs_against_brute_force(spark):
     r = random.Random(2)
     lines = []
     for k in range(40):
-        base = fresh(40 + k, k)
+        base = fresh(60 + k, k)
         lines.append(" ".join(base))
         for _ in range(r.randint(0, 3)):
             other = list(base)
-            for at in r.sample(range(len(other)), r.randint(1, 4)):
+            for at in r.sample(range(len(other)), r.randint(1, 3)):
                 other[at] = f"new{r.randint(0, 10 ** 6)}"
             lines.append(" ".join(other))
     docs = list(enumerate(lines))

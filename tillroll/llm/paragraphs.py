@@ -242,9 +242,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     another document.  Spans of clean documents don't appear.
 
     Null and empty texts have no units; rows that repeat a document under the
-    same id don't count as another document, and their spans come once; a row
-    with a null id is compared, but never first; repeats within one document are
-    left alone; an empty table gives an empty result; other columns aren't read."""
+    same id don't count as another document, and their spans come once; rows
+    with a null id are compared, but never first, and their spans are reported
+    together under the null id; repeats within one document are left alone; an empty table gives an empty result; other columns aren't read."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     n_bands = tuned_bands(similarity, rows, recall)
     units = cut(map_arrow(narrow, _units(n_bands, rows), "doc_id long, passage boolean, start int, stop int, "

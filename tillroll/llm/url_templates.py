@@ -90,7 +90,7 @@ def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: floa
             "host", "segments", "n", "labels", "bad",
             F.when(F.col("general").isNull(), F.col("path")).otherwise(F.concat("path", F.array("general"))).alias("path")),
             "url_tree")
-    share = tree.agg((F.sum("bad") / F.sum("labels")).alias("s")).first()[0] or 0.0
+    share = tree.agg(F.try_divide(F.sum("bad"), F.sum("labels")).alias("s")).first()[0] or 0.0
     groups = tree.groupBy("host", "path").agg(*[F.sum(c).alias(f"n_{c}") for c in ("n", "labels", "bad")])
     smoothed = (F.col("n_bad") + F.lit(prior * share)) / (F.col("n_labels") + F.lit(prior))
     return cut(tree.select("host", "segments", "path").join(groups, ["host", "path"]).select(
