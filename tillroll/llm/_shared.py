@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.session import shared_dir, unique_name
 
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -42,8 +43,14 @@ def on_workers(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema) -> DataFrame:
-    """``mapInArrow`` with the package available to the workers."""
-    on_workers(df.sparkSession)
+    """``mapInArrow`` with the package available to the workers, in batches of a bounded number of rows.
+
+    Rows hold whole texts, and a worker has a batch in several forms at a time;
+    a session that sets its own batch size keeps it."""
+    spark = df.sparkSession
+    on_workers(spark)
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 

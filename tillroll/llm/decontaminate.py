@@ -12,7 +12,6 @@ import hashlib
 import re
 from typing import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,60 +117,68 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     wins = benchmark_windows(benchmark)
     n_keys = wins.count()
     shards = max(1, -(-n_keys // max_keys))
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_row else []
-    out = docs.select(*row, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                      F.lit(None).cast("array<struct<a:int,b:int>>").alias("hits"),
-                      F.array().cast("array<string>").alias("items"))
+    if keep_row:
+        out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    else:
+        out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    first = StructType(out.schema.fields)
+    more = StructType.fromDDL("n_words long, n_hit long, items array<string>, n_items long, items_sha256 string, "
+                              "spans array<struct<start: int, end: int>>, contaminated boolean")
+    hits = StructType.fromDDL("hits array<struct<a: int, b: int>>, items array<string>")
+    done = StructType([f for f in first.fields if f.name != "text"] + more.fields)
     for shard in range(shards):
         part = wins.where(F.pmod(F.hash("words"), F.lit(shards)) == shard)
         keys = [(tuple(bytes(w) for w in r.words), sorted(r["items"])) for r in part.collect()]
-        out = map_arrow(out, _scanner(spark.sparkContext.broadcast(keys), unique_name("windows")), out.schema)
-    more = StructType.fromDDL("n_words long, n_hit long, items array<string>, n_items long, items_sha256 string, "
-                              "spans array<struct<start: int, end: int>>, contaminated boolean")
-    fields = StructType([f for f in out.schema.fields if f.name in ("row", "doc_id")] + more.fields)
-    return map_arrow(out, _digest, fields)
+        scan = _scanner(spark.sparkContext.broadcast(keys), unique_name("windows"), text_col if keep_row else None,
+                        shard == shards - 1)
+        out = map_arrow(out, scan, done if shard == shards - 1 else StructType(first.fields + hits.fields))
+    return out
 
 
 _BUILT: dict = {}
 
 
-def _scanner(keys, name: str):
+def _scanner(keys, name: str, in_row: str | None, last: bool):
+    """One scan: adds its hits to those of earlier scans; the last one writes the result."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _BUILT:            # one automaton per worker, not per task
             _BUILT.clear()
             _BUILT[name] = Windows(keys.value)
         windows = _BUILT[name]
         for b in batches:
-            hits, items = [], []
-            for t, h, i in zip(b.column("text").to_pylist(), b.column("hits").to_pylist(),
-                               b.column("items").to_pylist()):
-                spans, ids = windows.scan(words_of(t))
-                hits.append([{"a": x, "b": y} for x, y in merged(spans + [(s["a"], s["b"]) for s in h or ()])])
+            column = b.column("row").field(in_row).cast(pa.string()) if in_row else b.column("text")
+            texts, hits, items = column.to_pylist(), [], []
+            n = b.num_rows
+            before = (zip(b.column("hits").to_pylist(), b.column("items").to_pylist()) if "hits" in b.schema.names
+                      else [([], [])] * n)
+            n_words = []
+            for t, (h, i) in zip(texts, before):
+                words = words_of(t)
+                spans, ids = windows.scan(words)
+                hits.append(merged(spans + [(s["a"], s["b"]) for s in h]))
                 items.append(sorted(ids.union(i)))
-            done = {"hits": pa.array(hits, b.schema.field("hits").type),
-                    "items": pa.array(items, b.schema.field("items").type)}
-            yield pa.RecordBatch.from_arrays([done.get(c, b.column(c)) for c in b.schema.names], schema=b.schema)
+                n_words.append(len(words))
+            kept = [c for c in b.schema.names if c == "row" or c == "doc_id" or c == "text" and not last]
+            made = _result(texts, n_words, hits, items) if last else {
+                "hits": pa.array([[{"a": x, "b": y} for x, y in h] for h in hits],
+                                 pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+                "items": pa.array(items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + list(made.values()), kept + list(made))
     return scan
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        n_words, n_hit, digest, spans = [], [], [], []
-        for t, h, i in zip(b.column("text").to_pylist(), b.column("hits").to_pylist(), b.column("items").to_pylist()):
-            n_words.append(len(words_of(t)))
-            n_hit.append(sum(s["b"] - s["a"] for s in h))
-            digest.append(hashlib.sha256(",".join(i).encode()).hexdigest())
-            at = [m.span() for m in WORD.finditer(t)] if h else []
-            spans.append([{"start": at[s["a"]][0], "end": at[s["b"] - 1][1]} for s in h])
-        items = b.column("items")
-        kept = [b.column(c) for c in b.schema.names if c in ("row", "doc_id")]
-        yield pa.RecordBatch.from_arrays(
-            kept + [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), items,
-                    pa.array([len(x) for x in items.to_pylist()], pa.int64()), pa.array(digest, pa.string()),
-                    pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                    pa.array(np.array(n_hit, np.int64) > 0)],
-            [c for c in b.schema.names if c in ("row", "doc_id")]
-            + ["n_words", "n_hit", "items", "n_items", "items_sha256", "spans", "contaminated"])
+def _result(texts: list, n_words: list[int], hits: list, items: list) -> dict[str, pa.Array]:
+    n_hit = [sum(b - a for a, b in h) for h in hits]
+    spans = []
+    for t, h in zip(texts, hits):
+        at = [m.span() for m in WORD.finditer(t)] if h else []
+        spans.append([{"start": at[a][0], "end": at[b - 1][1]} for a, b in h])
+    return {
+        "n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
+        "items": pa.array(items, pa.list_(pa.string())), "n_items": pa.array([len(x) for x in items], pa.int64()),
+        "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+        "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+        "contaminated": pa.array([n > 0 for n in n_hit], pa.bool_())}
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from functools import cached_property
 from typing import Iterator
 
 import numpy as np
@@ -46,8 +47,7 @@ class WordTokens:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         byte_of = {c: b for b, c in _byte_letters().items()}
@@ -69,6 +69,11 @@ class WordTokens:
         self.merger = tiktoken.Encoding("words", pat_str=f"[^{WORD_END}]*{WORD_END}", mergeable_ranks=ranks,
                                         special_tokens={})
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text (null: none), without end tokens."""
         texts, sizes = pc.fill_null(texts, ""), pc.binary_length(texts).to_numpy(zero_copy_only=False)

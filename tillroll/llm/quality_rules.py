@@ -102,10 +102,23 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = np.array([text_counts(t) for t in b.column("text").to_pylist()], np.int64).reshape(-1, len(COUNTS))
-        rest = [b.column(i) for i, c in enumerate(b.schema.names) if c != "text"]
-        yield pa.RecordBatch.from_arrays(rest + [pa.array(rows[:, i]) for i in range(len(COUNTS))],
-                                         [c for c in b.schema.names if c != "text"] + list(COUNTS))
+        counts = _counted(b.column("text"))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("stratum"), *counts],
+                                         ["doc_id", "stratum", *COUNTS])
+
+
+def _counted(texts: pa.Array) -> list[pa.Array]:
+    rows = np.array([text_counts(t) for t in texts.cast(pa.string()).to_pylist()], np.int64).reshape(-1, len(COUNTS))
+    return [pa.array(rows[:, i]) for i in range(len(COUNTS))]
+
+
+def _count_rows(text_col: str):
+    """The same over whole rows (a struct that holds the text), which pass through."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts = _counted(b.column("row").field(text_col))
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("stratum"), *counts], ["row", "stratum", *COUNTS])
+    return count
 
 
 def quality_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -229,9 +242,8 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     counts = quality_counts(docs, id_col, text_col, stratum)
     cutoffs = [r.asDict() for r in choose_cutoffs(counts, good_labels(labels), **limits).collect()]
     names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.lit(0).cast("long").alias("doc_id"),
-                         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
-                         F.col(text_col).cast("string").alias("text"))
-    counted = map_arrow(packed, _count_batches, StructType(
-        packed.schema.fields[:-1] + [StructField(c, LongType()) for c in COUNTS]))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+                         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
+    counted = map_arrow(packed, _count_rows(text_col), StructType(
+        packed.schema.fields + [StructField(c, LongType()) for c in COUNTS]))
     return verdicts(counted, cutoffs).where("kept").select("row.*")

@@ -116,12 +116,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of ``docs`` come back instead, with all columns, each secret replaced
     (see ``redacted``)."""
     names = docs.columns
-    row = [F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")] if redact else []
-    narrow = docs.select(*row, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if not redact:
+        narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         return map_arrow(narrow, _scan(least), "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, "
                                                "base_sha256 string, spans string")
-    out = map_arrow(narrow, _redact(least), StructType([narrow.schema["row"]]).add("clean", "string"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    out = map_arrow(packed, _redact(text_col, least), StructType([packed.schema["row"]]).add("clean", "string"))
     swap = {text_col: F.col("clean").alias(text_col)}
     if "n_chars" in names:
         swap["n_chars"] = (F.when(F.col("clean") == F.col(f"row.`{text_col}`"), F.col("row.n_chars"))
@@ -169,9 +169,10 @@ def redacted(text: str | None, least: float) -> str | None:
     return "".join(out) + text[at:]
 
 
-def _redact(least: float):
+def _redact(text_col: str, least: float):
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            clean = pa.array([redacted(t, least) for t in b.column("text").to_pylist()], pa.string())
+            texts = b.column("row").field(text_col).cast(pa.string()).to_pylist()
+            clean = pa.array([redacted(t, least) for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays([b.column("row"), clean], ["row", "clean"])
     return redact
