@@ -68,8 +68,7 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
     e = (edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
          .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     e = cut(e, name)
-    mark = _mark(e)
-    while mark[0]:
+    while not _stars(e):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (both.where(F.col("b") > F.col("a")).join(low, "a")
@@ -78,15 +77,13 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
         small = (large.join(low, "a").where(F.col("b") != F.col("m"))
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).union(low).distinct())
         e = cut(small, name)
-        new = _mark(e)
-        if new == mark:
-            break
-        mark = new
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _mark(e: DataFrame) -> tuple:
-    """Count and order-free digest of an edge table: equal when nothing moved."""
-    return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
-                       F.sum(F.shiftright(F.xxhash64("b", "a"), 24))).first())
+def _stars(e: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one, or only edges from larger ones."""
+    ends = e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        e.select("b", F.lit(0), F.lit(1)))
+    return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+        "up > 1 or (up = 1 and down = 1)").limit(1).count()

@@ -96,7 +96,10 @@ def candidates(prints: DataFrame) -> DataFrame:
     flips = F.when(F.bit_count("half") % 2 == 0, _flips([0] + [1 << i for i in range(32)])).otherwise(_flips([0]))
     at = h.select("print", "side", "half", F.explode(flips).alias("m")).select(
         "print", (F.col("half").bitwiseXOR(F.col("m")) * 2 + F.col("side")).alias("key"))
-    met = at.groupBy("key").agg(F.min("print").alias("lo"), F.max("print").alias("hi")).where("lo != hi").select("key")
+    # where just two meet, their distance is known at once
+    met = (at.groupBy("key").agg(F.min("print").alias("lo"), F.max("print").alias("hi"), F.count(F.lit(1)).alias("n"))
+           .where((F.col("n") > 2) | ((F.col("n") == 2) & (F.bit_count(F.col("lo").bitwiseXOR(F.col("hi"))) <= RADIUS)))
+           .select("key"))
     return at.join(met, "key", "left_semi").select("print").distinct()
 
 
@@ -154,9 +157,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = _first_row(docs.join(keep, id_col, "left_semi"), id_col, names)
     # rows without an id: by their fingerprint, in components that have no id at all
     unnamed = map_arrow(
-        docs.where(F.col(id_col).isNull()).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-                                                  F.col(text_col).cast("string").alias("text")),
-        _print_rows, StructType([StructField("row", docs.select(F.struct(*[F.col(f"`{c}`") for c in names])).schema[0]
+        docs.where(F.col(id_col).isNull()).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")),
+        _print_rows(text_col), StructType([StructField("row", docs.select(F.struct(*[F.col(f"`{c}`") for c in names])).schema[0]
                                              .dataType), StructField("print", LongType())]))
     alone = unnamed.join(of.where("component_id is null"), "print").groupBy("root").agg(
         F.first("row").alias("row")).select("row.*")
@@ -170,7 +172,10 @@ def _first_row(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
     return rows.groupBy(F.col(key)).agg(F.min_by(rest, F.xxhash64(*plain)).alias("_row")).select("_row.*")
 
 
-def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        prints = np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(prints)], ["row", "print"])
+def _print_rows(text_col: str):
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column("row").field(text_col).cast(pa.string()).to_pylist()
+            found = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(found)], ["row", "print"])
+    return prints
