@@ -222,8 +222,9 @@ def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float) -> DataF
         table[r.word] = np.uint64(r.bits & (1 << 64) - 1)
     bits = spark.sparkContext.broadcast(table.tobytes())
     sets = map_arrow(docs, _shingle_sets(bits), "one long, two long, shingles array<long>")
-    sets = cut(sets.join(met.select(F.col("unit").alias("one")).distinct(), "one", "left_semi")
-               .dropDuplicates(["one"]).select(F.col("one").alias("unit"), "shingles"), "paragraph_shingles")
+    # copies go before the exchange: a very common paragraph is one row a task
+    sets = cut(sets.dropDuplicates(["one"]).join(met.select(F.col("unit").alias("one")).distinct(), "one", "left_semi")
+               .select(F.col("one").alias("unit"), "shingles"), "paragraph_shingles")
     both = (pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b"))
     shared = F.size(F.array_intersect("x", "y"))
