@@ -84,6 +84,41 @@ def test_near_pairs_against_brute_force(spark):
     assert len(pairs) > 20 and hit >= 0.97 * len(pairs)
 
 
+def test_few_near_pairs_in_a_group_of_thousands(spark):
+    """Letters share most of their shingles and meet in band groups, at similarity 0.78; only 30 pairs are near."""
+    common = fresh(90, 1)
+    docs = [(i, " ".join(common + fresh(12, 100 + i))) for i in range(2000)]
+    pairs = []
+    for k in range(30):
+        words = docs[61 * k][1].split()
+        words[93], words[98] = f"new{k}", f"more{k}"
+        pairs.append((61 * k, len(docs)))
+        docs.append((len(docs), " ".join(words)))
+    assert jaccard(docs[0][1], docs[1][1]) < 0.8 <= min(jaccard(docs[i][1], docs[j][1]) for i, j in pairs)
+    lines = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", "text")
+    units = P.map_arrow(lines, P._units(P.tuned_bands(), P.ROWS), "doc_id long, passage boolean, start int, stop int, "
+                        "n_words int, one long, two long, bands array<long>").where("not passage").cache()
+    unit = {r.doc_id: r.one for r in units.collect()}
+    assert units.selectExpr("explode(bands) as key").groupBy("key").count().selectExpr("max(count)").first()[0] > 1000
+    got = {(r.a, r.b) for r in P.near_pairs(lines, units.selectExpr("one as unit", "bands"), P.SIMILARITY).collect()}
+    assert got == {tuple(sorted((unit[i], unit[j]))) for i, j in pairs}
+
+
+def test_prefix_pairs_miss_none(spark):
+    r = random.Random(4)
+    sets = {u: r.sample(range(60), r.randint(20, 40)) for u in range(60)}
+    for u in range(60, 140):
+        sets[u] = list(set(sets[u % 60][2:] + [r.randint(0, 70)]))
+    rows = spark.createDataFrame(list(sets.items()), "unit long, shingles array<long>")
+    linked = spark.createDataFrame([(u, 0) for u in range(5)], "node long, component long")
+    component = {u: 0 if u < 5 else u for u in sets}
+    want = {(a, b) for a in sets for b in sets if a < b and component[a] != component[b]
+            and len(set(sets[a]) & set(sets[b])) >= 0.8 * len(set(sets[a]) | set(sets[b]))}
+    for block in (4, 1000):
+        out = [(x.a, x.b) for x in P.prefix_pairs(rows, linked, 0.8, block).collect()]
+        assert len(want) > 50 and want <= set(out) and len(out) == len(set(out))
+
+
 def test_edge_rows(spark):
     out = P.repeated_passages(edge_docs(spark)).collect()
     # 1, 2, 8 and the row without an id share a paragraph; 6 and 7 a very long one

@@ -4,9 +4,11 @@ Two kinds of units are compared across documents:
 
 * paragraphs (lines of at least ``MIN_WORDS`` words), by MinHash over five-word
   shingles.  The number of bands is tuned to the wanted recall at the similarity
-  threshold; paragraphs that share a band are paired with the group's smallest
-  member and with their neighbours in the group, pairs are verified by the exact
-  Jaccard similarity, and verified pairs are clustered by connected components.
+  threshold, and all members of a band's group are compared: the pairs of a small
+  group are formed; in a large one its smallest member and neighbours are linked
+  first, and what these links leave apart is compared by a prefix filter, which
+  is exact for the threshold.  Pairs are verified by the exact Jaccard
+  similarity, and verified pairs are clustered by connected components.
 * passages inside longer paragraphs, which a paragraph signature can't show:
   windows of 24 words that begin at MinHash-sampled places (the smallest shingle
   hash of every 28 neighbouring ones).  A copied passage of 51 words has such a
@@ -34,6 +36,7 @@ MIN_WORDS = 25                     # shorter lines are no passage
 WINDOW, SAMPLE = 24, 28            # words of a passage unit; neighbouring places of which one is taken
 PASSAGE = WINDOW + SAMPLE - 1      # the shortest passage that is surely found: 51 words
 ROWS, RECALL = 5, 0.99
+SMALL, BLOCK = 8, 256              # largest group whose pairs are formed; rows of a key that are joined at a time
 AT_ONCE = 1 << 21                  # code points of text that are hashed together
 SLOTS = 1 << 24                    # bits of the map of wanted paragraphs (2 MB, whatever the input)
 WORD = re.compile(r"\S+")
@@ -202,33 +205,103 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([max(p) for p in pairs], pa.int64())], ["a", "b"])
 
 
+def _bitmap(units: DataFrame, name: str):
+    """A broadcast bit map of fixed size of the 64-bit column ``name``."""
+    slot = F.col(name).bitwiseAND(F.lit(SLOTS - 1))
+    words = (units.select(slot.alias("slot")).distinct().groupBy(F.shiftright("slot", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")))
+    table = np.zeros(SLOTS // 64, np.uint64)
+    for r in words.collect():                        # at most SLOTS / 64 rows
+        table[r.word] = np.uint64(r.bits & (1 << 64) - 1)
+    return units.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    both = (pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b"))
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def prefix_pairs(sets: DataFrame, linked: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of units of different components that may be near; none that is near is missing.
+
+    In any common order of the shingles, sets at similarity t share one among
+    the first n - t n + 1 of the larger set and the first n - 2 t n / (1 + t) + 1
+    of the smaller; rare shingles come first, so that few pairs meet.  What
+    follows the shared place bounds the overlap.  Of a shingle's units, those
+    within its largest component aren't joined to each other; the others are, in
+    sub-blocks of about ``block`` rows a side, so no task holds them all."""
+    tokens = sets.select("unit", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    ranked = (tokens.join(often, "shingle").groupBy("unit", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("ranked")))
+
+    def first(share: float):                          # places of a prefix
+        return F.col("n") - F.ceil(F.col("n") * F.lit(share) - F.lit(1e-9)) + 1
+    overlap = 2 * similarity / (1 + similarity)
+    prefix = (ranked.select("unit", "n", F.posexplode(F.slice("ranked", F.lit(1), first(similarity).cast("int")))
+                            .alias("place", "token")).where("token.often > 1")
+              .join(linked.select(F.col("node").alias("unit"), "component"), "unit", "left")
+              .select(F.col("token.shingle").alias("shingle"), "unit", "n", "place",
+                      F.coalesce("component", "unit").alias("component"), (F.col("place") < first(overlap)).alias("early")))
+    prefix = cut(prefix, "paragraph_prefixes")
+    parts = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"), F.max("early").alias("early"))
+    keys = (parts.groupBy("shingle").agg(F.sum("rows").alias("rows"), F.max(F.struct("rows", "component")).alias("top"),
+                                         F.max("early").alias("early"))
+            .where("early and rows > top.rows"))
+    keys = keys.select("shingle", F.col("top.component").alias("major"), F.ceil(F.col("rows") / block).cast("int").alias("all"),
+                       F.ceil((F.col("rows") - F.col("top.rows")) / block).cast("int").alias("others"))
+    met = cut(prefix.join(keys, "shingle").withColumn("other", F.col("component") != F.col("major")), "paragraph_met")
+
+    def joined(left, lefts: str, right, rights: str):
+        spot = F.xxhash64("unit")
+        x = left.select("shingle", F.pmod(spot, lefts).cast("int").alias("i"),
+                        F.explode(F.sequence(F.lit(0), F.col(rights) - 1)).alias("j"),
+                        *[F.col(c).alias(f"{c}_x") for c in ("unit", "n", "place", "component")])
+        y = right.select("shingle", F.explode(F.sequence(F.lit(0), F.col(lefts) - 1)).alias("i"),
+                         F.pmod(spot, rights).cast("int").alias("j"),
+                         *[F.col(c).alias(f"{c}_y") for c in ("unit", "n", "place", "component")])
+        enough = (F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+                  >= (F.col("n_x") + F.col("n_y")) * (overlap / 2) - 1e-9)
+        return (x.join(y, ["shingle", "i", "j"])
+                .where((F.struct("n_x", "unit_x") < F.struct(F.col("n_y").alias("n_x"), F.col("unit_y").alias("unit_x")))
+                       & (F.col("component_x") != F.col("component_y"))
+                       & (F.col("n_x") >= F.col("n_y") * similarity - 1e-9) & enough)
+                .select(F.least("unit_x", "unit_y").alias("a"), F.greatest("unit_x", "unit_y").alias("b")))
+    return (joined(met.where("early and other"), "others", met, "all")
+            .union(joined(met.where("early and not other"), "all", met.where("other"), "others")).distinct())
+
+
 def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs (a, b) of the distinct paragraphs (unit, bands)."""
+    """Verified pairs (a, b) of the distinct paragraphs (unit, bands).
+
+    All pairs of the groups are judged, except those that verified pairs connect
+    already."""
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = distinct.select("unit", F.explode("bands").alias("key"))
-    groups = keys.groupBy("key").agg(F.min("unit").alias("hub"), F.max("unit").alias("top")).where("hub != top")
-    met = cut(keys.join(groups.select("key", "hub"), "key"), "paragraph_groups")
-    order = met.select("key", "unit").repartitionByRange(tasks, "key", "unit").sortWithinPartitions("key", "unit")
-    pairs = (met.where("hub != unit").select(F.col("hub").alias("a"), F.col("unit").alias("b"))
+    groups = (keys.groupBy("key").agg(F.min("unit").alias("hub"), F.max("unit").alias("top"),
+                                      F.count(F.lit(1)).alias("members")).where("hub != top"))
+    met = cut(keys.join(groups.select("key", "hub", "members"), "key"), "paragraph_groups")
+    few, many = met.where(F.col("members") <= SMALL), met.where(F.col("members") > SMALL)
+    order = many.select("key", "unit").repartitionByRange(tasks, "key", "unit").sortWithinPartitions("key", "unit")
+    pairs = (few.select("key", F.col("unit").alias("a")).join(few.select("key", F.col("unit").alias("b")), "key")
+             .where("a < b").select("a", "b")
+             .union(many.where("hub != unit").select(F.col("hub").alias("a"), F.col("unit").alias("b")))
              .union(map_arrow(order, _neighbours, "a long, b long")).distinct())
     pairs = cut(pairs, "paragraph_pairs")
     # the shingles of the paragraphs in pairs, found again in the texts through a bit map of fixed size
-    slot = F.col("unit").bitwiseAND(F.lit(SLOTS - 1))
-    wanted = (met.select(slot.alias("slot")).distinct().groupBy(F.shiftright("slot", 6).alias("word"))
-              .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")))
-    table = np.zeros(SLOTS // 64, np.uint64)
-    for r in wanted.collect():                       # at most SLOTS / 64 rows
-        table[r.word] = np.uint64(r.bits & (1 << 64) - 1)
-    bits = spark.sparkContext.broadcast(table.tobytes())
-    sets = map_arrow(docs, _shingle_sets(bits), "one long, two long, shingles array<long>")
+    sets = map_arrow(docs, _shingle_sets(_bitmap(met, "unit")), "one long, two long, shingles array<long>")
     # copies go before the exchange: a very common paragraph is one row a task
     sets = cut(sets.dropDuplicates(["one"]).join(met.select(F.col("unit").alias("one")).distinct(), "one", "left_semi")
                .select(F.col("one").alias("unit"), "shingles"), "paragraph_shingles")
-    both = (pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    near = cut(_verified(pairs, sets, similarity), "paragraph_near")
+    large = many.select("unit").distinct()
+    if large.isEmpty():
+        return near
+    rest = prefix_pairs(sets.join(large, "unit", "left_semi"), connected(near, "paragraph_near_links"), similarity)
+    return near.union(_verified(cut(rest, "paragraph_prefix_pairs"), sets, similarity))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
