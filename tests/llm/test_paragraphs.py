@@ -30,6 +30,21 @@ def test_windows_sample_the_same_places_of_a_passage():
         assert set(zip(x[2].tolist(), x[3].tolist())) & set(zip(y[2].tolist(), y[3].tolist()))
 
 
+def wrapped(words, width):
+    return "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
+
+
+def test_passages_are_found_across_line_ends(spark):
+    """A passage of 60 words in lines of 12, and in lines of 7 in its copy."""
+    passage = fresh(60, 1)
+    docs = [(1, wrapped(fresh(30, 2), 12) + "\n" + wrapped(passage, 12) + "\n" + wrapped(fresh(40, 3), 12)),
+            (2, wrapped(fresh(45, 4), 7) + "\n" + wrapped(passage, 7) + "\n" + wrapped(fresh(20, 5), 7)),
+            (3, wrapped(fresh(200, 6), 12))]
+    out = P.repeated_passages(edge_docs(spark, docs)).collect()
+    assert {(r.doc_id, r.first_doc, r.removed) for r in out} == {(1, 1, False), (2, 1, True)}
+    assert all(dict(docs)[r.doc_id][r.start:r.stop].split() == passage for r in out)
+
+
 def planted():
     """Documents 0-99 are clean; 100-119 share passages; 120-139 have near copies of paragraphs; 140-149 are copies."""
     docs = [(i, "\n".join(" ".join(fresh(60, 100 * i + k)) for k in range(3)) + "\nShort line that all documents share.")

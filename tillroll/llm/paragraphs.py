@@ -9,10 +9,12 @@ Two kinds of units are compared across documents:
   first, and what these links leave apart is compared by a prefix filter, which
   is exact for the threshold.  Pairs are verified by the exact Jaccard
   similarity, and verified pairs are clustered by connected components.
-* passages inside longer paragraphs, which a paragraph signature can't show:
-  windows of 24 words that begin at MinHash-sampled places (the smallest shingle
-  hash of every 28 neighbouring ones).  A copied passage of 51 words has such a
-  place in all its copies, whatever surrounds it.  Windows are equal or not.
+* passages of 51 words or more, whatever surrounds them and the lines they are laid
+  out in: windows of 24 words of the whole text's word stream that begin at
+  MinHash-sampled places (the smallest shingle hash of every 28 neighbouring ones)
+  are found first; each 51 words have such a place.  Then all windows of 51 words
+  around a place that documents share are compared, at every word, so that their
+  union is the whole shared run.
 
 Equal units collapse to one row before anything is paired, so copies cost one
 aggregate however many there are.
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from tillroll.llm._shared import connected, cut, map_arrow
 
 SHINGLE, SIMILARITY = 5, 0.8
-MIN_WORDS = 25                     # shorter lines are no passage
+MIN_WORDS = 25                     # shorter lines are no paragraph
 WINDOW, SAMPLE = 24, 28            # words of a passage unit; neighbouring places of which one is taken
 PASSAGE = WINDOW + SAMPLE - 1      # the shortest passage that is surely found: 51 words
 ROWS, RECALL = 5, 0.99
@@ -57,33 +59,40 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hashed:
-    """The lines of some texts as flat arrays of shingle hashes."""
+    """Some texts as flat arrays of shingle hashes: of their paragraphs, and of their whole word streams."""
 
     def __init__(self, docs: list, texts: list[str | None]):
-        self.doc, self.span, flat, sizes, self.words = [], [], [], [], []
+        self.docs, self.texts, self.doc, self.span = docs, texts, [], []
+        flat, lines, lengths = [], [], []
         for d, t in zip(docs, texts):
-            at = 0
+            at, before = 0, len(flat)
             for line in (t or "").split("\n"):
                 words = line.lower().split()
+                flat += words
+                lines.append(len(words))
                 if len(words) >= MIN_WORDS:
                     self.doc.append(d)
                     self.span.append((at, at + len(line)))
-                    flat += words
-                    sizes.append(len(words))
-                    self.words.append(line if len(words) >= PASSAGE else None)
                 at += len(line) + 1
-        self.sizes = np.array(sizes, np.int64)
-        self.first = np.cumsum(self.sizes) - self.sizes
+            lengths.append(len(flat) - before)
+        count, self.lengths = np.array(lines, np.int64), np.array(lengths, np.int64)
+        kept = count >= MIN_WORDS
+        self.sizes = count[kept]
         word = pd.util.hash_array(np.array(flat, dtype=object)) if flat else np.zeros(0, np.uint64)
         n = max(0, len(word) - SHINGLE + 1)
         hashes = np.zeros(n, np.uint64)
         for j in range(SHINGLE):
             hashes = hashes * M1 + word[j:j + n]
-        line = np.repeat(np.arange(len(sizes)), self.sizes)
-        whole = line[:n] == line[SHINGLE - 1:] if n else np.zeros(0, bool)      # within one line
-        self.hash, self.line = _mix(hashes[whole]), line[:n][whole]
-        self.place = (np.arange(len(word)) - self.first[line])[:n][whole] if n else line[:0]
-        self.begin = self.first - np.arange(len(sizes)) * (SHINGLE - 1)        # a line's first shingle
+        hashes, place = _mix(hashes), np.arange(n)
+        line, text = np.repeat(np.arange(len(count)), count), np.repeat(np.arange(len(texts)), self.lengths)
+        begin, end = line[:n], line[len(line) - n:]
+        whole = (begin == end) & kept[begin]                                   # within one paragraph
+        self.hash, self.line = hashes[whole], (np.cumsum(kept) - 1)[begin[whole]]
+        self.place = place[whole] - (np.cumsum(count) - count)[begin[whole]]
+        self.begin = np.cumsum(self.sizes) - self.sizes - np.arange(len(self.sizes)) * (SHINGLE - 1)
+        whole = text[:n] == text[len(text) - n:]                               # within one text
+        self.stream, self.text = hashes[whole], text[:n][whole]
+        self.at = place[whole] - (np.cumsum(self.lengths) - self.lengths)[self.text]
 
     def identities(self) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit digests of each line's words in order."""
@@ -109,33 +118,62 @@ class Hashed:
             out[:, band] = _mix(key)
         return out
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Sampled passages: line, first word, and two digests of the 24 words."""
-        last = WINDOW - SHINGLE                                      # shingles after the first that the window has
-        n = len(self.hash) - SAMPLE + 1
-        none = np.zeros(0, np.int64)
+    def sampled(self) -> np.ndarray:
+        """Where in the stream sampled passages begin."""
+        n = len(self.stream) - SAMPLE + 1
         if n <= 0:
-            return none, none, none.astype(np.uint64), none.astype(np.uint64)
-        fits = self.place + WINDOW <= self.sizes[self.line]          # the window ends within the line
+            return np.zeros(0, np.int64)
+        fits = self.at + WINDOW <= self.lengths[self.text]           # the window ends within the text
         low = np.uint64((1 << 20) - 1)
-        rank = (self.hash & ~low) | (self.place.astype(np.uint64) & low)
+        rank = (self.stream & ~low) | (self.at.astype(np.uint64) & low)
         smallest, width = rank, 1
         while 2 * width <= SAMPLE:
             smallest = np.minimum(smallest[:-width], smallest[width:])
             width *= 2
         smallest = np.minimum(smallest[:n], smallest[SAMPLE - width:SAMPLE - width + n])
-        inside = (self.line[:n] == self.line[SAMPLE - 1:]) & fits[SAMPLE - 1:]
+        inside = (self.text[:n] == self.text[SAMPLE - 1:]) & fits[SAMPLE - 1:]
         start = np.flatnonzero(inside)
-        # where each window's smallest is: its low bits are the place in the line
-        place = (smallest[start] & low).astype(np.int64) + (self.place[start] >> 20 << 20)
-        place = np.where(place < self.place[start], place + (1 << 20), place)
-        at = np.unique(start - self.place[start] + place)
-        line, first = self.line[at], self.place[at]
+        # where each window's smallest is: its low bits are the place in the text
+        place = (smallest[start] & low).astype(np.int64) + (self.at[start] >> 20 << 20)
+        place = np.where(place < self.at[start], place + (1 << 20), place)
+        return np.unique(start - self.at[start] + place)
+
+    def digests(self, at: np.ndarray, words: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """Two digests of the words from each place of the stream."""
         one, two = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-        for step in (0, 5, 10, 15, last):
-            one = one * M1 + self.hash[at + step]
-            two = two * M2 + _mix(self.hash[at + step] ^ M1)
-        return line, first, _mix(one), _mix(two)
+        for step in (*range(0, words - SHINGLE, SHINGLE), words - SHINGLE):   # up to the last shingle that they have
+            one = one * M1 + self.stream[at + step]
+            two = two * M2 + _mix(self.stream[at + step] ^ M1)
+        return _mix(one), _mix(two)
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sampled passages: text, first word, and two digests of the 24 words."""
+        at = self.sampled()
+        return self.text[at], self.at[at], *self.digests(at)
+
+    def passages(self, wanted: np.ndarray) -> np.ndarray:
+        """Where in the stream passages begin that have a sampled place on the map."""
+        at = self.sampled()
+        at = at[_on_map(wanted, self.digests(at)[0])]
+        step = np.zeros(len(self.stream) + 1, np.int64)
+        np.add.at(step, np.maximum(at - (SAMPLE - 1), at - self.at[at]), 1)   # not before the text
+        np.add.at(step, at + 1, -1)
+        near = np.flatnonzero(np.cumsum(step)[:-1])
+        return near[self.at[near] + PASSAGE <= self.lengths[self.text[near]]]
+
+    def spans(self, text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Code points where the passages from these words begin and end; ``text`` is in order."""
+        start, stop = np.zeros(len(text), np.int32), np.zeros(len(text), np.int32)
+        for i in np.unique(text).tolist():
+            low, high = np.searchsorted(text, [i, i + 1])
+            span = np.array([m.span() for m in WORD.finditer(self.texts[i])], np.int32)
+            start[low:high], stop[low:high] = span[first[low:high], 0], span[first[low:high] + PASSAGE - 1, 1]
+        return start, stop
+
+
+def _on_map(wanted: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    slot = (digest & np.uint64(SLOTS - 1)).astype(np.int64)
+    return np.flatnonzero(wanted[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1))
 
 
 def _batched(docs: list, texts: list) -> Iterator[Hashed]:
@@ -164,18 +202,12 @@ def _units(n_bands: int, rows: int):
                      pa.array([a for a, _ in h.span], pa.int32()), pa.array([b for _, b in h.span], pa.int32()),
                      pa.array(h.sizes.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                      bands], names)
-                line, first, one, two = h.windows()
-                spans, at = [], {}
-                for i, p in zip(line.tolist(), first.tolist()):
-                    if i not in at:
-                        at = {i: [m.span() for m in WORD.finditer(h.words[i])]}
-                    a = h.span[i][0]
-                    spans.append((a + at[i][p][0], a + at[i][p + WINDOW - 1][1]))
+                text, _, one, _ = h.windows()
+                n = len(text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([h.doc[i] for i in line.tolist()], pa.int64()), pa.array([True] * len(line), pa.bool_()),
-                     pa.array([a for a, _ in spans], pa.int32()), pa.array([b for _, b in spans], pa.int32()),
-                     pa.array(np.full(len(line), WINDOW, np.int32)), pa.array(one.view(np.int64)),
-                     pa.array(two.view(np.int64)), pa.nulls(len(line), pa.list_(pa.int64()))], names)
+                    [pa.array([h.docs[i] for i in text.tolist()], pa.int64()), pa.array([True] * n, pa.bool_()),
+                     *[pa.nulls(n, pa.int32())] * 3, pa.array(one.view(np.int64)), pa.nulls(n, pa.int64()),
+                     pa.nulls(n, pa.list_(pa.int64()))], names)
     return units
 
 
@@ -185,8 +217,7 @@ def _shingle_sets(bits):
         for b in batches:
             for h in _batched(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 one, two = h.identities()
-                slot = (one & np.uint64(SLOTS - 1)).astype(np.int64)
-                hit = np.flatnonzero(wanted[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1))
+                hit = _on_map(wanted, one)
                 found = [np.unique(h.hash[h.begin[i]:h.begin[i] + h.sizes[i] - SHINGLE + 1]).view(np.int64) for i in hit]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(one[hit].view(np.int64)), pa.array(two[hit].view(np.int64)),
@@ -194,6 +225,22 @@ def _shingle_sets(bits):
     return sets
 
 
+def _passages(bits):
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.frombuffer(bits.value, np.uint64)
+        for b in batches:
+            for h in _batched(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                at = h.passages(wanted)
+                text = h.text[at]
+                one, two = h.digests(at, PASSAGE)
+                start, stop = h.spans(text, h.at[at])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h.docs[i] for i in text.tolist()], pa.int64()), pa.array(start), pa.array(stop),
+                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
+                    ["doc_id", "start", "stop", "one", "two"])
+    return passages
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, unit) in order -> pairs of units that are first or second neighbours in a group."""
     held: list[tuple] = []
@@ -309,7 +356,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per repeated span of a document: doc_id, start, stop, n_units, first_doc, class_ids, removed.
 
     A span is a union of overlapping units (paragraphs or passages) that occur,
-    alike or near, in other documents; start and stop are code points.
+    alike or near, in other documents; start and stop are code points.  A passage
+    unit has 51 words, so a longer shared run is covered from end to end and a
+    shorter one is no passage.
     ``class_ids`` names the units' classes (connected paragraphs, or equal
     passages), ``first_doc`` the smallest document that has one of them, and
     ``removed`` says that the span repeats an earlier document's: first_doc is
@@ -325,22 +374,29 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                           "n_words int, one long, two long, bands array<long>"), "paragraph_units")
     span = (F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("named"),
             F.count(F.lit(1)).alias("n"))
-    distinct = cut(units.groupBy("one", "two", "passage").agg(*span), "paragraph_distinct")
+    several = (F.col("low") < F.col("high")) | ((F.col("named") > 0) & (F.col("n") > F.col("named"))) | (
+        (F.col("named") == 0) & (F.col("n") > 1))
     # paragraphs: distinct ones with their bands, linked where near
-    lines = units.where("not passage").dropDuplicates(["one"]).select(F.col("one").alias("unit"), "bands")
+    paragraphs = units.where("not passage")
+    distinct = cut(paragraphs.groupBy("one", "two").agg(*span), "paragraph_distinct")
+    lines = paragraphs.dropDuplicates(["one"]).select(F.col("one").alias("unit"), "bands")
     linked = connected(near_pairs(narrow, lines, similarity), "paragraph_links")
-    classes = distinct.join(linked.select(F.col("node").alias("one"), F.col("component"), F.lit(False).alias("passage")),
-                            ["one", "passage"], "left")
+    classes = distinct.join(linked.select(F.col("node").alias("one"), "component"), "one", "left")
     classes = classes.withColumn("class_id", F.coalesce("component", "one"))
-    several = (F.col("low") < F.col("high")) | ((F.col("named") > 0) & (F.col("n") > F.col("named"))) | (
-        (F.col("named") == 0) & (F.col("n") > 1))
-    whole = classes.groupBy("class_id", "passage").agg(
+    whole = classes.groupBy("class_id").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("named").alias("named"),
-        F.sum("n").alias("n")).where(several).select("class_id", "passage", F.col("low").alias("first_doc"))
-    repeated = cut(classes.select("one", "two", "passage", "class_id").join(whole, ["class_id", "passage"]),
-                   "paragraph_repeated")
-    hits = units.select("doc_id", "passage", "start", "stop", "one", "two").join(
-        repeated, ["one", "two", "passage"]).select("doc_id", "start", "stop", "class_id", "first_doc").distinct()
+        F.sum("n").alias("n")).where(several).select("class_id", F.col("low").alias("first_doc"))
+    repeated = cut(classes.select("one", "two", "class_id").join(whole, "class_id"), "paragraph_repeated")
+    # passages: all around the sampled windows that documents share
+    shared = units.where("passage").groupBy("one").agg(*span).where(several)
+    places = cut(map_arrow(narrow, _passages(_bitmap(shared, "one")),
+                           "doc_id long, start int, stop int, one long, two long"), "paragraph_passages")
+    passages = cut(places.groupBy("one", "two").agg(*span).where(several)
+                   .select("one", "two", F.col("one").alias("class_id"), F.col("low").alias("first_doc")),
+                   "paragraph_shared")
+    found = ("doc_id", "start", "stop", "class_id", "first_doc")
+    hits = (paragraphs.select("doc_id", "start", "stop", "one", "two").join(repeated, ["one", "two"]).select(*found)
+            .union(places.join(passages, ["one", "two"]).select(*found)).distinct())
     # overlapping units of a document become one span
     by_start = Window.partitionBy("doc_id").orderBy("start", "stop", "class_id")
     reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
