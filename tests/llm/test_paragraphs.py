@@ -45,6 +45,25 @@ def test_passages_are_found_across_line_ends(spark):
     assert all(dict(docs)[r.doc_id][r.start:r.stop].split() == passage for r in out)
 
 
+def test_spans_are_the_whole_shared_run(spark):
+    """Passages of 51 to 400 words, and a pair that shares more with each other than with the first document."""
+    docs, planted = [], {}
+    for k, n in enumerate((51, 55, 60, 79, 120, 400)):
+        passage = fresh(n, 50 + k)
+        for c in range(2):
+            docs.append((2 * k + c, " ".join(fresh(37 + 9 * k + 20 * c, 700 + 2 * k + c) + passage
+                                             + fresh(90 - 9 * k, 900 + 2 * k + c))))
+            planted[2 * k + c] = passage
+    long = fresh(130, 3)
+    docs += [(20, " ".join(fresh(40, 4) + long[30:90] + fresh(40, 5))),
+             (21, " ".join(fresh(70, 6) + long + fresh(40, 7))), (22, " ".join(fresh(15, 8) + long + fresh(80, 9)))]
+    planted |= {20: long[30:90], 21: long, 22: long}
+    docs += [(30, " ".join(fresh(60, 10) + fresh(50, 11))), (31, " ".join(fresh(50, 11) + fresh(60, 12)))]   # one word short
+    out = P.repeated_passages(edge_docs(spark, docs)).collect()
+    assert {r.doc_id: dict(docs)[r.doc_id][r.start:r.stop].split() for r in out} == planted
+    assert len(out) == len(planted)
+
+
 def planted():
     """Documents 0-99 are clean; 100-119 share passages; 120-139 have near copies of paragraphs; 140-149 are copies."""
     docs = [(i, "\n".join(" ".join(fresh(60, 100 * i + k)) for k in range(3)) + "\nShort line that all documents share.")
