@@ -42,6 +42,33 @@ def test_novelty_tells_keys_from_names():
     assert S.novelty(KEY, f"seen before {KEY} ", "") < S.LEAST
 
 
+NAMES = ("SECRET_KEY = '", "secretKey: '", "token_value=", "password_prod = '", "Authorization: Bearer ",
+         '"private_key":\n    "')
+ALPHABETS = {"hex": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+             "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+def test_random_strings_of_any_length_and_alphabet_are_found():
+    for kind, alphabet in ALPHABETS.items():
+        for n in (16, 24, 32, 48, 64, 88, 128, 256, 400, 800, 2000):
+            found = tried = 0
+            for k in range(24):
+                key = "".join(random.Random(f"{kind} {n} {k}").choices(alphabet, k=n))
+                if any(map(str.isdigit, key)) and any(map(str.isalpha, key)):
+                    name = NAMES[k % len(NAMES)]
+                    tried += 1
+                    found += (len(name), 3, len(name) + n) in S.secret_spans(f"{name}{key}' # end", S.LEAST)
+            assert found >= 0.95 * tried, (kind, n, found, tried)
+
+
+def test_long_names_and_words_are_no_secrets():
+    texts = ["the passage /en/articles/2024/how-to-make-the-best-bread-in-your-own-kitchen-without-an-oven-and-other-stories",
+             "token_file = /usr/local/share/application/config/version2/default/token/settings/production/template/data",
+             "secret_name: " + "name_of_the_service_account_in_region_2_" * 6,
+             "tokenization of " + KEY, "by the author " + KEY]
+    assert [S.secret_spans(t, S.LEAST) for t in texts] == [[]] * len(texts)
+
+
 def test_edge_rows_and_novel_spans(spark):
     rows = edge_texts() + MORE
     out = S.scan_secrets(edge_docs(spark, rows)).collect()

@@ -5,13 +5,18 @@ Further candidates are long mixed strings close behind a sensitive word.  A
 candidate's novelty is the number of bytes it adds to a zstandard frame whose
 dictionary holds code identifiers and the surrounding text, with the candidate
 itself blanked out: names, paths and repeated phrases cost a few bytes, a random
-string costs about its own length.  Incompressible candidates are reported.
+string costs what its alphabet needs, about its own length if it is short.
+Candidates that cost about as much as a random string of their length and
+alphabet are reported.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
+from functools import lru_cache
 from typing import Iterator
 
 import pyarrow as pa
@@ -31,10 +36,13 @@ ASSIGN_LEAST = 12
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")     # 18 or more characters
 HEX = re.compile(r"[0-9a-f]{16,}")
 
+#: A sensitive word, alone or at a border within a longer name, and the value on its line or, behind : or =, on the next.
 SENSITIVE = re.compile(r"(?:pass(?:word|wd|phrase)?|secret|token|api[_-]?key|auth(?:orization)?|bearer|credentials?"
-                       r"|private[_-]?key|access[_-]?key|signature|client[_-]?id)\b[^\n]{0,48}$", re.I | re.A)
+                       r"|private[_-]?key|access[_-]?key|signature|client[_-]?id)(?:key|token|value|code|id|hash)?s?"
+                       r"(?:\b|(?=[_0-9])|(?-i:(?<=[a-z])(?=[A-Z])))(?:[^\n]{0,48}|[^\n:=]{0,32}[:=][^\nA-Za-z0-9]{0,8}\n"
+                       r"[^\nA-Za-z0-9]{0,32})$", re.I | re.A)
 SENSITIVE_HINTS = ("pass", "secret", "token", "key", "auth", "bearer", "credential", "signature", "client")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")     # a name before = is context
 #: Words that code around credentials uses; they prime the dictionary before the context does.
 IDENTIFIERS = " ".join("""
 access account address api_key apikey application args authorization auth_token aws_access_key_id
@@ -50,7 +58,12 @@ static status string system table target template test text this timeout title t
 upload uri url user user_id username uuid value variable version void windows www.example.com mail.example.org
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx 0000000000000000
 """.split())
-LEAST = 0.85              # novel bytes per byte from which a candidate is reported
+LEAST = 0.85              # share of a random string's novel bytes from which a candidate is reported
+ALPHABETS = tuple(sorted((string.digits + "ABCDEF", string.digits + "abcdef", string.ascii_uppercase + "234567",
+                          string.hexdigits, string.digits + string.ascii_uppercase, string.digits + string.ascii_lowercase,
+                          string.digits + string.ascii_letters, string.digits + string.ascii_letters + "+/",
+                          string.digits + string.ascii_letters + "-_"), key=lambda a: len(set(a))))
+LONGEST = 4096            # characters from which the cost of a random string per character is steady
 CONTEXT = 2048            # code points of text on either side that prime the dictionary
 
 
@@ -69,15 +82,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def novelty(candidate: str, before: str, after: str) -> float:
     """Bytes that ``candidate`` adds to a frame primed with identifiers and its context, per byte."""
     raw = candidate.encode()
-    prime = "\n".join((IDENTIFIERS, after, before)).encode("utf-8", "surrogatepass")
+    return _added(raw, "\n".join((IDENTIFIERS, after, before)).encode("utf-8", "surrogatepass"))
+
+
+def _added(raw: bytes, prime: bytes) -> float:
     press = zstandard.ZstdCompressor(
         level=19, write_checksum=False, write_content_size=False,
         dict_data=zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
     return (len(press.compress(raw)) - len(press.compress(b""))) / len(raw)
 
 
+def randomness(candidate: str) -> float:
+    """The novelty of a random string of the candidate's length and alphabet, 1 at most."""
+    used = set(candidate.rstrip("="))
+    alphabet = next((a for a in ALPHABETS if used <= set(a)), None)
+    return 1.0 if alphabet is None else _random_novelty(alphabet, min(len(candidate), LONGEST))
+
+
+@lru_cache(4096)
+def _random_novelty(alphabet: str, n: int) -> float:
+    r = random.Random(n)
+    symbols = sorted(set(alphabet))
+    return min(1.0, _added("".join(r.choices(symbols, k=n)).encode(), IDENTIFIERS.encode()))
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
-    """Candidates outside the base spans that stand behind a sensitive word and don't compress."""
+    """Candidates that no base span covers, that stand behind a sensitive word and compress no better than random ones."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE_HINTS):
         return []
@@ -88,9 +118,9 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], least: float) -> li
         # a secret mixes digits and letters; words of any language don't
         if not (any(map(str.isdigit, s)) and any(map(str.isalpha, s))):
             continue
-        if any(a < y and x < b for x, _, y in base) or not SENSITIVE.search(text, max(0, a - 64), a):
+        if any(x <= a and b <= y for x, _, y in base) or not SENSITIVE.search(text, max(0, a - 128), a):
             continue
-        if novelty(s, text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]) >= least:
+        if novelty(s, text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]) >= least * randomness(s):
             out.append((a, 3, b))
     return out
 
