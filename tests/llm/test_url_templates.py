@@ -79,3 +79,32 @@ def test_one_host_with_very_deep_paths(spark):
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     out = U.filter_urls(df).collect()
     assert len(out) == len(urls) and max(r.template.count("/") for r in out) == U.DEPTH + 1
+
+
+def test_a_rare_bad_branch_among_many_siblings_is_blocked(spark):
+    """100 sections of 1 % each; ten of them are all bad."""
+    urls, labels = [], []
+    for section in range(100):
+        name = "".join("abcdefghij"[int(c)] for c in f"{section:02}")
+        for page in range(30):
+            labels.append((len(urls), int(section % 10 == 3)))
+            urls.append((f"http://big.io/{name}/{page}.html", section % 10 == 3))
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    out = U.filter_urls(df, spark.createDataFrame(labels, "id long, bad int")).collect()
+    assert {(urls[r.page_id][1], r.verdict) for r in out} == {(True, "block"), (False, "allow")}
+
+
+def test_branches_below_the_eighth_segment_are_told_apart(spark):
+    """Under nine like segments the tenth says whether a page is bad; what lies below is the tail of it."""
+    urls, labels = [], []
+    for k in range(40):
+        for part, bad in (("good", 0), ("bad", 1)):
+            labels.append((len(urls), bad))
+            urls.append("http://deep.io/" + "/".join("abcdefghi") + f"/{part}/{'xyz'[k % 3]}/{k}")
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = U.filter_urls(df, spark.createDataFrame(labels, "id long, bad int")).collect()
+    assert {(r.page_id % 2, r.verdict, r.template) for r in out} == {
+        (0, "allow", "/a/b/c/d/e/f/g/h/i/good/**"), (1, "block", "/a/b/c/d/e/f/g/h/i/bad/**")}
+    df = df.union(spark.createDataFrame([(900, "http://deep.io"), (901, "http://deep.io/a")], df.schema))
+    out = U.filter_urls(df, spark.createDataFrame(labels, "id long, bad int"))
+    assert out.where("template is null").count() == 0 and out.where("page_id >= 900").count() == 2

@@ -3,10 +3,11 @@
 A path is a list of segments.  Segments that are numbers, hexadecimal strings
 or mixed identifiers become wildcards at once, so the tree is built on the
 distinct templates of a host, not on its pages.  Then, level by level from the
-root, the children of a template node are compared: many rare children are one
-variable ("*"), and children whose share of bad labels doesn't differ from their
-siblings' by a two-proportion test are merged into "*".  What stays apart is
-apart for a reason.  A template is rejected if its share of bad labels, smoothed
+root, the children of a template node are compared: children whose share of bad
+labels doesn't differ from their siblings' by a two-proportion test are merged
+into "*", and so are rare ones among many that have too few labels for the test.
+What stays apart is apart for a reason.  Below the eighth segment a node is split
+only while it has bad and good labels.  A template is rejected if its share of bad labels, smoothed
 towards the share over all labels, reaches a threshold.
 
 All of it is aggregates and joins on template rows; one host may hold any share
@@ -24,8 +25,9 @@ from tillroll.llm._shared import cut
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow"))
 
-DEPTH = 8                  # segments of a template; what follows is its tail "**"
-MANY, RARE = 24, 0.02      # more children than MANY: those with a smaller share than RARE are one variable
+DEPTH = 8                  # segments from which pages with like labels, or none, have one tail "**"
+MANY, RARE = 24, 0.02      # more children than MANY: those with a smaller share than RARE are one variable, ...
+ENOUGH = 5                 # ... if they have fewer labels than the test needs
 Z = 2.576                  # two-proportion test at 1 %
 PRIOR, REJECT = 10.0, 0.5  # labels that the overall share counts for; share of bad labels that is rejected
 
@@ -47,8 +49,8 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def lexical_segments(path: Column, depth: int = DEPTH) -> Column:
-    """Path segments with variable ones generalised; more than ``depth`` end in "**"."""
+def lexical_segments(path: Column) -> Column:
+    """Path segments with variable ones generalised."""
     def general(s: Column) -> Column:
         return (F.when(s.rlike(r"^[0-9]+$"), F.lit("{number}"))
                 .when(s.rlike(r"^[0-9]+\.[A-Za-z]{1,5}$"), F.concat(F.lit("{number}"), F.regexp_extract(s, r"\.\w+$", 0)))
@@ -56,8 +58,7 @@ def lexical_segments(path: Column, depth: int = DEPTH) -> Column:
                 .when(s.rlike(r"[0-9]") & (F.length(s) >= 8), F.lit("{id}"))
                 .otherwise(s))
     segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    cut_off = F.when(F.size(segments) > depth, F.concat(F.slice(segments, 1, depth), F.array(F.lit("**")))).otherwise(segments)
-    return F.transform(cut_off, general)
+    return F.transform(segments, general)
 
 
 def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: float = Z, prior: float = PRIOR,
@@ -67,12 +68,25 @@ def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: floa
     ``bad`` is 1, 0 or null (no label); ``segments`` are lexical.  One row per
     distinct (host, segments), so the caller can join pages to their template."""
     totals = (F.count(F.lit(1)).alias("n"), F.count("bad").alias("labels"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    tree = cut(urls.groupBy("host", "segments").agg(*totals).withColumn("path", F.array().cast("array<string>")),
-               "url_tree")
+    tree = cut(urls.groupBy("host", "segments").agg(*totals).withColumn("path", F.array().cast("array<string>"))
+               .withColumn("ended", F.lit(False)), "url_tree")
     depth = tree.agg(F.max(F.size("segments"))).first()[0] or 0
     sums = [F.sum(c).alias(c) for c in ("n", "labels", "bad")]
     for d in range(depth):
-        step = tree.withColumn("name", F.get("segments", F.lit(d)))
+        if d >= DEPTH:
+            # nodes whose labels are alike end here; what is split further has bad and good ones
+            more = (F.size("segments") > d) & ~F.col("ended")
+            nodes = (tree.where(more).groupBy("host", "path").agg(F.sum("labels").alias("all_labels"),
+                                                                  F.sum("bad").alias("all_bad"))
+                     .where("all_bad > 0 and all_bad < all_labels").select("host", "path", F.lit(True).alias("mixed")))
+            ends = more & F.col("mixed").isNull()
+            tree = cut(tree.join(nodes, ["host", "path"], "left").select(
+                "host", "segments", "n", "labels", "bad",
+                F.when(ends, F.concat("path", F.array(F.lit("**")))).otherwise(F.col("path")).alias("path"),
+                (F.col("ended") | ends).alias("ended")), "url_tree")
+            if tree.where(more).isEmpty():
+                break
+        step = tree.withColumn("name", F.when(~F.col("ended"), F.get("segments", F.lit(d))))
         node = step.where("name is not null").groupBy("host", "path", "name").agg(*sums)
         parent = node.groupBy("host", "path").agg(
             F.count(F.lit(1)).alias("children"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labels", "bad")])
@@ -81,13 +95,13 @@ def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: floa
         error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labels") + 1 / rest_labels))
         differs = F.when((F.col("labels") > 0) & (rest_labels > 0) & (error > 0),
                          F.abs(F.col("bad") / F.col("labels") - rest_bad / rest_labels) > z * error).otherwise(False)
-        variable = (F.col("children") > many) & (F.col("n") < rare * F.col("all_n"))
+        variable = (F.col("children") > many) & (F.col("n") < rare * F.col("all_n")) & (F.col("labels") < ENOUGH)
         merged = node.join(parent, ["host", "path"]).select(
             "host", "path", "name",
             F.when(F.col("children") == 1, F.col("name")).when(variable | ~differs, F.lit("*"))
             .otherwise(F.col("name")).alias("general"))
         tree = cut(step.join(merged, ["host", "path", "name"], "left").select(
-            "host", "segments", "n", "labels", "bad",
+            "host", "segments", "n", "labels", "bad", "ended",
             F.when(F.col("general").isNull(), F.col("path")).otherwise(F.concat("path", F.array("general"))).alias("path")),
             "url_tree")
     share = tree.agg(F.try_divide(F.sum("bad"), F.sum("labels")).alias("s")).first()[0] or 0.0
