@@ -59,4 +59,40 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit,
 FROM docs d LEFT JOIN covered c ON c.r = d.r LEFT JOIN named n ON n.r = d.r
 """
 
-SQL: dict[str, str] = {"op4_chat_tree": _TURNS, "op10_decontaminate": _LEAKS}
+_COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), lists AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang
+), places AS (
+    SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM lists, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size
+), counts AS (
+    SELECT lang, w[i:i + size - 1] AS p, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM counts WHERE len(p) > 1
+), scored AS (
+    SELECT c.lang, c.p, c.a, c.k, l.f AS l, r.f AS r, t.n,
+        CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.p = c.p[1:c.k]
+        JOIN counts r ON r.lang = c.lang AND r.p = c.p[c.k + 1:len(c.p)] JOIN totals t ON t.lang = c.lang
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), parts AS (
+    SELECT lang, p, f, size, unnest(range(1, len(p) - size + 2)) AS i
+    FROM counts, (SELECT unnest(range(2, 5)) AS size) WHERE len(p) > size
+), covered AS (
+    SELECT DISTINCT x.lang, x.p[x.i:x.i + x.size - 1] AS p FROM parts x
+    JOIN counts c ON c.lang = x.lang AND c.p = x.p[x.i:x.i + x.size - 1] WHERE x.f >= c.f
+), kept AS (
+    SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM lowest ANTI JOIN covered USING (lang, p)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op4_chat_tree": _TURNS, "op10_decontaminate": _LEAKS, "op11_collocations": _COLLOCATIONS}
