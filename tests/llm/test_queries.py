@@ -33,7 +33,7 @@ def rows(spark, name):
 def test_one_query_for_each_operator():
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(QUERIES)
     numbers = [q.split("_")[0] for q in QUERIES]
-    assert sorted(numbers) == sorted([f"op{n}" for n in range(1, 11)] + ["pipeline"])
+    assert sorted(numbers) == sorted([f"op{n}" for n in range(1, 14)] + ["pipeline"])
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

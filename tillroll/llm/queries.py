@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillroll.llm import (chat_tree, collocations, decontaminate, html_suffix, packing, paragraphs, quality_rules, secret_scan,
-                          simhash, token_fst, url_templates, whitening)
+                          simhash, token_fst, toxicity, url_templates, whitening)
 from tillroll.llm.tables import CHAT_RANKS, CHAT_SPLIT, COUNTING_MODEL, PACKING_TOKENIZER, table
 
 
@@ -79,6 +79,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -86,4 +91,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_simhash, op4_chat_tree, op5_best_fit_packing,
                             op6_url_filter, op7_html_text, op8_secret_scan, op9_token_counts, op10_decontaminate,
-                            op11_collocations, op12_whitening, pipeline)}
+                            op11_collocations, op12_whitening, op13_toxicity, pipeline)}
