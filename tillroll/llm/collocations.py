@@ -21,6 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,17 +38,27 @@ RANGE_ROWS, SAMPLED = 100_000, 40
 _BREAK = b"\xff"                                          # never part of UTF-8
 _PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
 _STEP, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Bytes of texts whose phrases are counted together before anything leaves a task.
+_TOGETHER = 32 << 20
 
 COUNTS = "lang string, phrase string, f long"
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
+def _hashes(words: pa.BinaryArray) -> np.ndarray:
+    """A 64-bit hash of each of the (not empty) words."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    codes = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].astype(np.uint64) + np.uint64(1)
+    size, starts = np.diff(ends), ends[:-1] - ends[0]
+    powers = np.full(int(size.max(initial=1)), _STEP)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    sums = np.add.reduceat(codes * powers[np.arange(len(codes)) - np.repeat(starts, size)], starts)
+    return (sums ^ (sums >> np.uint64(31))) * _SPREAD
 
 
 def _slots(sums: np.ndarray, lang: bytes, bits: int) -> np.ndarray:
     """Place in the map of each phrase, from the sum of its words' hashes (earlier words stepped further)."""
-    return ((sums ^ np.uint64(_hash(lang))) * _SPREAD) >> np.uint64(64 - bits)
+    return ((sums ^ np.uint64(xxhash.xxh64_intdigest(lang))) * _SPREAD) >> np.uint64(64 - bits)
 
 
 def _sums(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -58,58 +69,76 @@ def _sums(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _words(texts: list[bytes]) -> tuple[np.ndarray, pa.BinaryArray, int]:
+    """(word numbers in order, the distinct words, the number that stands for the end of a piece) of some texts."""
+    data = _BREAK + (_BREAK + _BREAK.join(texts)).lower().translate(_PIECES).replace(_BREAK, b" \xff ")
+    data = data.rstrip(b" \t")                            # so that no empty word comes out at the end
+    text = pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, len(data)], np.int32)), pa.py_buffer(data)])
+    coded = pc.ascii_split_whitespace(text).flatten().dictionary_encode()     # splits at space and tab: no other is left
+    return coded.indices.to_numpy(), coded.dictionary.view(pa.binary()), 0
+
+
 def _phrases(lang: bytes, texts: list[bytes], size: int, seen: tuple[int, np.ndarray] | None):
-    """(phrase, count) of the texts' phrases of ``size`` words whose two parts one word shorter are in the map;
+    """(phrases, counts) of the texts' phrases of ``size`` words whose two parts one word shorter are in the map;
     for single words also the root, the empty phrase, with the number of words."""
-    words = _BREAK.join(texts).lower().translate(_PIECES).replace(_BREAK, b" \xff ").split()
-    index: dict[bytes, int] = {}
-    ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
-    names = list(index)
-    stop = index.get(_BREAK, -1)
+    ids, names, stop = _words(texts)
     if size == 1:
-        counts = np.bincount(ids, minlength=len(names)).tolist()
-        if stop >= 0:
-            counts[stop] = 0
-        yield b"", sum(counts)
-        yield from ((w, c) for w, c in zip(names, counts) if c)
-        return
-    if len(ids) < size:
-        return
+        counts = np.bincount(ids, minlength=len(names))
+        counts[stop] = 0
+        some = np.flatnonzero(counts)
+        return (pa.concat_arrays([pa.array([b""], pa.binary()), names.take(pa.array(some))]),
+                np.concatenate([[counts.sum()], counts[some]]))
     bits, flags = seen
-    hashes = np.array([_hash(w) for w in names], np.uint64)[ids]
-    short = flags[_slots(_sums(hashes, size - 1), lang, bits)]
+    short = flags[_slots(_sums(_hashes(names)[ids], size - 1), lang, bits)]
     borders = np.concatenate([[0], np.cumsum(ids == stop)])
     at = np.flatnonzero(short[:-1] & short[1:] & (borders[size:] == borders[:-size]))
     if not len(at):
-        return
-    key = ids[at]
+        return pa.array([], pa.binary()), np.zeros(0, np.int64)
+    key = ids[at].astype(np.int64)
     for k in range(1, size):                              # exact: pairs of (phrase so far, next word), renumbered
         _, first, key = np.unique(key * len(names) + ids[at + k], return_index=True, return_inverse=True)
-    counts = np.bincount(key)
-    for p, c in zip(at[first].tolist(), counts.tolist()):
-        yield b" ".join([names[i] for i in ids[p:p + size]]), c
+    parts = [names.take(pa.array(ids[at[first] + k])) for k in range(size)]
+    return pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), np.bincount(key)
 
 
 def _emit(size: int, seen, batches):
     seen = seen and (seen[0], np.unpackbits(seen[1].value, bitorder="little").view(bool))
+    rows: dict[bytes, list[bytes]] = {}
+
+    def counted():
+        for lang, texts in rows.items():
+            phrase, f = _phrases(lang, texts, size, seen)
+            if len(phrase):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(phrase), pa.binary()).cast(pa.string()), phrase.cast(pa.string()),
+                     pa.array(f, pa.int64())], ["lang", "phrase", "f"])
+        rows.clear()
+
+    held = 0
     for batch in batches:
-        rows: dict[bytes, list[bytes]] = {}
         for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
             rows.setdefault(lang, []).append(text)
-        out = [(lang, p, c) for lang, texts in rows.items() for p, c in _phrases(lang, texts, size, seen)]
-        if out:
-            lang, phrase, f = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.binary()).cast(pa.string()),
-                                              pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(f, pa.int64())],
-                                             ["lang", "phrase", "f"])
+            held += len(text)
+            if held >= _TOGETHER:
+                yield from counted()
+                held = 0
+    yield from counted()
 
 
 def _mark(bits: int, batches):
-    """The words of the map that a batch of frequent phrases sets bits in."""
+    """The words of the map that a batch of frequent phrases, all of one size, sets bits in."""
     for batch in batches:
-        rows = zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())
-        slots = np.array([int(_slots(_sums(np.array([_hash(w) for w in phrase.split(b" ")], np.uint64),
-                                           phrase.count(b" ") + 1), lang, bits)[0]) for lang, phrase in rows], np.uint64)
+        if not batch.num_rows:
+            continue
+        phrases = batch.column(1).cast(pa.binary()).to_pylist()
+        hashes = _hashes(pa.array(b" ".join(phrases).split(b" "), pa.binary())).reshape(len(phrases), -1)
+        sums = hashes[:, 0].copy()
+        for k in range(1, hashes.shape[1]):
+            sums = sums * _STEP + hashes[:, k]
+        langs, number = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+        slots = np.zeros(len(sums), np.uint64)
+        for i, lang in enumerate(langs):
+            slots[number == i] = _slots(sums[number == i], lang.encode(), bits)
         yield pa.RecordBatch.from_arrays([pa.array((slots >> np.uint64(6)).astype(np.int64)),
                                           pa.array((np.uint64(1) << (slots & np.uint64(63))).view(np.int64))], ["at", "mask"])
 
@@ -156,7 +185,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
 
 # --- the sorted streams --------------------------------------------------------------------------------------
 
-def _words(phrase: str, backwards: bool) -> list[str]:
+def _split(phrase: str, backwards: bool) -> list[str]:
     words = phrase.split(" ") if phrase else []
     return words[::-1] if backwards else words
 
@@ -170,7 +199,7 @@ def _deal(borders: list, backwards: bool, batches):
     for batch in batches:
         out = []
         for lang, phrase, f in zip(*(c.to_pylist() for c in batch.columns)):
-            words = _words(phrase, backwards)
+            words = _split(phrase, backwards)
             own = bisect.bisect_right(borders, (lang, tuple(words)))
             out.append((own, True, lang, words, f))
             out.extend((p, False, lang, words, f) for p in above.get((lang, tuple(words)), ()) if p != own)
@@ -217,7 +246,7 @@ def _walk(backwards: bool, batches):
 def _stream(phrases: DataFrame, backwards: bool, ranges: int, every: int) -> DataFrame:
     """One row a phrase: its count, the counts of its parts from the near end on, its largest extension at the far end."""
     sample = phrases.where((F.col("phrase") != "") & (F.pmod(F.xxhash64("lang", "phrase"), F.lit(every)) == 0))
-    keys = sorted((r.lang, tuple(_words(r.phrase, backwards))) for r in sample.select("lang", "phrase").collect())
+    keys = sorted((r.lang, tuple(_split(r.phrase, backwards))) for r in sample.select("lang", "phrase").collect())
     borders = [keys[len(keys) * k // ranges] for k in range(1, ranges)] if len(keys) >= ranges else []
     dealt = map_arrow(phrases.select("lang", "phrase", "f"), partial(_deal, borders, backwards),
                       "part int, own boolean, lang string, words array<string>, f long")

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm._shared import cut, map_arrow
+from tillroll.session import unique_name
 
 #: Labelled texts that the classifier learns from, at most (chosen by hash), and features that it keeps.
 MAX_LABELLED, MAX_FEATURES = 50_000, 1 << 16
@@ -184,26 +185,35 @@ class Decoder:
         return _SPOT.sub(lambda m: self._spot(token[max(0, m.start() - 2):m.start()], m[0], token[m.end():m.end() + 2]), token)
 
     def tokens(self, text: str | None) -> list[str]:
-        """The tokens of a text without the marks around them; four and more single letters in a row are joined
-        as the lattice says."""
-        low = [t.strip(_ENDS) for t in (text or "").lower().split()]
-        single = [i for i, t in enumerate(low) if len(t) == 1]
-        if len(single) < 4:
+        """The tokens of a text; four and more single letters in a row are joined as the lattice says."""
+        low = (text or "").lower().split()
+        sizes = list(map(len, low))
+        if sizes.count(1) < 3:
             return low
+        single = [i for i, n in enumerate(sizes) if n == 1]
         out, done, k = [], 0, 0
         while k < len(single):
             end = k + 1
             while end < len(single) and single[end] == single[end - 1] + 1:
                 end += 1
-            if end - k >= 4:
-                first, last = single[k], single[end - 1] + 1
-                out += low[done:first]
-                out += _SPACED.sub(lambda m: self.viterbi(lattice(m[0], True)), " ".join(low[first:last])).split()
-                done = last
+            first, last = single[k], single[end - 1] + 1
+            if end - k >= 3:                               # marks may stand around the first and the last letter
+                run = low[first:last]
+                if first > done and len(low[first - 1].strip(_ENDS)) == 1:
+                    first -= 1
+                    run = [low[first].strip(_ENDS), *run]
+                if last < len(low) and len(low[last].strip(_ENDS)) == 1:
+                    run.append(low[last].strip(_ENDS))
+                    last += 1
+                if len(run) >= 4:
+                    out += low[done:first]
+                    out += _SPACED.sub(lambda m: self.viterbi(lattice(m[0], True)), " ".join(run)).split()
+                    done = last
             k = end
         return out + low[done:]
 
     def words(self, token: str) -> list[str]:
+        token = token.strip(_ENDS)
         if token.isalpha():
             return [self.token(token)] if _TWICE.search(token) else [token]
         return _WORDS.findall(self.token(token))
@@ -216,7 +226,7 @@ _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, word index), by word: of each whole word and of its character 4- and 5-grams, word ends included."""
+    """(hash, word index) of each whole word and of its character 4- and 5-grams, word ends included."""
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
     codes = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -235,10 +245,8 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(place[:len(h)] + n <= sizes[owner[:len(h)]])
         hashes.append(h[at])
         owners.append(owner[at])
-    hashed, owner = np.concatenate(hashes), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    hashed = hashed[order]
-    return ((hashed ^ (hashed >> np.uint64(29))) * _MIX).view(np.int64), owner[order]
+    hashed = np.concatenate(hashes)
+    return ((hashed ^ (hashed >> np.uint64(29))) * _MIX).view(np.int64), np.concatenate(owners)
 
 
 def _blocks(batch: pa.RecordBatch, most: int = 4_000_000):
@@ -275,7 +283,9 @@ def _counts(costs, batches):
             if not index:
                 continue
             hashed, owner = features(list(index))
-            hashed, number = np.unique(hashed, return_inverse=True)
+            order = np.argsort(owner, kind="stable")
+            owner = owner[order]
+            hashed, number = np.unique(hashed[order], return_inverse=True)
             begin = np.searchsorted(owner, np.arange(len(index) + 1))
             size = np.diff(begin)
             word = np.array(pairs)
@@ -317,31 +327,30 @@ _INPUTS, _STRONGEST = 4, 5
 class Scorer:
     """Inputs of the logistic model, from the evidence of restored words."""
 
-    KEEP = 500_000
+    KEEP = 600_000
 
     def __init__(self, model: Model, labels: tuple):
         self.model, self.labels, self.decode = model, labels, Decoder(model.costs)
         self.weights = [model.evidence(label) for label in labels]
+        self.maybe = np.zeros(1 << 20, bool)               # features by their low bits: most hashes end here
+        self.maybe[model.features & (len(self.maybe) - 1)] = True
         self.idle: set[str] = set()                        # tokens without evidence
         self.known: dict[str, list[tuple]] = {}            # token -> (word, evidence by label) of its words that have some
 
     def _learn(self, tokens: list[str]) -> None:
-        if len(self.idle) + len(self.known) > self.KEEP:
-            self.idle, self.known = set(), {}
         words = [self.decode.words(t) for t in tokens]
         index = {w: i for i, w in enumerate({w for ws in words for w in ws})}
-        if not index or not len(self.model.features):
-            self.idle.update(tokens)
-            return
-        hashed, owner = features(list(index))
-        at = np.minimum(np.searchsorted(self.model.features, hashed), len(self.model.features) - 1)
-        hit = self.model.features[at] == hashed
         best = np.zeros((len(index), len(self.labels)))
-        for k, weights in enumerate(self.weights):
-            np.maximum.at(best[:, k], owner[hit], weights[at[hit]])
-        some = best.any(axis=1)
+        if index and len(self.model.features):
+            hashed, owner = features(list(index))
+            some = np.flatnonzero(self.maybe[hashed & (len(self.maybe) - 1)])
+            at = np.minimum(np.searchsorted(self.model.features, hashed[some]), len(self.model.features) - 1)
+            hit = self.model.features[at] == hashed[some]
+            for k, weights in enumerate(self.weights):
+                np.maximum.at(best[:, k], owner[some[hit]], weights[at[hit]])
+        useful = best.any(axis=1).tolist()
         for t, ws in zip(tokens, words):
-            found = [(w, best[index[w]]) for w in ws if some[index[w]]]
+            found = [(w, best[index[w]]) for w in ws if useful[index[w]]]
             if found:
                 self.known[t] = found
             else:
@@ -349,18 +358,20 @@ class Scorer:
 
     def inputs(self, texts: list, labels: list) -> np.ndarray:
         """One row a text: 1, its strongest word's evidence, the next four words', log of its number of tokens."""
-        tokens = [self.decode.tokens(t) for t in texts]
-        distinct = [set(t) for t in tokens]
-        new = set().union(*distinct) - self.idle - self.known.keys()
-        self._learn(list(new))
-        if not distinct[0] <= self.idle | self.known.keys():   # the memory was emptied: learn all of the block
-            self._learn(list(set().union(*distinct) - self.idle - self.known.keys()))
+        if len(self.idle) + len(self.known) > self.KEEP:
+            self.idle, self.known = set(), {}
+        sizes, left = [], []
+        for text in texts:
+            tokens = self.decode.tokens(text)
+            sizes.append(len(tokens))
+            left.append(set(tokens) - self.idle)
+        self._learn(list(set().union(*left) - self.known.keys()))
         out = np.zeros((len(texts), _INPUTS))
-        for row, all_tokens, mine, label in zip(out, tokens, distinct, labels):
+        for row, size, mine, label in zip(out, sizes, left, labels):
             k = self.labels.index(label)
-            words = {w: e[k] for t in mine - self.idle for w, e in self.known[t]}
+            words = {w: e[k] for t in mine if t in self.known for w, e in self.known[t]}
             best = sorted(words.values(), reverse=True)[:_STRONGEST]
-            row[:] = 1.0, best[0] if best else 0.0, sum(best[1:]), np.log1p(len(all_tokens))
+            row[:] = 1.0, best[0] if best else 0.0, sum(best[1:]), np.log1p(size)
         return out
 
 
@@ -437,8 +448,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
     return model
 
 
-def _scored(model, batches):
-    scorer = Scorer(model.value, (None,))
+_BUILT: dict = {}
+
+
+def _scored(model, name: str, batches):
+    if name not in _BUILT:                # one scorer per worker, not per task: it remembers the words it met
+        _BUILT.clear()
+        _BUILT[name] = Scorer(model.value, (None,))
+    scorer = _BUILT[name]
     for batch in batches:
         scores = [np.zeros(0)]
         for texts, labels in _blocks(pa.RecordBatch.from_arrays([batch.column(2), pa.nulls(batch.num_rows)], ["t", "y"])):
@@ -456,6 +473,6 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", id_col
     gives an empty result.  Only the text counts for the score."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col))
-    out = map_arrow(rows, partial(_scored, docs.sparkSession.sparkContext.broadcast(model)),
+    out = map_arrow(rows, partial(_scored, docs.sparkSession.sparkContext.broadcast(model), unique_name("toxicity")),
                     f"id {kind}, held_out boolean, score double, predicted int")
     return out.withColumnRenamed("id", id_col)

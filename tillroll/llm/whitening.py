@@ -6,7 +6,7 @@ the shares are summed by an aggregate.  A Chebyshev polynomial of the matrix,
 built by its three-term recurrence, damps the unwanted low end of the spectrum;
 QR and a Rayleigh-Ritz step follow.  Rounds go on until the residuals certify
 the wanted pairs and no longer fall.  What the driver holds is a block of
-``dimensions x (2 * components)`` numbers, whatever the number of rows.
+``dimensions x (3 * components)`` numbers, whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ from tillroll.llm._shared import cut, map_arrow
 COMPONENTS, SCALE, SHIFT = 16, 64, 1_000_000
 #: Entries beyond this (after scaling) count as this: integers that a double still holds exactly.
 LIMIT = 1 << 52
-DEGREE, MAX_DEGREE, MAX_ROUNDS = 10, 80, 60
-#: Residual, against the largest eigenvalue, that certifies a pair; smaller eigenvalues than RANK of the largest are noise.
-CERTIFIED, RANK = 1e-12, 1e-12
+DEGREE, MAX_DEGREE, MAX_ROUNDS, LANCZOS = 6, 80, 60, 8
+#: Residuals, against the largest eigenvalue, that certify a pair and that leave nothing to gain; smaller
+#: eigenvalues than RANK of the largest are noise.
+CERTIFIED, EXACT, RANK = 1e-12, 1e-14, 1e-12
+FAN_IN = 64
 _HALF = 26                                                # sums of x are kept in two halves, each safe in 64 bits
 
 
@@ -71,23 +73,44 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _shares(share, batches):
-    """One row an entry of the summed ``share`` of a task's batches."""
+    """The summed ``share`` of a task's batches, as one row."""
     total = None
     for batch in batches:
         if batch.num_rows:
             part = share(_matrix(batch.column(0)))
             total = part if total is None else total + part
     if total is not None:
-        flat = np.ravel(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["at", "v"])
+        yield _row(np.ravel(total))
+
+
+def _row(flat: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat))], ["v"])
+
+
+def _added(batches):
+    total = None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part = batch.column(0)[i].values.to_numpy()
+            total = part.copy() if total is None else total + part
+    if total is not None:
+        yield _row(total)
 
 
 def _summed(fit: DataFrame, share, kind: str, shape: tuple[int, ...]) -> np.ndarray:
-    """Sum over the tasks of ``share(rows)``, an array of ``shape``: one distributed pass."""
-    rows = map_arrow(fit.select("x"), partial(_shares, share), f"at int, v {kind}")
-    got = rows.groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    """Sum over the tasks of ``share(rows)``, an array of ``shape``: one distributed pass.
+
+    A task sends one array; every ``FAN_IN`` arrays are added by a task, until so few are left."""
+    schema = f"v array<{kind}>"
+    rows = map_arrow(fit.select("x"), partial(_shares, share), schema)
+    parts = fit.rdd.getNumPartitions()
+    while parts > FAN_IN:
+        parts = -(-parts // FAN_IN)
+        rows = map_arrow(rows.repartition(parts), _added, schema)
     out = np.zeros(int(np.prod(shape)), np.int64 if kind == "long" else np.float64)
-    out[got.column("at").to_numpy()] = got.column("v").to_numpy()
+    for part in rows.toArrow().column("v"):
+        out += part.values.to_numpy()
     return out.reshape(shape)
 
 
@@ -114,30 +137,52 @@ def _gram(centre, maps: np.ndarray, x: np.ndarray) -> np.ndarray:
     return w.T @ w
 
 
-def _filter(apply, block: np.ndarray, degree: int, cut_at: float, top: float) -> np.ndarray:
-    """Chebyshev polynomial of the covariance times ``block``: bounded on [0, cut_at], growing fast above it.
+def _filter(apply, block: np.ndarray, degree: int, low: float, high: float, top: float) -> np.ndarray:
+    """Chebyshev polynomial of the covariance times ``block``: bounded on [low, high], growing fast above it.
 
     Scaled so that the component at ``top`` keeps its size."""
-    half = cut_at / 2
-    sigma = half / (top - half)
-    first, tau = sigma, 2 / sigma
-    before, now = block, (apply(block) - half * block) * (first / half)
+    middle, half = (low + high) / 2, (high - low) / 2
+    sigma = half / (top - middle)
+    tau = 2 / sigma
+    before, now = block, (apply(block) - middle * block) * (sigma / half)
     for _ in range(2, degree + 1):
         after = 1 / (tau - sigma)
-        before, now = now, (apply(now) - half * now) * (2 * after / half) - (sigma * after) * before
+        before, now = now, (apply(now) - middle * now) * (2 * after / half) - (sigma * after) * before
         sigma = after
     return now
 
 
+def lowest(apply, dimensions: int, steps: int, rng) -> float:
+    """A lower bound of the spectrum, nearly: the smallest Lanczos value less its residual, zero at least."""
+    basis, image = [], []
+    v = rng.standard_normal(dimensions)
+    for _ in range(min(steps, dimensions)):
+        v = v / np.linalg.norm(v)
+        basis.append(v)
+        image.append(apply(v[:, None])[:, 0])
+        q = np.array(basis)
+        v = image[-1] - q.T @ (q @ image[-1])
+        v = v - q.T @ (q @ v)                              # twice, so that the basis stays orthogonal
+        if np.linalg.norm(v) <= 1e-12 * np.linalg.norm(image[-1]):
+            break
+    q, w = np.array(basis), np.array(image)
+    values, turn = np.linalg.eigh((q @ w.T + w @ q.T) / 2)
+    residual = np.linalg.norm(w.T @ turn[:, 0] - values[0] * (q.T @ turn[:, 0]))
+    return max(0.0, values[0] - residual)
+
+
 def subspace_iteration(apply, dimensions: int, wanted: int, seed: int = 1):
     """Leading eigenpairs of the symmetric positive matrix behind ``apply(block)``: (values, vectors).
 
-    The block has twice the wanted columns, so convergence hangs on the gap to
-    the first eigenvalue outside it.  Rounds end when every wanted residual is
-    under ``CERTIFIED`` times the largest eigenvalue and has stopped falling by
-    half; slow rounds raise the polynomial's degree.  Raises if never certified."""
-    block = np.linalg.qr(np.random.default_rng(seed).standard_normal((dimensions, min(dimensions, 2 * wanted))))[0]
-    degree, best = DEGREE, None
+    The block has three times the wanted columns, so convergence hangs on the gap
+    to the first eigenvalue outside it.  The polynomial damps what lies between a
+    lower bound of the spectrum (from some Lanczos steps) and the block's smallest
+    value.  Rounds end when every wanted residual is under ``CERTIFIED`` times the
+    largest eigenvalue and has stopped falling by a tenth; slow rounds raise the
+    polynomial's degree.  Raises if never certified."""
+    rng = np.random.default_rng(seed)
+    block = np.linalg.qr(rng.standard_normal((dimensions, min(dimensions, 3 * wanted))))[0]
+    degree, best, low = DEGREE, None, None
     for _ in range(MAX_ROUNDS):
         image = apply(block)
         small, turn = np.linalg.eigh((block.T @ image + image.T @ block) / 2)
@@ -145,18 +190,19 @@ def subspace_iteration(apply, dimensions: int, wanted: int, seed: int = 1):
         block, image = block @ turn, image @ turn
         top = max(small[0], 0.0)
         residual = np.linalg.norm(image - block * small, axis=0)[:wanted].max()
-        if best is None or residual < best[0]:
-            last, best = best and best[0], (residual, small[:wanted], block[:, :wanted])
-        else:
-            last = 0.0
-        if top == 0.0 or (best[0] <= CERTIFIED * top and last is not None and best[0] > last / 2):
-            return best[1], best[2]
-        if block.shape[1] == dimensions:                  # the block spans everything: one exact step
+        if block.shape[1] == dimensions or top == 0.0:     # the block spans everything: one exact step
             return small[:wanted], block[:, :wanted]
-        if last and residual > last / 100:
+        last = best[0] if best else np.inf
+        if residual < last:
+            best = residual, small[:wanted], block[:, :wanted]
+        if best[0] <= EXACT * top or (best[0] <= CERTIFIED * top and residual > last / 10):
+            return best[1], best[2]
+        if last / 100 < residual < np.inf and best[0] > CERTIFIED * top and last < np.inf:
             degree = min(MAX_DEGREE, 2 * degree)
-        cut_at = min(max(small[-1], 1e-9 * top), 0.999 * top)
-        block = np.linalg.qr(_filter(apply, block, degree, cut_at, top))[0]
+        if low is None:
+            low = lowest(apply, dimensions, LANCZOS, rng)
+        high = min(max(small[-1], 1e-9 * top), 0.999 * top)
+        block = np.linalg.qr(_filter(apply, block, degree, min(low, 0.99 * high), high, top))[0]
     raise RuntimeError(f"eigenpairs not certified: residual {best[0]:.3g} of {top:.3g}")
 
 
