@@ -24,18 +24,71 @@ def test_week_restriction_reaches_the_orders_scan(spark):
     weeks = spark.createDataFrame([(19980601,)], "nsw int")
     m = N._master_cols(N.product_master(A.prod(spark, SF)), weeks, "nsw")
     plan = optimized(m)
-    # the IN list sits below the master's aggregate and below the join with part, on the orders
-    at = max(i for i, line in enumerate(plan) if "Filter" in line and "19980601" in line)
+    # the condition on the weeks sits below the master's aggregate and below the join with part, on the orders
+    at = max(i for i, line in enumerate(plan) if "Filter" in line and "scalar-subquery" in line)
     assert at > first(plan, "Aggregate") and at > first(plan, "Join Inner")
     assert "o_orderkey" in "\n".join(plan[at:])
 
 
-def test_many_weeks_are_joined_without_a_hint(spark, monkeypatch):
-    monkeypatch.setattr(N, "MAX_WEEKS", 1)
-    weeks = spark.createDataFrame([(19980601,), (19980608,)], "nsw int")
-    m = N._master_cols(N.product_master(A.prod(spark, SF)), weeks, "nsw")
-    text = "\n".join(optimized(m))
-    assert "LeftSemi" in text and "broadcast" not in text.lower()
+def test_no_job_runs_while_nomination_plans_are_built(spark):
+    """Weeks and common keys are measured by subqueries, when a query runs."""
+    sel = A.selected_nominations(spark, SF)
+    master = N.product_master(A.prod(spark, SF))
+    li = N.line_item_products(N.nominated_products(A.nomination_prod(spark, SF, 19980601), sel, 19980601))
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "no job is expected")
+    try:
+        N.featured_products(li, master)
+        N.brand_products(li, master)
+        N.category_products(li, master)
+        bc = N.event_brand_categories(li, master)
+        N.flag_nominations(sel, N.dominant_brand(bc), li, salts=8)
+        N.brands_and_categories(sel, bc)
+        assert list(sc.statusTracker().getJobIdsForGroup("planning")) == []
+        N.featured_products(li, master).count()
+        assert len(sc.statusTracker().getJobIdsForGroup("planning")) > 0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def scans_of(df):
+    """The parquet scans of an executed plan: name -> value of their metrics, one dictionary a scan."""
+    found = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "FileSourceScanExec":
+            metrics = node.metrics()
+            found.append({k: metrics.apply(k).value() for k in ("numFiles", "numPartitions", "numOutputRows")
+                          if metrics.contains(k)})
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_a_master_stored_by_week_is_read_by_week(spark):
+    from tillroll.sources import catalog as IO
+    sel = A.selected_nominations(spark, SF)
+    li = N.line_item_products(N.nominated_products(A.nomination_prod(spark, SF, 19980601), sel, 19980601))
+    stored = IO.write_partitioned(N.product_master(A.prod(spark, SF)), None, ["fis_week_id"],
+                                  path=IO.scratch_path(spark, "dpp_master"))
+    df = N.category_products(li, stored)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        filters = [part.split("]")[0] for part in physical(df).split("PartitionFilters: [")[1:]]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert any("array_contains(" in f and "fis_week_id" in f for f in filters)
+    rows = df.collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, QUERIES["category_products"](spark, SF).collect()))
+    read = [s["numPartitions"] for s in scans_of(df) if "numPartitions" in s]
+    assert stored.select("fis_week_id").distinct().count() > 50 and read and max(read) == 1
 
 
 def test_nominated_week_is_pushed_to_the_scans(spark):

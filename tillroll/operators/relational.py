@@ -13,6 +13,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.skew import salted_join
+
 
 def _cols(cols) -> list:
     return [cols] if isinstance(cols, (str, Column)) else list(cols)
@@ -84,19 +86,10 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salts: int | None = None) -> DataFrame:
-    """LEFT JOIN on ``keys``; with ``salts`` the large side is salted.
+def left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salts: int | None = None,
+              measure: DataFrame | None = None) -> DataFrame:
+    """LEFT JOIN on ``keys``; with ``salts`` the measured common keys are spread over that many tasks.
 
-    AQE cannot split a hot key when the right side of a sort-merge join is
-    itself an aggregate.  With ``salts``, every left row gets a salt (a hash of
-    the row) and every right row is replicated once per salt, so each left row
-    still meets each matching right row exactly once, while a hot key is spread
-    over ``salts`` tasks.  The right side grows ``salts`` times, which can
-    turn a broadcast into a shuffle, so salting is opt-in for known hot keys.
-    """
-    keys = list(keys)
-    if not salts:
-        return big.join(small, keys, "left")
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
-    r = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(r, keys + ["_salt"], "left").drop("_salt")
+    AQE can't split a hot key where the right side of a sort-merge join is itself
+    an aggregate, or where an aggregate above reuses the join's partitioning."""
+    return salted_join(big, small, keys, "left", salts=salts, measure=measure) if salts else big.join(small, list(keys), "left")

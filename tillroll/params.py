@@ -24,4 +24,7 @@ P = SimpleNamespace(
     re_run_day=0,                     # Monday
     run_date="1998-06-01",
     seed=42,
+    cutoff="1997-03-10", second_cutoff="1997-03-24",     # slices that are taken in one after the other
+    month=("1996-05-01", "1996-06-01"),                  # range that the layout serves
+    row_group_bytes=1 << 20,
 )

@@ -12,7 +12,7 @@ No join is hinted: AQE chooses broadcast or sort-merge from the measured sizes.
 items with their master rows (``nominated_attributes``); the fused form
 (``nomination_product_sets``) derives all three from that join and one
 expansion.  The master is always restricted to the weeks the line items
-reference before it is joined, by an IN list where those are few.
+reference before it is joined (``in_weeks_of``).
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.canonical import canonicalize, check_frame, check_mapping
 from tillroll.operators.relational import best_per_group, first_per_group, left_join, sorted_distinct_text
+from tillroll.operators.skew import salted_join
+from tillroll.plans import factorised
+from tillroll.sources.catalog import checkpoint, materialize
 
 NOM_PROD_KEYS = ("fis_week_id", "event_type_code", "prod_level_code", "nomination_code",
                  "event_start_week")
@@ -42,25 +45,21 @@ SET_KEYS = ["parent_event_code", "line_item_id", "seg_desc_list", "prod_group_co
 FINAL_COLUMNS = SET_KEYS + ["product_desc", "fp", "brand_desc", "brand", "cat_desc", "cat"]
 
 
-#: Distinct weeks that are turned into an IN list (some 19 years); more are joined.
-MAX_WEEKS = 1000
+def in_weeks_of(frame: DataFrame, week_col: str, of: str = "fis_week_id"):
+    """Condition: the week ``of`` is one that ``frame`` references.
 
+    The weeks are a scalar subquery (a set of Mondays, so bounded by the calendar),
+    evaluated once when the query runs: nothing runs while the plan is built.
+    Unlike a join it is a plain filter, which Catalyst moves below aggregates and
+    joins; on a table stored by week it prunes partitions when the scan starts."""
+    return F.array_contains(frame.agg(F.collect_set(week_col).alias("weeks")).scalar(), F.col(of))
 
-def _master_cols(m: DataFrame, weeks_from: DataFrame | None = None, week_col: str = "") -> DataFrame:
-    """The master with prefixed names, so join keys are never ambiguous.
 
-    With ``weeks_from``, the master is first restricted to the weeks that frame
-    references.  Up to ``MAX_WEEKS`` distinct weeks (counted first) become an IN
-    list, a plain filter that Catalyst pushes below the master's own aggregates
-    and joins to its scan; more weeks are a semi join.
-    """
+def _master_cols(m: DataFrame, weeks_from: DataFrame | None = None, week_col: str = "") -> DataFrame:
+    """The master with prefixed names, so join keys are never ambiguous; with
+    ``weeks_from`` restricted to the weeks which that frame references."""
     if weeks_from is not None:
-        weeks = weeks_from.select(F.col(week_col).alias("_w")).distinct()
-        found = [r[0] for r in weeks.limit(MAX_WEEKS + 1).collect()]
-        if len(found) <= MAX_WEEKS:
-            m = m.where(F.col("fis_week_id").isin([w for w in found if w is not None]))
-        else:
-            m = m.join(weeks, F.col("fis_week_id") == F.col("_w"), "left_semi")
+        m = m.where(in_weeks_of(weeks_from, week_col))
     return m.select(*[F.col(c).alias(f"m_{c}") for c in PROD_KEYS])
 
 
@@ -96,14 +95,21 @@ def product_master(prod: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- N4 .. N6
-def nominated_attributes(line_items: DataFrame, master: DataFrame) -> DataFrame:
-    """Line items with their product's master row at the nomination week."""
+def nominated_attributes(line_items: DataFrame, master: DataFrame, salts: int | None = None) -> DataFrame:
+    """Line items with their product's master row at the nomination week.
+
+    ``salts`` spreads a product that very many line items nominate in a week
+    over that many tasks (measured, see ``operators.skew``)."""
     m = _master_cols(master, line_items, "nomination_start_week")
+    if salts:
+        m = m.withColumn("nomination_start_week", F.col("m_fis_week_id")).withColumn("prod_group_code", F.col("m_prod_group_code"))
+        return salted_join(line_items, m, ["nomination_start_week", "prod_group_code"], "inner", salts=salts)
     return line_items.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
                            & (F.col("m_prod_group_code") == F.col("prod_group_code")))
 
 
-def _featured(attributes: DataFrame) -> DataFrame:
+def featured_of(attributes: DataFrame) -> DataFrame:
+    """N4 from the line items' master rows."""
     return (attributes.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code",
                               F.col("m_prod_desc").alias("product_desc"), F.lit(True).alias("fp"),
                               "nomination_start_week")
@@ -111,7 +117,7 @@ def _featured(attributes: DataFrame) -> DataFrame:
 
 
 def featured_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
-    return _featured(nominated_attributes(line_items, master))
+    return featured_of(nominated_attributes(line_items, master))
 
 
 def brand_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
@@ -164,37 +170,25 @@ def final_nomination_products(featured: DataFrame, brand: DataFrame, category: D
                     F.coalesce("brand", no).alias("brand"), "cat_desc", F.coalesce("cat", no).alias("cat"))
 
 
-def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFrame:
-    """N4-N7 fused: the same result as
-    ``final_nomination_products(featured_products(..), brand_products(..), category_products(..))``
-    from two joins with the master instead of five.
-
-    A brand product shares week, brand and L10 code with a nominated product, so
-    it is also a category product: one expansion on (week, L10) yields every
-    category row, and its rows whose brand equals the nominated product's are the
-    brand rows.  Featured rows come from the line items' own master rows.  The
-    expansion and those rows feed several branches, so they are stored first
-    (reliable checkpoints); the expansion is as large as the category set.
-    """
-    from tillroll.sources.catalog import checkpoint
+def nomination_classes(line_items: DataFrame, master: DataFrame, salts: int | None = None) -> factorised.NominationClasses:
+    """N4-N6 in factorised form (see ``plans.factorised``): as large as line items plus products.
 
-    attrs = checkpoint(nominated_attributes(line_items, master).select(
+    All three relations start from the line items' master rows, which are stored
+    first (a reliable checkpoint)."""
+    attrs = checkpoint(nominated_attributes(line_items, master, salts).select(
         "parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "nomination_start_week",
         "m_prod_desc", "m_brand_name", "m_prod_merch_l10_code"))
-    keys = ["parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week"]
-    a = (attrs.where(F.col("m_prod_merch_l10_code").isNotNull())
-         .select(*keys, F.col("m_brand_name").alias("a_brand"), F.col("m_prod_merch_l10_code").alias("a_l10"))
-         .distinct())
-    m = _master_cols(master, attrs, "nomination_start_week")
-    x = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
-               & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
-    x = checkpoint(x.select(
-        *keys, F.col("m_prod_group_code").alias("prod_group_code"), F.col("m_brand_name").alias("brand_desc"),
-        F.col("m_prod_merch_l10_desc").alias("cat_desc"),
-        F.coalesce(F.col("m_brand_name") == F.col("a_brand"), F.lit(False)).alias("same_brand")).distinct())
-    brand = x.where("same_brand").select(*SET_KEYS, "brand_desc", F.lit(True).alias("brand")).distinct()
-    category = x.select(*SET_KEYS, "cat_desc", F.lit(True).alias("cat")).distinct()
-    return final_nomination_products(_featured(attrs), brand, category)
+    return factorised.factorise(attrs, featured_of(attrs), _master_cols(master, attrs, "nomination_start_week"))
+
+
+def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFrame:
+    """N4-N7 fused: the same result as
+    ``final_nomination_products(featured_products(..), brand_products(..), category_products(..))``
+    from two joins with the master instead of five: the factorised relation is
+    built and stored, then multiplied out."""
+    f = nomination_classes(line_items, master)
+    return factorised.expand_final(factorised.NominationClasses(
+        f.featured, checkpoint(f.members), checkpoint(f.classes)))
 
 
 # --------------------------------------------------------------------------- N8, N9, N11, N12
@@ -234,7 +228,7 @@ def flag_nominations(selected: DataFrame, dominant: DataFrame, nominated: DataFr
     flag = (nominated.select("parent_event_code", "line_item_id").distinct()
             .withColumn("prod_found_flag", F.lit(1)))
     out = left_join(selected, dominant, ["parent_event_code"], salts)
-    out = left_join(out, flag, ["parent_event_code", "line_item_id"], salts)
+    out = left_join(out, flag, ["parent_event_code", "line_item_id"], salts, measure=selected)
     return out.fillna({"prod_found_flag": 0})
 
 
@@ -247,16 +241,17 @@ def apply_hook(df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None = None
 
 
 def with_rerun(selected: DataFrame, re_run_events: DataFrame | None, enabled: bool,
-               run_date: _dt.date | None, weekday: int, salts: int | None = None) -> DataFrame:
+               run_date: _dt.date | None, weekday: int, salts: int | None = None,
+               measure: DataFrame | None = None) -> DataFrame:
     """When enabled and ``run_date`` falls on ``weekday`` (Monday = 0), attach
     the events' re-run marker with a LEFT join (a parameter check on the
-    driver, not a data scan)."""
+    driver, not a data scan).  ``salts`` and ``measure``: see ``salted_join``."""
     if not enabled or run_date is None or re_run_events is None:
         return selected
     if run_date.weekday() != int(weekday):
         return selected
     rr = re_run_events.select("parent_event_code", "re_run").distinct()
-    return left_join(selected, rr, ["parent_event_code"], salts)
+    return left_join(selected, rr, ["parent_event_code"], salts, measure)
 
 
 def brands_and_categories(selected: DataFrame, brand_cats: DataFrame) -> DataFrame:
@@ -301,8 +296,6 @@ def build_nominations(nomination_prod: DataFrame, prod: DataFrame, selected: Dat
     KeyError, non-frames ValueError.  Steps fail loudly: there is no
     best-effort empty result.
     """
-    from tillroll.sources.catalog import checkpoint, materialize
-
     frames = {"nomination_prod": nomination_prod, "prod": prod, "selected": selected}
     if re_run_events is not None:
         frames["re_run_events"] = re_run_events
@@ -330,18 +323,15 @@ def build_nominations(nomination_prod: DataFrame, prod: DataFrame, selected: Dat
 
     # the week's nominations and the master rows of their weeks feed every later step: computed once
     nominated = checkpoint(nominated_products(np_, sel, params.current_week, params.event_types))
-    weeks = nominated.select(F.explode(F.array("nomination_start_week", "event_start_week")).alias("week")).distinct()
-    few = [r[0] for r in weeks.limit(MAX_WEEKS + 1).collect()]
-    if len(few) <= MAX_WEEKS:
-        pr = pr.where(F.col("fis_week_id").isin([w for w in few if w is not None]))
-    master = checkpoint(product_master(pr))
+    weeks = nominated.select(F.explode(F.array("nomination_start_week", "event_start_week")).alias("week"))
+    master = checkpoint(product_master(pr.where(in_weeks_of(weeks, "week"))))
     line_items = checkpoint(line_item_products(nominated))
     final = nomination_product_sets(line_items, master)
     final = materialize(final, params.tables.get("final_nomination_prod_info"))
     bc = event_brand_categories(nominated, master)
     noms = flag_nominations(sel, dominant_brand(bc), nominated, params.salts)
     noms = apply_hook(noms, params.hook)
-    noms = with_rerun(noms, rr, params.re_run, params.current_date, params.re_run_day, params.salts)
+    noms = with_rerun(noms, rr, params.re_run, params.current_date, params.re_run_day, params.salts, sel)
     noms = materialize(noms, params.tables.get("interim_nominations_table"))
     noms = materialize(noms, params.tables.get("final_nominations_table"))
     lists = brands_and_categories(noms, bc)

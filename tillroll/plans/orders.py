@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import month_start
 from tillroll.functions.money import mean_of
-from tillroll.operators.relational import best_per_group, left_join, top_k
+from tillroll.operators.relational import best_per_group, left_join, top_k, union_all
 
 
 # --------------------------------------------------------------------------- Q11 / Q12
@@ -22,8 +22,8 @@ def top_customers(customers: DataFrame, orders: DataFrame, k: int = 3, salts: in
     """Join, then aggregate per customer, then top-k by spend (ties: lower id).
 
     AQE can't split a hot customer here, since the aggregate above reuses the
-    join's partitioning; ``salts`` spreads each customer's orders over that many
-    tasks (the customers are repeated as often)."""
+    join's partitioning; ``salts`` spreads the orders of customers measured as
+    very common over that many tasks."""
     c = customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"),
                          F.lit(True).alias("_known"))
     spend = (left_join(orders.select("id", "customer_id", "total_amount"), c, ["customer_id"], salts).where("_known")
@@ -47,6 +47,16 @@ def top_customers_preagg(customers: DataFrame, orders: DataFrame, k: int = 3) ->
     return top_k(out, [F.desc_nulls_last("total_spent"), F.asc_nulls_last("customer_id")], k)
 
 
+def spend_of(joined: DataFrame) -> DataFrame:
+    """Spend per customer of orders that carry the customer's name; no exchange where they are bucketed by customer."""
+    return joined.groupBy("customer_id", "customer_name").agg(F.sum("total_amount").cast("double").alias("total_spent"))
+
+
+def top_spenders(parts: list[DataFrame], k: int = 3) -> DataFrame:
+    """Top-k over parts that hold different customers."""
+    return top_k(union_all(parts), [F.desc_nulls_last("total_spent"), F.asc_nulls_last("customer_id")], k)
+
+
 # --------------------------------------------------------------------------- Q13 / Q14
 def monthly_category_qty(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """SUM(quantity) per (month of order, category).
@@ -134,11 +144,15 @@ def returned_orders_by_month_approx(returns: DataFrame, rsd: float = 0.05) -> Da
             .agg(F.approx_count_distinct("order_id", rsd).alias("returned_orders_count")).orderBy("month"))
 
 
-def approximation_check(returns: DataFrame, rsd: float = 0.05, sigmas: float = 4.0) -> DataFrame:
-    """Exact counts per month, and whether the estimate lies within ``sigmas``
-    standard errors (and one order) of them."""
-    estimate = returned_orders_by_month_approx(returns, rsd).withColumnRenamed("returned_orders_count", "estimate")
+def within_error(exact: DataFrame, estimate: DataFrame, share: float) -> DataFrame:
+    """Exact counts per month, and whether the estimate lies within ``share`` (and one order) of them."""
+    estimate = estimate.withColumnRenamed("returned_orders_count", "estimate")
     off = F.abs(F.col("estimate") - F.col("returned_orders_count"))
-    return returned_orders_by_month(returns).join(estimate, "month").select(
+    return exact.join(estimate, "month").select(
         "month", "returned_orders_count",
-        (off <= F.lit(sigmas * rsd) * F.col("returned_orders_count") + 1).alias("within_error")).orderBy("month")
+        (off <= F.lit(share) * F.col("returned_orders_count") + 1).alias("within_error")).orderBy("month")
+
+
+def approximation_check(returns: DataFrame, rsd: float = 0.05, sigmas: float = 4.0) -> DataFrame:
+    """Exact counts per month, and whether the estimate lies within ``sigmas`` standard errors of them."""
+    return within_error(returned_orders_by_month(returns), returned_orders_by_month_approx(returns, rsd), sigmas * rsd)

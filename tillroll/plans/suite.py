@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillroll.functions.predicates import any_of
@@ -211,6 +211,22 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=No
     return run_details(tables, checks, as_of), summarize_checks(tables, checks, as_of)
 
 
+def store_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], store, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """(stored details, summary) in one pass: the violations are counted while the details are written.
+
+    ``store`` takes the details and returns the stored frame, e.g.
+    ``lambda d: catalog.overwrite(d, "violations")``; it has to act on them once.
+    The counts are observed metrics of that one action (one number a check), so
+    the tables are read once, where ``run_suite`` reads them for either frame."""
+    seen = Observation("violations")
+    counts = [F.count_if(F.col("check") == c.name).alias(f"check_{i}") for i, c in enumerate(checks)]
+    stored = store(run_details(tables, checks, as_of).observe(seen, *counts))
+    found = seen.get
+    rows = [(c.name, c.severity, int(found[f"check_{i}"])) for i, c in enumerate(checks)]
+    summary = stored.sparkSession.createDataFrame(rows, "check string, severity string, violations long")
+    return stored, summary
+
+
 # ----------------------------------------------------------------------------- tracker spec
 def tracker_checks(as_of, statuses, username_regex=r"^Customer#[0-9]+$",
                    balance=(0.0, 10000.0)) -> list[Check]:

@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 from tillroll.params import P
 from tillroll.session import unique_name
 from tillroll.plans import calendar as C
+from tillroll.plans import constraints as CO
+from tillroll.plans import factorised as FA
+from tillroll.plans import incremental as I
 from tillroll.plans import nominations as N
 from tillroll.plans import orders as Q
 from tillroll.plans import sales as SA
@@ -28,6 +31,7 @@ from tillroll.sources.tables import table
 from tillroll.sources import adapters as A
 from tillroll.sources import catalog as IO
 from tillroll.sources import generate as G
+from tillroll.sources import layout as L
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,9 +66,18 @@ def _top_customers_preagg(spark, d):
 
 
 def _stored(df, what):
-    """``df`` as an intermediate table under a name of its own."""
-    spark = df.sparkSession
-    return IO.overwrite(df, unique_name(f"tillroll_{what}"), path=IO.scratch_path(spark, what))
+    """``df`` as an intermediate in a new folder of the shared checkpoint location."""
+    path = IO.scratch_path(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _finished(df, *tables):
+    """The (small) result, stored, once the tables that it was read from are dropped."""
+    out = IO.checkpoint(df)
+    for name in tables:
+        IO.drop_table(df.sparkSession, name)
+    return out
 
 
 def _monthly(spark, d):
@@ -266,6 +279,54 @@ def _validation_details(spark, d):
     return SU.run_details({**_tracker(spark, d), **A.corpus_tables(spark, d)}, _all_checks())
 
 
+@register("validation_summary_observed")
+def _validation_summary_observed(spark, d):
+    """The summary that falls out while the details are written."""
+    tables = {**_tracker(spark, d), **A.corpus_tables(spark, d)}
+    return SU.store_suite(tables, _all_checks(), lambda found: _stored(found, "violations"))[1]
+
+
+#: Constraints of the driver's tables, as column metadata.
+CONSTRAINED = {
+    "users": T.StructType([
+        CO.column("id", T.LongType(), required=True, unique=True),
+        CO.column("username", T.StringType(), required=True, pattern=r"^Customer#[0-9]+$"),
+        CO.column("segment", T.StringType(), required=True, allowed=["AUTOMOBILE", "BUILDING", "MACHINERY"]),
+        CO.column("balance", T.DoubleType(), between=[P.balance_lo, P.balance_hi])]),
+    "projects": T.StructType([
+        CO.column("id", T.LongType(), required=True, unique=True),
+        CO.column("owner_id", T.LongType(), required=True, references="users.id"),
+        CO.column("status", T.StringType(), required=True, allowed=list(P.project_status))]),
+    "tasks": T.StructType([
+        CO.column("project_id", T.LongType(), required=True, references="projects.id"),
+        CO.column("line", T.IntegerType(), required=True, between=[1, 6]),
+        CO.column("assignee_id", T.LongType(), references="users.id")]),
+    "labels": T.StructType([CO.column("doc_id", T.LongType(), required=True, unique=True),
+                            CO.column("quality", T.IntegerType(), allowed=[1])]),
+    "documents": T.StructType([CO.column("doc_id", T.LongType(), required=True, references="labels.doc_id"),
+                               CO.column("source", T.StringType(), required=True)]),
+}
+CONSTRAINED_KEYS = {"users": ["id"], "projects": ["id"], "tasks": ["project_id", "line"], "labels": ["doc_id"],
+                    "documents": ["doc_id"]}
+
+
+def _constrained(spark, d):
+    texts = A.corpus_tables(spark, d)
+    return ({"users": A.tracker_users(spark, d), "projects": A.tracker_projects(spark, d), "tasks": A.tracker_tasks(spark, d),
+             "labels": texts["labels"], "documents": texts["document_refs"]},
+            CO.compile_checks(CONSTRAINED, CONSTRAINED_KEYS))
+
+
+@register("constraint_summary")
+def _constraint_summary(spark, d):
+    return SU.summarize_checks(*_constrained(spark, d))
+
+
+@register("constraint_violations")
+def _constraint_violations(spark, d):
+    return SU.run_details(*_constrained(spark, d))
+
+
 # ----------------------------------------------------------------------------- nominations
 def _nominations(spark, d):
     sel = A.selected_nominations(spark, d)
@@ -314,6 +375,53 @@ def _final_nomination_products(spark, d):
     return N.nomination_product_sets(li, master)
 
 
+def _classes(spark, d):
+    _, master, _, li = _nominations(spark, d)
+    return N.nomination_classes(li, master)
+
+
+@register("category_classes")
+def _category_classes(spark, d):
+    """The classes' products with the line items that reach them: as many rows as products, not as links."""
+    return FA.class_rows(_classes(spark, d))
+
+
+@register("category_members")
+def _category_members(spark, d):
+    """The line items' classes: as many rows as line items have L10 codes and brands."""
+    return _classes(spark, d).members
+
+
+@register("category_class_links")
+def _category_class_links(spark, d):
+    return FA.total_links(_classes(spark, d))
+
+
+@register("nomination_link_counts")
+def _nomination_link_counts(spark, d):
+    return FA.item_links(_classes(spark, d))
+
+
+@register("final_products_from_classes")
+def _final_products_from_classes(spark, d):
+    """The factorised relation multiplied out."""
+    return FA.expand_final(_classes(spark, d))
+
+
+@register("featured_products_salted")
+def _featured_products_salted(spark, d):
+    _, master, _, li = _nominations(spark, d)
+    return N.featured_of(N.nominated_attributes(li, master, P.salts))
+
+
+@register("category_products_by_week")
+def _category_products_by_week(spark, d):
+    """From a master stored by week: only the folders of the nominated weeks are read."""
+    _, master, _, li = _nominations(spark, d)
+    stored = IO.write_partitioned(master, None, ["fis_week_id"], path=IO.scratch_path(spark, "master_by_week"))
+    return N.category_products(li, stored)
+
+
 @register("dominant_brand")
 def _dominant_brand(spark, d):
     _, master, nominated, _ = _nominations(spark, d)
@@ -331,7 +439,7 @@ def _flag_nominations(spark, d):
 def _with_rerun(spark, d):
     flagged = _flag_nominations(spark, d)
     return N.with_rerun(flagged, A.re_run_events(spark, d), True,
-                        _dt.date.fromisoformat(P.run_date), P.re_run_day, P.salts)
+                        _dt.date.fromisoformat(P.run_date), P.re_run_day, P.salts, A.selected_nominations(spark, d))
 
 
 @register("brands_and_categories")
@@ -385,11 +493,22 @@ def _materialize_roundtrip(spark, d):
     return _stored(Q.monthly_order_stats(A.orders(spark, d)), "monthly_order_stats")
 
 
+@register("materialize_named")
+def _materialize_named(spark, d):
+    """A named table is stored, replaced by what is computed from it, read back and dropped."""
+    name = unique_name("tillroll_order_totals")
+    orders = A.orders(spark, d).select("created_at", "total_amount")
+    IO.materialize(orders.where(F.col("created_at") < F.lit(P.cutoff).cast("timestamp_ntz")), name)
+    late = orders.where(F.col("created_at") >= F.lit(P.cutoff).cast("timestamp_ntz"))
+    both = IO.materialize(spark.table(name).unionByName(late), name)
+    return _finished(Q.monthly_order_stats(both), name)
+
+
 @register("ctas_summary")
 def _ctas_summary(spark, d):
-    stats = IO.ctas(Q.monthly_order_stats(A.orders(spark, d)), unique_name("tillroll_order_stats"),
-                    path=IO.scratch_path(spark, "order_stats"))
-    return Q.avg_monthly_revenue_from_stats(stats)
+    name = unique_name("tillroll_order_stats")
+    stats = IO.ctas(Q.monthly_order_stats(A.orders(spark, d)), name, path=IO.scratch_path(spark, "order_stats"))
+    return _finished(Q.avg_monthly_revenue_from_stats(stats), name)
 
 
 @register("resolve_source")
@@ -397,7 +516,7 @@ def _resolve_source(spark, d):
     s = A.sales_transactions(spark, d, ["amount", "quantity", "transaction_date", "payment_mode"])
     name = unique_name("tillroll_sales_clean")
     IO.overwrite(SA.clean_sales(s), name, path=IO.scratch_path(spark, "sales_clean"))
-    return SA.sales_by_year(IO.resolve_source(spark, [name + "_v2", name]))
+    return _finished(SA.sales_by_year(IO.resolve_source(spark, [name + "_v2", name])), name)
 
 
 @register("resolve_raw_source")
@@ -406,15 +525,86 @@ def _resolve_raw_source(spark, d):
     s = A.sales_transactions(spark, d, ["amount", "quantity", "transaction_date"])
     name = unique_name("tillroll_sales_raw")
     IO.overwrite(s, name, path=IO.scratch_path(spark, "sales_raw"))
-    return SA.sales_by_year(IO.resolve_source(spark, [name + "_clean", name]))
+    return _finished(SA.sales_by_year(IO.resolve_source(spark, [name + "_clean", name])), name)
 
 
 @register("layout_roundtrip")
 def _layout_roundtrip(spark, d):
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    laid = IO.write_layout(A.orders(spark, d), unique_name("tillroll_orders_by_customer"), ["customer_id"],
+    name = unique_name("tillroll_orders_by_customer")
+    laid = IO.write_layout(A.orders(spark, d), name, ["customer_id"],
                            buckets=buckets, sort_by=["created_at"], path=IO.scratch_path(spark, "orders_by_customer"))
-    return Q.top_customers_preagg(A.customers(spark, d), laid, P.top_k)
+    return _finished(Q.top_customers_preagg(A.customers(spark, d), laid, P.top_k), name)
+
+
+def _laid_out(spark, d, name):
+    """Orders and customers bucketed alike by customer, very common customers apart."""
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    base = IO.scratch_path(spark, "colocated")
+    # parquet filters on timestamps without a zone skip nothing, on dates they do
+    dated = A.orders(spark, d).withColumn("day", F.col("created_at").cast("date"))
+    orders = L.store(dated, name, ["customer_id"], buckets, ["created_at"], path=base + "/orders",
+                     row_group_bytes=P.row_group_bytes)
+    customers = A.customers(spark, d).select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"))
+    return orders, L.store_beside(customers, name + "_names", orders, path=base + "/customers")
+
+
+@register("top_customers_colocated")
+def _top_customers_colocated(spark, d):
+    """Join and sum inside the buckets: the rows of an order are never exchanged."""
+    name = unique_name("tillroll_orders_laid_out")
+    parts = L.colocated_join(*_laid_out(spark, d, name))
+    return _finished(Q.top_spenders([Q.spend_of(p) for p in parts], P.top_k),
+                     name, name + "__hot", name + "_names", name + "_names__hot")
+
+
+@register("orders_of_one_month")
+def _orders_of_one_month(spark, d):
+    """A range of dates read from the layout: row groups and pages of other dates are skipped."""
+    name = unique_name("tillroll_orders_by_day")
+    orders = _laid_out(spark, d, name)[0].all()
+    lo, hi = (F.lit(x).cast("date") for x in P.month)
+    days = (orders.where((F.col("day") >= lo) & (F.col("day") < hi)).groupBy("day")
+            .agg(F.count(F.lit(1)).alias("orders_count"), F.sum("total_amount").cast("double").alias("revenue")))
+    return _finished(days, name, name + "__hot", name + "_names", name + "_names__hot")
+
+
+# ----------------------------------------------------------------------------- summaries kept between runs
+def _slices(col):
+    """Three slices: before the cutoff, a fortnight after it (so a month is touched twice), the rest."""
+    a, b = (F.lit(x).cast("timestamp_ntz") for x in (P.cutoff, P.second_cutoff))
+    return [F.col(col) < a, (F.col(col) >= a) & (F.col(col) < b), (F.col(col) >= b) | F.col(col).isNull()]
+
+
+@register("monthly_order_stats_incremental")
+def _monthly_order_stats_incremental(spark, d):
+    """Slices are taken in one after the other, one of them twice (as after a failure): equal to the whole computation."""
+    orders = A.orders(spark, d)
+    kept = I.order_totals(unique_name("tillroll_kept_totals"))
+    I.taken_in_slices(kept, orders, _slices("created_at"), IO.scratch_path(spark, "kept_totals"))
+    I.take_in(kept, spark, orders.where(_slices("created_at")[1]), "slice-1")
+    return _finished(I.monthly_order_stats(kept, spark), kept.name)
+
+
+@register("top_category_incremental")
+def _top_category_incremental(spark, d):
+    sold = (A.order_items(spark, d).join(A.orders(spark, d).select(F.col("id").alias("order_id"), "created_at"), "order_id")
+            .join(A.products(spark, d).select(F.col("id").alias("product_id"), "category_id"), "product_id"))
+    kept = I.category_quantities(unique_name("tillroll_kept_quantities"))
+    I.taken_in_slices(kept, sold, _slices("created_at"), IO.scratch_path(spark, "kept_quantities"))
+    I.compact(kept, spark, _dt.date.fromisoformat(P.cutoff))
+    monthly = I.read(kept, spark).select(F.col("period").alias("month"), "category_id", "total_quantity")
+    return _finished(Q.top_category_per_month_reuse(monthly, A.categories(spark, d)), kept.name)
+
+
+@register("returned_orders_sketched")
+def _returned_orders_sketched(spark, d):
+    """Distinct counts from stored sketches, merged over the slices, against the exact counts."""
+    returns = A.returns(spark, d)
+    kept = I.returned_orders(unique_name("tillroll_kept_returns"))
+    I.taken_in_slices(kept, returns, _slices("returned_at"), IO.scratch_path(spark, "kept_returns"))
+    return _finished(Q.within_error(Q.returned_orders_by_month(returns), I.returned_orders_by_month(kept, spark),
+                                    P.approx_sigmas * I.SKETCH_ERROR), kept.name)
 
 
 def _generated(spark, d):

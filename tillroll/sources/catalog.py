@@ -38,7 +38,12 @@ def create_table(spark: SparkSession, name: str, ddl: str, defaults: dict | None
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table, and the former versions of a managed one."""
+    info = _described(spark, name) if spark.catalog.tableExists(name) else {}
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if info.get("Type") == "MANAGED" and _VERSION in info.get("Location", ""):
+        folder, leaf = info["Location"].rstrip("/").rsplit("/", 1)
+        _free_versions(spark, folder, leaf.split(_VERSION)[0], keep=set())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -58,20 +63,69 @@ def overwrite(df: DataFrame, name: str, fmt: str = "parquet", path: str | None =
     """Full-replace write of table ``name``; returns the table scan.
 
     Without ``path`` the table is managed: it lies where the catalog puts it and
-    DROP TABLE frees its data.  With ``path`` (intermediates) it is external."""
+    DROP TABLE frees its data.  With ``path`` (intermediates) it is external.
+
+    A managed table that exists with the same columns is replaced by one catalog
+    operation: the rows are written to a new folder beside the table's, then its
+    location is moved there.  Readers see the old rows or the new ones, never
+    none; ``df`` may read the table it replaces.  The version before stays until
+    the next replacement, for readers that are still at it.  With other columns
+    the new table is written as ``name__next``, the old one is dropped and the new
+    one renamed; between the two readers find no table, and if the application
+    ends there, the next call finishes the rename.  One writer a table is assumed."""
     spark = df.sparkSession
     if path:
         df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(name)
         return spark.table(name)
     _durable(spark)
     _recover(spark, name)
-    df.write.format(fmt).mode("overwrite").saveAsTable(name + _NEXT)
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {_leaf(spark, name)}")
+    if not spark.catalog.tableExists(name):
+        df.write.format(fmt).saveAsTable(name)
+    elif _columns(spark.table(name)) == _columns(df) and _provider(spark, name) == fmt:
+        _move_to_new_version(df, name, fmt)
+    else:
+        df.write.format(fmt).mode("overwrite").saveAsTable(name + _NEXT)
+        drop_table(spark, name)
+        spark.sql(f"ALTER TABLE {name}{_NEXT} RENAME TO {_leaf(spark, name)}")
     return spark.table(name)
 
 
-_NEXT = "__next"
+_NEXT, _VERSION = "__next", "__v_"
+
+
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in describe(spark, name).collect()}
+
+
+def _provider(spark: SparkSession, name: str) -> str:
+    """Format of a plain table; partitioned and bucketed ones have none that a folder of files could replace."""
+    info = _described(spark, name)
+    return "" if "# Partition Information" in info or "Bucket Columns" in info else info.get("Provider", "")
+
+
+def _move_to_new_version(df: DataFrame, name: str, fmt: str) -> None:
+    spark = df.sparkSession
+    old = _described(spark, name)["Location"].rstrip("/")
+    folder, leaf = old.rsplit("/", 1)
+    base = leaf.split(_VERSION)[0]
+    new = f"{folder}/{base}{_VERSION}{unique_name('t')}"
+    df.write.format(fmt).save(new)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    _free_versions(spark, folder, base, keep={leaf, new.rsplit("/", 1)[1]})
+
+
+def _free_versions(spark: SparkSession, folder: str, base: str, keep: set[str]) -> None:
+    """Delete the folders of a table's versions, but for ``keep``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(place) if fs.exists(place) else ():
+        found = status.getPath().getName()
+        if (found == base or found.startswith(base + _VERSION)) and found not in keep:
+            fs.delete(status.getPath(), True)
 
 
 def _leaf(spark: SparkSession, name: str) -> str:
@@ -93,12 +147,9 @@ def insert_select(df: DataFrame, name: str, truncate: bool = False) -> None:
 
 
 def materialize(df: DataFrame, name: str | None) -> DataFrame:
-    """Store ``df`` as the managed table ``name`` and continue from the stored copy.
+    """Store ``df`` as the managed table ``name`` and continue from the stored copy (see ``overwrite``).
 
-    No name -> ``df`` unchanged.  The rows are first written to ``name__next``,
-    then the old table is dropped and the new one renamed, so ``df`` may read the
-    table it replaces.  Between drop and rename readers find no table; if the
-    application ends there, the next call for that name finishes the rename."""
+    No name -> ``df`` unchanged."""
     return overwrite(df, name) if name else df
 
 
@@ -130,7 +181,8 @@ def compute_statistics(spark: SparkSession, name: str, columns: bool = True) ->
 
 
 def write_layout(df: DataFrame, name: str, cluster_by: Sequence[str], buckets: int,
-                 sort_by: Sequence[str] = (), codec: str = "zstd", path: str | None = None) -> DataFrame:
+                 sort_by: Sequence[str] = (), codec: str = "zstd", path: str | None = None,
+                 row_group_bytes: int | None = None) -> DataFrame:
     """Physical layout of a table: rows hashed into ``buckets`` by the join/group
     key (co-located joins and aggregations read it without an exchange), sorted
     within each bucket (parquet min/max statistics then skip row groups on
@@ -138,19 +190,47 @@ def write_layout(df: DataFrame, name: str, cluster_by: Sequence[str], buckets: i
 
     Rows are dealt to the buckets first, by the same hash: one file a bucket, in
     order, instead of one per bucket and task.  A bucket holds whole keys, so a
-    very common key makes a large bucket; choose another layout for such keys."""
+    very common key makes a large bucket: ``sources.layout`` keeps such keys apart.
+    ``row_group_bytes`` sets the size of parquet row groups (smaller: finer skipping)."""
     if path is None:
         _durable(df.sparkSession)
     w = (df.repartition(buckets, *cluster_by).write.format("parquet").mode("overwrite")
          .option("compression", codec).bucketBy(buckets, *cluster_by))
     if path:
         w = w.option("path", path)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", str(row_group_bytes))
     if sort_by:
         w = w.sortBy(*sort_by)
     w.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def write_partitioned(df: DataFrame, name: str | None, by: Sequence[str], path: str | None = None,
+                      codec: str = "zstd") -> DataFrame:
+    """A table stored by the values of ``by``, one folder each, so that scans prune whole folders.
+
+    A REBALANCE hint deals the rows: AQE gives every folder files of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, splits a value that
+    holds very many rows over several files and merges small ones, where a plain
+    ``partitionBy`` writes up to one file per task and value.  With ``path``
+    (intermediates) the folder is read back as it is, without a catalog entry."""
+    spark = df.sparkSession
+    w = (df.hint("rebalance", *[F.col(c) for c in by]).write.format("parquet").mode("overwrite")
+         .option("compression", codec).partitionBy(*by))
+    if path:
+        w.save(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    _durable(spark)
+    w.saveAsTable(name)
+    return spark.table(name)
+
+
+def write_sized(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """A table whose files have about the advised size, whatever the number of tasks that made its rows."""
+    return overwrite(df.hint("rebalance"), name, path=path)
+
+
 def temp_view(df: DataFrame, name: str, columns: Sequence[str] | None = None) -> str:
     (df.select(*columns) if columns else df).createOrReplaceTempView(name)
     return name
@@ -166,3 +246,15 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The columns of a frame as rows: position, name, type, nullable."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, name string, type string, nullable boolean")
+
+
+def preview(df: DataFrame, n: int = 10, order: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows by ``order`` (default: all columns that can be ordered), the same whatever the partitions."""
+    keys = order or [f.name for f in df.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    return df.orderBy(*[F.col(f"`{k}`").asc_nulls_last() for k in keys]).limit(n)

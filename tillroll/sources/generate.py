@@ -33,6 +33,11 @@ def _pick(values: list[str], drawn: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (drawn % len(values) + 1).cast("int"))
 
 
+def padded_id(prefix: str, number: Column, width: int = 3) -> Column:
+    """``prefix`` and a whole number of at least ``width`` digits, zeros in front; longer numbers as they are."""
+    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+
+
 def generate_sales(base: DataFrame, id_col: str, customer_col: str, date_col: str,
                    seed: int = 42, id_offset: int = 1000) -> DataFrame:
     """Sales transactions with the 16-column schema, one per ``base`` row.
@@ -50,8 +55,8 @@ def generate_sales(base: DataFrame, id_col: str, customer_col: str, date_col: st
     when = F.col(date_col).cast("timestamp_ntz") - F.make_dt_interval(
         (d["day"] % 31).cast("int"), F.lit(0), F.lit(0), (d["second"] % 86400).cast("decimal(18,6)"))
     return base.select(
-        F.concat(F.lit("G"), (key + id_offset).cast("string")).alias("transaction_id"),
-        F.concat(F.lit("C"), F.col(customer_col).cast("string")).alias("customer_id"),
+        padded_id("G", key + id_offset).alias("transaction_id"),
+        padded_id("C", F.col(customer_col)).alias("customer_id"),
         F.concat_ws(" ", _pick(GIVEN, d["given"]), _pick(FAMILY, d["family"])).alias("customer_name"),
         F.concat(F.lit("P"), (d["good"] % len(GOODS)).cast("string")).alias("product_id"),
         _pick(GOODS, d["good"]).alias("product_name"),
