@@ -19,14 +19,14 @@ def brute(text, items):
     hit, found = set(), set()
     for i, t in items:
         w = PATTERN.findall(low(t))
-        if not w or i is None:
+        if not w:
             continue
         for k in range(max(1, len(w) - 9)):
             win = w[k:k + 10]
             for at in range(len(words) - len(win) + 1):
                 if words[at:at + len(win)] == win:
                     hit.update(range(at, at + len(win)))
-                    found.add(str(i))
+                    found.update([] if i is None else [str(i)])
     return len(words), len(hit), sorted(found)
 
 

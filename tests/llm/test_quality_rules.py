@@ -98,3 +98,47 @@ def test_edge_rows(spark):
     assert Q.quality_rules(empty_docs(spark), labels).count() == 0
     assert Q.keep_quality(empty_docs(spark), labels).count() == 0
     assert Q.quality_rules(docs, labels.where("false")).where("kept = base_failed").count() == 0
+
+
+def test_copies_certify_nothing(spark):
+    """60 good texts are too few; the same texts a hundred times over, under one id or many, are no more."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(60)]
+    bad = [" ".join(f"b{k}x{i}***" for i in range(30)) for k in range(20)]
+    few = [(k, t, "en") for k, t in enumerate(texts + bad)]
+    labels = [(k, int(k < 60), 0) for k in range(80)]
+    schema, marks = "doc_id long, text string, lang string", "doc_id long, quality int, toxic int"
+    assert Q.choose_cutoffs(Q.quality_counts(spark.createDataFrame(few, schema)),
+                            Q.good_labels(spark.createDataFrame(labels, marks))).count() == 0
+    copies = few * 50 + [(1000 * c + k, t, lang) for c in range(1, 51) for k, t, lang in few]
+    more = labels + [(1000 * c + k, q, x) for c in range(1, 51) for k, q, x in labels]
+    counts = Q.quality_counts(spark.createDataFrame(copies, schema))
+    assert Q.choose_cutoffs(counts, Q.good_labels(spark.createDataFrame(more, marks))).count() == 0
+
+
+def test_cutoffs_against_brute_force(spark):
+    """All strata, rules and cutoffs by hand: which are allowed, and which of them is taken."""
+    docs, labels = corpus(spark)
+    rows = {r.doc_id: r for r in Q.quality_counts(docs).collect()}
+    good = {r.doc_id: r.good for r in Q.good_labels(labels).collect()}
+    held = {}
+    for i, r in rows.items():
+        if i in good and not (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words):
+            held[r.stratum, r.digest] = (r, min(good[i], held.get((r.stratum, r.digest), (r, 1))[1]))
+    strata = {s for s, _ in held}
+    tests = len(strata) * sum(len(r.cutoffs) for r in Q.RULES)
+    want = {}
+    frame = Q.quality_counts(docs).withColumn("all", F.lit(1))
+    for rule in Q.RULES:
+        for c in rule.cutoffs:
+            hit = {x.doc_id for x in frame.where(rule.rejects(F.lit(c))).select("doc_id").collect()}
+            for s in strata:
+                mine = [(r, g) for (t, _), (r, g) in held.items() if t == s]
+                n_good = sum(g for _, g in mine)
+                k = sum(g for r, g in mine if r.doc_id in hit)
+                bad = sum(1 - g for r, g in mine if r.doc_id in hit)
+                gain = bad - 10.0 * k
+                if gain > 0 and Q.upper_bound(k, n_good, 0.05 / tests) <= 0.05 / len(Q.RULES):
+                    if (s, rule.name) not in want or gain > want[s, rule.name][0]:
+                        want[s, rule.name] = (gain, c)
+    got = {(c.stratum, c.rule): c.cutoff for c in Q.choose_cutoffs(Q.quality_counts(docs), Q.good_labels(labels)).collect()}
+    assert got == {k: c for k, (_, c) in want.items()} and got

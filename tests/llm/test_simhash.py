@@ -2,7 +2,7 @@ import random
 import re
 
 import xxhash
-from llm_cases import edge_docs, edge_texts, empty_docs
+from llm_cases import edge_docs, edge_texts, empty_docs, prose
 
 from tillroll.llm import simhash as S
 from tillroll.llm._shared import connected
@@ -104,3 +104,45 @@ def test_connected_components_by_brute_force(spark):
             root[y] = x
     assert got == {x: find(x) for x in list(root)}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_kept(rows):
+    """One row of each component: the smallest (id, nulls last; fingerprint), as (id, text)."""
+    prints = [S.fingerprint(t) for _, t in rows]
+    comps = brute_components(list(range(len(rows))), prints)
+    best = {}
+    for (i, t), p, c in zip(rows, prints, comps):
+        key = (i is None, i or 0, S._signed(p))
+        if c not in best or key < best[c][0]:
+            best[c] = (key, i)
+    return sorted(((i, c) for c, (_, i) in best.items()), key=str), comps
+
+
+def test_one_id_on_several_texts(spark):
+    """Three different texts under ids 1, 1, 2 are three components: all three stay."""
+    texts = [prose(40, k) for k in range(3)]
+    docs = edge_docs(spark, [(1, texts[0]), (1, texts[1]), (2, texts[2])])
+    assert sorted(r.text for r in S.keep_one(docs).collect()) == sorted(texts)
+
+
+def test_kept_rows_against_brute_force(spark):
+    r = random.Random(8)
+    base = [prose(r.randint(0, 60), k) for k in range(12)]
+    rows = [(r.choice([None, 1, 2, 3, 4, 5, 6]), r.choice(base) + (" tail" if r.random() < 0.3 else "")) for _ in range(80)]
+    rows += [(9, None), (9, None), (None, "")]
+    want, comps = brute_kept(rows)
+    out = S.keep_one(edge_docs(spark, rows)).collect()
+    texts = {}
+    for (_, t), c in zip(rows, comps):
+        texts[t] = c
+    assert sorted(((x.doc_id, texts[x.text]) for x in out), key=str) == want
+
+
+def test_texts_stay_where_they_are(spark):
+    """All rows but those on both maps pass without an exchange."""
+    docs = edge_docs(spark, [(i, prose(30, i // 3)) for i in range(300)])
+    out = S.keep_one(docs)
+    assert out.count() == 100
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    sure = plan.split("Union")[1].split("Aggregate")[0]
+    assert "strategy=broadcast" in sure and "RepartitionByExpression" not in sure

@@ -34,6 +34,27 @@ def test_chunk_maps_compose_where_the_guess_is_wrong(monkeypatch):
     assert machine.count(texts).tolist() == [len(library.encode(t or "")) for t in texts]
 
 
+def test_long_texts_that_do_not_synchronise_take_few_runs(monkeypatch):
+    """Equal chunks share their maps, and maps compose in a logarithmic number of steps."""
+    library = sentencepiece.SentencePieceProcessor(model_file=COUNTING_MODEL)
+    machine = T.Transducer(COUNTING_MODEL)
+    lanes, run = [], machine.run
+    monkeypatch.setattr(machine, "run", lambda s, *a: (lanes.append(len(s)), run(s, *a))[1])
+    texts = ["a" * 200_000, "-" * 150_001, "ab" * 60_000]
+    assert machine.count(texts).tolist() == [len(library.encode(t)) for t in texts]
+    assert len(lanes) < 60
+
+
+def test_too_many_states_are_run_one_by_one(monkeypatch):
+    monkeypatch.setattr(T, "CHUNK", 8)
+    monkeypatch.setattr(T, "WARM_UP", 1)
+    monkeypatch.setattr(T, "MOST_LANES", 3)
+    library = sentencepiece.SentencePieceProcessor(model_file=COUNTING_MODEL)
+    machine = T.Transducer(COUNTING_MODEL)
+    texts = [t[:200] if t else t for t in odd_texts()][:60]
+    assert machine.count(texts).tolist() == [len(library.encode(t or "")) for t in texts]
+
+
 def test_a_full_table_starts_anew(monkeypatch):
     monkeypatch.setattr(T, "MOST_TRANSITIONS", 50)
     machine = T.Transducer(COUNTING_MODEL)

@@ -108,3 +108,21 @@ def test_branches_below_the_eighth_segment_are_told_apart(spark):
     df = df.union(spark.createDataFrame([(900, "http://deep.io"), (901, "http://deep.io/a")], df.schema))
     out = U.filter_urls(df, spark.createDataFrame(labels, "id long, bad int"))
     assert out.where("template is null").count() == 0 and out.where("page_id >= 900").count() == 2
+
+
+def test_the_number_of_siblings_changes_no_verdict(spark):
+    """A branch with four bad labels of four, beside 23, 24, 25 and 60 good siblings: the same verdict."""
+    verdicts = set()
+    for n in (23, 24, 25, 60):
+        urls, labels = [f"http://n.io/odd/{k}.html" for k in range(4)], [(k, 1) for k in range(4)]
+        for sibling in range(n):
+            name = "".join("abcdefghij"[int(c)] for c in f"{sibling:02}")
+            for k in range(300):
+                if k < 4:
+                    labels.append((len(urls), 0))
+                urls.append(f"http://n.io/{name}/{k}.html")
+        df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        judged = U.judged(df, spark.createDataFrame(labels, "id long, bad int"))
+        tree = U.template_tree(judged.select("host", "segments", "bad"), prior=2.0)
+        verdicts.add(tuple((r.template, r.rejected) for r in tree.where("segments[0] = 'odd'").collect()))
+    assert verdicts == {(("/odd/{number}.html", True),)}

@@ -54,6 +54,38 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+#: Bits of a bit map of rows: so many each, up to 16 MB (2^21 broadcast rows of two longs).
+BITS_EACH, MAX_BITS = 16, 27
+
+
+def bit_map(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(map, bits) of a column ``row`` of digests: (word, mask), sized by their number, with a ceiling.
+
+    A full map says "maybe" more often, never "no" for a row that is on it."""
+    bits = min(MAX_BITS, max(10, (BITS_EACH * rows.count()).bit_length()))
+    slot = F.col("row").bitwiseAND(F.lit((1 << bits) - 1))
+    words = rows.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("mask"))
+    return cut(words, "bit_map"), bits
+
+
+def _marked(df: DataFrame, words: DataFrame, bits: int, there: bool) -> DataFrame:
+    slot = F.col("row").bitwiseAND(F.lit((1 << bits) - 1))
+    hit = F.coalesce(F.expr("getbit(mask, cast(_slot % 64 as int)) = 1"), F.lit(False))
+    out = df.withColumn("_slot", slot).withColumn("word", F.shiftright("_slot", 6))
+    return out.join(F.broadcast(words), "word", "left").where(hit if there else ~hit).drop("word", "_slot", "mask")
+
+
+def on_map(df: DataFrame, words: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose ``row`` may be on the map (broadcast: at most 2^21 words)."""
+    return _marked(df, words, bits, True)
+
+
+def off_map(df: DataFrame, words: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose ``row`` is surely not on the map."""
+    return _marked(df, words, bits, False)
+
+
 def connected(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the undirected edges (a, b) -> (node, component).
 

@@ -82,13 +82,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(words: array<binary>, items: array<string>): distinct windows and the items that have them."""
+    """(words: array<binary>, items: array<string>): distinct windows and the items that have them (null ids aside)."""
     def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, ids = [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 w = words_of(t)
-                if w and i is not None:
+                if w:
                     wins = {tuple(w[k:k + WINDOW]) for k in range(max(1, len(w) - WINDOW + 1))}
                     keys += [list(x) for x in wins]
                     ids += [i] * len(wins)
@@ -105,8 +105,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: doc_id, n_words, n_hit, items (sorted strings), n_items,
     items_sha256, spans (code points of the original text, merged), contaminated.
 
-    Null and empty texts have no words and no hits; benchmark items with a null
-    id or without words have no window; items that share a window are all
+    Null and empty texts have no words and no hits; benchmark items without words
+    have no window; words in a window of an item with a null id are hit, but name
+    no item; items that share a window are all
     named; repeated rows give equal rows; an empty benchmark hits nothing; other
     columns aren't read (``keep_row`` carries the whole row as the struct ``row``).
 
@@ -182,5 +183,8 @@ def _result(texts: list, n_words: list[int], hits: list, items: list) -> dict[st
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window, all columns as they were."""
+    """``docs`` without the rows that hold a benchmark window, all columns as they were.
+
+    Null and empty texts stay, repeated rows are judged each, clashing names
+    don't matter, an empty table stays empty (see ``decontaminate``)."""
     return decontaminate(docs, benchmark, keep_row=True, **options).where("not contaminated").select("row.*")

@@ -30,7 +30,7 @@ _WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUV
 
 _LEAKS = f"""
 WITH items AS (
-    SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL
+    SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark
 ), starts AS (
     SELECT item, words, unnest(range(1, greatest(2, len(words) - 8))) AS i FROM items WHERE len(words) > 0
 ), keys AS (
@@ -51,7 +51,7 @@ WITH items AS (
     FROM (SELECT r, unnest(range(i, i + size)) AS w FROM (SELECT DISTINCT r, i, size FROM hits)) GROUP BY r
 ), named AS (
     SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+    FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
 )
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
     CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.items, '')) AS items_sha256,

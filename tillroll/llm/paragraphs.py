@@ -10,39 +10,31 @@ Two kinds of units are compared across documents:
   is exact for the threshold.  Pairs are verified by the exact Jaccard
   similarity, and verified pairs are clustered by connected components.
 * passages of 51 words or more, whatever surrounds them and the lines they are laid
-  out in: windows of 24 words of the whole text's word stream that begin at
-  MinHash-sampled places (the smallest shingle hash of every 28 neighbouring ones)
-  are found first; each 51 words have such a place.  Then all windows of 51 words
-  around a place that documents share are compared, at every word, so that their
-  union is the whole shared run.
+  out in (``llm.passages``).
 
 Equal units collapse to one row before anything is paired, so copies cost one
-aggregate however many there are.
+aggregate however many there are.  A document is a pair of id and text.  Removal
+is decided unit by unit: the first document that has a unit keeps it, whatever
+else of its text repeats, so every class keeps one whole copy.
 """
 
 from __future__ import annotations
 
-import re
+import heapq
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm._shared import connected, cut, map_arrow
+from tillroll.llm.passages import M1, RANK, SHINGLE, Stream, blocks, mix, on_map, place_digests, shared_passages, wanted
 
-SHINGLE, SIMILARITY = 5, 0.8
+SIMILARITY = 0.8
 MIN_WORDS = 25                     # shorter lines are no paragraph
-WINDOW, SAMPLE = 24, 28            # words of a passage unit; neighbouring places of which one is taken
-PASSAGE = WINDOW + SAMPLE - 1      # the shortest passage that is surely found: 51 words
 ROWS, RECALL = 5, 0.99
 SMALL, BLOCK = 8, 256              # largest group whose pairs are formed; rows of a key that are joined at a time
-AT_ONCE = 1 << 21                  # code points of text that are hashed together
-SLOTS = 1 << 24                    # bits of the map of wanted paragraphs (2 MB, whatever the input)
-WORD = re.compile(r"\S+")
-M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def tuned_bands(similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -53,46 +45,34 @@ def tuned_bands(similarity: float = SIMILARITY, rows: int = ROWS, recall: float
     return bands
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * M2
-    return x ^ (x >> np.uint64(29))
-
-
 class Hashed:
     """Some texts as flat arrays of shingle hashes: of their paragraphs, and of their whole word streams."""
 
-    def __init__(self, docs: list, texts: list[str | None]):
-        self.docs, self.texts, self.doc, self.span = docs, texts, [], []
+    def __init__(self, rows: list, texts: list[str | None], min_words: int = MIN_WORDS):
+        self.rows, self.texts, self.span, self.owner = rows, texts, [], []
         flat, lines, lengths = [], [], []
-        for d, t in zip(docs, texts):
+        for i, t in enumerate(texts):
             at, before = 0, len(flat)
             for line in (t or "").split("\n"):
                 words = line.lower().split()
                 flat += words
                 lines.append(len(words))
-                if len(words) >= MIN_WORDS:
-                    self.doc.append(d)
+                if len(words) >= min_words:
+                    self.owner.append(i)
                     self.span.append((at, at + len(line)))
                 at += len(line) + 1
             lengths.append(len(flat) - before)
-        count, self.lengths = np.array(lines, np.int64), np.array(lengths, np.int64)
-        kept = count >= MIN_WORDS
+        self.stream = Stream(texts, flat, np.array(lengths, np.int64))
+        count = np.array(lines, np.int64)
+        kept = count >= min_words
         self.sizes = count[kept]
-        word = pd.util.hash_array(np.array(flat, dtype=object)) if flat else np.zeros(0, np.uint64)
-        n = max(0, len(word) - SHINGLE + 1)
-        hashes = np.zeros(n, np.uint64)
-        for j in range(SHINGLE):
-            hashes = hashes * M1 + word[j:j + n]
-        hashes, place = _mix(hashes), np.arange(n)
-        line, text = np.repeat(np.arange(len(count)), count), np.repeat(np.arange(len(texts)), self.lengths)
+        n = len(self.stream.shingle)
+        place, line = np.arange(n), np.repeat(np.arange(len(count)), count)
         begin, end = line[:n], line[len(line) - n:]
         whole = (begin == end) & kept[begin]                                   # within one paragraph
-        self.hash, self.line = hashes[whole], (np.cumsum(kept) - 1)[begin[whole]]
+        self.hash = self.stream.shingle[whole]
         self.place = place[whole] - (np.cumsum(count) - count)[begin[whole]]
         self.begin = np.cumsum(self.sizes) - self.sizes - np.arange(len(self.sizes)) * (SHINGLE - 1)
-        whole = text[:n] == text[len(text) - n:]                               # within one text
-        self.stream, self.text = hashes[whole], text[:n][whole]
-        self.at = place[whole] - (np.cumsum(self.lengths) - self.lengths)[self.text]
 
     def identities(self) -> tuple[np.ndarray, np.ndarray]:
         """Two 64-bit digests of each line's words in order."""
@@ -100,7 +80,7 @@ class Hashed:
             return self.hash, self.hash
         odd = (2 * self.place + 1).astype(np.uint64)
         return (np.add.reduceat(self.hash * odd, self.begin),
-                np.add.reduceat(_mix(self.hash ^ M1) * odd, self.begin) ^ self.sizes.astype(np.uint64))
+                np.add.reduceat(mix(self.hash ^ M1) * odd, self.begin) ^ self.sizes.astype(np.uint64))
 
     def bands(self, n_bands: int, rows: int) -> np.ndarray:
         """MinHash bands of each line, one row per line."""
@@ -115,109 +95,48 @@ class Hashed:
                 x = (self.hash ^ salt) * (odd | np.uint64(1))
                 x ^= x >> np.uint64(32)
                 key = key * M1 + np.minimum.reduceat(x, self.begin)
-            out[:, band] = _mix(key)
+            out[:, band] = mix(key)
         return out
 
-    def sampled(self) -> np.ndarray:
-        """Where in the stream sampled passages begin."""
-        n = len(self.stream) - SAMPLE + 1
-        if n <= 0:
-            return np.zeros(0, np.int64)
-        fits = self.at + WINDOW <= self.lengths[self.text]           # the window ends within the text
-        low = np.uint64((1 << 20) - 1)
-        rank = (self.stream & ~low) | (self.at.astype(np.uint64) & low)
-        smallest, width = rank, 1
-        while 2 * width <= SAMPLE:
-            smallest = np.minimum(smallest[:-width], smallest[width:])
-            width *= 2
-        smallest = np.minimum(smallest[:n], smallest[SAMPLE - width:SAMPLE - width + n])
-        inside = (self.text[:n] == self.text[SAMPLE - 1:]) & fits[SAMPLE - 1:]
-        start = np.flatnonzero(inside)
-        # where each window's smallest is: its low bits are the place in the text
-        place = (smallest[start] & low).astype(np.int64) + (self.at[start] >> 20 << 20)
-        place = np.where(place < self.at[start], place + (1 << 20), place)
-        return np.unique(start - self.at[start] + place)
-
-    def digests(self, at: np.ndarray, words: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-        """Two digests of the words from each place of the stream."""
-        one, two = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-        for step in (*range(0, words - SHINGLE, SHINGLE), words - SHINGLE):   # up to the last shingle that they have
-            one = one * M1 + self.stream[at + step]
-            two = two * M2 + _mix(self.stream[at + step] ^ M1)
-        return _mix(one), _mix(two)
-
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Sampled passages: text, first word, and two digests of the 24 words."""
-        at = self.sampled()
-        return self.text[at], self.at[at], *self.digests(at)
-
-    def passages(self, wanted: np.ndarray) -> np.ndarray:
-        """Where in the stream passages begin that have a sampled place on the map."""
-        at = self.sampled()
-        at = at[_on_map(wanted, self.digests(at)[0])]
-        step = np.zeros(len(self.stream) + 1, np.int64)
-        np.add.at(step, np.maximum(at - (SAMPLE - 1), at - self.at[at]), 1)   # not before the text
-        np.add.at(step, at + 1, -1)
-        near = np.flatnonzero(np.cumsum(step)[:-1])
-        return near[self.at[near] + PASSAGE <= self.lengths[self.text[near]]]
-
-    def spans(self, text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Code points where the passages from these words begin and end; ``text`` is in order."""
-        start, stop = np.zeros(len(text), np.int32), np.zeros(len(text), np.int32)
-        for i in np.unique(text).tolist():
-            low, high = np.searchsorted(text, [i, i + 1])
-            span = np.array([m.span() for m in WORD.finditer(self.texts[i])], np.int32)
-            start[low:high], stop[low:high] = span[first[low:high], 0], span[first[low:high] + PASSAGE - 1, 1]
-        return start, stop
-
-
-def _on_map(wanted: np.ndarray, digest: np.ndarray) -> np.ndarray:
-    slot = (digest & np.uint64(SLOTS - 1)).astype(np.int64)
-    return np.flatnonzero(wanted[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1))
-
-
-def _batched(docs: list, texts: list) -> Iterator[Hashed]:
-    at = 0
-    while at < len(texts):
-        to, size = at, 0
-        while to < len(texts) and size < AT_ONCE:
-            size += len(texts[to] or "")
-            to += 1
-        yield Hashed(docs[at:to], texts[at:to])
-        at = to
-
-
-def _units(n_bands: int, rows: int):
-    names = ["doc_id", "passage", "start", "stop", "n_words", "one", "two", "bands"]
+
+def _units(n_bands: int, rows: int, min_words: int = MIN_WORDS):
+    names = ["row", "doc_id", "passage", "start", "stop", "n_words", "one", "two", "bands"]
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for h in _batched(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            for row, ids, texts in blocks(*(b.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
+                h = Hashed(row, texts, min_words)
                 one, two = h.identities()
                 n = len(h.sizes)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * n_bands),
                                                  pa.array(h.bands(n_bands, rows).view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.doc, pa.int64()), pa.array([False] * n, pa.bool_()),
+                    [pa.array([row[i] for i in h.owner], pa.int64()), pa.array([ids[i] for i in h.owner], pa.int64()),
+                     pa.array([False] * n, pa.bool_()),
                      pa.array([a for a, _ in h.span], pa.int32()), pa.array([b for _, b in h.span], pa.int32()),
                      pa.array(h.sizes.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                      bands], names)
-                text, _, one, _ = h.windows()
-                n = len(text)
+                at = h.stream.places()
+                text, n = h.stream.text[at].tolist(), len(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([h.docs[i] for i in text.tolist()], pa.int64()), pa.array([True] * n, pa.bool_()),
-                     *[pa.nulls(n, pa.int32())] * 3, pa.array(one.view(np.int64)), pa.nulls(n, pa.int64()),
+                    [pa.array([row[i] for i in text], pa.int64()), pa.array([ids[i] for i in text], pa.int64()),
+                     pa.array([True] * n, pa.bool_()), *[pa.nulls(n, pa.int32())] * 3,
+                     pa.array(place_digests(h.stream, at).view(np.int64)), pa.nulls(n, pa.int64()),
                      pa.nulls(n, pa.list_(pa.int64()))], names)
     return units
 
 
-def _shingle_sets(bits):
+UNITS = ("row long, doc_id long, passage boolean, start int, stop int, n_words int, one long, two long, "
+         "bands array<long>")
+
+
+def _shingle_sets(map_of, min_words: int = MIN_WORDS):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(bits.value, np.uint64)
         for b in batches:
-            for h in _batched(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            for row, texts in blocks(b.column("row").to_pylist(), b.column("text").to_pylist()):
+                h = Hashed(row, texts, min_words)
                 one, two = h.identities()
-                hit = _on_map(wanted, one)
+                hit = on_map(map_of, one)
                 found = [np.unique(h.hash[h.begin[i]:h.begin[i] + h.sizes[i] - SHINGLE + 1]).view(np.int64) for i in hit]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(one[hit].view(np.int64)), pa.array(two[hit].view(np.int64)),
@@ -225,22 +144,6 @@ def _shingle_sets(bits):
     return sets
 
 
-def _passages(bits):
-    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(bits.value, np.uint64)
-        for b in batches:
-            for h in _batched(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                at = h.passages(wanted)
-                text = h.text[at]
-                one, two = h.digests(at, PASSAGE)
-                start, stop = h.spans(text, h.at[at])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([h.docs[i] for i in text.tolist()], pa.int64()), pa.array(start), pa.array(stop),
-                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                    ["doc_id", "start", "stop", "one", "two"])
-    return passages
-
-
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, unit) in order -> pairs of units that are first or second neighbours in a group."""
     held: list[tuple] = []
@@ -252,17 +155,6 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([max(p) for p in pairs], pa.int64())], ["a", "b"])
 
 
-def _bitmap(units: DataFrame, name: str):
-    """A broadcast bit map of fixed size of the 64-bit column ``name``."""
-    slot = F.col(name).bitwiseAND(F.lit(SLOTS - 1))
-    words = (units.select(slot.alias("slot")).distinct().groupBy(F.shiftright("slot", 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")))
-    table = np.zeros(SLOTS // 64, np.uint64)
-    for r in words.collect():                        # at most SLOTS / 64 rows
-        table[r.word] = np.uint64(r.bits & (1 << 64) - 1)
-    return units.sparkSession.sparkContext.broadcast(table.tobytes())
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     both = (pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b"))
@@ -320,7 +212,7 @@ def prefix_pairs(sets: DataFrame, linked: DataFrame, similarity: float, block: i
             .union(joined(met.where("early and not other"), "all", met.where("other"), "others")).distinct())
 
 
-def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
+def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float, min_words: int = MIN_WORDS) -> DataFrame:
     """Verified pairs (a, b) of the distinct paragraphs (unit, bands).
 
     All pairs of the groups are judged, except those that verified pairs connect
@@ -338,10 +230,11 @@ def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float) -> DataF
              .union(many.where("hub != unit").select(F.col("hub").alias("a"), F.col("unit").alias("b")))
              .union(map_arrow(order, _neighbours, "a long, b long")).distinct())
     pairs = cut(pairs, "paragraph_pairs")
-    # the shingles of the paragraphs in pairs, found again in the texts through a bit map of fixed size
-    sets = map_arrow(docs, _shingle_sets(_bitmap(met, "unit")), "one long, two long, shingles array<long>")
+    # the shingles of the paragraphs in pairs, found again in the texts through a bit map of bounded size
+    asked = met.select("unit").distinct()
+    sets = map_arrow(docs, _shingle_sets(wanted(asked, "unit"), min_words), "one long, two long, shingles array<long>")
     # copies go before the exchange: a very common paragraph is one row a task
-    sets = cut(sets.dropDuplicates(["one"]).join(met.select(F.col("unit").alias("one")).distinct(), "one", "left_semi")
+    sets = cut(sets.dropDuplicates(["one"]).join(asked.withColumnRenamed("unit", "one"), "one", "left_semi")
                .select(F.col("one").alias("unit"), "shingles"), "paragraph_shingles")
     near = cut(_verified(pairs, sets, similarity), "paragraph_near")
     large = many.select("unit").distinct()
@@ -352,59 +245,107 @@ def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float) -> DataF
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL) -> DataFrame:
+                      similarity: float = SIMILARITY, rows: int = ROWS, recall: float = RECALL,
+                      min_words: int = MIN_WORDS) -> DataFrame:
     """One row per repeated span of a document: doc_id, start, stop, n_units, first_doc, class_ids, removed.
 
-    A span is a union of overlapping units (paragraphs or passages) that occur,
-    alike or near, in other documents; start and stop are code points.  A passage
-    unit has 51 words, so a longer shared run is covered from end to end and a
-    shorter one is no passage.
-    ``class_ids`` names the units' classes (connected paragraphs, or equal
-    passages), ``first_doc`` the smallest document that has one of them, and
-    ``removed`` says that the span repeats an earlier document's: first_doc is
-    another document.  Spans of clean documents don't appear.
-
-    Null and empty texts have no units; rows that repeat a document under the
-    same id don't count as another document, and their spans come once; rows
-    with a null id are compared, but never first, and their spans are reported
-    together under the null id; repeats within one document are left alone; an empty table gives an empty result; other columns aren't read."""
+    Units are paragraphs (lines of ``min_words`` words or more, near ones
+    connected to classes) and pieces of shared passages.  A span is a stretch of
+    overlapping units; start and stop are code points.  ``removed`` says that an
+    earlier document has it: ``first_doc``, the smallest one, which keeps it.
+    Where that changes, a new span begins, so a span is to go or to stay as a
+    whole.  Spans that stay name their own document.  ``class_ids`` names the
+    units' classes.  Spans of clean documents don't appear.
+
+    A document is a pair of id and text: rows that repeat both are one document
+    and its spans come once; other texts under the same id are other documents.
+    Null ids come last, told apart by their texts.  Null and empty texts have no
+    units; repeats within one document are left alone; an empty table gives an
+    empty result; other columns aren't read."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    n_bands = tuned_bands(similarity, rows, recall)
-    units = cut(map_arrow(narrow, _units(n_bands, rows), "doc_id long, passage boolean, start int, stop int, "
-                          "n_words int, one long, two long, bands array<long>"), "paragraph_units")
-    span = (F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("named"),
-            F.count(F.lit(1)).alias("n"))
-    several = (F.col("low") < F.col("high")) | ((F.col("named") > 0) & (F.col("n") > F.col("named"))) | (
-        (F.col("named") == 0) & (F.col("n") > 1))
-    # paragraphs: distinct ones with their bands, linked where near
+    narrow = narrow.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
+    units = cut(map_arrow(narrow, _units(tuned_bands(similarity, rows, recall), rows, min_words), UNITS), "paragraph_units")
+    span = F.min("row").alias("lo"), F.max("row").alias("hi")
     paragraphs = units.where("not passage")
-    distinct = cut(paragraphs.groupBy("one", "two").agg(*span), "paragraph_distinct")
+    distinct = cut(paragraphs.groupBy("one", "two").agg(*span, F.expr(f"min({RANK})").alias("first")), "paragraph_distinct")
     lines = paragraphs.dropDuplicates(["one"]).select(F.col("one").alias("unit"), "bands")
-    linked = connected(near_pairs(narrow, lines, similarity), "paragraph_links")
+    linked = connected(near_pairs(narrow, lines, similarity, min_words), "paragraph_links")
     classes = distinct.join(linked.select(F.col("node").alias("one"), "component"), "one", "left")
     classes = classes.withColumn("class_id", F.coalesce("component", "one"))
-    whole = classes.groupBy("class_id").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("named").alias("named"),
-        F.sum("n").alias("n")).where(several).select("class_id", F.col("low").alias("first_doc"))
+    whole = (classes.groupBy("class_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
+             .where("lo != hi").select("class_id", "first"))
     repeated = cut(classes.select("one", "two", "class_id").join(whole, "class_id"), "paragraph_repeated")
-    # passages: all around the sampled windows that documents share
-    shared = units.where("passage").groupBy("one").agg(*span).where(several)
-    places = cut(map_arrow(narrow, _passages(_bitmap(shared, "one")),
-                           "doc_id long, start int, stop int, one long, two long"), "paragraph_passages")
-    passages = cut(places.groupBy("one", "two").agg(*span).where(several)
-                   .select("one", "two", F.col("one").alias("class_id"), F.col("low").alias("first_doc")),
-                   "paragraph_shared")
-    found = ("doc_id", "start", "stop", "class_id", "first_doc")
-    hits = (paragraphs.select("doc_id", "start", "stop", "one", "two").join(repeated, ["one", "two"]).select(*found)
-            .union(places.join(passages, ["one", "two"]).select(*found)).distinct())
-    # overlapping units of a document become one span
-    by_start = Window.partitionBy("doc_id").orderBy("start", "stop", "class_id")
-    reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("start") < F.col("reach"), 0).otherwise(1)).over(
-        by_start.rowsBetween(Window.unboundedPreceding, 0))
-    return (hits.withColumn("reach", F.coalesce(reach, F.lit(-1))).withColumn("island", island)
-            .groupBy("doc_id", "island").agg(
-                F.min("start").alias("start"), F.max("stop").alias("stop"), F.count(F.lit(1)).alias("n_units"),
-                F.min("first_doc").alias("first_doc"), F.sort_array(F.collect_set("class_id")).alias("class_ids"))
-            .select("doc_id", "start", "stop", "n_units", "first_doc", "class_ids",
-                    F.coalesce(F.col("first_doc") != F.col("doc_id"), F.lit(True)).alias("removed")))
+    pieces = paragraphs.select("row", "doc_id", "start", "stop", "one", "two").join(repeated, ["one", "two"]).select(
+        "row", "doc_id", "start", "stop", "class_id", "first")
+    pieces = pieces.unionByName(shared_passages(narrow, units.where("passage").select("row", "doc_id", "one")))
+    pieces = cut(pieces.distinct(), "paragraph_pieces")
+    ordered = pieces.repartition("row").sortWithinPartitions("row", "start", "stop", "class_id")
+    return map_arrow(ordered, _spans, "doc_id long, start int, stop int, n_units long, first_doc long, "
+                     "class_ids array<long>, removed boolean")
+
+
+def stretches(own: tuple, pieces: list[tuple]) -> list[tuple]:
+    """(start, stop, number of pieces, first, class ids, removed) of the stretches of one document's pieces
+    (start, stop, class id, first); ``own`` is the document as it would stand in ``first``.
+
+    A word that the document is the first to have in any piece stays; a word that
+    only repeats earlier documents goes."""
+    events = sorted([(p[0], 1, i) for i, p in enumerate(pieces)] + [(p[1], 0, i) for i, p in enumerate(pieces)])
+    out, active, heap, keeps, last = [], set(), [], 0, None
+    for k, (at, opens, i) in enumerate(events):      # at a place, pieces end before others begin
+        if opens:
+            active.add(i)
+            keeps += pieces[i][3] == own
+            heapq.heappush(heap, (pieces[i][3], i))
+        else:
+            active.discard(i)
+            keeps -= pieces[i][3] == own
+        until = events[k + 1][0] if k + 1 < len(events) else at
+        if until == at or not active:
+            continue
+        while heap[0][1] not in active:
+            heapq.heappop(heap)
+        first = own if keeps else heap[0][0]
+        if last and last[1] == at and last[2] == first:
+            last[1] = until
+            last[3] |= active
+        else:
+            last = [at, until, first, set(active)]
+            out.append(last)
+    return [(a, b, len(ids), first, sorted({pieces[i][2] for i in ids}), first != own) for a, b, first, ids in out]
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of pieces in order of documents -> spans, a document at a time (its pieces are bounded by its text)."""
+    row, held, out = None, [], []
+
+    def leave():
+        if held:
+            doc = held[0][0]
+            own = (doc is None, doc, row)
+            out.extend((doc, *s) for s in stretches(_comparable(own), [(a, b, c, _comparable(f)) for _, a, b, c, f in held]))
+            held.clear()
+
+    def batch():
+        done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            zip(*[(d, a, b, n, None if f[0] else f[1], c, r) for d, a, b, n, f, c, r in out]),
+            (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_()))],
+            ["doc_id", "start", "stop", "n_units", "first_doc", "class_ids", "removed"])
+        out.clear()
+        return done
+
+    for b in batches:
+        for r, doc, start, stop, class_id, first in zip(*(c.to_pylist() for c in b.columns)):
+            if r != row:
+                leave()
+                row = r
+            held.append((doc, start, stop, class_id, (first["unnamed"], first["doc_id"], first["row"])))
+        if out:
+            yield batch()
+    leave()
+    if out:
+        yield batch()
+
+
+def _comparable(first: tuple) -> tuple:
+    return first[0], first[1] or 0, first[2]

@@ -103,8 +103,8 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         counts = _counted(b.column("text"))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("stratum"), *counts],
-                                         ["doc_id", "stratum", *COUNTS])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("stratum"), b.column("digest"), *counts],
+                                         ["doc_id", "stratum", "digest", *COUNTS])
 
 
 def _counted(texts: pa.Array) -> list[pa.Array]:
@@ -123,12 +123,13 @@ def _count_rows(text_col: str):
 
 def quality_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    stratum: str = "lang") -> DataFrame:
-    """One row per document: its id, stratum (null: empty) and the counts of its whole text."""
+    """One row per document: its id, stratum (null: empty), a digest of its text and the counts of the whole text."""
+    text = F.col(text_col).cast("string")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
-                         F.col(text_col).cast("string").alias("text"))
+                         F.xxhash64(text).alias("digest"), text.alias("text"))
     return map_arrow(narrow, _count_batches,
-                     "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+                     "doc_id long, stratum string, digest long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def upper_bound(k: int, n: int, level: float) -> float:
@@ -153,13 +154,23 @@ def choose_cutoffs(counts: DataFrame, labels: DataFrame, rules: tuple[Rule, ...]
                    delta: float = 0.05, cost: float = 10.0) -> DataFrame:
     """The cutoffs in force: rows (stratum, rule, cutoff, bound, n_good, false_rejects, true_rejects).
 
-    ``labels`` has (doc_id, good 0/1), one row per document.  Documents that
-    fail the base check aren't the rules' to reject and stay out of the
-    holdout.  Of the allowed cutoffs of a rule the one with the largest
+    ``labels`` has (doc_id, good 0/1), one row per document.  The holdout has each
+    distinct labelled text of a stratum once, with its worst label: the bound is
+    on independent draws, which copies of a text aren't, under one id or several.
+    Documents that fail the base check aren't the rules' to reject and stay out
+    of it.  Of the allowed cutoffs of a rule the one with the largest
     (bad rejected - cost * good rejected) is taken, the loosest of equals; a
     rule that rejects no labelled bad row of a stratum isn't used there.  Only
-    the aggregate (strata x rules x cutoffs rows) reaches the driver."""
-    held = counts.where(f"not ({BASE_FAILED})").join(labels, "doc_id")
+    the aggregate (strata x rules x cutoffs rows) reaches the driver, and only of
+    strata with good rows enough for a bound to hold at all."""
+    held = counts.where(f"not ({BASE_FAILED})").join(labels, "doc_id").groupBy("stratum", "digest").agg(
+        F.min("good").alias("good"), *[F.first(c).alias(c) for c in COUNTS])
+    held = cut(held.drop("digest"), "quality_holdout")
+    sizes = held.groupBy("stratum").agg(F.sum("good").alias("n_good"))
+    tests = max(1, sizes.count()) * sum(len(r.cutoffs) for r in rules)
+    # without a false rejection the bound at n is 1 - level ** (1 / n)
+    least = math.ceil(math.log(delta / tests) / math.log1p(-risk / len(rules)))
+    held = held.join(sizes.where(F.col("n_good") >= least).select("stratum"), "stratum", "left_semi")
     # how many of a rule's candidates reject a row: they do so from the strictest on
     n_failed = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.size(F.filter(
         F.array(*[F.lit(c) for c in r.cutoffs]), r.rejects)).alias("n")) for r in rules])
@@ -175,7 +186,6 @@ def choose_cutoffs(counts: DataFrame, labels: DataFrame, rules: tuple[Rule, ...]
         for i in range(size - x.n, size):
             at = (x.stratum, x.rule, i, x.good)
             rejected[at] = rejected.get(at, 0) + x["count"]
-    tests = max(1, len(strata)) * sum(len(r.cutoffs) for r in rules)
     out = []
     for stratum, n_good in sorted(strata.items()):
         for r in rules:

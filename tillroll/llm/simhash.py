@@ -30,11 +30,10 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from tillroll.llm._shared import connected, cut, map_arrow
+from tillroll.llm._shared import bit_map, connected, cut, map_arrow, off_map, on_map
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -65,14 +64,16 @@ def majority(hashes: np.ndarray) -> int:
 def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         prints = np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(prints)], ["doc_id", "print"])
+        names = [c for c in b.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(prints)], [*names, "print"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, print): the fingerprint of every row as a signed long."""
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                 F.col(text_col).cast("string").alias("text")),
-                     _print_batches, "doc_id long, print long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
+    """(doc_id, print): the fingerprint of every row as a signed long; behind (row) with a ``key``."""
+    columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    if key is not None:
+        columns = [key.alias("row"), *columns]
+    return map_arrow(docs.select(*columns), _print_batches, ("" if key is None else "row long, ") + "doc_id long, print long")
 
 
 def _signed(x: int) -> int:
@@ -116,9 +117,9 @@ def links(prints: DataFrame) -> DataFrame:
             .select(F.col("hub").alias("a"), F.col("print").alias("b")).distinct())
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, print) of all rows, and (print, root, component_id) of all distinct fingerprints."""
-    rows = cut(fingerprints(docs, id_col, text_col), "simhash_prints")
+def _components(docs: DataFrame, id_col: str, text_col: str, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """([row,] doc_id, print) of all rows, and (print, root, component_id) of all distinct fingerprints."""
+    rows = cut(fingerprints(docs, id_col, text_col, key), "simhash_prints")
     distinct = rows.groupBy("print").agg(F.min("doc_id").alias("first"))
     few = cut(candidates(distinct.select("print")), "simhash_candidates")
     linked = connected(links(few), "simhash_links")
@@ -149,33 +150,33 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, all columns as they were.
 
-    A row with the component's smallest id stays, one of them if that id is
-    repeated.  A component whose ids are all null keeps one of its rows."""
+    The row with the component's smallest id stays (null ids last; of several
+    texts under it, the one with the smallest fingerprint, then digest).  A row
+    is an id and a text, so one id on texts of different components keeps a row
+    in each; rows that repeat both are one, and the first by a hash of its
+    values stays.  Null and empty texts are a component like any other; an empty
+    table stays empty.
+
+    What goes is decided on narrow rows.  Texts pass through in place: a row that
+    isn't on a bit map of the rows to go stays, one that is on it, but not on a
+    map of the rows to stay that it hits by chance, goes.  Only rows on both maps
+    (some 6 % of either kind, and repeated ones) are joined exactly."""
     names = docs.columns
-    rows, of = _components(docs, id_col, text_col)
-    keep = (of.where("component_id is not null").select(F.col("component_id").alias(id_col)).distinct())
-    kept = _first_row(docs.join(keep, id_col, "left_semi"), id_col, names)
-    # rows without an id: by their fingerprint, in components that have no id at all
-    unnamed = map_arrow(
-        docs.where(F.col(id_col).isNull()).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")),
-        _print_rows(text_col), StructType([StructField("row", docs.select(F.struct(*[F.col(f"`{c}`") for c in names])).schema[0]
-                                             .dataType), StructField("print", LongType())]))
-    alone = unnamed.join(of.where("component_id is null"), "print").groupBy("root").agg(
-        F.first("row").alias("row")).select("row.*")
-    return kept.unionByName(alone)
-
-
-def _first_row(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
-    """One row per ``key``: the first by a hash of its values, whatever order tasks run in."""
-    plain = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
-    rest = F.struct(*[F.col(f"`{c}`") for c in names])
-    return rows.groupBy(F.col(key)).agg(F.min_by(rest, F.xxhash64(*plain)).alias("_row")).select("_row.*")
-
-
-def _print_rows(text_col: str):
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column("row").field(text_col).cast(pa.string()).to_pylist()
-            found = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(found)], ["row", "print"])
-    return prints
+    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    rows, of = _components(docs, id_col, text_col, key)
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "print", "row")
+    stay = cut(rows.join(of, "print").groupBy("root").agg(F.min(rank).alias("best")).select("best.row"), "simhash_stay")
+    each = rows.groupBy("row").agg(F.count(F.lit(1)).alias("n"))
+    each = cut(each.join(stay.withColumn("stays", F.lit(True)), "row", "left").select(
+        "row", (F.col("n") > 1).alias("repeated"), F.coalesce("stays", F.lit(False)).alias("stays")), "simhash_rows")
+    gone = each.where("repeated or not stays").select("row")
+    going, bits = bit_map(gone)
+    mistaken = cut(on_map(each.where("stays and not repeated").select("row"), going, bits).select("row"), "simhash_mistaken")
+    staying, few = bit_map(mistaken.union(each.where("stays and repeated").select("row")))
+    here = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), key.alias("row"))
+    sure = off_map(here, going, bits)
+    asked = on_map(on_map(here, going, bits), staying, few)
+    kept = asked.join(stay, "row", "left_semi")
+    plain = [F.col(f"_row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    kept = kept.groupBy("row").agg(F.min_by("_row", F.xxhash64(*plain)).alias("_row"))
+    return sure.select("_row.*").unionByName(kept.select("_row.*"))

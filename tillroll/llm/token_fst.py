@@ -16,10 +16,11 @@ since.  States are numbered as they are first reached, and transitions are
 compiled on first use into an open-addressing table of numpy arrays.
 
 Texts are cut into chunks.  All chunks run in lockstep, each from the state that
-the 64 characters before it lead to.  A chunk's state map then has one known
-entry (entry state -> exit state, count).  Maps compose along a text by a prefix
-scan: where a chunk's entry state isn't the state that the chunks before it lead
-to, its map is evaluated at that state as well.
+the 64 characters before it lead to; nearly always that is the state in which the
+chunk before ends, and the counts add up.  In a text where it isn't, the chunks'
+state maps (entry state -> exit state, count) are evaluated at all states that
+occur, equal chunks once, until no new state turns up; then the maps are composed
+by a parallel prefix scan, two by two in a logarithmic number of steps.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ CHUNK = 512
 WARM_UP = 64
 AT_ONCE = 1 << 21          # code points that run in lockstep
 MOST_TRANSITIONS = 1 << 20  # compiled transitions that a worker keeps; it starts anew beyond
+MOST_LANES = 1 << 16       # evaluated maps (distinct chunks x states) of a text
 SPACE = "▁"
 START = ("", ((0, "", 0),))
 
@@ -213,16 +215,50 @@ class Transducer:
         order = np.argsort(-lengths, kind="stable")
         exits, counts = np.empty_like(entry), np.empty_like(entry)
         exits[order], counts[order] = self.run(entry[order], chars, starts[order], lengths[order])
-        # compose: a chunk entered in another state than supposed is run from the true one
-        for i in later[exits[later - 1] != entry[later]].tolist():
-            while nth[i] and exits[i - 1] != entry[i]:
-                entry[i] = exits[i - 1]
-                found = self.run(entry[i:i + 1], chars, starts[i:i + 1], lengths[i:i + 1])
+        off = later[exits[later - 1] != entry[later]]
+        total = np.bincount(owner, counts, len(full)).astype(np.int64)
+        for text in np.unique(owner[off]).tolist():
+            total[text] = self._scan(chars, *(a[owner == text] for a in (starts, lengths, entry, exits, counts)))
+        return total
+
+    def _scan(self, chars: np.ndarray, starts, lengths, entry, exits, counts) -> int:
+        """The count of one text whose chunks weren't all entered in the state supposed."""
+        number: dict[bytes, int] = {}
+        kind = np.array([number.setdefault(chars[a:a + n].tobytes(), len(number)) for a, n in zip(starts, lengths)])
+        _, first = np.unique(kind, return_index=True)       # kinds are numbered as they are met
+        states = np.unique(np.concatenate([[0], entry, exits]))
+        exit_of, count_of = np.zeros((len(first), 0), np.int64), np.zeros((len(first), 0), np.int64)
+        done = 0
+        while done < len(states):                          # evaluate the maps, new states after old ones
+            if len(states) * len(first) > MOST_LANES:
+                return self._one_by_one(chars, starts, lengths, entry, exits, counts)
+            new = states[done:]
+            lane = np.repeat(first, len(new))
+            order = np.argsort(-lengths[lane], kind="stable")
+            out, n = np.empty(len(lane), np.int64), np.empty(len(lane), np.int64)
+            out[order], n[order] = self.run(np.tile(new, len(first))[order], chars, starts[lane][order], lengths[lane][order])
+            exit_of = np.hstack([exit_of, out.reshape(len(first), -1)])
+            count_of = np.hstack([count_of, n.reshape(len(first), -1)])
+            done = len(states)
+            states = np.concatenate([states, np.setdiff1d(out, states)])
+        place = np.argsort(states)
+        maps = place[np.searchsorted(states, exit_of, sorter=place)][kind]   # chunk x entry -> exit, as numbers
+        sums, step = count_of[kind], 1
+        while step < len(kind):                            # after each step a map covers twice as many chunks
+            inner = maps[:-step]
+            sums[step:] = sums[:-step] + np.take_along_axis(sums[step:], inner, axis=1)
+            maps[step:] = np.take_along_axis(maps[step:], inner, axis=1)
+            step *= 2
+        return int(sums[-1, int(np.flatnonzero(states == 0)[0])])
+
+    def _one_by_one(self, chars, starts, lengths, entry, exits, counts) -> int:
+        """The same chunk after chunk, where too many states occur to evaluate all maps."""
+        entry, exits, counts = entry.copy(), exits.copy(), counts.copy()
+        for i in range(1, len(entry)):
+            if exits[i - 1] != entry[i]:
+                found = self.run(exits[i - 1:i], chars, starts[i:i + 1], lengths[i:i + 1])
                 exits[i], counts[i] = found[0][0], found[1][0]
-                i += 1
-                if i == len(owner):
-                    break
-        return np.bincount(owner, counts, len(full)).astype(np.int64)
+        return int(counts.sum())
 
 
 _COMPILED: dict[str, Transducer] = {}

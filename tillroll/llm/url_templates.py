@@ -26,8 +26,6 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
          ("org", "/fr/", "allow"))
 
 DEPTH = 8                  # segments from which pages with like labels, or none, have one tail "**"
-MANY, RARE = 24, 0.02      # more children than MANY: those with a smaller share than RARE are one variable, ...
-ENOUGH = 5                 # ... if they have fewer labels than the test needs
 Z = 2.576                  # two-proportion test at 1 %
 PRIOR, REJECT = 10.0, 0.5  # labels that the overall share counts for; share of bad labels that is rejected
 
@@ -61,8 +59,7 @@ def lexical_segments(path: Column) -> Column:
     return F.transform(segments, general)
 
 
-def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: float = Z, prior: float = PRIOR,
-                  reject: float = REJECT) -> DataFrame:
+def template_tree(urls: DataFrame, z: float = Z, prior: float = PRIOR, reject: float = REJECT) -> DataFrame:
     """(host, segments, template, n_pages, n_labels, n_bad, bad_share, rejected) from rows (host, segments, bad).
 
     ``bad`` is 1, 0 or null (no label); ``segments`` are lexical.  One row per
@@ -95,10 +92,9 @@ def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: floa
         error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labels") + 1 / rest_labels))
         differs = F.when((F.col("labels") > 0) & (rest_labels > 0) & (error > 0),
                          F.abs(F.col("bad") / F.col("labels") - rest_bad / rest_labels) > z * error).otherwise(False)
-        variable = (F.col("children") > many) & (F.col("n") < rare * F.col("all_n")) & (F.col("labels") < ENOUGH)
         merged = node.join(parent, ["host", "path"]).select(
             "host", "path", "name",
-            F.when(F.col("children") == 1, F.col("name")).when(variable | ~differs, F.lit("*"))
+            F.when(F.col("children") == 1, F.col("name")).when(~differs, F.lit("*"))
             .otherwise(F.col("name")).alias("general"))
         tree = cut(step.join(merged, ["host", "path", "name"], "left").select(
             "host", "segments", "n", "labels", "bad", "ended",
@@ -113,6 +109,22 @@ def template_tree(urls: DataFrame, many: int = MANY, rare: float = RARE, z: floa
         (smoothed >= reject).alias("rejected")), "url_templates")
 
 
+def _segmented(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
+    host, path = split_url(F.col(url_col))
+    urls = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
+    return urls.withColumn("segments", lexical_segments(F.col("path")))
+
+
+def judged(pages: DataFrame, labels: DataFrame | None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """Rows (page_id, host, path, segments, bad): ``bad`` is the worst label of the page's id, null without one."""
+    urls = _segmented(pages, id_col, url_col)
+    if labels is None:
+        return urls.withColumn("bad", F.lit(None).cast("int"))
+    worst = (labels.where(F.col("id").isNotNull() & F.col("bad").isNotNull())
+             .groupBy(F.col("id").cast("long").alias("page_id")).agg(F.max("bad").cast("int").alias("bad")))
+    return urls.join(worst, "page_id", "left")
+
+
 def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES, id_col: str = "page_id",
                 url_col: str = "url", **options) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, template, bad_share.
@@ -123,16 +135,8 @@ def filter_urls(pages: DataFrame, labels: DataFrame | None = None, rules=RULES,
     the overall share, so nothing is blocked for want of labels alone unless
     that share reaches the threshold; repeated rows are judged alike (and count
     each); an empty table gives an empty result; other columns aren't read."""
-    host, path = split_url(F.col(url_col))
-    urls = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    urls = urls.withColumn("segments", lexical_segments(F.col("path")))
-    if labels is None:
-        judged = urls.withColumn("bad", F.lit(None).cast("int"))
-    else:
-        worst = (labels.where(F.col("id").isNotNull() & F.col("bad").isNotNull())
-                 .groupBy(F.col("id").cast("long").alias("page_id")).agg(F.max("bad").cast("int").alias("bad")))
-        judged = urls.join(worst, "page_id", "left")
-    tree = template_tree(judged.select("host", "segments", "bad"), **options)
+    urls, rows = _segmented(pages, id_col, url_col), judged(pages, labels, id_col, url_col)
+    tree = template_tree(rows.select("host", "segments", "bad"), **options)
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     by_tree = F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow"))
     return urls.join(tree, ["host", "segments"], "left").select(
