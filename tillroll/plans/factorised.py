@@ -44,26 +44,32 @@ def factorise(attributes: DataFrame, featured: DataFrame, master: DataFrame) ->
 
 
 # --------------------------------------------------------------------------- on demand
-def expand_brand(f: NominationClasses) -> DataFrame:
+def expansion(f: NominationClasses) -> DataFrame:
+    """Members times the products of their classes: N6's rows, and whether a row is also one of N5's."""
+    out = f.members.withColumnRenamed(_BRAND, "a_brand").join(f.classes, [_WEEK, _L10])
+    return out.select(*ITEM, "prod_group_code", "brand_desc", "cat_desc", F.coalesce(
+        F.col("a_brand") == F.col("brand_desc"), F.lit(False)).alias("same_brand")).distinct()
+
+
+def expand_brand(f: NominationClasses, rows: DataFrame | None = None) -> DataFrame:
     """N5's rows: members meet the products of their class that have their brand."""
-    at = F.col("a_brand") == F.col("brand_desc")
-    out = f.members.withColumnRenamed(_BRAND, "a_brand").join(f.classes, [_WEEK, _L10]).where(at)
-    return out.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "brand_desc",
-                      F.lit(True).alias("brand"), _WEEK).distinct()
+    rows = expansion(f) if rows is None else rows
+    return rows.where("same_brand").select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "brand_desc",
+                                           F.lit(True).alias("brand"), _WEEK).distinct()
 
 
-def expand_category(f: NominationClasses) -> DataFrame:
+def expand_category(f: NominationClasses, rows: DataFrame | None = None) -> DataFrame:
     """N6's rows: members meet all products of their class."""
-    out = f.members.drop(_BRAND).distinct().join(f.classes, [_WEEK, _L10])
-    return out.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "cat_desc",
-                      F.lit(True).alias("cat"), _WEEK).distinct()
+    rows = expansion(f) if rows is None else rows
+    return rows.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "cat_desc",
+                       F.lit(True).alias("cat"), _WEEK).distinct()
 
 
-def expand_final(f: NominationClasses) -> DataFrame:
-    """N7's rows."""
+def expand_final(f: NominationClasses, rows: DataFrame | None = None) -> DataFrame:
+    """N7's rows; ``rows`` is a stored ``expansion``."""
     from tillroll.plans.nominations import final_nomination_products
 
-    return final_nomination_products(f.featured, expand_brand(f), expand_category(f))
+    return final_nomination_products(f.featured, expand_brand(f, rows), expand_category(f, rows))
 
 
 # --------------------------------------------------------------------------- link counts, unexpanded

@@ -184,11 +184,11 @@ def nomination_classes(line_items: DataFrame, master: DataFrame, salts: int | No
 def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFrame:
     """N4-N7 fused: the same result as
     ``final_nomination_products(featured_products(..), brand_products(..), category_products(..))``
-    from two joins with the master instead of five: the factorised relation is
-    built and stored, then multiplied out."""
+    from two joins with the master instead of five.  The factorised relation is
+    multiplied out once and stored (a reliable checkpoint), since two of the three
+    sets are read from it."""
     f = nomination_classes(line_items, master)
-    return factorised.expand_final(factorised.NominationClasses(
-        f.featured, checkpoint(f.members), checkpoint(f.classes)))
+    return factorised.expand_final(f, checkpoint(factorised.expansion(f)))
 
 
 # --------------------------------------------------------------------------- N8, N9, N11, N12
