@@ -15,27 +15,46 @@ from tillroll.llm.tables import PACKING_TOKENIZER, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base check or a risk-controlled rule rejects go."""
+    """Documents that the base check or a risk-controlled rule rejects go.
+
+    Null and empty texts fail the base check; a null language is a stratum of its
+    own; repeated rows are judged alike, and copies count once in the holdout;
+    documents without a label are judged by the cutoffs; an empty table stays
+    empty; all columns, whatever their names, come through."""
     return quality_rules.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of SimHash near-duplicates the document with the smallest id stays."""
+    """Of each group of SimHash near-duplicates the document with the smallest id stays.
+
+    Null ids come last; null and empty texts are one group; an id on texts of
+    different groups keeps a row in each; of rows that repeat id and text one
+    stays; an empty table stays empty; all columns come through."""
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Null and empty texts hold none; items with a null id count too, items without
+    words don't; repeated rows are judged each; an empty benchmark or table
+    leaves all as it is; all columns come through."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a placeholder; n_chars follows the text."""
+    """Secrets are replaced by a placeholder; n_chars follows the text.
+
+    Null and empty texts stay as they are, rows are neither lost nor merged, other
+    columns come through; where spans overlap one placeholder stands for all."""
     return secret_scan.scan_secrets(docs, redact=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents become pieces with their places in sequences of 2048 tokens."""
+    """Documents become pieces with their places in sequences of 2048 tokens.
+
+    Null and empty texts are a piece of one token, repeated rows are packed each,
+    null ids stay null, an empty table gives no pieces; other columns end here."""
     return packing.pack_documents(docs, PACKING_TOKENIZER)
 
 

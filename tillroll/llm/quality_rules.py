@@ -246,6 +246,9 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  stratum: str = "lang", **limits) -> DataFrame:
     """``docs`` without the rejected rows, all columns as they were.
 
+    Nulls, empty texts, ties and repeated rows: see ``quality_rules``; columns may
+    have any names.
+
     Cutoffs come from the counts of all documents; the verdicts are then taken
     while the texts are scanned a second time, since joining them to the
     verdicts would shuffle every text."""
