@@ -8,8 +8,10 @@ place with the 24 words behind it.  One row a place is compared, not one a word:
 2. In a document, neighbouring shared places form a chain while the words from
    one to the end of the next (a segment) are shared too, by an aggregate again.
 3. Only the two ends of a chain are looked at more closely: how many of the up to
-   27 words before the first place, or behind the last one's 24, any other
-   document shares.  Digests of these words in steps find the most.
+   27 words before the first place, or behind the last one's 24, another document
+   shares.  Digests of every fifth number of words are compared with all documents
+   that have the place; the first one that shares the most is then compared word
+   by word.
 
 Every piece of a chain (segment or end) knows the first document that has all
 of it.  Nothing is lost where pieces overlap: a document keeps the pieces that it
@@ -33,6 +35,7 @@ SHINGLE, WINDOW, SAMPLE = 5, 24, 28
 PASSAGE = WINDOW + SAMPLE - 1      # 51 words: the shortest run that surely has a place
 REACH = SAMPLE - 1                 # words beyond an end that may belong to the run
 STEP = 5                           # first the ends are compared at every fifth word
+ROUGH, EACH = STEP * np.arange(1, REACH // STEP + 1), np.arange(1, REACH + 1)
 AT_ONCE = 1 << 21                  # code points of text that are hashed together
 #: Bits of a map of wanted digests: so many each, up to 8 MB.  A full map lets more rows through to an exact join.
 BITS_EACH, MAX_BITS = 16, 26
@@ -169,43 +172,64 @@ def _shared_places(map_of, batches):
             begin, end = s.code_points()
             numbers = (np.arange(len(at)) - np.searchsorted(text, text)).astype(np.int32)
             t = text[hit].tolist()
+            rough = [_around(s, at[hit], side, ROUGH)[0] for side in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([rows[i] for i in t], pa.int64()), pa.array([ids[i] for i in t], pa.int64()),
                  pa.array(numbers[hit]), pa.array(begin[at[hit]].astype(np.int32)),
                  pa.array(end[at[hit] + WINDOW - 1].astype(np.int32)), pa.array(one[hit].view(np.int64)),
                  pa.array(np.where(follows, segment, 0)[hit].view(np.int64), mask=~follows[hit]),
-                 pa.array((at[hit] - s.first[text[hit]]).astype(np.int32))],
-                ["row", "doc_id", "number", "start", "stop", "one", "segment", "word"])
+                 pa.array((at[hit] - s.first[text[hit]]).astype(np.int32)), *rough],
+                ["row", "doc_id", "number", "start", "stop", "one", "segment", "word", "left", "right"])
 
 
-def _ends(row_map, left_map, right_map, batches):
-    """Digests of the first 1, 2, .. 27 words before (side 0) or behind (side 1) places, and the code points they reach."""
-    steps = np.arange(1, REACH + 1)
+def _around(s: Stream, at: np.ndarray, side: int, steps: np.ndarray) -> tuple[pa.ListArray, np.ndarray, np.ndarray, pa.Array]:
+    """Digests (32 bits) of so many words before (side 0) or behind (side 1) places, as far as the text goes;
+    which of them there are, where they end, and the lists' offsets."""
+    text = s.text[at]
+    room = at - s.first[text] if side == 0 else s.first[text] + s.lengths[text] - at - WINDOW
+    near = steps[None, :] <= room[:, None]
+    if side == 0:
+        far = np.where(near, at[:, None] - steps, at[:, None])
+        digests = s.digest(far, np.broadcast_to(at[:, None], far.shape))
+    else:
+        far = np.where(near, at[:, None] + WINDOW + steps, at[:, None] + WINDOW)
+        digests = s.digest(np.broadcast_to(at[:, None] + WINDOW, far.shape), far)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(near.sum(axis=1))]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(digests[near].astype(np.uint32).view(np.int32))), near, far, offsets
+
+
+def _key(row: np.ndarray, other: np.ndarray, side: int) -> np.ndarray:
+    return mix((row.view(np.uint64) * M1) ^ (other.astype(np.int64).view(np.uint64) * M2) ^ np.uint64(side))
+
+
+def _keys(batches):
+    """Rows (side, row, other) as digests."""
+    for batch in batches:
+        side, row, other = (c.to_numpy().astype(np.int64) for c in batch.columns)
+        keys = np.where(side == 0, _key(row, other, 0), _key(row, other, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+
+
+def _ends(row_map, place_map, partner_map, batches):
+    """Of the asked places and their partners the digests of the 1, 2, .. 27 words beyond, and the code points they reach."""
     for batch in batches:
         for rows, ids, s in streams(batch, lambda r: on_map(row_map, r)):
             at = s.places()
+            text = s.text[at]
             one = place_digests(s, at)
             begin, end = s.code_points()
-            numbers = (np.arange(len(at)) - np.searchsorted(s.text[at], s.text[at])).astype(np.int32)
-            for side, map_of in ((0, left_map), (1, right_map)):
-                hit = on_map(map_of, one)
-                p, text = at[hit], s.text[at[hit]]
-                room = np.minimum(REACH, p - s.first[text] if side == 0 else s.first[text] + s.lengths[text] - p - WINDOW)
-                near = steps[None, :] <= room[:, None]
-                if side == 0:
-                    there = np.where(near, p[:, None] - steps, p[:, None])
-                    digests, reach = s.digest(there, np.broadcast_to(p[:, None], there.shape)), begin[there]
-                else:
-                    there = np.where(near, p[:, None] + WINDOW + steps, p[:, None] + WINDOW)
-                    digests, reach = s.digest(np.broadcast_to(p[:, None] + WINDOW, there.shape), there), end[there - 1]
-                offsets = pa.array(np.concatenate([[0], np.cumsum(room)]).astype(np.int32))
-                t = text.tolist()
+            numbers = (np.arange(len(at)) - np.searchsorted(text, text)).astype(np.int32)
+            row = np.array(rows, np.int64)[text]
+            for side in (0, 1):
+                hit = np.union1d(on_map(place_map, _key(row, numbers, side)), on_map(partner_map, _key(row, one.view(np.int64), side)))
+                p = at[hit]
+                digests, near, far, offsets = _around(s, p, side, EACH)
+                reach = (begin[far] if side == 0 else end[far - 1])[near].astype(np.int32)
+                t = text[hit].tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(p), side, np.int8)), pa.array(one[hit].view(np.int64)),
-                     pa.array([rows[i] for i in t], pa.int64()), pa.array([ids[i] for i in t], pa.int64()),
-                     pa.array(numbers[hit]),
-                     pa.ListArray.from_arrays(offsets, pa.array(digests.view(np.int64)[near])),
-                     pa.ListArray.from_arrays(offsets, pa.array(reach[near].astype(np.int32))),
+                    [pa.array(np.full(len(p), side, np.int8)), pa.array(one[hit].view(np.int64)), pa.array(row[hit]),
+                     pa.array([ids[i] for i in t], pa.int64()), pa.array(numbers[hit]), digests,
+                     pa.ListArray.from_arrays(offsets, pa.array(reach)),
                      pa.array(begin[p].astype(np.int32)), pa.array(end[p + WINDOW - 1].astype(np.int32))],
                     ["side", "one", "row", "doc_id", "number", "digests", "reach", "start", "stop"])
 
@@ -213,20 +237,34 @@ def _ends(row_map, left_map, right_map, batches):
 # --- the join of the pieces ----------------------------------------------------------------------------------
 
 def _several(df: DataFrame, *keys: str) -> DataFrame:
-    """The keys that stand in several documents, with the first of them."""
-    return (df.groupBy(*keys).agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.expr(f"min({RANK})").alias("first"))
-            .where("lo != hi").drop("lo", "hi"))
+    """The keys that stand in several documents, with the first and the last of them."""
+    return (df.groupBy(*keys).agg(F.expr(f"min({RANK})").alias("first"), F.expr(f"max({RANK})").alias("last"))
+            .where("first.row != last.row"))
 
 
-def _deepest(ends: DataFrame, levels) -> DataFrame:
-    """Of each end the largest of its ``levels`` (an array column) whose words another document shares, and the
-    first document that has these words; ends without one are absent."""
-    tried = ends.select("side", "one", "row", "doc_id", "number", F.explode(levels).alias("n"), "digests").where(
-        F.col("n") <= F.size("digests")).withColumn("digest", F.expr("digests[n - 1]")).drop("digests")
-    shared = cut(_several(tried, "side", "one", "n", "digest"), "passage_levels")
-    met = tried.join(shared, ["side", "one", "n", "digest"])
-    return met.groupBy("side", "one", "row", "number").agg(F.max(F.struct("n", "first")).alias("best")).select(
-        "side", "one", "row", "number", F.col("best.n").alias("n"), F.col("best.first").alias("first"))
+def _partners(near: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (side, row, number, one, ..) with ``first``, the first document that shares the most words beyond the
+    place in steps of five (the place's first document if none shares five), and ``partner``, another one that does.
+
+    Equal ends are one context, however many documents have it."""
+    sides = cut(asked.select("side", "one").distinct(), "passage_sides")
+    both = near.select(F.lit(0).cast("byte").alias("side"), "one", "row", "doc_id", F.col("left").alias("digests")).union(
+        near.select(F.lit(1).cast("byte"), "one", "row", "doc_id", "right"))
+    contexts = (both.join(sides, ["side", "one"], "left_semi").groupBy("side", "one", F.xxhash64("digests").alias("context"))
+                .agg(F.first("digests").alias("digests"), F.expr(f"min({RANK})").alias("first"),
+                     F.expr(f"max({RANK})").alias("last")))
+    contexts = cut(contexts, "passage_contexts")
+    place = contexts.groupBy("side", "one").agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last")).alias("place"))
+    tried = contexts.select("side", "one", "context", "first", "last", F.posexplode("digests").alias("n", "digest"))
+    shared = tried.groupBy("side", "one", "n", "digest").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    shared = cut(shared.where("first.row != last.row"), "passage_levels")
+    best = (tried.drop("first", "last").join(shared, ["side", "one", "n", "digest"])
+            .groupBy("side", "one", "context").agg(F.max_by(F.struct("first", "last"), "n").alias("best")))
+    found = asked.withColumn("context", F.xxhash64("digests")).join(cut(best, "passage_best"), ["side", "one", "context"], "left")
+    found = found.join(place, ["side", "one"]).withColumn("with", F.coalesce("best", "place"))
+    return found.select("side", "row", "chain", "number", "one", "start", "stop", "doc_id", F.col("with.first").alias("first"),
+                        F.when(F.col("with.first.row") != F.col("row"), F.col("with.first")).otherwise(F.col("with.last")).alias(
+                            "partner"))
 
 
 def shared_passages(docs: DataFrame, places: DataFrame, least: int = PASSAGE) -> DataFrame:
@@ -234,13 +272,17 @@ def shared_passages(docs: DataFrame, places: DataFrame, least: int = PASSAGE) ->
 
     ``docs`` has row, doc_id, text; ``places`` (row, doc_id, one) the digests of
     its sampled places.  A run's words are shared in overlapping pieces of at
-    least 24 words, mostly with one and the same document; beyond an end it
-    reaches as far as any document shares the words there."""
-    classes = cut(_several(places, "one"), "passage_classes")
+    least 24 words, mostly with one and the same document.  Beyond an end it
+    reaches as far as the first document that shares the most words there, in
+    steps of five; where several share different stretches, up to four words more
+    may be shared with another."""
+    classes = places.groupBy("one").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo != hi").select("one")
+    classes = cut(classes, "passage_classes")
     near = map_arrow(docs, partial(_shared_places, wanted(classes, "one")),
-                     "row long, doc_id long, number int, start int, stop int, one long, segment long, word int")
-    near = cut(near.join(classes.select("one", F.col("first").alias("place_first")), "one"), "passage_places")
-    segments = _several(near.where("segment is not null"), "segment").withColumnRenamed("first", "segment_first")
+                     "row long, doc_id long, number int, start int, stop int, one long, segment long, word int, "
+                     "left array<int>, right array<int>")
+    near = cut(near.join(classes, "one", "left_semi"), "passage_places")
+    segments = _several(near.where("segment is not null"), "segment").select("segment", F.col("first").alias("segment_first"))
     near = near.join(cut(segments, "passage_segments"), "segment", "left")
     # chains: neighbouring places in a document whose segment is shared; repeated rows fall away here
     by_place = Window.partitionBy("row").orderBy("number")
@@ -250,61 +292,62 @@ def shared_passages(docs: DataFrame, places: DataFrame, least: int = PASSAGE) ->
     near = near.withColumn("chain", F.sum("opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
     # the next place of the chain, for the segments' ends
     near = near.withColumn("next_stop", F.when(F.lead("opens").over(by_place) == 0, F.lead("stop").over(by_place)))
-    near = cut(near.select("row", "doc_id", "chain", "number", "start", "stop", "word", "one", "segment", "segment_first",
-                           "next_stop"), "passage_chains")
+    near = cut(near.select("row", "doc_id", "chain", "number", "start", "stop", "word", "one", "segment",
+                           "segment_first", "next_stop", "left", "right"), "passage_chains")
+    end = F.struct("number", "one", "start", "stop", "left", "right")
     chains = cut(near.groupBy("row", "doc_id", "chain").agg(
-        F.min(F.struct("number", "one")).alias("a"), F.max(F.struct("number", "one")).alias("b"),
-        F.min("word").alias("word"), (F.max("word") - F.min("word") + WINDOW).alias("words")), "passage_ends")
-    # both ends, compared with all documents that have the place
-    asked = (chains.select("row", "chain", F.lit(0).cast("byte").alias("side"), F.col("a.number").alias("number"),
-                           F.col("a.one").alias("one"))
-             .union(chains.select("row", "chain", F.lit(1).cast("byte"), "b.number", "b.one")))
-    sides = cut(asked.select("side", "one").distinct(), "passage_sides")
-    ends = map_arrow(docs, partial(_ends, wanted(near.select("row").distinct(), "row"), *[
-        wanted(sides.where(F.col("side") == side), "one") for side in (0, 1)]),
-        "side byte, one long, row long, doc_id long, number int, digests array<long>, reach array<int>, start int, stop int")
-    ends = cut(ends.join(sides, ["side", "one"], "left_semi").dropDuplicates(["side", "row", "number"]), "passage_contexts")
-    rough = cut(_deepest(ends, F.sequence(F.lit(STEP), F.lit(REACH), F.lit(STEP))), "passage_rough")
-    known = ends.join(rough.select("side", "row", "number", F.col("n").alias("known")), ["side", "row", "number"], "left")
-    known = cut(known.groupBy("side", "one").agg(F.collect_set(F.coalesce("known", F.lit(0))).alias("known")), "passage_steps")
-    # between the steps, at those that any end of the class asks for (at most six)
-    levels = F.flatten(F.transform("known", lambda k: F.sequence(k + 1, k + STEP - 1)))
-    fine = _deepest(ends.join(known, ["side", "one"]), levels)
-    best = cut(rough.unionByName(fine).groupBy("side", "row", "number").agg(F.max(F.struct("n", "first")).alias("best")),
-               "passage_reach")
-    return _pieces(near, chains, asked, ends, best, classes, least)
-
-
-def _pieces(near, chains, asked, ends, best, classes, least) -> DataFrame:
-    at = ["side", "row", "number"]
-    found = (asked.join(best, at, "left").join(classes.select("one", F.col("first").alias("place_first")), "one")
-             .select("row", "chain", "side", "number", "one", F.coalesce("best.n", F.lit(0)).alias("n"),
-                     F.coalesce("best.first", "place_first").alias("first")))
-    found = cut(found, "passage_found")
-    whole = (chains.join(found.groupBy("row", "chain").agg(F.sum("n").alias("beyond")), ["row", "chain"])
-             .where(F.col("words") + F.col("beyond") >= least).select("row", "chain"))
-    whole = cut(whole, "passage_whole")
-    # an end's piece: its place's words and what is shared beyond, in the document and in the first that has it all
-    spans = ends.select(*at, "doc_id", "one", "start", "stop", "reach", "digests")
-    kept = found.join(whole, ["row", "chain"]).join(spans.drop("one"), at)
-    piece = _end_piece(kept.withColumn("m", F.col("n")))
-    # the first document keeps that piece even where its own chain goes on
-    wants = kept.select("side", "one", F.col("n").alias("m"), F.expr("if(n = 0, 0L, digests[n - 1])").alias("digest"),
-                        "first").distinct()
-    mine = spans.join(wants.select("side", "one", "m", "digest", "first", F.col("first.row").alias("row")), ["side", "one", "row"])
-    mine = mine.where("m = 0 or try_element_at(digests, greatest(m, 1)) = digest")
-    first = _end_piece(mine)
+        F.min_by(end, "number").alias("a"), F.max_by(end, "number").alias("b"),
+        (F.max("word") - F.min("word") + WINDOW).alias("words")), "passage_ends")
+    # both ends, compared with the documents that have the place
+    asked = [chains.select("row", "doc_id", "chain", F.lit(side).cast("byte").alias("side"), f"{e}.number", f"{e}.one",
+                           f"{e}.start", f"{e}.stop", F.col(f"{e}.{part}").alias("digests"))
+             for side, e, part in ((0, "a", "left"), (1, "b", "right"))]
+    asked = cut(_partners(near, asked[0].union(asked[1])), "passage_asked")
+    who = asked.select("side", "row", F.col("number").cast("long").alias("other")), asked.select(
+        "side", F.col("partner.row").alias("row"), F.col("one").alias("other"))
+    maps = [wanted(cut(map_arrow(w, _keys, "key long").distinct(), "passage_keys"), "key") for w in who]
+    rows = cut(who[0].select("row").union(who[1].select("row")).distinct(), "passage_rows")
+    ends = map_arrow(docs, partial(_ends, wanted(rows, "row"), *maps),
+                     "side byte, one long, row long, doc_id long, number int, digests array<int>, reach array<int>, "
+                     "start int, stop int")
+    ends = cut(ends.dropDuplicates(["side", "row", "number"]), "passage_beyond")
+    # word by word; a partner that has the place several times is taken where it shares most
+    here = ends.select("side", "row", "number", F.col("digests").alias("x"), F.col("reach").alias("my_reach"))
+    there = ends.select("side", "one", F.col("row").alias("their_row"), F.col("doc_id").alias("their_id"), F.col("digests").alias("y"),
+                        F.col("reach").alias("their_reach"), F.col("start").alias("their_start"), F.col("stop").alias("their_stop"))
+    pairs = (asked.join(here, ["side", "row", "number"]).withColumn("their_row", F.col("partner.row"))
+             .join(there, ["side", "one", "their_row"]))
+    n = F.size(F.filter(F.zip_with("x", "y", lambda a, b: a == b), lambda same: same))
+    pairs = pairs.withColumn("n", n).drop("x", "y")
+    rest = [c for c in pairs.columns if c not in ("side", "row", "number")]
+    pairs = cut(pairs.groupBy("side", "row", "number").agg(F.max_by(F.struct(*rest), F.struct("n", "their_start")).alias("p"))
+                .select("side", "row", "number", "p.*"), "passage_pairs")
+    return _pieces(near, chains, asked, pairs, least)
+
+
+def _pieces(near: DataFrame, chains: DataFrame, asked: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
+    """Segments and ends of the chains of at least ``least`` words, in their documents and in the first that has each."""
+    beyond = pairs.groupBy("row", "chain").agg(F.sum("n").alias("beyond"))
+    whole = cut(chains.join(beyond, ["row", "chain"], "left").where(
+        F.col("words") + F.coalesce("beyond", F.lit(0)) >= least).select("row", "chain"), "passage_whole")
+    shared = pairs.join(whole, ["row", "chain"])
+    mine = shared.select("side", "row", "doc_id", "one", "start", "stop", F.col("my_reach").alias("reach"), "n",
+                         "first")
+    theirs = shared.select("side", F.col("their_row").alias("row"), F.col("their_id").alias("doc_id"), "one",
+                           F.col("their_start").alias("start"), F.col("their_stop").alias("stop"),
+                           F.col("their_reach").alias("reach"), "n", "first")
     pieces = near.where("next_stop is not null").select(
         "row", "doc_id", "chain", "start", F.col("next_stop").alias("stop"), F.col("segment").alias("class_id"),
         F.col("segment_first").alias("first"))
     segment = cut(pieces.join(whole, ["row", "chain"]).drop("chain"), "passage_pieces")
     owners = segment.where("first.row != row").select("class_id", F.col("first.row").alias("row")).distinct()
     segment = segment.union(pieces.drop("chain").join(owners, ["class_id", "row"], "left_semi").select(*segment.columns))
-    return segment.unionByName(piece).unionByName(first).distinct()
+    return segment.unionByName(_end_piece(mine.union(theirs))).distinct()
 
 
 def _end_piece(df: DataFrame) -> DataFrame:
-    reach = F.expr("if(m = 0, null, reach[m - 1])")
+    """A place's words and the ``n`` beyond it."""
+    reach = F.expr("if(n = 0, null, reach[n - 1])")
     return df.select("row", "doc_id",
                      F.when(F.col("side") == 0, F.coalesce(reach, "start")).otherwise(F.col("start")).alias("start"),
                      F.when(F.col("side") == 1, F.coalesce(reach, "stop")).otherwise(F.col("stop")).alias("stop"),
