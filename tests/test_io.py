@@ -161,3 +161,15 @@ def test_generated_rows_stand_behind_the_originals(spark):
     out = append_generated(a, g, 5)
     assert out.rdd.getNumPartitions() == 5 and out.count() == 1 + g.count()
     assert out.columns == a.columns and out.where("transaction_id = 'T1'").first().extra == "x"
+
+
+def test_a_shared_folder_is_a_warehouse_on_a_cluster(spark, monkeypatch):
+    """Off a local master a warehouse without a remote scheme is tried out, not refused by its name."""
+    monkeypatch.setattr(IO, "is_local", lambda _: False)
+    IO.materialize(spark.range(3), "io_on_a_mount")
+    out = IO.materialize(spark.table("io_on_a_mount").union(spark.range(3, 5)), "io_on_a_mount")
+    assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3, 4]
+    IO.drop_table(spark, "io_on_a_mount")
+    monkeypatch.setattr(IO, "_read_by_a_task", lambda *_: False)
+    with pytest.raises(RuntimeError, match="machine-local"):
+        IO.materialize(spark.range(3), "io_on_a_mount")

@@ -53,12 +53,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _durable(spark: SparkSession) -> None:
-    """Named tables live in the warehouse, which executors have to share."""
+    """Named tables live in the warehouse, which executors have to share.
+
+    Whether a folder is a mount that all machines have or a disk of this one, its
+    name doesn't tell: a task has to read a file that the driver puts there."""
     place = spark.conf.get("spark.sql.warehouse.dir")
-    if not is_local(spark) and (place.startswith("file:") or ":" not in place.split("/")[0]):
+    if is_local(spark) or not (place.startswith("file:") or ":" not in place.split("/")[0]):
+        return
+    mark = spark._jvm.org.apache.hadoop.fs.Path(place, unique_name("tillroll_shared"))
+    fs = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(mark)
+    out.writeBytes("shared")
+    out.close()
+    try:
+        seen = _read_by_a_task(spark, fs.makeQualified(mark).toString())
+    finally:
+        fs.delete(mark, False)
+    if not seen:
         raise RuntimeError(f"the warehouse {place} is a machine-local folder; give a path or set spark.sql.warehouse.dir")
 
 
+def _read_by_a_task(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.text(path).collect()[0].value == "shared"
+    except Exception:       # the task's own error, whatever the file system
+        return False
+
+
 def overwrite(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
     """Full-replace write of table ``name``; returns the table scan.
 
