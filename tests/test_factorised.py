@@ -84,3 +84,30 @@ def test_salted_attributes_equal_the_plain_ones(spark):
     plain, salted = N.nominated_attributes(items, master), N.nominated_attributes(items, master, salts=8)
     columns = ["line_item_id", "m_prod_desc", "m_prod_group_code", "m_fis_week_id"]
     assert rows(plain, *columns) == rows(salted, *columns) and plain.count() == 601
+
+
+def test_pairs_of_one_class_are_spread_and_not_sorted_out_again(spark):
+    """Line items times products of one L10 code: the pairs are dealt to the tasks and pass no aggregate."""
+    n, m = 300, 400
+    items = spark.range(n).select(F.lit("E").alias("parent_event_code"), F.col("id").cast("int").alias("line_item_id"),
+                                  F.lit("S").alias("seg_desc_list"), F.concat(F.lit("p"), F.col("id")).alias("prod_group_code"),
+                                  F.lit(1).alias("nomination_start_week"))
+    master = spark.range(m).select(F.concat(F.lit("p"), F.col("id")).alias("prod_group_code"), F.lit("A").alias("brand_name"),
+                                   F.lit("L").alias("prod_merch_l10_code"), F.lit("tea").alias("prod_merch_l10_desc"),
+                                   F.lit(1).alias("fis_week_id"), F.concat(F.lit("d"), F.col("id")).alias("prod_desc"))
+    for df in (N.category_products(items, master), N.brand_products(items, master), N.nomination_product_sets(items, master)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        join = next(i for i, line in enumerate(plan.splitlines()) if "Join Inner" in line and "_left" in line)
+        assert not any("Aggregate" in line for line in plan.splitlines()[:join])
+        assert df.count() == n * m == df.distinct().count()
+    final = N.nomination_product_sets(items, master)
+    assert (final.where("fp").count(), final.where("brand").count()) == (n, n * m)
+
+
+def test_tiles_give_the_plain_join(spark):
+    from tillroll.operators.skew import tiled_join
+    r = random.Random(1)
+    left = spark.createDataFrame([(r.choice(["a", "b", None]), r.randint(0, 40)) for _ in range(90)], "k string, x int")
+    right = spark.createDataFrame([(r.choice(["a", "c", None, "b"]), r.choice([None, 1, 2, 3])) for _ in range(70)], "k string, y int")
+    for groups in (None, 1, 7):
+        assert rows(tiled_join(left, right, ["k"], groups)) == rows(left.join(right, "k"))

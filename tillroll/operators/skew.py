@@ -7,11 +7,15 @@ scalar subquery of the join's own plan: nothing runs while the plan is built,
 and both sides use the same subquery.  The large side's rows of a common key
 get a salt, the small side's rows of that key are repeated once per salt; all
 other keys keep salt 0 and are neither repeated nor moved elsewhere.
+
+``tiled_join`` is for few keys with very many rows on both sides, whose result
+is far larger than its inputs: tasks get tiles of the result, not keys.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+import math
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,3 +65,27 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = small.withColumn("_salt", F.explode(copies))
     return left.join(right, keys + ["_salt"], how).drop("_salt")
+
+
+def tiled_join(left: DataFrame, right: DataFrame, keys: Sequence[str], groups: int | None = None,
+               store: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``left.join(right, keys)``, an inner join, with the pairs of a key over many tasks.
+
+    The rows of either side are dealt into ``groups`` (default: the root of the
+    session's shuffle partitions) by a hash of the row; each group of one side
+    meets each of the other as a tile, so inputs are repeated ``groups`` times,
+    which is little beside the pairs.  Tiles are dealt over a fixed number of
+    partitions, since AQE would merge them by the bytes of the inputs and not of
+    the pairs.  A task holds its tiles' rows, never its pairs.  ``store`` (a
+    checkpoint) is applied to the repeated inputs."""
+    tasks = max(1, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    groups = groups or math.ceil(math.sqrt(tasks))
+    at = [*keys, "_left", "_right"]
+
+    def dealt(df, mine, other):
+        plain = [F.col(f"`{f.name}`") for f in df.schema.fields
+                 if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+        df = store(df.withColumn(mine, F.pmod(F.xxhash64(*plain), F.lit(groups)).cast("int")))
+        return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).repartition(tasks, *at)
+
+    return dealt(left, "_left", "_right").join(dealt(right, "_right", "_left"), at).drop("_left", "_right")

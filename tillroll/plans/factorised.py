@@ -11,10 +11,13 @@ computed from these; rows are multiplied out only where a caller asks for them
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.skew import tiled_join
+
 ITEM = ["parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week"]
 _WEEK, _L10, _BRAND = "nomination_start_week", "prod_merch_l10_code", "brand_name"
 
@@ -44,9 +47,23 @@ def factorise(attributes: DataFrame, featured: DataFrame, master: DataFrame) ->
 
 
 # --------------------------------------------------------------------------- on demand
+def reached(members: DataFrame, products: DataFrame, key: list[str], value: list[str]) -> DataFrame:
+    """Distinct (ITEM, ``value``) rows that the members (ITEM, ``key``) reach through ``key``.
+
+    Products are classed by all the classes that hold their value in a week, so
+    each stands in one class of classes; a member belongs to those that name one of
+    its classes.  Both relations are distinct before they meet, and so are the pairs."""
+    shared = [k for k in key if k == _WEEK or k in value]
+    rest = [k for k in key if k not in shared]
+    at = products.groupBy(_WEEK, *value).agg(F.sort_array(F.collect_set(F.struct(*rest))).alias("at"))
+    named = at.select(*shared, "at").distinct().withColumn("one", F.explode("at")).select(*shared, "at", "one.*")
+    of = members.join(named, key).select(*ITEM, *[k for k in shared if k not in ITEM], "at").distinct()
+    return tiled_join(of, at, [*shared, "at"]).select(*ITEM, *value)
+
+
 def expansion(f: NominationClasses) -> DataFrame:
     """Members times the products of their classes: N6's rows, and whether a row is also one of N5's."""
-    out = f.members.withColumnRenamed(_BRAND, "a_brand").join(f.classes, [_WEEK, _L10])
+    out = tiled_join(f.members.withColumnRenamed(_BRAND, "a_brand"), f.classes, [_WEEK, _L10])
     return out.select(*ITEM, "prod_group_code", "brand_desc", "cat_desc", F.coalesce(
         F.col("a_brand") == F.col("brand_desc"), F.lit(False)).alias("same_brand")).distinct()
 
@@ -65,11 +82,62 @@ def expand_category(f: NominationClasses, rows: DataFrame | None = None) -> Data
                        F.lit(True).alias("cat"), _WEEK).distinct()
 
 
-def expand_final(f: NominationClasses, rows: DataFrame | None = None) -> DataFrame:
-    """N7's rows; ``rows`` is a stored ``expansion``."""
+def _single(f: NominationClasses) -> DataFrame:
+    """Products (week, product) that stand in one row of the classes and have one description at most."""
+    one = (f.classes.where(F.col("prod_group_code").isNotNull()).groupBy(_WEEK, "prod_group_code")
+           .agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in (_L10, "brand_desc", "cat_desc")]))
+    described = (f.featured.groupBy(_WEEK, "prod_group_code")
+                 .agg(F.collect_set(F.struct("product_desc")).alias("descs")))
+    return (one.where("n = 1").drop("n").join(described, [_WEEK, "prod_group_code"], "left")
+            .where(F.coalesce(F.size("descs") <= 1, F.lit(True)))
+            .withColumn("product_desc", F.col("descs").getItem(0)["product_desc"]).drop("descs"))
+
+
+def _single_rows(f: NominationClasses, single: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """N7's rows of the ``single`` products for line items without a null: each pair of a class is one row.
+
+    The line item's brands and its own products of the class travel with it, so the
+    flags need no further join and no row has to be sorted out afterwards."""
+    named = f.members.where(_KEYED).groupBy(*ITEM, _L10).agg(F.collect_set(_BRAND).alias("brands"))
+    own = (f.featured.where(_KEYED).join(single.select(_WEEK, "prod_group_code", _L10), [_WEEK, "prod_group_code"])
+           .groupBy(*ITEM, _L10).agg(F.collect_set("prod_group_code").alias("own")))
+    pairs = tiled_join(named.join(own, [*ITEM, _L10], "left"), single, [_WEEK, _L10], store=store)
+    fp = F.coalesce(F.array_contains("own", F.col("prod_group_code")), F.lit(False))
+    brand = F.coalesce(F.array_contains("brands", F.col("brand_desc")), F.lit(False))
+    return (pairs.withColumn("fp", fp).withColumn("brand", brand)
+            .select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", _WEEK,
+                    F.when(F.col("fp"), F.col("product_desc")).alias("product_desc"), "fp",
+                    F.when(F.col("brand"), F.col("brand_desc")).alias("brand_desc"), "brand", "cat_desc",
+                    F.lit(True).alias("cat")))
+
+
+_KEYED = " AND ".join(f"{c} IS NOT NULL" for c in ITEM)
+
+
+def expand_final(f: NominationClasses, rows: DataFrame | None = None,
+                 store: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """N7's rows; ``rows`` is a stored ``expansion``, ``store`` a checkpoint for what several steps read.
+
+    Without one, the pairs of line items and products that stand in one row of the
+    classes are written as they are joined.  The rest (products with several rows,
+    a null in a key) are few beside them and go through the three sets and their
+    outer joins, as do nominated products that no class holds."""
     from tillroll.plans.nominations import final_nomination_products
 
-    return final_nomination_products(f.featured, expand_brand(f, rows), expand_category(f, rows))
+    if rows is not None:
+        return final_nomination_products(f.featured, expand_brand(f, rows), expand_category(f, rows))
+    f = NominationClasses(f.featured, store(f.members), store(f.classes))
+    single = store(_single(f))
+    products = single.select(_WEEK, "prod_group_code")
+    same = (F.col(f"c.{_WEEK}") == F.col(f"s.{_WEEK}")) & (F.col("c.prod_group_code") == F.col("s.prod_group_code"))
+    others = f.classes.alias("c").join(products.alias("s"), same, "left_anti")
+    featured = f.featured.where(f"NOT ({_KEYED})").union(
+        f.featured.where(_KEYED).alias("c").join(products.alias("s"), same, "left_anti"))
+    odd = NominationClasses(featured, f.members.where(_KEYED), others)
+    null = NominationClasses(featured, f.members.where(f"NOT ({_KEYED})"), f.classes)
+    rest = expansion(odd).union(expansion(null))
+    plain = _single_rows(f, single, store)
+    return plain.union(store(expand_final(odd, rest).select(*plain.columns)))
 
 
 # --------------------------------------------------------------------------- link counts, unexpanded

@@ -120,41 +120,42 @@ def featured_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
     return featured_of(nominated_attributes(line_items, master))
 
 
+def _master_classes(master: DataFrame, line_items: DataFrame, *cols: str) -> DataFrame:
+    """Columns of the master's rows that have an L10 code, in the weeks of the line items."""
+    m = _master_cols(master, line_items, "nomination_start_week")
+    return m.where(F.col("m_prod_merch_l10_code").isNotNull()).select(
+        F.col("m_fis_week_id").alias("nomination_start_week"), "m_prod_merch_l10_code", *cols)
+
+
 def brand_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
     """Every product of the week sharing brand AND L10 code with a nominated
-    product (NULL brand or code matches nothing)."""
+    product (NULL brand or code matches nothing).
+
+    As large as line items times the products of their brands in an L10 code and
+    week; the pairs are spread over the tasks (see ``factorised.reached``)."""
     a = (nominated_attributes(line_items, master)
-         .select("parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week",
-                 F.col("m_brand_name").alias("a_brand"), F.col("m_prod_merch_l10_code").alias("a_l10"))
+         .select(*factorised.ITEM, "m_prod_merch_l10_code", F.col("m_brand_name").alias("brand_desc"))
          .distinct())
-    m = _master_cols(master, line_items, "nomination_start_week")
-    j = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
-               & (F.col("m_brand_name") == F.col("a_brand"))
-               & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
-    return (j.select("parent_event_code", "line_item_id", "seg_desc_list",
-                     F.col("m_prod_group_code").alias("prod_group_code"),
-                     F.col("m_brand_name").alias("brand_desc"), F.lit(True).alias("brand"),
-                     "nomination_start_week")
-            .distinct())
+    m = _master_classes(master, line_items, F.col("m_prod_group_code").alias("prod_group_code"),
+                        F.col("m_brand_name").alias("brand_desc")).where(F.col("brand_desc").isNotNull())
+    j = factorised.reached(a, m, ["nomination_start_week", "m_prod_merch_l10_code", "brand_desc"],
+                           ["prod_group_code", "brand_desc"])
+    return j.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "brand_desc",
+                    F.lit(True).alias("brand"), "nomination_start_week")
 
 
 def category_products(line_items: DataFrame, master: DataFrame) -> DataFrame:
     """Every product of the week sharing the L10 code of a nominated product.
 
     That is the operator's definition, so the output is as large as line items
-    times the products of their L10 codes in a week."""
-    a = (nominated_attributes(line_items, master)
-         .select("parent_event_code", "line_item_id", "seg_desc_list", "nomination_start_week",
-                 F.col("m_prod_merch_l10_code").alias("a_l10"))
-         .distinct())
-    m = _master_cols(master, line_items, "nomination_start_week")
-    j = a.join(m, (F.col("m_fis_week_id") == F.col("nomination_start_week"))
-               & (F.col("m_prod_merch_l10_code") == F.col("a_l10")))
-    return (j.select("parent_event_code", "line_item_id", "seg_desc_list",
-                     F.col("m_prod_group_code").alias("prod_group_code"),
-                     F.col("m_prod_merch_l10_desc").alias("cat_desc"), F.lit(True).alias("cat"),
-                     "nomination_start_week")
-            .distinct())
+    times the products of their L10 codes in a week; the pairs are spread over the
+    tasks (see ``factorised.reached``)."""
+    a = (nominated_attributes(line_items, master).select(*factorised.ITEM, "m_prod_merch_l10_code").distinct())
+    m = _master_classes(master, line_items, F.col("m_prod_group_code").alias("prod_group_code"),
+                        F.col("m_prod_merch_l10_desc").alias("cat_desc"))
+    j = factorised.reached(a, m, ["nomination_start_week", "m_prod_merch_l10_code"], ["prod_group_code", "cat_desc"])
+    return j.select("parent_event_code", "line_item_id", "seg_desc_list", "prod_group_code", "cat_desc",
+                    F.lit(True).alias("cat"), "nomination_start_week")
 
 
 # --------------------------------------------------------------------------- N7
@@ -184,11 +185,10 @@ def nomination_classes(line_items: DataFrame, master: DataFrame, salts: int | No
 def nomination_product_sets(line_items: DataFrame, master: DataFrame) -> DataFrame:
     """N4-N7 fused: the same result as
     ``final_nomination_products(featured_products(..), brand_products(..), category_products(..))``
-    from two joins with the master instead of five.  The factorised relation is
-    multiplied out once and stored (a reliable checkpoint), since two of the three
-    sets are read from it."""
-    f = nomination_classes(line_items, master)
-    return factorised.expand_final(f, checkpoint(factorised.expansion(f)))
+    from two joins with the master instead of five.  The relations of the factorised
+    form are stored (reliable checkpoints), since several steps read them; they are
+    multiplied out when the result is read, and not stored in that form."""
+    return factorised.expand_final(nomination_classes(line_items, master), store=checkpoint)
 
 
 # --------------------------------------------------------------------------- N8, N9, N11, N12
