@@ -115,7 +115,7 @@ HASH_SLOTS = 1 << 20
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None = None,
                    check: str = "key occurs more than once", hashed: bool = False,
-                   salts: int | None = None) -> DataFrame:
+                   salts: int | None = None, tasks: int | None = None) -> DataFrame:
     """Rows whose (non-null) key occurs more than once.
 
     Output is long: one row per offending row (``check, keys..., id, cnt``), or
@@ -136,9 +136,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None
     whatever the data.  Only rows of those classes take part in the salted
     exchange above, which works on the exact key, so a collision cannot create a
     false duplicate; where most classes hold a repeated key, most rows move.
+
+    ``tasks`` (for large tables, see ``skew.tasks_for``) deals the rows, counts
+    and totals to so many tasks, each with a bounded number of keys.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     cols = keys + ([id_col] if id_col else [])
     base = base.select(*cols)
@@ -149,20 +152,31 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] | str, id_col: str | None
         base = (base.withColumn("_class", F.pmod(h, F.lit(HASH_SLOTS)))
                 .join(F.broadcast(classes), "_class", "left_semi").drop("_class"))
     if id_col is None:
+        if tasks:
+            base = base.repartition(tasks, *keys)       # a hot key's rows are counted by one task as they come
         counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
         return counts.select(F.lit(check).alias("check"), *keys, "cnt")
     salted = base.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)))
+    if tasks:
+        salted = salted.repartition(tasks, *keys, "_salt")
     per_salt = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    if tasks:
+        per_salt = per_salt.repartition(tasks, *keys)
     totals = (per_salt.withColumn("cnt", F.sum("_n").over(Window.partitionBy(*keys)))
               .where(F.col("cnt") > 1).select(*keys, "_salt", "cnt"))
+    if tasks:
+        totals = totals.repartition(tasks, *keys, "_salt")
     return (salted.join(totals, keys + ["_salt"])
             .select(F.lit(check).alias("check"), *keys, F.col(id_col), "cnt"))
 
 
 # --------------------------------------------------------------------------- V7, V10, V11
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, keep: Sequence = (),
-            check: str = "reference to missing parent") -> DataFrame:
-    out = anti(child, fk, parent, pk)
+            check: str = "reference to missing parent", tasks: int | None = None) -> DataFrame:
+    """Rows of ``child`` whose ``fk`` no parent has; ``tasks`` as in ``relational.anti``."""
+    if tasks and all(isinstance(k, str) for k in keep):           # only what is kept is moved
+        child = child.select(*dict.fromkeys([*(keep or [fk]), fk]))
+    out = anti(child, fk, parent, pk, tasks)
     return out.select(F.lit(check).alias("check"), *[_c(k) for k in (keep or [fk])])
 
 

@@ -59,7 +59,7 @@ def best_per_group(df: DataFrame, partition: Sequence[str], order: Sequence[Colu
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n).drop(rank_col)
 
 
-def anti(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+def anti(child: DataFrame, fk: str, parent: DataFrame, pk: str, tasks: int | None = None) -> DataFrame:
     """Child rows with a non-null ``fk`` that matches no parent ``pk``.
 
     Written as a LEFT ANTI join; Catalyst does not rewrite LEFT JOIN ... IS NULL
@@ -67,8 +67,13 @@ def anti(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     hot foreign key (a skewed left side) is split by AQE's skew join, which
     needs both sides to be plain shuffles: the parent keys are therefore not
     de-duplicated here (a parent key is unique in the data this checks).
+    ``tasks`` (for large tables, see ``skew.tasks_for``) deals both sides to so
+    many tasks; a hot key is then spread over them by salts.
     """
     keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
+    if tasks:
+        return salted_join(child.where(F.col(fk).isNotNull()), keys.withColumnRenamed("_pk", fk), [fk], "left_anti",
+                           salts=tasks, tasks=tasks)
     return (child.where(F.col(fk).isNotNull())
             .join(keys, F.col(fk) == F.col("_pk"), "left_anti"))
 

@@ -24,6 +24,18 @@ from pyspark.sql import functions as F
 TRACKED, MOST = 4096, 128
 #: A key is common if it holds more than this share of the rows; its rows then go to so many tasks.
 SHARE, SALTS = 0.02, 16
+#: Rows of a large table that a task gets where tasks are counted by rows, and tasks below which they aren't.
+ROWS_EACH, FEW_TASKS = 250_000, 5
+
+
+def tasks_for(rows: int) -> int | None:
+    """Tasks for a step that holds or sorts ``rows`` rows; None (Spark's own number) for a small table.
+
+    The session's number of shuffle partitions is fixed and AQE merges them by
+    their compressed bytes, which for narrow rows is millions a task; the memory
+    of a task then grows with the table.  ``repartition`` by this number isn't merged."""
+    tasks = math.ceil(rows / ROWS_EACH)
+    return tasks if tasks >= FEW_TASKS else None
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -46,15 +58,16 @@ def common_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> Col
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", share: float = SHARE,
-                salts: int = SALTS, measure: DataFrame | None = None) -> DataFrame:
-    """``big.join(small, keys, how)`` for an inner or left join, with ``big``'s common keys over ``salts`` tasks.
+                salts: int = SALTS, measure: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """``big.join(small, keys, how)`` for an inner, left or left_anti join, with ``big``'s common keys over ``salts`` tasks.
 
     The result is the plain join's: each row of ``big`` still meets each matching
     row of ``small`` once.  ``measure`` is a cheaper frame with the same keys
     (default ``big``).  Rows of a common key are dealt by a hash of the whole
-    row, so equal rows stay together.  Null keys match nothing; in a left join
-    they are spread like others."""
-    if how not in ("inner", "left"):
+    row, so equal rows stay together.  Null keys match nothing; in a left or
+    left_anti join they are spread like others.  With ``tasks`` both sides are
+    dealt to so many tasks (see ``tasks_for``); AQE doesn't split those, salts do."""
+    if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"not for a {how} join")
     keys = list(keys)
     hot = common_keys(measure if measure is not None else big, keys, share)
@@ -64,6 +77,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     left = big.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = small.withColumn("_salt", F.explode(copies))
+    if tasks:
+        left, right = (side.repartition(tasks, *[F.col(f"`{k}`") for k in keys], "_salt") for side in (left, right))
     return left.join(right, keys + ["_salt"], how).drop("_salt")
 
 

@@ -117,16 +117,19 @@ def _uniq(cols) -> list:
     return list(dict.fromkeys(cols))
 
 
-def _relational_rows(tables: Mapping[str, DataFrame], c: Check):
-    """(offending rows, key columns, detail columns) of a relational check."""
-    p, df = c.params, tables[c.table]
+def _relational_rows(tables: Mapping[str, DataFrame], c: Check, tasks: Mapping[str, int | None] | None = None):
+    """(offending rows, key columns, detail columns) of a relational check.
+
+    ``tasks`` names the tasks that a table's rows are dealt to (``skew.tasks_for``)."""
+    p, df, tasks = c.params, tables[c.table], tasks or {}
     if c.kind == "duplicates":
         cols = [p["col"]] if isinstance(p["col"], str) else list(p["col"])
-        out = V.duplicate_keys(df, cols, p.get("id"), c.name, hashed=p.get("hashed", False))
+        out = V.duplicate_keys(df, cols, p.get("id"), c.name, hashed=p.get("hashed", False),
+                               tasks=tasks.get(c.table))
         return out, ([p.get("id")] if p.get("id") else cols), cols + ["cnt"]
     if c.kind == "orphans":
         out = V.orphans(df, p["fk"], tables[p["parent"]], p["pk"], keep=_uniq(list(c.key) + [p["fk"]]),
-                        check=c.name)
+                        check=c.name, tasks=max((tasks.get(t) or 0 for t in (c.table, p["parent"]))) or None)
         return out, c.key, [p["fk"]]
     if c.kind == "childless":
         out = V.childless(df, p["pk"], tables[p["child"]], p["fk"], keep=_uniq(list(c.key) + list(c.show)),
@@ -140,12 +143,15 @@ def _relational_rows(tables: Mapping[str, DataFrame], c: Check):
     raise ValueError(f"unknown check kind: {c.kind}")
 
 
-def _relational(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
-    out, key, show = _relational_rows(tables, c)
+def _relational(tables: Mapping[str, DataFrame], c: Check, tasks: Mapping[str, int | None] | None = None) -> DataFrame:
+    out, key, show = _relational_rows(tables, c, tasks)
     return _out(out, c, c.label, key, show)
 
 
-def run_details(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None) -> DataFrame:
+def run_details(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None,
+                tasks: Mapping[str, int | None] | None = None) -> DataFrame:
+    """One row per violation; ``tasks`` (table -> tasks, see ``skew.tasks_for``) bounds the rows of a task of the
+    duplicate and orphan checks on large tables."""
     parts = []
     by_table: dict[str, list[Check]] = {}
     for c in _checked(checks):
@@ -155,7 +161,7 @@ def run_details(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=
         parts.append(_row_level(tables[t], cs, as_of))
     for c in checks:
         if c.kind in REL_KINDS:
-            parts.append(_relational(tables, c))
+            parts.append(_relational(tables, c, tasks))
     return union_all(parts)
 
 
@@ -182,8 +188,9 @@ def _row_level_counts(df: DataFrame, checks: Sequence[Check], as_of) -> DataFram
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None) -> DataFrame:
-    """The summary computed directly (no per-violation rows are built)."""
+def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=None,
+                     tasks: Mapping[str, int | None] | None = None) -> DataFrame:
+    """The summary computed directly (no per-violation rows are built); ``tasks`` as in ``run_details``."""
     parts = []
     by_table: dict[str, list[Check]] = {}
     for c in _checked(checks):
@@ -193,7 +200,7 @@ def summarize_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], a
         parts.append(_row_level_counts(tables[t], cs, as_of))
     for c in checks:
         if c.kind in REL_KINDS:
-            parts.append(_relational_rows(tables, c)[0].agg(F.count(F.lit(1)).alias("violations"))
+            parts.append(_relational_rows(tables, c, tasks)[0].agg(F.count(F.lit(1)).alias("violations"))
                          .select(F.lit(c.name).alias("check"), "violations"))
     counts = union_all(parts)
     spark = counts.sparkSession
@@ -211,7 +218,8 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], as_of=No
     return run_details(tables, checks, as_of), summarize_checks(tables, checks, as_of)
 
 
-def store_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], store, as_of=None) -> tuple[DataFrame, DataFrame]:
+def store_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], store, as_of=None,
+                tasks: Mapping[str, int | None] | None = None) -> tuple[DataFrame, DataFrame]:
     """(stored details, summary) in one pass: the violations are counted while the details are written.
 
     ``store`` takes the details and returns the stored frame, e.g.
@@ -220,7 +228,7 @@ def store_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], store,
     the tables are read once, where ``run_suite`` reads them for either frame."""
     seen = Observation("violations")
     counts = [F.count_if(F.col("check") == c.name).alias(f"check_{i}") for i, c in enumerate(checks)]
-    stored = store(run_details(tables, checks, as_of).observe(seen, *counts))
+    stored = store(run_details(tables, checks, as_of, tasks).observe(seen, *counts))
     found = seen.get
     rows = [(c.name, c.severity, int(found[f"check_{i}"])) for i, c in enumerate(checks)]
     summary = stored.sparkSession.createDataFrame(rows, "check string, severity string, violations long")

@@ -3,7 +3,8 @@
 Every query reads the driver's whole tables (through the adapters).  Queries
 are lazy except those that store an intermediate: the catalog round trips and
 the fused nomination sets write when called, under new names and in new folders
-of the shared checkpoint folder.
+of the shared checkpoint folder; checks of relations and the product master count
+their tables' rows (in the files' footers), to deal large ones to more tasks.
 """
 
 from __future__ import annotations
@@ -187,6 +188,15 @@ def _tracker(spark, d):
             "tasks": A.tracker_tasks(spark, d, with_project=True), "task_refs": A.tracker_tasks(spark, d)}
 
 
+#: The driver's table that each checked table's rows come from.
+CHECKED_ROWS = {"users": "customer", "projects": "orders", "tasks": "lineitem", "task_refs": "lineitem", "labels": "labels",
+                "documents": "documents", "document_refs": "documents", "pages": "pages", "turns": "conversations"}
+
+
+def _tasks(spark, d, tables):
+    return {t: A.tasks_of(spark, d, CHECKED_ROWS[t]) for t in tables}
+
+
 @register("missing_required")
 def _missing_required(spark, d):
     return V.missing_required(A.corpus_tables(spark, d)["documents"], not_null=["quality"], not_blank=["source"],
@@ -227,7 +237,7 @@ def _out_of_range(spark, d):
 def _orphans(spark, d):
     t = A.corpus_tables(spark, d)
     return V.orphans(t["document_refs"], "doc_id", t["labels"], "doc_id", keep=["doc_id", "source"],
-                     check="document that nobody labelled")
+                     check="document that nobody labelled", tasks=A.tasks_of(spark, d, "documents"))
 
 
 @register("future_timestamps")
@@ -271,19 +281,22 @@ def _all_checks():
 
 @register("validation_summary")
 def _validation_summary(spark, d):
-    return SU.summarize_checks({**_tracker(spark, d), **A.corpus_tables(spark, d)}, _all_checks())
+    tables = {**_tracker(spark, d), **A.corpus_tables(spark, d)}
+    return SU.summarize_checks(tables, _all_checks(), tasks=_tasks(spark, d, tables))
 
 
 @register("validation_details")
 def _validation_details(spark, d):
-    return SU.run_details({**_tracker(spark, d), **A.corpus_tables(spark, d)}, _all_checks())
+    tables = {**_tracker(spark, d), **A.corpus_tables(spark, d)}
+    return SU.run_details(tables, _all_checks(), tasks=_tasks(spark, d, tables))
 
 
 @register("validation_summary_observed")
 def _validation_summary_observed(spark, d):
     """The summary that falls out while the details are written."""
     tables = {**_tracker(spark, d), **A.corpus_tables(spark, d)}
-    return SU.store_suite(tables, _all_checks(), lambda found: _stored(found, "violations"))[1]
+    return SU.store_suite(tables, _all_checks(), lambda found: _stored(found, "violations"),
+                          tasks=_tasks(spark, d, tables))[1]
 
 
 #: Constraints of the driver's tables, as column metadata.
@@ -312,9 +325,9 @@ CONSTRAINED_KEYS = {"users": ["id"], "projects": ["id"], "tasks": ["project_id",
 
 def _constrained(spark, d):
     texts = A.corpus_tables(spark, d)
-    return ({"users": A.tracker_users(spark, d), "projects": A.tracker_projects(spark, d), "tasks": A.tracker_tasks(spark, d),
-             "labels": texts["labels"], "documents": texts["document_refs"]},
-            CO.compile_checks(CONSTRAINED, CONSTRAINED_KEYS))
+    tables = {"users": A.tracker_users(spark, d), "projects": A.tracker_projects(spark, d), "tasks": A.tracker_tasks(spark, d),
+              "labels": texts["labels"], "documents": texts["document_refs"]}
+    return tables, CO.compile_checks(CONSTRAINED, CONSTRAINED_KEYS), None, _tasks(spark, d, tables)
 
 
 @register("constraint_summary")
@@ -348,7 +361,7 @@ def _line_item_products(spark, d):
 
 @register("product_master")
 def _product_master(spark, d):
-    return N.product_master(A.prod(spark, d))
+    return N.product_master(A.prod(spark, d, A.tasks_of(spark, d, "lineitem")))
 
 
 @register("featured_products")

@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import week_id
 from tillroll.functions.money import money
+from tillroll.operators.skew import salted_join, tasks_for
 from tillroll.sources.tables import table
 
 # Payment mode by the first digit of o_orderpriority.
 PAYMENT_MODES = {"1": "Credit Card", "2": "Debit Card", "3": "Cash", "4": "PayPal", "5": "Gift Card"}
 
 
+def tasks_of(spark: SparkSession, d: str, name: str) -> int | None:
+    """Tasks for a step over all rows of a driver's table (see ``skew.tasks_for``); they are counted in its files' footers."""
+    return tasks_for(table(spark, d, name).count())
+
+
 # --------------------------------------------------------------------------- order analytics
 def customers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(F.col("c_custkey").alias("id"),
@@ -219,7 +225,7 @@ def nomination_prod(spark: SparkSession, d: str, week: int | None = None,
         F.col("_week").alias("event_start_week"))
 
 
-def prod(spark: SparkSession, d: str) -> DataFrame:
+def prod(spark: SparkSession, d: str, tasks: int | None = None) -> DataFrame:
     """Weekly product master: a product is listed once in each week it was
     ordered (the narrow (week, product) distinct runs before the attributes
     are joined on).
@@ -227,7 +233,11 @@ def prod(spark: SparkSession, d: str) -> DataFrame:
     The product attributes are renamed on the part side, before the join, so
     the output needs no projection above the join: a semi join on the week
     (see ``plans.nominations``) is then pushed through the joins down to the
-    orders scan."""
+    orders scan.
+
+    ``tasks`` (``tasks_of`` the line items) is for a master of all weeks: it deals
+    the rows of each step to so many tasks.  A master of a few weeks does without,
+    since its few orders are broadcast and the line items stay where they are."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, d, "part").select(
         F.col("p_partkey").alias("prod_group_code"),
@@ -235,9 +245,18 @@ def prod(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_type").alias("prod_merch_l10_code"),
         F.lower(F.col("p_type")).alias("prod_merch_l10_desc"),
         F.col("p_name").alias("prod_desc"))
-    weekly = (li.join(_order_weeks(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
-              .select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code"))
-              .distinct())
+    weeks = _order_weeks(spark, d)
+    if tasks:
+        met = salted_join(li, weeks.withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"], "inner", salts=tasks,
+                          tasks=tasks)
+    else:
+        met = li.join(weeks, F.col("l_orderkey") == F.col("o_orderkey"))
+    weekly = met.select(F.col("_week").alias("fis_week_id"), F.col("l_partkey").alias("prod_group_code"))
+    if tasks:
+        weekly = weekly.repartition(tasks, "fis_week_id", "prod_group_code").distinct().repartition(tasks, "prod_group_code")
+        p = p.repartition(tasks, "prod_group_code")
+    else:
+        weekly = weekly.distinct()
     return weekly.join(p, "prod_group_code").select(
         "fis_week_id", "prod_group_code", "brand_name", "prod_merch_l10_code", "prod_merch_l10_desc",
         "prod_desc")
