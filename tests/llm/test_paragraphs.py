@@ -1,6 +1,11 @@
+import glob
+import os
 import random
+import tempfile
+import time
 
 import numpy as np
+import pandas as pd
 from llm_cases import edge_docs, edge_texts, empty_docs, prose
 
 from tillroll.llm import paragraphs as P
@@ -253,3 +258,32 @@ def test_one_id_on_two_texts_and_null_ids(spark):
     out = P.repeated_passages(edge_docs(spark, rows)).collect()
     assert sorted((r.doc_id or 0, r.first_doc, r.removed) for r in out) == [(0, 1, True), (0, 1, True), (1, 1, False),
                                                                            (1, 1, False), (2, 1, True)]
+
+
+def exchange_files(spark):
+    top = spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    return set(glob.glob(os.path.join(top, "**", "blockmgr-*", "*", "shuffle_*"), recursive=True))
+
+
+def test_stored_steps_leave_no_exchange_files(spark):
+    before = exchange_files(spark)
+    out = P.cut(spark.range(5000).selectExpr("id % 7 as k", "id").groupBy("k").sum("id"), "exchange_test")
+    until = time.time() + 10
+    while exchange_files(spark) - before and time.time() < until:     # they go in the background
+        time.sleep(0.2)
+    assert not exchange_files(spark) - before and out.count() == 7
+
+
+def test_words_lines_and_hashes_of_texts():
+    """Also of texts that grow when lower-cased."""
+    texts = ["Some words\nİzmir İ  x\n\n", None, "", "İ", "日本 🎉X\u2028é\u3000b", "\na b"]
+    s = S.Stream(texts)
+    words = [w for t in texts for w in (t or "").lower().split()]
+    assert (s.word == pd.util.hash_array(np.array(words, dtype=object))).all()
+    begin, end = s.code_points()
+    owner = np.repeat(np.arange(len(texts)), s.lengths)
+    assert [texts[i][a:b].lower() for i, a, b in zip(owner, begin, end)] == words
+    lines = [(i, x) for i, t in enumerate(texts) for x in (t or "").split("\n")]
+    found = zip(s.parts.line_text, s.parts.line_start, s.parts.line_stop)
+    assert [(i, (texts[i] or "")[a:b]) for i, a, b in found] == lines
+    assert s.parts.line_words.tolist() == [len(x.split()) for _, x in lines]

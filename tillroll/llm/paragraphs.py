@@ -21,15 +21,18 @@ else of its text repeats, so every class keeps one whole copy.
 from __future__ import annotations
 
 import heapq
+from functools import partial
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm._shared import connected, cut, map_arrow
-from tillroll.llm.passages import M1, RANK, SHINGLE, Stream, blocks, mix, on_map, place_digests, shared_passages, wanted
+from tillroll.llm.passages import (M1, RANK, SHINGLE, Stream, blocks, key, mix, on_map, place_digests, shared_passages,
+                                   some_of, wanted)
 
 SIMILARITY = 0.8
 MIN_WORDS = 25                     # shorter lines are no paragraph
@@ -49,23 +52,12 @@ class Hashed:
     """Some texts as flat arrays of shingle hashes: of their paragraphs, and of their whole word streams."""
 
     def __init__(self, rows: list, texts: list[str | None], min_words: int = MIN_WORDS):
-        self.rows, self.texts, self.span, self.owner = rows, texts, [], []
-        flat, lines, lengths = [], [], []
-        for i, t in enumerate(texts):
-            at, before = 0, len(flat)
-            for line in (t or "").split("\n"):
-                words = line.lower().split()
-                flat += words
-                lines.append(len(words))
-                if len(words) >= min_words:
-                    self.owner.append(i)
-                    self.span.append((at, at + len(line)))
-                at += len(line) + 1
-            lengths.append(len(flat) - before)
-        self.stream = Stream(texts, flat, np.array(lengths, np.int64))
-        count = np.array(lines, np.int64)
+        self.rows, self.texts, self.stream = rows, texts, Stream(texts)
+        parts = self.stream.parts
+        count = parts.line_words
         kept = count >= min_words
-        self.sizes = count[kept]
+        self.sizes, self.owner = count[kept], parts.line_text[kept]
+        self.start, self.stop = parts.line_start[kept], parts.line_stop[kept]
         n = len(self.stream.shingle)
         place, line = np.arange(n), np.repeat(np.arange(len(count)), count)
         begin, end = line[:n], line[len(line) - n:]
@@ -87,14 +79,15 @@ class Hashed:
         out = np.zeros((len(self.sizes), n_bands), np.uint64)
         if not len(self.sizes):
             return out
-        rng = np.random.default_rng(20)
+        rng, x = np.random.default_rng(20), np.empty_like(self.hash)
         for band in range(n_bands):
             key = np.full(len(self.sizes), band + 1, np.uint64)
             for _ in range(rows):
                 salt, odd = rng.integers(0, 2 ** 64, 2, np.uint64)
-                x = (self.hash ^ salt) * (odd | np.uint64(1))
-                x ^= x >> np.uint64(32)
-                key = key * M1 + np.minimum.reduceat(x, self.begin)
+                np.bitwise_xor(self.hash, salt, out=x)
+                np.multiply(x, odd | np.uint64(1), out=x)
+                low = np.minimum.reduceat(x, self.begin)
+                key = key * M1 + (low ^ (low >> np.uint64(32)))
             out[:, band] = mix(key)
         return out
 
@@ -107,20 +100,18 @@ def _units(n_bands: int, rows: int, min_words: int = MIN_WORDS):
             for row, ids, texts in blocks(*(b.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
                 h = Hashed(row, texts, min_words)
                 one, two = h.identities()
-                n = len(h.sizes)
+                n, owner = len(h.sizes), pa.array(h.owner)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * n_bands),
                                                  pa.array(h.bands(n_bands, rows).view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[i] for i in h.owner], pa.int64()), pa.array([ids[i] for i in h.owner], pa.int64()),
-                     pa.array([False] * n, pa.bool_()),
-                     pa.array([a for a, _ in h.span], pa.int32()), pa.array([b for _, b in h.span], pa.int32()),
+                    [pa.array(row, pa.int64()).take(owner), pa.array(ids, pa.int64()).take(owner),
+                     pa.array(np.zeros(n, bool)), pa.array(h.start.astype(np.int32)), pa.array(h.stop.astype(np.int32)),
                      pa.array(h.sizes.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                      bands], names)
                 at = h.stream.places()
-                text, n = h.stream.text[at].tolist(), len(at)
+                text, n = pa.array(h.stream.text[at]), len(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[i] for i in text], pa.int64()), pa.array([ids[i] for i in text], pa.int64()),
-                     pa.array([True] * n, pa.bool_()), *[pa.nulls(n, pa.int32())] * 3,
+                    [pa.array(row, pa.int64()).take(text), pa.array(ids, pa.int64()).take(text), pa.array(np.ones(n, bool)), *[pa.nulls(n, pa.int32())] * 3,
                      pa.array(place_digests(h.stream, at).view(np.int64)), pa.nulls(n, pa.int64()),
                      pa.nulls(n, pa.list_(pa.int64()))], names)
     return units
@@ -130,11 +121,41 @@ UNITS = ("row long, doc_id long, passage boolean, start int, stop int, n_words i
          "bands array<long>")
 
 
-def _shingle_sets(map_of, min_words: int = MIN_WORDS):
+def _keys_on(map_of, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with ``bands`` -> a row for each band that may be wanted."""
+    for b in batches:
+        bands = b.column("bands")
+        keys = pc.list_flatten(bands)
+        hit = pa.array(on_map(map_of, keys.to_numpy().view(np.uint64)))
+        rest = b.select([c for c in b.schema.names if c != "bands"]).take(pc.list_parent_indices(bands).take(hit))
+        yield rest.append_column("key", keys.take(hit))
+
+
+def _spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, start) as digests."""
+    for b in batches:
+        spots = key(b.column("row").to_numpy(), b.column("start").to_numpy(), 0)
+        yield pa.RecordBatch.from_arrays([pa.array(spots.view(np.int64))], ["spot"])
+
+
+def _lines_at(row_map, spot_map, batch: pa.RecordBatch) -> list[str]:
+    """Lines (row, start) of the texts that may be wanted."""
+    rows, texts = batch.column("row").to_numpy(), batch.column("text")
+    keep = on_map(row_map, rows.view(np.uint64))
+    split = [(t or "").split("\n") for t in texts.take(pa.array(keep)).to_pylist()]
+    lines, count = [x for part in split for x in part], np.array([len(part) for part in split], np.int64)
+    size = np.array([len(x) + 1 for x in lines], np.int64)
+    start = np.cumsum(size) - size
+    start -= np.repeat(start[np.cumsum(count) - count], count)
+    return [lines[i] for i in on_map(spot_map, key(np.repeat(rows[keep], count), start, 0)).tolist()]
+
+
+def _shingle_sets(map_of, where=None, min_words: int = MIN_WORDS):
+    """``where``: maps of rows and of spots that the lines are looked for in, otherwise in all texts."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row, texts in blocks(b.column("row").to_pylist(), b.column("text").to_pylist()):
-                h = Hashed(row, texts, min_words)
+            for (texts,) in blocks(_lines_at(*where, b) if where else b.column("text").to_pylist()):
+                h = Hashed([], texts, min_words)
                 one, two = h.identities()
                 hit = on_map(map_of, one)
                 found = [np.unique(h.hash[h.begin[i]:h.begin[i] + h.sizes[i] - SHINGLE + 1]).view(np.int64) for i in hit]
@@ -216,13 +237,21 @@ def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float, min_word
     """Verified pairs (a, b) of the distinct paragraphs (unit, bands).
 
     All pairs of the groups are judged, except those that verified pairs connect
-    already."""
+    already.  ``distinct`` may have copies, and where each stands (row, start):
+    then a unit's words are read at one such place, otherwise all texts are
+    searched for them."""
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = distinct.select("unit", F.explode("bands").alias("key"))
-    groups = (keys.groupBy("key").agg(F.min("unit").alias("hub"), F.max("unit").alias("top"),
-                                      F.count(F.lit(1)).alias("members")).where("hub != top"))
-    met = cut(keys.join(groups.select("key", "hub", "members"), "key"), "paragraph_groups")
+    groups = (distinct.select("unit", F.explode("bands").alias("key")).groupBy("key")
+              .agg(F.min("unit").alias("hub"), F.max("unit").alias("top")).where("hub != top").select("key", "hub"))
+    groups = cut(groups, "paragraph_hubs")
+    # only bands on a bit map of bounded size meet the groups
+    placed = "start" in distinct.columns
+    at = F.struct("row", "start") if placed else F.lit(None)
+    keys = map_arrow(distinct.select("unit", "bands", *["row", "start"] * placed), partial(_keys_on, wanted(groups, "key")),
+                     "unit long, " + "row long, start int, " * placed + "key long")
+    keys = cut(keys.join(groups, "key").groupBy("key", "hub", "unit").agg(F.min(at).alias("at")), "paragraph_keys")
+    met = cut(keys.join(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key"), "paragraph_groups")
     few, many = met.where(F.col("members") <= SMALL), met.where(F.col("members") > SMALL)
     order = many.select("key", "unit").repartitionByRange(tasks, "key", "unit").sortWithinPartitions("key", "unit")
     pairs = (few.select("key", F.col("unit").alias("a")).join(few.select("key", F.col("unit").alias("b")), "key")
@@ -230,9 +259,14 @@ def near_pairs(docs: DataFrame, distinct: DataFrame, similarity: float, min_word
              .union(many.where("hub != unit").select(F.col("hub").alias("a"), F.col("unit").alias("b")))
              .union(map_arrow(order, _neighbours, "a long, b long")).distinct())
     pairs = cut(pairs, "paragraph_pairs")
-    # the shingles of the paragraphs in pairs, found again in the texts through a bit map of bounded size
-    asked = met.select("unit").distinct()
-    sets = map_arrow(docs, _shingle_sets(wanted(asked, "unit"), min_words), "one long, two long, shingles array<long>")
+    # the shingles of the paragraphs in pairs, found again in the texts through bit maps of bounded size
+    asked = cut(met.groupBy("unit").agg(F.min("at").alias("at")), "paragraph_asked")
+    where = None
+    if placed:
+        spots = asked.select("at.row", "at.start")
+        where = wanted(spots.select("row").distinct(), "row"), wanted(map_arrow(spots, _spots, "spot long"), "spot")
+    asked = asked.select("unit")
+    sets = map_arrow(docs, _shingle_sets(wanted(asked, "unit"), where, min_words), "one long, two long, shingles array<long>")
     # copies go before the exchange: a very common paragraph is one row a task
     sets = cut(sets.dropDuplicates(["one"]).join(asked.withColumnRenamed("unit", "one"), "one", "left_semi")
                .select(F.col("one").alias("unit"), "shingles"), "paragraph_shingles")
@@ -266,10 +300,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     narrow = narrow.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
     units = cut(map_arrow(narrow, _units(tuned_bands(similarity, rows, recall), rows, min_words), UNITS), "paragraph_units")
     span = F.min("row").alias("lo"), F.max("row").alias("hi")
-    paragraphs = units.where("not passage")
+    paragraphs = units.where("not passage").drop("passage", "n_words")
+    linked = connected(near_pairs(narrow, paragraphs.select(F.col("one").alias("unit"), "bands", "row", "start"),
+                                  similarity, min_words), "paragraph_links")
+    # only paragraphs with copies or near ones go on
+    copies = paragraphs.groupBy("one", "two").agg(*span).where("lo != hi").select("one")
+    copies = cut(copies.union(linked.select("node")).distinct(), "paragraph_copies")
+    paragraphs = paragraphs.drop("bands")
+    paragraphs = map_arrow(paragraphs, partial(some_of, wanted(copies, "one"), "one"), paragraphs.schema)
+    paragraphs = cut(paragraphs.join(copies, "one", "left_semi"), "paragraph_some")
     distinct = cut(paragraphs.groupBy("one", "two").agg(*span, F.expr(f"min({RANK})").alias("first")), "paragraph_distinct")
-    lines = paragraphs.dropDuplicates(["one"]).select(F.col("one").alias("unit"), "bands")
-    linked = connected(near_pairs(narrow, lines, similarity, min_words), "paragraph_links")
     classes = distinct.join(linked.select(F.col("node").alias("one"), "component"), "one", "left")
     classes = classes.withColumn("class_id", F.coalesce("component", "one"))
     whole = (classes.groupBy("class_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
@@ -279,7 +319,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "row", "doc_id", "start", "stop", "class_id", "first")
     pieces = pieces.unionByName(shared_passages(narrow, units.where("passage").select("row", "doc_id", "one")))
     pieces = cut(pieces.distinct(), "paragraph_pieces")
-    ordered = pieces.repartition("row").sortWithinPartitions("row", "start", "stop", "class_id")
+    ordered = (pieces.select("row", "doc_id", "start", "stop", "class_id", "first.unnamed", F.col("first.doc_id").alias("first_id"),
+                             F.col("first.row").alias("first_row"))
+               .repartition("row").sortWithinPartitions("row", "start", "stop", "class_id"))
     return map_arrow(ordered, _spans, "doc_id long, start int, stop int, n_units long, first_doc long, "
                      "class_ids array<long>, removed boolean")
 
@@ -317,13 +359,11 @@ def stretches(own: tuple, pieces: list[tuple]) -> list[tuple]:
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of pieces in order of documents -> spans, a document at a time (its pieces are bounded by its text)."""
-    row, held, out = None, [], []
+    row, doc, held, out = None, None, [], []
 
     def leave():
         if held:
-            doc = held[0][0]
-            own = (doc is None, doc, row)
-            out.extend((doc, *s) for s in stretches(_comparable(own), [(a, b, c, _comparable(f)) for _, a, b, c, f in held]))
+            out.extend((doc, *s) for s in stretches((doc is None, doc or 0, row), held))
             held.clear()
 
     def batch():
@@ -335,17 +375,13 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return done
 
     for b in batches:
-        for r, doc, start, stop, class_id, first in zip(*(c.to_pylist() for c in b.columns)):
+        for r, d, start, stop, class_id, *first in zip(*(c.to_pylist() for c in b.columns)):
             if r != row:
                 leave()
-                row = r
-            held.append((doc, start, stop, class_id, (first["unnamed"], first["doc_id"], first["row"])))
+                row, doc = r, d
+            held.append((start, stop, class_id, (first[0], first[1] or 0, first[2])))
         if out:
             yield batch()
     leave()
     if out:
         yield batch()
-
-
-def _comparable(first: tuple) -> tuple:
-    return first[0], first[1] or 0, first[2]
